@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from strata.functions.activity import with_time_parts
 from strata.operators.merge import merge_delete_path
@@ -50,18 +51,30 @@ def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[s
     return landing.orderBy(*[F.col(c).asc() for c in list(order) + tb]).limit(n)
 
 
+def read_backlog(spark: SparkSession, landing_path: str) -> DataFrame | None:
+    """The backlog, or ``None`` once every partition has been drained."""
+    try:
+        return spark.read.parquet(landing_path)
+    except AnalysisException as exc:
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
+
+
 def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours: int = 1,
                     tie_breaker: str | Sequence[str] = (),
                     delete_key: Sequence[str] = LANDING_DELETE_KEY,
                     partition_by: Sequence[str] = ("month", "day"),
-                    batch_name: str | None = None) -> str:
+                    batch_name: str | None = None) -> str | None:
     """C4: move the next batch from the backlog to ``raw_dir`` as JSON lines.
 
-    Returns the batch folder. The batch is evaluated once: the delete uses the
-    rows read back from the written folder, never a second evaluation of the
-    lazy top-n.
+    Returns the batch folder, or ``None`` when the backlog is empty. The batch
+    is evaluated once: the delete uses the rows read back from the written
+    folder, never a second evaluation of the lazy top-n.
     """
-    landing = spark.read.parquet(landing_path)
+    landing = read_backlog(spark, landing_path)
+    if landing is None:
+        return None
     batch = next_batch(landing, hours, tie_breaker)
     out = f"{raw_dir.rstrip('/')}/{batch_name}" if batch_name else fresh_dir(spark, "batch")
     write_json_lines(batch, out)

@@ -288,7 +288,7 @@ def _stream(spark, sf):
     ckpt = fresh_dir(spark, "stream-ckpt")
     name = unique_name("raw_to_bronze")
     runs = []
-    early = F.col("ReleaseDate") < "1995-01-01"
+    early = F.col("OriginalLanguage") < "FURNITURE"
     for i, part in enumerate((m.where(early), m.where(~early)), start=1):
         write_envelope(part, f"{raw_dir}/drop-{i}", records_per_file=RECORDS_PER_FILE)
         runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name,
