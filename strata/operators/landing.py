@@ -65,7 +65,8 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
                     tie_breaker: str | Sequence[str] = (),
                     delete_key: Sequence[str] = LANDING_DELETE_KEY,
                     partition_by: Sequence[str] = ("month", "day"),
-                    batch_name: str | None = None) -> str | None:
+                    batch_name: str | None = None,
+                    rows_per_hour: int = LANDING_ROWS_PER_HOUR) -> str | None:
     """C4: move the next batch from the backlog to ``raw_dir`` as JSON lines.
 
     Returns the batch folder, or ``None`` when the backlog is empty. The batch
@@ -75,9 +76,12 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
     landing = read_backlog(spark, landing_path)
     if landing is None:
         return None
-    batch = next_batch(landing, hours, tie_breaker)
+    batch = next_batch(landing, hours, tie_breaker, rows_per_hour=rows_per_hour)
     out = f"{raw_dir.rstrip('/')}/{batch_name}" if batch_name else fresh_dir(spark, "batch")
     write_json_lines(batch, out)
     written = spark.read.schema(landing.schema).json(out)
-    merge_delete_path(spark, landing_path, written, list(delete_key), partition_by=partition_by)
+    # the batch has at most n rows, and month/day are functions of `time`
+    time_keyed = "time" in delete_key and set(partition_by) <= {"month", "day", "hour"}
+    merge_delete_path(spark, landing_path, written, list(delete_key), partition_by=partition_by,
+                      keys_row_bound=rows_per_hour * hours, partitions_from_keys=time_keyed)
     return out

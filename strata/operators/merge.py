@@ -145,18 +145,23 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       on: str | Sequence[str], set_values: SetValues,
                       partition_by: Sequence[str] = ("p_ingestdate",), fmt: str = "parquet",
                       max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 100_000) -> None:
+                      max_partitions: int = 100_000,
+                      check_unambiguous: bool = True) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
-    evaluated exactly once, before the target changes.
+    evaluated exactly once, before the target changes. Pass
+    ``check_unambiguous=False`` when the new values are a function of the key
+    (e.g. a status derived from the record text), which makes a conflict
+    impossible and saves one aggregation.
     """
     keys = _keys(on)
     parts = list(partition_by)
     target = spark.read.format(fmt).load(path)
     use = _use_digest(target, keys)
     src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
-    assert_unambiguous(src, _join_cols(keys, use))
+    if check_unambiguous:
+        assert_unambiguous(src, _join_cols(keys, use))
     src_b, small = broadcast_if_small(src, max_broadcast_rows)
     jc = _join_cols(keys, use)
     if parts:
@@ -176,13 +181,22 @@ def _partition_dir(path: str, parts: list[str], row) -> str:
 def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       on: str | Sequence[str], partition_by: Sequence[str] = (),
                       fmt: str = "parquet", max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 100_000) -> None:
+                      max_partitions: int = 100_000,
+                      keys_row_bound: int | None = None,
+                      partitions_from_keys: bool = False) -> None:
     """J3 applied to the table at ``path``.
 
     Touched partitions are rewritten without the matched rows. A partition
     whose rows were all deleted receives no data from a dynamic overwrite, so
     its directory is removed explicitly (the list of such partitions is
     bounded by the touched-partition count).
+
+    ``keys_row_bound``: a proven upper bound on the key rows (e.g. a batch of
+    n rows); within ``max_broadcast_rows`` the keys are broadcast without a
+    counting pass. ``partitions_from_keys``: ``keys`` carries the partition
+    columns and the partition is a function of the key (e.g. day and month of
+    a time key), so the touched partitions are read off the keys instead of
+    a semi join over the whole target.
     """
     k = _keys(on)
     parts = list(partition_by)
@@ -190,9 +204,17 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     present = F.lit(True)
     for c in k:
         present = present & F.col(c).isNotNull()
-    src = _stage(spark, keys.select(*k).where(present).distinct(), "delete-keys")
-    src_b, small = broadcast_if_small(src, max_broadcast_rows)
-    if parts:
+    carry = parts if (parts and partitions_from_keys) else []
+    src = _stage(spark, keys.select(*k, *carry).where(present).distinct(), "delete-keys")
+    if keys_row_bound is not None and keys_row_bound <= max_broadcast_rows:
+        src_b, small = F.broadcast(src), True
+    else:
+        src_b, small = broadcast_if_small(src, max_broadcast_rows)
+    if parts and partitions_from_keys:
+        touched = F.broadcast(src.select(*parts).distinct()) if small else src.select(*parts).distinct()
+        src_b = src_b.select(*k)
+        scope = target.join(touched, parts, "left_semi")
+    elif parts:
         touched = _touched(spark, target, src_b, k, parts, max_partitions)
         scope = target.join(touched, parts, "left_semi")
     else:

@@ -53,7 +53,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
         register_table(spark, silver_table, silver_path)
     decided = batch.where(F.col(OUTCOME) != STATUS_NEW).select("movie", OUTCOME)
     merge_update_path(spark, bronze_path, decided, "movie", {"status": OUTCOME},
-                      partition_by=(BRONZE_PARTITION,))
+                      partition_by=(BRONZE_PARTITION,), check_unambiguous=False)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     return batch

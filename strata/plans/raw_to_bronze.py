@@ -15,9 +15,11 @@ from strata.sources.raw import read_raw
 
 
 def bronze_batch(spark: SparkSession, raw_path: str, datasource: str = DEFAULT_DATASOURCE,
-                 ingest_ts: _dt.datetime | str | None = None, key: str = "movie") -> DataFrame:
+                 ingest_ts: _dt.datetime | str | None = None, key: str = "movie",
+                 multiline: bool = True) -> DataFrame:
     """S1 + P1 + V1: the Bronze rows of one raw batch (not yet written)."""
-    bronze = ingest_metadata(read_raw(spark, raw_path, key), datasource, ingest_ts, key)
+    raw = read_raw(spark, raw_path, key, multiline=multiline)
+    bronze = ingest_metadata(raw, datasource, ingest_ts, key)
     if key == "movie":
         assert_schema(bronze, BRONZE_SCHEMA)
     return bronze
@@ -26,14 +28,16 @@ def bronze_batch(spark: SparkSession, raw_path: str, datasource: str = DEFAULT_D
 def raw_to_bronze(spark: SparkSession, raw_path: str, bronze_path: str,
                   table: str | None = None, datasource: str = DEFAULT_DATASOURCE,
                   ingest_ts: _dt.datetime | str | None = None,
-                  rebuild: bool = False) -> str:
+                  rebuild: bool = False, multiline: bool = True) -> str:
     """Append (or, with ``rebuild``, replace) a raw batch into Bronze.
 
     Scan, explode, stamp and write run as one stage per input file: no
     shuffle. All rows of a batch share one ``p_ingestdate``, so the write is
-    *not* repartitioned on it.
+    *not* repartitioned on it. ``multiline=False`` reads JSON-lines envelopes
+    (splittable; see ``read_raw``).
     """
-    out = bronze_batch(spark, raw_path, datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
+    out = bronze_batch(spark, raw_path, datasource, ingest_ts,
+                       multiline=multiline).select(*BRONZE_WRITE_ORDER)
     if rebuild:
         rebuild_partitioned(out, bronze_path, BRONZE_PARTITION)
     else:

@@ -57,14 +57,15 @@ def _envelope(spark: SparkSession, sf: str, records: DataFrame | None = None) ->
     return path
 
 
-def _parsed(spark: SparkSession, sf: str) -> DataFrame:
+def _parsed(spark: SparkSession, sf: str, multiline: bool = False) -> DataFrame:
     """Envelope files written from ``m``, read back (S1) and parsed."""
-    return parse_records(read_raw(spark, _envelope(spark, sf)), keep=())
+    return parse_records(read_raw(spark, _envelope(spark, sf), multiline=multiline), keep=())
 
 
 def _bronze(spark: SparkSession, sf: str) -> str:
     path = fresh_dir(spark, "bronze")
-    raw_to_bronze(spark, _envelope(spark, sf), path, datasource=DATASOURCE, ingest_ts=INGEST_TS)
+    raw_to_bronze(spark, _envelope(spark, sf), path, datasource=DATASOURCE, ingest_ts=INGEST_TS,
+                  multiline=False)
     return path
 
 
@@ -81,7 +82,13 @@ def _landing(spark: SparkSession, sf: str) -> str:
 # --- queries ------------------------------------------------------------------
 
 def q_json_envelope_read(spark, sf):
-    return _parsed(spark, sf).select(*REC_COLS, "OriginalLanguage", "ReleaseDate")
+    """The reference's reader: one multi-line document per file."""
+    return _parsed(spark, sf, multiline=True).select(*REC_COLS, "OriginalLanguage", "ReleaseDate")
+
+
+def q_json_envelope_read_lines(spark, sf):
+    """The JSON-lines layout of the same envelopes (splittable)."""
+    return _parsed(spark, sf, multiline=False).select(*REC_COLS, "OriginalLanguage", "ReleaseDate")
 
 
 def q_json_permissive(spark, sf):
@@ -108,7 +115,7 @@ def q_json_permissive(spark, sf):
 
 
 def q_ingest_metadata(spark, sf):
-    raw = read_raw(spark, _envelope(spark, sf))
+    raw = read_raw(spark, _envelope(spark, sf), multiline=True)
     b = assert_schema(ingest_metadata(raw, DATASOURCE, INGEST_TS), BRONZE_SCHEMA)
     return _with_id(b).select("Id", "datasource", "status", "p_ingestdate")
 
@@ -119,7 +126,7 @@ def q_bronze_write_read(spark, sf):
     name = unique_name("bronze_movie")
     for _ in range(2):  # a rebuild run twice gives the table of one run
         raw_to_bronze(spark, raw, path, table=name, datasource=DATASOURCE,
-                      ingest_ts=INGEST_TS, rebuild=True)
+                      ingest_ts=INGEST_TS, rebuild=True, multiline=False)
     b = read_by_status(spark, name, "new")
     return b.groupBy("status", "p_ingestdate").agg(F.count(F.lit(1)).alias("n"))
 
@@ -291,9 +298,9 @@ def _stream(spark, sf):
     early = F.col("OriginalLanguage") < "FURNITURE"
     for i, part in enumerate((m.where(early), m.where(~early)), start=1):
         write_envelope(part, f"{raw_dir}/drop-{i}", records_per_file=RECORDS_PER_FILE)
-        runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name,
+        runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
                                       datasource=DATASOURCE, ingest_ts=INGEST_TS))
-    runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name,
+    runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
                                   datasource=DATASOURCE, ingest_ts=INGEST_TS))  # restart: nothing new
     return bronze, runs
 
@@ -321,6 +328,7 @@ def q_split_outcome(spark, sf):
 
 _QUERIES: dict[str, Query] = {
     "json_envelope_read": q_json_envelope_read,
+    "json_envelope_read_lines": q_json_envelope_read_lines,
     "json_permissive": q_json_permissive,
     "ingest_metadata": q_ingest_metadata,
     "bronze_write_read": q_bronze_write_read,
@@ -384,6 +392,7 @@ ranked AS (
 
 _ORACLE = {
     "json_envelope_read": M + "SELECT Id, Title, Budget, RunTime, OriginalLanguage, ReleaseDate FROM m",
+    "json_envelope_read_lines": M + "SELECT Id, Title, Budget, RunTime, OriginalLanguage, ReleaseDate FROM m",
     "json_permissive": """
 SELECT o_orderkey,
   CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') THEN o_orderkey END AS Id,

@@ -18,9 +18,9 @@ from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER, RAW_ENVELOPE_DD
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, key: str = "movie",
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming S1: multi-line envelopes with an explicit schema, exploded."""
-    r = spark.readStream.format("json").option("multiLine", True).schema(RAW_ENVELOPE_DDL)
+               max_files_per_trigger: int | None = None, multiline: bool = True) -> DataFrame:
+    """Streaming S1: envelopes with an explicit schema, exploded (see ``read_raw``)."""
+    r = spark.readStream.format("json").option("multiLine", multiline).schema(RAW_ENVELOPE_DDL)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(raw_dir).select(F.explode(F.col(key)).alias(key))
@@ -31,9 +31,11 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
                         datasource: str = DEFAULT_DATASOURCE,
                         ingest_ts: _dt.datetime | str | None = None,
                         available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        multiline: bool = True) -> StreamingQuery:
     """Start the named stream appending to Bronze (partitioned Parquet)."""
-    rows = ingest_metadata(raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger),
+    src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger, multiline=multiline)
+    rows = ingest_metadata(src,
                            datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy(BRONZE_PARTITION)
