@@ -27,12 +27,14 @@ def exploded_genres(records: DataFrame, id_col: str = "Id",
 def genre_lookup(records: DataFrame, genres: str = "genres") -> DataFrame:
     """G1: ``(genre_id, genre_name)``, one row per id (name = max, deterministic).
 
-    The per-id aggregate is partial before the shuffle, so a genre shared by
-    most records costs one shuffled row per map task.
+    Distinct ``(id, name)`` pairs first: a hash aggregate, partial before the
+    shuffle, so a genre shared by most records costs one shuffled row per map
+    task. Only that small distinct set reaches the per-id ``max`` (a sort
+    aggregate, as ``max`` of a string has no fixed-width buffer).
     """
     g = records.select(F.explode(genres).alias("g")).select(
         F.col("g.id").alias("genre_id"), F.col("g.name").alias("genre_name"))
-    return distinct_by_key(g, "genre_id", ["genre_name"])
+    return distinct_by_key(g.dropDuplicates(), "genre_id", ["genre_name"])
 
 
 def genre_junction(records: DataFrame, id_col: str = "Id",

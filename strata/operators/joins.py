@@ -1,28 +1,53 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded check has proven it small; beyond the
-bound the join is left to the planner (sort-merge with AQE skew splitting).
+A side is broadcast only after a bounded check has proven it small, in rows
+*and* bytes; beyond the bound the join is left to the planner (sort-merge
+with AQE skew splitting).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 128 * 1024 * 1024
+_FIXED_WIDTH = 8  # bytes charged per non-string column
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _row_bytes(df: DataFrame) -> Column:
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
+def size_at_most(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                 max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data.
 
-    ``limit(max_rows + 1)`` stops the scan early on a large input, so the check
-    itself costs at most ``max_rows + 1`` rows of work.
+    ``limit(max_rows + 1)`` bounds the work of the check itself.
     """
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum(_row_bytes(df)).alias("b")).collect()[0]
+    return r.n <= max_rows and (r.b or 0) <= max_bytes
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when proven small, else ``(df, False)``."""
-    if row_count_at_most(df, max_rows):
+    if size_at_most(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False

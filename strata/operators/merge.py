@@ -146,7 +146,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       partition_by: Sequence[str] = ("p_ingestdate",), fmt: str = "parquet",
                       max_broadcast_rows: int = 2_000_000,
                       max_partitions: int = 100_000,
-                      check_unambiguous: bool = True) -> None:
+                      check_unambiguous: bool = True,
+                      max_broadcast_bytes: int = 128 * 1024 * 1024) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
@@ -162,7 +163,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
     if check_unambiguous:
         assert_unambiguous(src, _join_cols(keys, use))
-    src_b, small = broadcast_if_small(src, max_broadcast_rows)
+    src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
     jc = _join_cols(keys, use)
     if parts:
         touched = _touched(spark, _with_digest(target, keys, use), src_b, jc, parts, max_partitions)
@@ -183,7 +184,8 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       fmt: str = "parquet", max_broadcast_rows: int = 2_000_000,
                       max_partitions: int = 100_000,
                       keys_row_bound: int | None = None,
-                      partitions_from_keys: bool = False) -> None:
+                      partitions_from_keys: bool = False,
+                      max_broadcast_bytes: int = 128 * 1024 * 1024) -> None:
     """J3 applied to the table at ``path``.
 
     Touched partitions are rewritten without the matched rows. A partition
@@ -209,7 +211,7 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     if keys_row_bound is not None and keys_row_bound <= max_broadcast_rows:
         src_b, small = F.broadcast(src), True
     else:
-        src_b, small = broadcast_if_small(src, max_broadcast_rows)
+        src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
     if parts and partitions_from_keys:
         touched = F.broadcast(src.select(*parts).distinct()) if small else src.select(*parts).distinct()
         src_b = src_b.select(*k)
