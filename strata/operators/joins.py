@@ -33,18 +33,14 @@ def size_at_most(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                  max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data.
 
-    ``limit(max_rows + 1)`` bounds the work of the check itself.
+    One distributed aggregate (partial per task, one row to the driver). A
+    ``limit`` in front would funnel up to ``max_rows`` rows into a single
+    task, so the check is meant for staged or naturally small inputs.
     """
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.sum(_row_bytes(df)).alias("b")).collect()[0]
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
     return r.n <= max_rows and (r.b or 0) <= max_bytes
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                        max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when proven small, else ``(df, False)``."""

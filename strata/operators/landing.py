@@ -29,13 +29,22 @@ def prepare_activity(df: DataFrame, time_col: str = "time", tz: str | None = Non
 
 def prepare_activity_path(spark: SparkSession, df: DataFrame, landing_path: str,
                           time_col: str = "time", tz: str | None = None,
-                          partition_by: Sequence[str] = ("month", "day")) -> None:
+                          partition_by: Sequence[str] = ("month", "day"),
+                          cluster_by: Sequence[str] | None = ("hour",)) -> None:
     """Write the prepared backlog (fails if it exists).
 
     Partitioning by ``month, day`` keeps each later batch delete inside the
     one or two earliest partitions instead of rewriting the whole backlog.
+    With ``cluster_by`` the rows are range-partitioned on the partition
+    columns plus these columns first, so each task holds a contiguous time
+    range and writes into one or two partition directories (no tasks x days
+    small files). A hot day is spread over several tasks, since the range
+    bounds also cut on the extra columns.
     """
-    write_new(prepare_activity(df, time_col, tz), landing_path, partition_by=partition_by)
+    out = prepare_activity(df, time_col, tz)
+    if partition_by and cluster_by is not None:
+        out = out.repartitionByRange(*partition_by, *cluster_by, time_col)
+    write_new(out, landing_path, partition_by=partition_by)
 
 
 def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[str] = (),
@@ -51,6 +60,34 @@ def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[s
     return landing.orderBy(*[F.col(c).asc() for c in list(order) + tb]).limit(n)
 
 
+def first_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) -> DataFrame | None:
+    """Filter ``landing`` to the leading partitions that hold its first ``n`` rows.
+
+    Valid when the partition columns are the leading batch-order columns: every
+    row of an earlier partition precedes every row of a later one. Needs one
+    count per partition (partition columns only, so no data column is read);
+    the list of partition counts is bounded by the partition count the file
+    index already holds.
+    """
+    parts = list(partition_by)
+    counts = landing.groupBy(*parts).count().orderBy(*parts).collect()
+    keep, total = [], 0
+    for row in counts:
+        keep.append(row)
+        total += row["count"]
+        if total >= n:
+            break
+    if not keep:
+        return None
+    cond = F.lit(False)
+    for row in keep:
+        one = F.lit(True)
+        for c in parts:
+            one = one & (F.col(c) == F.lit(row[c]))
+        cond = cond | one
+    return landing.where(cond)
+
+
 def read_backlog(spark: SparkSession, landing_path: str) -> DataFrame | None:
     """The backlog, or ``None`` once every partition has been drained."""
     try:
@@ -76,7 +113,14 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
     landing = read_backlog(spark, landing_path)
     if landing is None:
         return None
-    batch = next_batch(landing, hours, tie_breaker, rows_per_hour=rows_per_hour)
+    n = rows_per_hour * hours
+    scope = landing
+    if partition_by and list(partition_by) == list(LANDING_ORDER)[:len(partition_by)]:
+        # partitions are the leading order columns: prune to the first ones
+        scope = first_partitions(landing, partition_by, n)
+        if scope is None:
+            return None
+    batch = next_batch(scope, hours, tie_breaker, rows_per_hour=rows_per_hour)
     out = f"{raw_dir.rstrip('/')}/{batch_name}" if batch_name else fresh_dir(spark, "batch")
     write_json_lines(batch, out)
     written = spark.read.schema(landing.schema).json(out)
