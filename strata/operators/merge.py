@@ -147,7 +147,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       max_broadcast_rows: int = 2_000_000,
                       max_partitions: int = 100_000,
                       check_unambiguous: bool = True,
-                      max_broadcast_bytes: int = 128 * 1024 * 1024) -> None:
+                      max_broadcast_bytes: int = 128 * 1024 * 1024,
+                      target_filter: Column | None = None) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
@@ -155,10 +156,16 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     ``check_unambiguous=False`` when the new values are a function of the key
     (e.g. a status derived from the record text), which makes a conflict
     impossible and saves one aggregation.
+
+    ``target_filter`` (a predicate on partition columns, e.g. recent ingest
+    dates) narrows the rows the merge may touch; it is pruned at the scan.
+    It changes the semantics (rows outside it are never updated), so it is
+    opt-in.
     """
     keys = _keys(on)
     parts = list(partition_by)
-    target = spark.read.format(fmt).load(path)
+    full = spark.read.format(fmt).load(path)
+    target = full.where(target_filter) if target_filter is not None else full
     use = _use_digest(target, keys)
     src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
     if check_unambiguous:
@@ -170,6 +177,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
         scope = target.join(touched, parts, "left_semi")
     else:
         scope = target
+    if not parts and target_filter is not None:
+        raise ValueError("target_filter needs a partitioned target")
     updated = merge_update(scope, src_b, keys, set_values, broadcast_source=small, prepared=True)
     staged = _stage(spark, updated.select(*target.columns), "merge-rewrite")
     _write_back(spark, staged, path, fmt, parts)

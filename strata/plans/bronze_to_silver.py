@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.records import parse_records, unpack
 from strata.operators.merge import merge_update_path
-from strata.operators.quality import OUTCOME, outcome_column
+from strata.operators.quality import OUTCOME, assert_schema, outcome_column
 from strata.schemas import (
     BRONZE_PARTITION,
     SILVER_COLUMNS,
     SILVER_PARTITION,
     STATUS_NEW,
+    silver_schema,
 )
 from strata.sinks.catalog import register_table
 from strata.sinks.staging import stage
@@ -36,15 +37,21 @@ def classified_batch(bronze_new: DataFrame, nulls: str = "leave") -> DataFrame:
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                      bronze_table: str | None = None, silver_table: str | None = None,
                      nulls: str = "leave", rebuild_silver: bool = False,
-                     partition_filter: Column | None = None) -> DataFrame:
+                     partition_filter: Column | None = None,
+                     merge_scope: Column | None = None) -> DataFrame:
     """C2. Returns the staged, classified batch (22 columns + ``outcome``).
 
     Silver rows keep the status they had when read (``new``), as the source
     pipeline does. Rows in neither class stay ``new`` in Bronze.
+
+    ``partition_filter`` limits which new rows are read; ``merge_scope``
+    limits which Bronze partitions the status merge may touch (default: all,
+    as a MERGE on the record text does).
     """
     new = read_by_status(spark, bronze_path, STATUS_NEW, partition_filter=partition_filter)
     batch = stage(spark, classified_batch(new, nulls), "silver-batch")
     clean = batch.where(F.col(OUTCOME) == "loaded").select(*SILVER_COLUMNS)
+    assert_schema(clean, silver_schema(), nullable=False)  # V2, before any write
     if rebuild_silver:
         rebuild_partitioned(clean, silver_path, SILVER_PARTITION)
     else:
@@ -53,7 +60,8 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
         register_table(spark, silver_table, silver_path)
     decided = batch.where(F.col(OUTCOME) != STATUS_NEW).select("movie", OUTCOME)
     merge_update_path(spark, bronze_path, decided, "movie", {"status": OUTCOME},
-                      partition_by=(BRONZE_PARTITION,), check_unambiguous=False)
+                      partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
+                      target_filter=merge_scope)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     return batch

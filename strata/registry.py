@@ -35,7 +35,7 @@ from strata.schemas import BRONZE_SCHEMA, SILVER_COLUMNS
 from strata.session import fresh_dir, scratch_root, unique_name
 from strata.sinks.envelope import write_envelope
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
-from strata.sources.raw import raw_inventory, read_raw
+from strata.sources.raw import peek_raw, raw_inventory, read_raw
 from strata.sources.tables import read_by_status
 from strata.streaming.bronze_stream import progress_rows, run_raw_to_bronze
 
@@ -322,6 +322,11 @@ def q_raw_inventory(spark, sf):
                       (F.col("length") > 0).alias("non_empty"))
 
 
+def q_raw_peek(spark, sf):
+    """The first lines of the raw files (the limit is the feature: a peek)."""
+    return peek_raw(spark, _envelope(spark, sf), 3).select(F.length("value").alias("chars"))
+
+
 def q_split_outcome(spark, sf):
     return classify(_parsed(spark, sf)).groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
 
@@ -358,6 +363,7 @@ _QUERIES: dict[str, Query] = {
     "stream_bronze": q_stream_bronze,
     "stream_progress": q_stream_progress,
     "raw_inventory": q_raw_inventory,
+    "raw_peek": q_raw_peek,
 }
 
 

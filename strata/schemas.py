@@ -88,3 +88,9 @@ def unpacked_schema() -> StructType:
         "p_ingestdate": StructField("p_ingestdate", DateType(), True),
     }
     return StructType([rec.get(c) or extra[c] for c in UNPACKED_COLUMNS])
+
+
+def silver_schema() -> StructType:
+    """Schema of the 21-column Silver table (V2)."""
+    u = unpacked_schema()
+    return StructType([u[c] for c in SILVER_COLUMNS])

@@ -96,3 +96,14 @@ def test_conflicting_source_is_rejected(spark):
         pass
     else:
         raise AssertionError("conflicting updates must be rejected")
+
+
+def test_merge_scope_limits_touched_partitions(spark):
+    path = fresh_dir(spark, "t-scope")
+    _target(spark).write.partitionBy("p_ingestdate").parquet(path)
+    merge_update_path(spark, path, _source(spark), "movie", {"status": "outcome"},
+                      target_filter=F.col("p_ingestdate") >= F.lit(D2))
+    got = {(r.movie, str(r.p_ingestdate)): r.status for r in spark.read.parquet(path).collect()}
+    assert got[("a", str(D1))] == "new"          # outside the scope: untouched
+    assert got[("a", str(D2))] == "quarantined"  # inside: updated
+    assert got[("b", str(D1))] == "new"
