@@ -127,5 +127,6 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
     # the batch has at most n rows, and month/day are functions of `time`
     time_keyed = "time" in delete_key and set(partition_by) <= {"month", "day", "hour"}
     merge_delete_path(spark, landing_path, written, list(delete_key), partition_by=partition_by,
-                      keys_row_bound=rows_per_hour * hours, partitions_from_keys=time_keyed)
+                      keys_row_bound=rows_per_hour * hours, partitions_from_keys=time_keyed,
+                      keys_are_files=True)
     return out

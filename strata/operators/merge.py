@@ -194,7 +194,8 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       max_partitions: int = 100_000,
                       keys_row_bound: int | None = None,
                       partitions_from_keys: bool = False,
-                      max_broadcast_bytes: int = 128 * 1024 * 1024) -> None:
+                      max_broadcast_bytes: int = 128 * 1024 * 1024,
+                      keys_are_files: bool = False) -> None:
     """J3 applied to the table at ``path``.
 
     Touched partitions are rewritten without the matched rows. A partition
@@ -207,7 +208,8 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     counting pass. ``partitions_from_keys``: ``keys`` carries the partition
     columns and the partition is a function of the key (e.g. day and month of
     a time key), so the touched partitions are read off the keys instead of
-    a semi join over the whole target.
+    a semi join over the whole target. ``keys_are_files``: ``keys`` is a plain
+    read of files that nothing here rewrites, so it is not staged again.
     """
     k = _keys(on)
     parts = list(partition_by)
@@ -216,7 +218,9 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     for c in k:
         present = present & F.col(c).isNotNull()
     carry = parts if (parts and partitions_from_keys) else []
-    src = _stage(spark, keys.select(*k, *carry).where(present).distinct(), "delete-keys")
+    src = keys.select(*k, *carry).where(present)
+    if not keys_are_files:
+        src = _stage(spark, src.distinct(), "delete-keys")
     if keys_row_bound is not None and keys_row_bound <= max_broadcast_rows:
         src_b, small = F.broadcast(src), True
     else:
