@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.functions.keys import DIGEST, digest
-from strata.operators.joins import broadcast_if_small
+from strata.operators.joins import broadcast_if_small, size_at_most
 from strata.sinks.files import remove_path
 from strata.sinks.staging import stage
 
@@ -56,7 +56,7 @@ def _value(v: str | Column) -> Column:
 
 
 def merge_source(source: DataFrame, on: str | Sequence[str], set_values: SetValues,
-                 use_digest: bool | None = None) -> DataFrame:
+                 use_digest: bool | None = None, dedupe: bool = True) -> DataFrame:
     """Source rows reduced to distinct ``(key, new values)`` with non-NULL keys.
 
     De-duplication is a partial + final aggregate, so repeated keys collapse
@@ -70,7 +70,8 @@ def merge_source(source: DataFrame, on: str | Sequence[str], set_values: SetValu
         present = present & F.col(k).isNotNull()
     src = source.where(present).select(
         *keys, *[_value(v).alias(_SET + c) for c, v in set_values.items()])
-    return _with_digest(src, keys, use).dropDuplicates()
+    src = _with_digest(src, keys, use)
+    return src.dropDuplicates() if dedupe else src
 
 
 def assert_unambiguous(keys: DataFrame, on: str | Sequence[str]) -> None:
@@ -126,9 +127,15 @@ _stage = stage
 
 def _touched(spark: SparkSession, target: DataFrame, keys: DataFrame, join_cols: list[str],
              partition_by: list[str], max_partitions: int) -> DataFrame:
-    """Distinct partition values holding a matched row, staged (tiny)."""
+    """Distinct partition values holding a matched row, staged (tiny).
+
+    Their count is at most the target's file count, which the driver has
+    already listed; within ``max_partitions`` that bound is the size proof.
+    """
     hits = target.join(keys.select(*join_cols), join_cols, "left_semi")
     touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched")
+    if len(target.inputFiles()) <= max_partitions:
+        return F.broadcast(touched)
     b, _ = broadcast_if_small(touched, max_partitions)
     return b
 
@@ -148,7 +155,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       max_partitions: int = 100_000,
                       check_unambiguous: bool = True,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
-                      target_filter: Column | None = None) -> None:
+                      target_filter: Column | None = None,
+                      source_is_stable: bool = False) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
@@ -160,17 +168,26 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     ``target_filter`` (a predicate on partition columns, e.g. recent ingest
     dates) narrows the rows the merge may touch; it is pruned at the scan.
     It changes the semantics (rows outside it are never updated), so it is
-    opt-in.
+    opt-in. ``source_is_stable``: the source reads files this merge does not
+    rewrite (e.g. a staged batch), so its keys are not staged again; the
+    broadcast check then runs on the source before de-duplication, an upper
+    bound of the keys.
     """
     keys = _keys(on)
     parts = list(partition_by)
     full = spark.read.format(fmt).load(path)
     target = full.where(target_filter) if target_filter is not None else full
     use = _use_digest(target, keys)
-    src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
+    if source_is_stable:
+        src = merge_source(source, keys, set_values, use)
+        small = size_at_most(merge_source(source, keys, set_values, use, dedupe=False),
+                             max_broadcast_rows, max_broadcast_bytes)
+        src_b = F.broadcast(src) if small else src
+    else:
+        src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
+        src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
     if check_unambiguous:
         assert_unambiguous(src, _join_cols(keys, use))
-    src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
     jc = _join_cols(keys, use)
     if parts:
         touched = _touched(spark, _with_digest(target, keys, use), src_b, jc, parts, max_partitions)

@@ -62,7 +62,8 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
     if silver_table:
         register_table(spark, silver_table, silver_path)
     merge_update_path(spark, bronze_path, batch.select("movie"), "movie",
-                      {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False)
+                      {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
+                      source_is_stable=True)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     added = langs = None

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.sinks.staging import stage
+
 
 def write_envelope(records: DataFrame, path: str, key: str = "movie",
                    records_per_file: int = 5000, one_per_file: bool = True) -> None:
@@ -12,13 +14,14 @@ def write_envelope(records: DataFrame, path: str, key: str = "movie",
 
     Documents are cut from consecutive rows of each input partition, so no
     group grows with the data or with a repeated key. The input is
-    checkpointed first (lineage cut in ``spark.checkpoint.dir``) so that a
-    retried task sees the same rows in the same order. Each document is one
+    staged first (a written table under ``spark.checkpoint.dir``, which cuts
+    the lineage) so that a retried task sees the same rows in the same order;
+    unlike ``checkpoint()`` this computes the input once. Each document is one
     line; with ``one_per_file`` (default) each is also its own file, so both
     the multi-line reader (first document per file) and the JSON-lines reader
     see every record.
     """
-    stable = records.checkpoint(eager=True)
+    stable = stage(records.sparkSession, records, "envelope-input")
     chunk = F.floor(F.monotonically_increasing_id() / F.lit(records_per_file))
     docs = (
         stable.select(chunk.alias("__doc"), F.struct(*records.columns).alias("__r"))
