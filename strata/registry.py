@@ -31,7 +31,7 @@ from strata.operators.repair import repair_by_lookup
 from strata.plans.bronze_to_silver import bronze_to_silver, classified_batch
 from strata.plans.raw_to_bronze import raw_to_bronze
 from strata.plans.silver_update import repair_quarantined
-from strata.schemas import BRONZE_SCHEMA, SILVER_COLUMNS
+from strata.schemas import BRONZE_SCHEMA, BRONZE_WRITE_ORDER, SILVER_COLUMNS
 from strata.session import fresh_dir, scratch_root, unique_name
 from strata.sinks.envelope import write_envelope
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
@@ -322,6 +322,26 @@ def q_raw_inventory(spark, sf):
                       (F.col("length") > 0).alias("non_empty"))
 
 
+def q_merge_hot_key(spark, sf):
+    """C2 on a Bronze where every 1-URGENT order carries one identical record text.
+
+    A fifth of all rows share one merge key: the merge source collapses them
+    map-side, and the target side probes a broadcast (or, past the size
+    bound, a sort-merge join whose skewed partition AQE splits).
+    """
+    o = table(spark, sf, "orders")
+    hot = F.col("o_orderpriority") == "1-URGENT"
+    text = F.when(hot, F.lit('{"Id":-1,"RunTime":5,"Budget":2000000.0}')).otherwise(
+        F.to_json(F.struct(F.col("o_orderkey").alias("Id"), F.lit(100).alias("RunTime"),
+                           (F.col("o_totalprice") * 10).alias("Budget"))))
+    bronze = fresh_dir(spark, "bronze-hot")
+    ingest_metadata(o.select(text.alias("movie")), DATASOURCE, INGEST_TS).select(
+        *BRONZE_WRITE_ORDER).write.partitionBy("p_ingestdate").parquet(bronze)
+    bronze_to_silver(spark, bronze, fresh_dir(spark, "silver-hot"))
+    b = _with_id(spark.read.parquet(bronze))
+    return b.groupBy((F.col("Id") == -1).alias("hot"), "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_raw_peek(spark, sf):
     """The first lines of the raw files (the limit is the feature: a peek)."""
     return peek_raw(spark, _envelope(spark, sf), 3).select(F.length("value").alias("chars"))
@@ -345,6 +365,7 @@ _QUERIES: dict[str, Query] = {
     "null_profile": q_null_profile,
     "merge_status": q_merge_status,
     "merge_dup_source": q_merge_dup_source,
+    "merge_hot_key": q_merge_hot_key,
     "merge_delete": q_merge_delete,
     "prepare_activity": q_prepare_activity,
     "land_next_batch": q_land_next_batch,
@@ -429,6 +450,12 @@ SELECT 'after_na_drop', count(*) FROM m WHERE Id IS NOT NULL AND Title IS NOT NU
   AND ReleaseDate IS NOT NULL""",
     "merge_status": M + "SELECT Id, outcome AS status FROM mc",
     "merge_dup_source": M + "SELECT Id, outcome AS status FROM mc UNION ALL SELECT Id, outcome FROM mc",
+    "merge_hot_key": """
+SELECT o_orderpriority = '1-URGENT' AS hot,
+       CASE WHEN o_orderpriority = '1-URGENT' OR o_totalprice * 10 >= 1000000 THEN 'loaded'
+            ELSE 'quarantined' END AS status,
+       count(*) AS n
+FROM orders GROUP BY 1, 2""",
     "merge_delete": ACT + """
 SELECT e.event_id FROM a e
 WHERE NOT EXISTS (SELECT 1 FROM a k

@@ -107,3 +107,21 @@ def test_merge_scope_limits_touched_partitions(spark):
     assert got[("a", str(D1))] == "new"          # outside the scope: untouched
     assert got[("a", str(D2))] == "quarantined"  # inside: updated
     assert got[("b", str(D1))] == "new"
+
+
+def test_hot_key_without_broadcast(spark):
+    """A third of the target shares one key; the shuffle-join path gives the same result."""
+    path = fresh_dir(spark, "t-hot")
+    rows = [("hot", "new", D1)] * 300 + [(f"k{i}", "new", D1 if i % 2 else D2) for i in range(600)]
+    spark.createDataFrame(rows, "movie STRING, status STRING, p_ingestdate DATE") \
+        .write.partitionBy("p_ingestdate").parquet(path)
+    src = spark.createDataFrame([("hot", "loaded")] * 50 + [("k1", "quarantined")],
+                                "movie STRING, outcome STRING")
+    merge_update_path(spark, path, src, "movie", {"status": "outcome"},
+                      max_broadcast_rows=0, max_partitions=0)
+    out = spark.read.parquet(path)
+    assert out.count() == 900
+    hot = out.where("movie = 'hot'").groupBy("status").count().collect()
+    assert [(r.status, r["count"]) for r in hot] == [("loaded", 300)]
+    assert out.where("movie = 'k1'").collect()[0].status == "quarantined"
+    assert out.where("status = 'new'").count() == 599
