@@ -102,3 +102,30 @@ def test_stream_two_drops_and_restart(spark):
     assert spark.read.parquet(bronze).count() == m.count()
     prog = progress_rows(spark, runs).collect()
     assert sum(r.numInputRows for r in prog if r.name == name) > 0
+
+
+def test_second_silver_run_changes_nothing(spark):
+    exp = _expected_split()
+    raw = _raw(spark)
+    bronze, silver = fresh_dir(spark, "t-bronze"), fresh_dir(spark, "t-silver")
+    raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00")
+    bronze_to_silver(spark, bronze, silver)
+    batch = bronze_to_silver(spark, bronze, silver)      # only unclassified rows are still new
+    assert batch.count() == exp["new"]
+    assert spark.read.parquet(silver).count() == exp["loaded"]
+    got = {r.status: r["count"] for r in spark.read.parquet(bronze).groupBy("status").count().collect()}
+    assert got == exp
+
+
+def test_repair_recheck_loads_only_clean(spark):
+    raw = _raw(spark)
+    bronze, silver = fresh_dir(spark, "t-bronze"), fresh_dir(spark, "t-silver")
+    raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00")
+    bronze_to_silver(spark, bronze, silver)
+    before = spark.read.parquet(silver).count()
+    res = repair_quarantined(spark, bronze, silver, recheck=True)
+    added = spark.read.parquet(silver).count() - before
+    assert added == res.repaired.count()
+    bad = res.repaired.where((F.col("RunTime") <= 0) | (F.col("Budget") < 1000000)
+                             | F.col("RunTime").isNull() | F.col("Budget").isNull())
+    assert bad.count() == 0
