@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from strata.functions.activity import with_time_parts
-from strata.operators.merge import merge_delete_path
+from strata.operators.merge import merge_delete_path, partition_predicate
 from strata.schemas import LANDING_DELETE_KEY, LANDING_ORDER, LANDING_ROWS_PER_HOUR
 from strata.session import fresh_dir
 from strata.sinks.writers import write_json_lines, write_new
@@ -79,13 +79,7 @@ def first_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) ->
             break
     if not keep:
         return None
-    cond = F.lit(False)
-    for row in keep:
-        one = F.lit(True)
-        for c in parts:
-            one = one & (F.col(c) == F.lit(row[c]))
-        cond = cond | one
-    return landing.where(cond)
+    return landing.where(partition_predicate(parts, keep))
 
 
 def read_backlog(spark: SparkSession, landing_path: str) -> DataFrame | None:

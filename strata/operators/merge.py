@@ -125,19 +125,37 @@ def merge_delete(target: DataFrame, keys: DataFrame, on: str | Sequence[str],
 _stage = stage
 
 
-def _touched(spark: SparkSession, target: DataFrame, keys: DataFrame, join_cols: list[str],
-             partition_by: list[str], max_partitions: int) -> DataFrame:
-    """Distinct partition values holding a matched row, staged (tiny).
+def partition_predicate(partition_by: Sequence[str], rows) -> Column:
+    """A predicate over partition columns only, true for the given value rows.
 
-    Their count is at most the target's file count, which the driver has
-    already listed; within ``max_partitions`` that bound is the size proof.
+    Being over partition columns only, it is applied to the file index at
+    planning time (``PartitionFilters``): unlisted partitions are never read.
+    """
+    parts = list(partition_by)
+    if not rows:
+        return F.lit(False)
+    if len(parts) == 1:
+        return F.col(parts[0]).isin([r[parts[0]] for r in rows])
+    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in parts])
+    return key.isin(["\u0001".join(str(r[c]) for c in parts) for r in rows])
+
+
+def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
+                   join_cols: list[str], partition_by: list[str],
+                   max_partitions: int) -> tuple[DataFrame, DataFrame]:
+    """``(touched, scope)``: partitions holding a matched row, and the target pruned to them.
+
+    The touched values are staged; their count is at most the target's file
+    count, which the driver has already listed. Within ``max_partitions``
+    they become a static partition filter (pruned at planning time);
+    beyond it the scope is a semi join with the staged values.
     """
     hits = target.join(keys.select(*join_cols), join_cols, "left_semi")
     touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched")
     if len(target.inputFiles()) <= max_partitions:
-        return F.broadcast(touched)
-    b, _ = broadcast_if_small(touched, max_partitions)
-    return b
+        rows = touched.collect()  # partition values only, bounded above
+        return touched, target.where(partition_predicate(partition_by, rows))
+    return touched, target.join(touched, partition_by, "left_semi")
 
 
 def _write_back(spark: SparkSession, staged: DataFrame, path: str, fmt: str,
@@ -190,8 +208,9 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
         assert_unambiguous(src, _join_cols(keys, use))
     jc = _join_cols(keys, use)
     if parts:
-        touched = _touched(spark, _with_digest(target, keys, use), src_b, jc, parts, max_partitions)
-        scope = target.join(touched, parts, "left_semi")
+        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts,
+                                  max_partitions)
+        scope = scope.select(*target.columns)
     else:
         scope = target
     if not parts and target_filter is not None:
@@ -243,12 +262,14 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     else:
         src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
     if parts and partitions_from_keys:
-        touched = F.broadcast(src.select(*parts).distinct()) if small else src.select(*parts).distinct()
+        touched = src.select(*parts).distinct()
         src_b = src_b.select(*k)
-        scope = target.join(touched, parts, "left_semi")
+        if small:  # bounded keys: their partition values are few
+            scope = target.where(partition_predicate(parts, touched.collect()))
+        else:
+            scope = target.join(touched, parts, "left_semi")
     elif parts:
-        touched = _touched(spark, target, src_b, k, parts, max_partitions)
-        scope = target.join(touched, parts, "left_semi")
+        touched, scope = _touched_scope(spark, target, src_b, k, parts, max_partitions)
     else:
         touched = None
         scope = target

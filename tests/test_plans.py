@@ -54,3 +54,29 @@ def test_no_python_in_registered_queries(spark):
     for name in ("split_clean", "genre_lookup", "json_permissive", "repair_lookup", "dedupe_rows"):
         plan = _plan(qs[name](spark, SF0001))
         assert not any(n in plan for n in PY_NODES), name
+
+
+def test_merge_rewrite_reads_touched_partitions_only(spark):
+    import datetime as dt
+
+    import strata.operators.merge as mg
+
+    path = fresh_dir(spark, "p-merge")
+    rows = [(f"k{i}", "new", dt.date(2024, 1, 1 + i % 20)) for i in range(400)]
+    spark.createDataFrame(rows, "movie STRING, status STRING, p_ingestdate DATE") \
+        .write.partitionBy("p_ingestdate").parquet(path)
+    src = spark.createDataFrame([("k3", "loaded")], "movie STRING, outcome STRING")
+    plans = {}
+    orig = mg._stage
+
+    def spy(spark_, df, label):
+        plans[label] = _plan(df)
+        return orig(spark_, df, label)
+
+    mg._stage = spy
+    try:
+        mg.merge_update_path(spark, path, src, "movie", {"status": "outcome"})
+    finally:
+        mg._stage = orig
+    assert "(p_ingestdate#" in plans["merge-rewrite"] and "= 2024-01-04)" in plans["merge-rewrite"]
+    assert "BroadcastHashJoin" in plans["merge-rewrite"]
