@@ -12,6 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameWriter
 
 
+def _norm(path: str) -> str:
+    p = "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+    return p.rstrip("/") + "/"
+
+
+def assert_not_reading(df: DataFrame, path: str) -> None:
+    """Refuse to overwrite ``path`` while ``df`` reads from it.
+
+    A static overwrite deletes the target before the job has read it, so the
+    result would be empty. The check lists ``df``'s input files (driver-side,
+    the same listing the planner does) and costs no Spark job.
+    """
+    target = _norm(path)
+    for f in df.inputFiles():
+        if _norm(f).startswith(target):
+            raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it")
+
+
 def batch_writer(df: DataFrame, partition_column: str | None,
                  exclude_columns: Sequence[str] = (), mode: str = "append",
                  fmt: str = "parquet") -> DataFrameWriter:
@@ -31,9 +49,10 @@ def rebuild_partitioned(df: DataFrame, path: str, partition_column: str,
                         columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
     """The first write of a rebuild replaces the whole layer (static overwrite).
 
-    Never point this at a path ``df`` reads from.
+    Refuses a path ``df`` reads from.
     """
     out = df.select(*columns) if columns else df
+    assert_not_reading(out, path)
     (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_column).save(path))
 
@@ -44,7 +63,8 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K5: unpartitioned overwrite (``df`` must not read ``path``)."""
+    """K5: unpartitioned overwrite; refuses a path ``df`` reads from."""
+    assert_not_reading(df, path)
     df.write.format(fmt).mode("overwrite").save(path)
 
 
