@@ -145,15 +145,15 @@ def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
                    max_partitions: int) -> tuple[DataFrame, DataFrame]:
     """``(touched, scope)``: partitions holding a matched row, and the target pruned to them.
 
-    The touched values are staged; their count is at most the target's file
-    count, which the driver has already listed. Within ``max_partitions``
-    they become a static partition filter (pruned at planning time);
-    beyond it the scope is a semi join with the staged values.
+    The touched values are staged (one row per partition directory at most).
+    Up to ``max_partitions`` of them are read back and become a static
+    partition filter, pruned at planning time; beyond that bound the scope
+    is a semi join with the staged values and nothing is collected.
     """
     hits = target.join(keys.select(*join_cols), join_cols, "left_semi")
     touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched")
-    if len(target.inputFiles()) <= max_partitions:
-        rows = touched.collect()  # partition values only, bounded above
+    rows = touched.limit(max_partitions + 1).collect()  # partition values only, bounded
+    if len(rows) <= max_partitions:
         return touched, target.where(partition_predicate(partition_by, rows))
     return touched, target.join(touched, partition_by, "left_semi")
 
@@ -170,7 +170,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       on: str | Sequence[str], set_values: SetValues,
                       partition_by: Sequence[str] = ("p_ingestdate",), fmt: str = "parquet",
                       max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 100_000,
+                      max_partitions: int = 10_000,
                       check_unambiguous: bool = True,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
                       target_filter: Column | None = None,
@@ -227,7 +227,7 @@ def _partition_dir(path: str, parts: list[str], row) -> str:
 def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       on: str | Sequence[str], partition_by: Sequence[str] = (),
                       fmt: str = "parquet", max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 100_000,
+                      max_partitions: int = 10_000,
                       keys_row_bound: int | None = None,
                       partitions_from_keys: bool = False,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
