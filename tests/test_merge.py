@@ -125,3 +125,28 @@ def test_hot_key_without_broadcast(spark):
     assert [(r.status, r["count"]) for r in hot] == [("loaded", 300)]
     assert out.where("movie = 'k1'").collect()[0].status == "quarantined"
     assert out.where("status = 'new'").count() == 599
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_KEYS = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(_KEYS, st.sampled_from(["new", "loaded"])), max_size=25),
+       st.lists(st.tuples(_KEYS, st.sampled_from(["x", "y"])), max_size=10))
+def test_merge_matches_brute_force(spark, target_rows, source_rows):
+    # a source key maps to one value (the merge contract); keep the first value per key
+    first = {}
+    for k, v in source_rows:
+        first.setdefault(k, v)
+    source_rows = [(k, first[k]) for k, _ in source_rows]
+    t = spark.createDataFrame(target_rows, "movie STRING, status STRING")
+    s = spark.createDataFrame(source_rows, "movie STRING, outcome STRING")
+    out = merge_update(t, s, "movie", {"status": "outcome"})
+    expect = sorted(((k or ""), first[k] if k is not None and k in first else v) for k, v in target_rows)
+    got = sorted(((r.movie or ""), r.status) for r in out.collect())
+    assert got == expect                       # brute force, and row count kept
+    again = merge_update(out, s, "movie", {"status": "outcome"})
+    assert sorted(((r.movie or ""), r.status) for r in again.collect()) == got   # idempotent
