@@ -91,7 +91,8 @@ def q_json_envelope_read_lines(spark, sf):
     return _parsed(spark, sf, multiline=False).select(*REC_COLS, "OriginalLanguage", "ReleaseDate")
 
 
-def q_json_permissive(spark, sf):
+def _permissive_texts(spark, sf):
+    """One record text per order; its shape is chosen by the order priority."""
     o = table(spark, sf, "orders")
     budget = F.col("o_totalprice") * 10
     pr = F.col("o_orderpriority")
@@ -110,10 +111,20 @@ def q_json_permissive(spark, sf):
         .otherwise(js(("Id", F.col("o_orderkey")), ("Budget", budget),
                       ("RunTime", F.col("o_custkey") + F.lit(0.5))))
     )
-    src = o.select(F.col("o_orderkey"), text.alias("movie"))
+    return o.select(F.col("o_orderkey"), text.alias("movie"))
+
+
+def q_json_permissive(spark, sf):
+    src = _permissive_texts(spark, sf)
     return parse_records(src, keep=("o_orderkey",)).select("o_orderkey", *REC_COLS[:1], "Budget", "RunTime")
 
 
+def q_json_corrupt(spark, sf):
+    """X1 with a corrupt-record column: malformed text and bad fields are flagged."""
+    p = parse_records(_permissive_texts(spark, sf), keep=("o_orderkey",), corrupt_column="_corrupt")
+    return p.select("o_orderkey", F.col("_corrupt").isNotNull().alias("corrupt"))
+
+
 def q_ingest_metadata(spark, sf):
     raw = read_raw(spark, _envelope(spark, sf), multiline=True)
     b = assert_schema(ingest_metadata(raw, DATASOURCE, INGEST_TS), BRONZE_SCHEMA)
@@ -342,6 +353,12 @@ def q_merge_hot_key(spark, sf):
     return b.groupBy((F.col("Id") == -1).alias("hot"), "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_split_nulls_quarantine(spark, sf):
+    """F4 with ``nulls="quarantine"``: rows that meet neither predicate go to quarantine."""
+    c = classify(_parsed(spark, sf), nulls="quarantine")
+    return c.groupBy(OUTCOME).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_raw_peek(spark, sf):
     """The first lines of the raw files (the limit is the feature: a peek)."""
     return peek_raw(spark, _envelope(spark, sf), 3).select(F.length("value").alias("chars"))
@@ -355,6 +372,7 @@ _QUERIES: dict[str, Query] = {
     "json_envelope_read": q_json_envelope_read,
     "json_envelope_read_lines": q_json_envelope_read_lines,
     "json_permissive": q_json_permissive,
+    "json_corrupt": q_json_corrupt,
     "ingest_metadata": q_ingest_metadata,
     "bronze_write_read": q_bronze_write_read,
     "silver_project": q_silver_project,
@@ -362,6 +380,7 @@ _QUERIES: dict[str, Query] = {
     "split_quarantine": _split_part(1),
     "split_unclassified": _split_part(2),
     "split_outcome": q_split_outcome,
+    "split_nulls_quarantine": q_split_nulls_quarantine,
     "null_profile": q_null_profile,
     "merge_status": q_merge_status,
     "merge_dup_source": q_merge_dup_source,
@@ -426,6 +445,8 @@ SELECT o_orderkey,
   CASE WHEN o_orderpriority <> '2-HIGH' THEN o_totalprice * 10 END AS Budget,
   CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED') THEN o_custkey END AS RunTime
 FROM orders""",
+    "json_corrupt": """
+SELECT o_orderkey, o_orderpriority IN ('2-HIGH', '3-MEDIUM', '5-LOW') AS corrupt FROM orders""",
     "ingest_metadata": M + f"SELECT Id, '{DATASOURCE}' AS datasource, 'new' AS status, "
                            f"DATE '{INGEST_DATE}' AS p_ingestdate FROM m",
     "bronze_write_read": M + f"SELECT 'new' AS status, DATE '{INGEST_DATE}' AS p_ingestdate, "
@@ -439,6 +460,9 @@ FROM orders""",
                               "WHERE (RunTime > 0 AND Budget >= 1000000) IS NOT TRUE "
                               "AND (RunTime <= 0 OR Budget < 1000000) IS NOT TRUE",
     "split_outcome": M + "SELECT outcome, count(*) AS n FROM mc GROUP BY outcome",
+    "split_nulls_quarantine": M + """
+SELECT CASE WHEN outcome = 'loaded' THEN 'loaded' ELSE 'quarantined' END AS outcome, count(*) AS n
+FROM mc GROUP BY 1""",
     "null_profile": M + """
 SELECT 'rows' AS metric, count(*) AS value FROM m
 UNION ALL
