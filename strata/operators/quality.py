@@ -62,17 +62,17 @@ def split(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(clean, quarantine, unclassified)``; together they are the input as a bag.
 
     Each output is a filter over one outcome column; stage the classified
-    frame first when all three are consumed, so the parse runs once.
+    frame first when all three are consumed, so the parse runs once. With
+    ``nulls="quarantine"`` the unclassified output is empty.
     """
     c = df.withColumn(OUTCOME, outcome_column(**kw))
-    parts = tuple(
-        c.where(F.col(OUTCOME) == s).drop(OUTCOME)
-        for s in (STATUS_LOADED, STATUS_QUARANTINED)
-    )
-    rest = STATUS_NEW if kw.get("nulls", "leave") == "leave" else None
-    unclassified = (c.where(F.col(OUTCOME) == rest).drop(OUTCOME) if rest
+
+    def part(status: str) -> DataFrame:
+        return c.where(F.col(OUTCOME) == status).drop(OUTCOME)
+
+    unclassified = (part(STATUS_NEW) if kw.get("nulls", "leave") == "leave"
                     else c.where(F.lit(False)).drop(OUTCOME))
-    return parts[0], parts[1], unclassified
+    return part(STATUS_LOADED), part(STATUS_QUARANTINED), unclassified
 
 
 def all_present(columns: Sequence[str]) -> Column:
