@@ -7,9 +7,9 @@ Two layers:
 * ``merge_update_path`` / ``merge_delete_path``: copy-on-write application
   to a partitioned file table. Only partitions holding a matched row are
   rewritten: keys are staged, the touched partition values are found with a
-  semi join and staged, the touched partitions are re-derived into a staging
-  folder and written back with a dynamic partition overwrite. Never a static
-  overwrite of the path being read.
+  semi join and staged, and the touched partitions are re-derived and written
+  back with a dynamic partition overwrite, whose files are swapped in at job
+  commit. Never a static overwrite of the path being read.
 
 A NULL key never matches. Every target row carrying a matched key changes,
 whatever its other columns. Long text keys are joined on a 64-bit digest plus
@@ -158,9 +158,19 @@ def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
     return touched, target.join(touched, partition_by, "left_semi")
 
 
-def _write_back(spark: SparkSession, staged: DataFrame, path: str, fmt: str,
+def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
                 partition_by: list[str]) -> None:
-    w = staged.write.format(fmt).mode("overwrite")
+    """Replace the partitions present in ``rows`` (or, unpartitioned, the table).
+
+    A dynamic partition overwrite writes every task's files to a job staging
+    folder and swaps the partition directories in only at job commit, after
+    all reads are done, so ``rows`` may read the target itself; a retried
+    task re-reads intact inputs. A static overwrite deletes the target
+    first, so an unpartitioned rewrite is staged before it.
+    """
+    if not partition_by:
+        rows = _stage(spark, rows, "rewrite")
+    w = rows.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.save(path)
@@ -216,8 +226,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     if not parts and target_filter is not None:
         raise ValueError("target_filter needs a partitioned target")
     updated = merge_update(scope, src_b, keys, set_values, broadcast_source=small, prepared=True)
-    staged = _stage(spark, updated.select(*target.columns), "merge-rewrite")
-    _write_back(spark, staged, path, fmt, parts)
+    _write_back(spark, updated.select(*target.columns), path, fmt, parts)
 
 
 def _partition_dir(path: str, parts: list[str], row) -> str:
@@ -273,10 +282,11 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     else:
         touched = None
         scope = target
-    kept = merge_delete(scope, src_b, k, broadcast_keys=small)
-    staged = _stage(spark, kept.select(*target.columns), "delete-rewrite")
-    _write_back(spark, staged, path, fmt, parts)
-    if parts:
-        emptied = touched.join(staged.select(*parts).distinct(), parts, "left_anti")
-        for row in emptied.collect():  # partition values only, bounded by `touched`
-            remove_path(spark, _partition_dir(path, parts, row))
+    kept = merge_delete(scope, src_b, k, broadcast_keys=small).select(*target.columns)
+    emptied = []
+    if parts:  # touched partitions left without rows get no files from the overwrite
+        still = {tuple(r) for r in kept.select(*parts).distinct().collect()}  # bounded by `touched`
+        emptied = [r for r in touched.collect() if tuple(r[c] for c in parts) not in still]
+    _write_back(spark, kept, path, fmt, parts)
+    for row in emptied:
+        remove_path(spark, _partition_dir(path, parts, row))

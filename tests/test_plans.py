@@ -67,16 +67,18 @@ def test_merge_rewrite_reads_touched_partitions_only(spark):
         .write.partitionBy("p_ingestdate").parquet(path)
     src = spark.createDataFrame([("k3", "loaded")], "movie STRING, outcome STRING")
     plans = {}
-    orig = mg._stage
+    orig = mg._write_back
 
-    def spy(spark_, df, label):
-        plans[label] = _plan(df)
-        return orig(spark_, df, label)
+    def spy(spark_, rows, *a):
+        plans["rewrite"] = _plan(rows)
+        return orig(spark_, rows, *a)
 
-    mg._stage = spy
+    mg._write_back = spy
     try:
         mg.merge_update_path(spark, path, src, "movie", {"status": "outcome"})
     finally:
-        mg._stage = orig
-    assert "(p_ingestdate#" in plans["merge-rewrite"] and "= 2024-01-04)" in plans["merge-rewrite"]
-    assert "BroadcastHashJoin" in plans["merge-rewrite"]
+        mg._write_back = orig
+    assert "(p_ingestdate#" in plans["rewrite"] and "= 2024-01-04)" in plans["rewrite"]
+    assert "BroadcastHashJoin" in plans["rewrite"]
+    got = {r.movie: r.status for r in spark.read.parquet(path).collect()}
+    assert len(got) == 400 and got["k3"] == "loaded" and got["k4"] == "new"
