@@ -73,7 +73,8 @@ def main() -> None:
     timed("c3_repair", lambda: repair_quarantined(spark, bronze, silver, genre_path=gp, language_path=lp))
     timed("g1_genres", lambda: noop(genre_lookup(spark.read.parquet(silver))))
     landing = fresh_dir(spark, "bench-landing")
-    timed("c5_prepare", lambda: prepare_activity_path(spark, activity_records(spark, sf_dir), landing, tz="UTC"))
+    timed("c5_prepare", lambda: prepare_activity_path(spark, activity_records(spark, sf_dir), landing, tz="UTC",
+                                                            tie_breaker="event_id"))
     landed = fresh_dir(spark, "bench-landed")
     timed("c4_land", lambda: land_next_batch(spark, landing, landed, hours=10, tie_breaker="event_id",
                                              batch_name="b0"))

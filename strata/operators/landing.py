@@ -30,7 +30,8 @@ def prepare_activity(df: DataFrame, time_col: str = "time", tz: str | None = Non
 def prepare_activity_path(spark: SparkSession, df: DataFrame, landing_path: str,
                           time_col: str = "time", tz: str | None = None,
                           partition_by: Sequence[str] = ("month", "day"),
-                          cluster_by: Sequence[str] | None = ("hour",)) -> None:
+                          cluster_by: Sequence[str] | None = ("hour",),
+                          tie_breaker: str | Sequence[str] = ()) -> None:
     """Write the prepared backlog (fails if it exists).
 
     Partitioning by ``month, day`` keeps each later batch delete inside the

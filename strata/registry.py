@@ -75,7 +75,7 @@ def _with_id(df: DataFrame) -> DataFrame:
 
 def _landing(spark: SparkSession, sf: str) -> str:
     path = fresh_dir(spark, "landing")
-    prepare_activity_path(spark, activity_records(spark, sf), path, tz="UTC")
+    prepare_activity_path(spark, activity_records(spark, sf), path, tz="UTC", tie_breaker="event_id")
     return path
 
 

@@ -18,11 +18,19 @@ from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER, RAW_ENVELOPE_DD
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, key: str = "movie",
-               max_files_per_trigger: int | None = None, multiline: bool = True) -> DataFrame:
-    """Streaming S1: envelopes with an explicit schema, exploded (see ``read_raw``)."""
+               max_files_per_trigger: int | None = None, multiline: bool = True,
+               archive_dir: str | None = None) -> DataFrame:
+    """Streaming S1: envelopes with an explicit schema, exploded (see ``read_raw``).
+
+    ``max_files_per_trigger`` bounds each micro-batch. ``archive_dir`` moves
+    processed files out of the source folder (``cleanSource=archive``), so
+    the listing each trigger performs does not grow with history.
+    """
     r = spark.readStream.format("json").option("multiLine", multiline).schema(RAW_ENVELOPE_DDL)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.load(raw_dir).select(F.explode(F.col(key)).alias(key))
 
 
@@ -32,9 +40,11 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
                         ingest_ts: _dt.datetime | str | None = None,
                         available_now: bool = True,
                         max_files_per_trigger: int | None = None,
-                        multiline: bool = True) -> StreamingQuery:
+                        multiline: bool = True,
+                        archive_dir: str | None = None) -> StreamingQuery:
     """Start the named stream appending to Bronze (partitioned Parquet)."""
-    src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger, multiline=multiline)
+    src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger,
+                     multiline=multiline, archive_dir=archive_dir)
     rows = ingest_metadata(src,
                            datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
     w = (rows.writeStream.format("parquet").outputMode("append")

@@ -129,3 +129,15 @@ def test_repair_recheck_loads_only_clean(spark):
     bad = res.repaired.where((F.col("RunTime") <= 0) | (F.col("Budget") < 1000000)
                              | F.col("RunTime").isNull() | F.col("Budget").isNull())
     assert bad.count() == 0
+
+
+def test_stream_bounded_batches_with_archive(spark):
+    m = movie_records(spark, SF0001)
+    raw_dir, bronze = fresh_dir(spark, "t-arch-src"), fresh_dir(spark, "t-arch-bronze")
+    archive, ckpt, name = fresh_dir(spark, "t-archive"), fresh_dir(spark, "t-arch-ckpt"), unique_name("s")
+    write_envelope(m, f"{raw_dir}/d0", records_per_file=200)
+    q = run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
+                          max_files_per_trigger=2, archive_dir=archive,
+                          ingest_ts="2024-01-31 12:00:00")
+    assert len(q.recentProgress) >= 2  # bounded micro-batches
+    assert spark.read.parquet(bronze).count() == m.count()
