@@ -55,3 +55,18 @@ def test_query_matches_oracle(spark, duck, name):
     duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     for f in df.schema.fields:
         assert types.get(f.dataType.simpleString()) == duck_types[f.name], f.name
+
+
+@pytest.mark.parametrize("name", ["ingest_metadata", "prepare_activity", "land_next_batch"])
+def test_query_independent_of_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF0001)
+        cols = sorted(df.columns)
+        got = _rows([[r[c] for c in cols] for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(E.oracle_sql()[name])
+    idx = [rel.columns.index(c) for c in cols]
+    assert got == _rows([[r[i] for i in idx] for r in rel.fetchall()])
