@@ -23,7 +23,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from strata.functions.records import parse_records, unpack  # noqa: E402
 from strata.operators.dimensions import genre_lookup  # noqa: E402

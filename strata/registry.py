@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.metadata import ingest_metadata
-from strata.functions.records import parse_records, transform_bronze, unpack
+from strata.functions.records import parse_records, transform_bronze
 from strata.operators import dimensions as dim
 from strata.operators.dedupe import distinct_rows
 from strata.operators.landing import land_next_batch, prepare_activity, prepare_activity_path
@@ -32,7 +32,7 @@ from strata.plans.bronze_to_silver import bronze_to_silver, classified_batch
 from strata.plans.raw_to_bronze import raw_to_bronze
 from strata.plans.silver_update import repair_quarantined
 from strata.schemas import BRONZE_SCHEMA, BRONZE_WRITE_ORDER, SILVER_COLUMNS
-from strata.session import fresh_dir, scratch_root, unique_name
+from strata.session import fresh_dir, unique_name
 from strata.sinks.envelope import write_envelope
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
 from strata.sources.raw import peek_raw, raw_inventory, read_raw
@@ -524,4 +524,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
-__all__ = ["queries", "oracle_sql", "scratch_root"]
+__all__ = ["queries", "oracle_sql"]

@@ -1,6 +1,5 @@
 """The driver contract, and every registered query against its DuckDB oracle."""
 
-import math
 
 import duckdb
 import pytest

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from strata.functions.activity import epoch_seconds_of_ntz
 from strata.operators.landing import (
