@@ -15,3 +15,8 @@ DIGEST = "__kd"
 
 def digest(*cols: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def stored_digest_name(key: str) -> str:
+    """Name of the optional stored digest column of a text key (``movie_digest``)."""
+    return f"{key}_digest"

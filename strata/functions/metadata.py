@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.keys import digest, stored_digest_name
 from strata.schemas import STATUS_NEW
 
 DEFAULT_DATASOURCE = "raw-files"
@@ -25,6 +26,18 @@ def ingest_time(ingest_ts: _dt.datetime | str | None = None) -> Column:
     return F.lit(ingest_ts)
 
 
+def with_stored_digest(bronze: DataFrame, key: str = "movie") -> DataFrame:
+    """Add ``<key>_digest`` (64-bit xxhash of the record text) before ``p_ingestdate``.
+
+    Opt-in Bronze layout for large tables: merges then find touched
+    partitions from this 8-byte column instead of reading and hashing the
+    text column of the whole table.
+    """
+    name = stored_digest_name(key)
+    cols = [c for c in bronze.columns if c != "p_ingestdate"]
+    return bronze.select(*cols, digest(key).alias(name), "p_ingestdate")
+
+
 def ingest_metadata(raw: DataFrame, datasource: str = DEFAULT_DATASOURCE,
                     ingest_ts: _dt.datetime | str | None = None,
                     key: str = "movie") -> DataFrame:

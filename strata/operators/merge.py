@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strata.functions.keys import DIGEST, digest
+from strata.functions.keys import DIGEST, digest, stored_digest_name
 from strata.operators.joins import broadcast_if_small, size_at_most
 from strata.sinks.files import remove_path
 from strata.sinks.staging import stage
@@ -44,7 +44,13 @@ def _use_digest(df: DataFrame, on: list[str]) -> bool:
 
 
 def _with_digest(df: DataFrame, on: list[str], use: bool) -> DataFrame:
-    return df.withColumn(DIGEST, digest(*on)) if use else df
+    """Add the join digest; a stored ``<key>_digest`` column is reused, not recomputed."""
+    if not use:
+        return df
+    stored = stored_digest_name(on[0])
+    if stored in df.columns:
+        return df.withColumn(DIGEST, F.col(stored))
+    return df.withColumn(DIGEST, digest(*on))
 
 
 def _join_cols(on: list[str], use: bool) -> list[str]:
@@ -145,12 +151,19 @@ def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
                    max_partitions: int) -> tuple[DataFrame, DataFrame]:
     """``(touched, scope)``: partitions holding a matched row, and the target pruned to them.
 
+    With a digest among the join columns, the touched partitions are found
+    by the digest alone: a collision can only add a partition to rewrite,
+    never miss one (the rewrite still matches digest and text). When the
+    target stores the digest (``<key>_digest``) this scan reads 8 bytes per
+    row instead of the text column.
+
     The touched values are staged (one row per partition directory at most).
     Up to ``max_partitions`` of them are read back and become a static
     partition filter, pruned at planning time; beyond that bound the scope
     is a semi join with the staged values and nothing is collected.
     """
-    hits = target.join(keys.select(*join_cols), join_cols, "left_semi")
+    probe = [DIGEST] if DIGEST in join_cols else join_cols
+    hits = target.join(keys.select(*probe), probe, "left_semi")
     touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched")
     rows = touched.limit(max_partitions + 1).collect()  # partition values only, bounded
     if len(rows) <= max_partitions:

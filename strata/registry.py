@@ -175,6 +175,15 @@ def q_merge_status(spark, sf):
     return _with_id(spark.read.parquet(b)).select("Id", "status")
 
 
+def q_merge_status_digest(spark, sf):
+    """C1 -> C2 on the Bronze layout with a stored record digest (touched scan on 8 bytes/row)."""
+    path = fresh_dir(spark, "bronze-digest")
+    raw_to_bronze(spark, _envelope(spark, sf), path, datasource=DATASOURCE, ingest_ts=INGEST_TS,
+                  multiline=False, store_digest=True)
+    bronze_to_silver(spark, path, fresh_dir(spark, "silver"))
+    return _with_id(spark.read.parquet(path)).select("Id", "status")
+
+
 def q_merge_dup_source(spark, sf):
     b = spark.read.parquet(_bronze(spark, sf))
     target = b.unionByName(b)                        # every key twice in the target
@@ -383,6 +392,7 @@ _QUERIES: dict[str, Query] = {
     "split_nulls_quarantine": q_split_nulls_quarantine,
     "null_profile": q_null_profile,
     "merge_status": q_merge_status,
+    "merge_status_digest": q_merge_status_digest,
     "merge_dup_source": q_merge_dup_source,
     "merge_hot_key": q_merge_hot_key,
     "merge_delete": q_merge_delete,
@@ -473,6 +483,7 @@ SELECT 'after_na_drop', count(*) FROM m WHERE Id IS NOT NULL AND Title IS NOT NU
   AND Budget IS NOT NULL AND RunTime IS NOT NULL AND OriginalLanguage IS NOT NULL
   AND ReleaseDate IS NOT NULL""",
     "merge_status": M + "SELECT Id, outcome AS status FROM mc",
+    "merge_status_digest": M + "SELECT Id, outcome AS status FROM mc",
     "merge_dup_source": M + "SELECT Id, outcome AS status FROM mc UNION ALL SELECT Id, outcome FROM mc",
     "merge_hot_key": """
 SELECT o_orderpriority = '1-URGENT' AS hot,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata
+from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata, with_stored_digest
 from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER, RAW_ENVELOPE_DDL
 
 
@@ -41,12 +41,15 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
                         available_now: bool = True,
                         max_files_per_trigger: int | None = None,
                         multiline: bool = True,
-                        archive_dir: str | None = None) -> StreamingQuery:
+                        archive_dir: str | None = None,
+                        store_digest: bool = False) -> StreamingQuery:
     """Start the named stream appending to Bronze (partitioned Parquet)."""
     src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger,
                      multiline=multiline, archive_dir=archive_dir)
     rows = ingest_metadata(src,
                            datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
+    if store_digest:
+        rows = with_stored_digest(rows)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy(BRONZE_PARTITION)
          .queryName(name))

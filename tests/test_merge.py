@@ -150,3 +150,28 @@ def test_merge_matches_brute_force(spark, target_rows, source_rows):
     assert got == expect                       # brute force, and row count kept
     again = merge_update(out, s, "movie", {"status": "outcome"})
     assert sorted(((r.movie or ""), r.status) for r in again.collect()) == got   # idempotent
+
+
+def test_stored_digest_touched_scan_reads_no_text(spark):
+    import strata.operators.merge as mg
+    from strata.functions.metadata import with_stored_digest
+
+    path = fresh_dir(spark, "t-digest")
+    with_stored_digest(_target(spark)).write.partitionBy("p_ingestdate").parquet(path)
+    plans = {}
+    orig = mg._stage
+
+    def spy(spark_, df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return orig(spark_, df, label)
+
+    mg._stage = spy
+    try:
+        merge_update_path(spark, path, _source(spark), "movie", {"status": "outcome"})
+    finally:
+        mg._stage = orig
+    scan = [l for l in plans["merge-touched"].splitlines() if "FileScan" in l and "t-digest" in l][0]
+    assert "ReadSchema: struct<movie_digest:bigint>" in scan
+    out = spark.read.parquet(path)
+    assert out.columns == ["movie", "status", "movie_digest", "p_ingestdate"]
+    assert _as_set(out.drop("movie_digest")) == EXPECTED
