@@ -172,7 +172,7 @@ def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
 
 
 def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
-                partition_by: list[str]) -> None:
+                partition_by: list[str], sort_within: Sequence[str] = ()) -> None:
     """Replace the partitions present in ``rows`` (or, unpartitioned, the table).
 
     A dynamic partition overwrite writes every task's files to a job staging
@@ -180,9 +180,16 @@ def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
     all reads are done, so ``rows`` may read the target itself; a retried
     task re-reads intact inputs. A static overwrite deletes the target
     first, so an unpartitioned rewrite is staged before it.
+
+    ``sort_within`` adds a task-local sort (no shuffle; the partitioned writer
+    sorts by the partition columns anyway) so that Parquet row groups hold
+    few distinct values of these columns and later equality scans on them
+    skip row groups by their statistics.
     """
     if not partition_by:
         rows = _stage(spark, rows, "rewrite")
+    if sort_within:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_within)
     w = rows.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
@@ -197,7 +204,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       check_unambiguous: bool = True,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
                       target_filter: Column | None = None,
-                      source_is_stable: bool = False) -> None:
+                      source_is_stable: bool = False,
+                      sort_within: Sequence[str] = ()) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
@@ -212,7 +220,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     opt-in. ``source_is_stable``: the source reads files this merge does not
     rewrite (e.g. a staged batch), so its keys are not staged again; the
     broadcast check then runs on the source before de-duplication, an upper
-    bound of the keys.
+    bound of the keys. ``sort_within``: columns to cluster rewritten
+    partitions by (e.g. ``status``), see ``_write_back``.
     """
     keys = _keys(on)
     parts = list(partition_by)
@@ -239,7 +248,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     if not parts and target_filter is not None:
         raise ValueError("target_filter needs a partitioned target")
     updated = merge_update(scope, src_b, keys, set_values, broadcast_source=small, prepared=True)
-    _write_back(spark, updated.select(*target.columns), path, fmt, parts)
+    _write_back(spark, updated.select(*target.columns), path, fmt, parts, sort_within)
 
 
 def _partition_dir(path: str, parts: list[str], row) -> str:

@@ -61,7 +61,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     decided = batch.where(F.col(OUTCOME) != STATUS_NEW).select("movie", OUTCOME)
     merge_update_path(spark, bronze_path, decided, "movie", {"status": OUTCOME},
                       partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
-                      source_is_stable=True,
+                      source_is_stable=True, sort_within=("status",),
                       target_filter=merge_scope)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)

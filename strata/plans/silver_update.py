@@ -63,7 +63,7 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
         register_table(spark, silver_table, silver_path)
     merge_update_path(spark, bronze_path, batch.select("movie"), "movie",
                       {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
-                      source_is_stable=True)
+                      source_is_stable=True, sort_within=("status",))
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     added = langs = None
