@@ -58,14 +58,20 @@ def classify(df: DataFrame, name: str = OUTCOME, **kw) -> DataFrame:
     return df.withColumn(name, outcome_column(**kw))
 
 
-def split(df: DataFrame, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
+def split(df: DataFrame, materialize: bool = False, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(clean, quarantine, unclassified)``; together they are the input as a bag.
 
-    Each output is a filter over one outcome column; stage the classified
-    frame first when all three are consumed, so the parse runs once. With
-    ``nulls="quarantine"`` the unclassified output is empty.
+    Each output is a filter over one outcome column. Lazily, each consumer
+    re-evaluates the input (e.g. re-parses JSON); with ``materialize=True``
+    the classified frame is staged once under the shared scratch root and
+    the three outputs read those files. With ``nulls="quarantine"`` the
+    unclassified output is empty.
     """
     c = df.withColumn(OUTCOME, outcome_column(**kw))
+    if materialize:
+        from strata.sinks.staging import stage
+
+        c = stage(df.sparkSession, c, "split")
 
     def part(status: str) -> DataFrame:
         return c.where(F.col(OUTCOME) == status).drop(OUTCOME)

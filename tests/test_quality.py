@@ -77,3 +77,12 @@ def test_record_schema_from_ddl(spark):
     st_ = StructType.fromDDL(RECORD_DDL)
     assert len(st_.fields) == 19
     assert st_["genres"].dataType.simpleString() == "array<struct<id:int,name:string>>"
+
+
+def test_split_materialized_reads_staged_files(spark):
+    df = spark.createDataFrame([(i % 7 - 2, float(i * 300000)) for i in range(50)],
+                               "RunTime BIGINT, Budget DOUBLE")
+    lazy = [sorted(tuple(r) for r in p.collect()) for p in split(df)]
+    parts = split(df, materialize=True)
+    assert [sorted(tuple(r) for r in p.collect()) for p in parts] == lazy
+    assert all("FileScan parquet" in p._jdf.queryExecution().executedPlan().toString() for p in parts)
