@@ -42,6 +42,9 @@ def test_oracles_cover_queries():
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                                       "FlatMapGroupsInPandas")), "Python in the query plan"
     cols = sorted(df.columns)
     got = _rows([[r[c] for c in cols] for r in df.collect()])
     rel = duck.sql(E.oracle_sql()[name])
