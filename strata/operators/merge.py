@@ -205,7 +205,8 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
                       target_filter: Column | None = None,
                       source_is_stable: bool = False,
-                      sort_within: Sequence[str] = ()) -> None:
+                      sort_within: Sequence[str] = (),
+                      source_bound: tuple[int, int] | None = None) -> None:
     """J2 applied to the table at ``path`` (copy-on-write, touched partitions only).
 
     The source is staged first, so a source that reads the target itself is
@@ -220,8 +221,11 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     opt-in. ``source_is_stable``: the source reads files this merge does not
     rewrite (e.g. a staged batch), so its keys are not staged again; the
     broadcast check then runs on the source before de-duplication, an upper
-    bound of the keys. ``sort_within``: columns to cluster rewritten
-    partitions by (e.g. ``status``), see ``_write_back``.
+    bound of the keys. ``source_bound``: ``(rows, bytes)`` of the source
+    before de-duplication, already measured (e.g. observed while staging
+    it), in the byte terms of ``size_at_most``; it replaces the checking
+    pass. ``sort_within``: columns to cluster rewritten partitions by (e.g.
+    ``status``), see ``_write_back``.
     """
     keys = _keys(on)
     parts = list(partition_by)
@@ -230,8 +234,11 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     use = _use_digest(target, keys)
     if source_is_stable:
         src = merge_source(source, keys, set_values, use)
-        small = size_at_most(merge_source(source, keys, set_values, use, dedupe=False),
-                             max_broadcast_rows, max_broadcast_bytes)
+        if source_bound is not None:
+            small = source_bound[0] <= max_broadcast_rows and source_bound[1] <= max_broadcast_bytes
+        else:
+            small = size_at_most(merge_source(source, keys, set_values, use, dedupe=False),
+                                 max_broadcast_rows, max_broadcast_bytes)
         src_b = F.broadcast(src) if small else src
     else:
         src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")

@@ -24,7 +24,7 @@ from strata.schemas import (
     silver_schema,
 )
 from strata.sinks.catalog import register_table
-from strata.sinks.staging import stage
+from strata.sinks.staging import stage_observed
 from strata.sinks.writers import append_partitioned, rebuild_partitioned
 from strata.sources.tables import read_by_status
 
@@ -49,7 +49,13 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     as a MERGE on the record text does).
     """
     new = read_by_status(spark, bronze_path, STATUS_NEW, partition_filter=partition_filter)
-    batch = stage(spark, classified_batch(new, nulls), "silver-batch")
+    decided_row = F.col(OUTCOME) != STATUS_NEW
+    # size of the merge source (rows, bytes of text + outcome + digest), measured by the staging write
+    batch, m = stage_observed(spark, classified_batch(new, nulls), "silver-batch", {
+        "rows": F.count_if(decided_row),
+        "bytes": F.sum(F.when(decided_row, F.coalesce(F.octet_length("movie"), F.lit(0))
+                              + F.octet_length(OUTCOME) + F.lit(8)).otherwise(F.lit(0))),
+    })
     clean = batch.where(F.col(OUTCOME) == "loaded").select(*SILVER_COLUMNS)
     assert_schema(clean, silver_schema(), nullable=False)  # V2, before any write
     if rebuild_silver:
@@ -62,7 +68,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     merge_update_path(spark, bronze_path, decided, "movie", {"status": OUTCOME},
                       partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
                       source_is_stable=True, sort_within=("status",),
-                      target_filter=merge_scope)
+                      source_bound=(m["rows"], m["bytes"] or 0), target_filter=merge_scope)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     return batch

@@ -26,7 +26,7 @@ from strata.schemas import (
 )
 from strata.sinks.catalog import register_table
 from strata.sinks.files import path_exists
-from strata.sinks.staging import stage
+from strata.sinks.staging import stage, stage_observed
 from strata.sinks.writers import append, batch_writer, overwrite
 from strata.sources.tables import read_by_status
 
@@ -57,13 +57,19 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
                        recheck: bool = False, distinct_languages: bool = False) -> RepairResult:
     """C3 with the dimension tables of G1 and G3."""
     q = read_by_status(spark, bronze_path, STATUS_QUARANTINED)
-    batch = stage(spark, repaired_batch(q, recheck), "repair-batch")
+    # merge source size (rows, bytes of text + "loaded" + digest), measured by the staging write
+    batch, m = stage_observed(spark, repaired_batch(q, recheck), "repair-batch", {
+        "rows": F.count(F.lit(1)),
+        "bytes": F.sum(F.coalesce(F.octet_length("movie"), F.lit(0))
+                       + F.lit(len(STATUS_LOADED) + 8)),
+    })
     batch_writer(batch, SILVER_PARTITION, exclude_columns=["movie"]).save(silver_path)
     if silver_table:
         register_table(spark, silver_table, silver_path)
     merge_update_path(spark, bronze_path, batch.select("movie"), "movie",
                       {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
-                      source_is_stable=True, sort_within=("status",))
+                      source_is_stable=True, sort_within=("status",),
+                      source_bound=(m["rows"], m["bytes"] or 0))
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     added = langs = None

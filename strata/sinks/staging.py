@@ -7,7 +7,10 @@ and a source that reads a table can no longer see that table change.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from strata.session import fresh_dir
 
@@ -16,3 +19,17 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage_observed(spark: SparkSession, df: DataFrame, label: str,
+                   metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """``stage`` plus aggregate metrics computed by the same write job.
+
+    ``DataFrame.observe`` evaluates the aggregates while the rows stream to
+    the files, so sizes and counts of the batch cost no extra pass.
+    """
+    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
+    observed = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
+    path = fresh_dir(spark, label)
+    observed.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), dict(obs.get)

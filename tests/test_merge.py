@@ -175,3 +175,23 @@ def test_stored_digest_touched_scan_reads_no_text(spark):
     out = spark.read.parquet(path)
     assert out.columns == ["movie", "status", "movie_digest", "p_ingestdate"]
     assert _as_set(out.drop("movie_digest")) == EXPECTED
+
+
+def test_observed_bound_equals_size_check(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators.joins import _row_bytes
+    from strata.operators.merge import merge_source
+    from strata.sinks.staging import stage_observed
+
+    src = spark.createDataFrame([("a", "loaded"), ("bb", "quarantined"), (None, "new"), ("ccc", "new")],
+                                "movie STRING, outcome STRING")
+    decided = F.col("outcome") != "new"
+    staged, m = stage_observed(spark, src, "t-obs", {
+        "rows": F.count_if(decided),
+        "bytes": F.sum(F.when(decided, F.coalesce(F.octet_length("movie"), F.lit(0))
+                              + F.octet_length("outcome") + F.lit(8)).otherwise(F.lit(0))),
+    })
+    ms = merge_source(staged.where(decided), "movie", {"status": "outcome"}, dedupe=False)
+    r = ms.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(ms)).alias("b")).collect()[0]
+    assert (m["rows"], m["bytes"]) == (r.n, r.b) == (2, 1 + 6 + 8 + 2 + 11 + 8)
