@@ -141,3 +141,17 @@ def test_stream_bounded_batches_with_archive(spark):
                           ingest_ts="2024-01-31 12:00:00")
     assert len(q.recentProgress) >= 2  # bounded micro-batches
     assert spark.read.parquet(bronze).count() == m.count()
+
+
+def test_silver_run_with_nothing_new_is_a_no_op(spark):
+    raw = _raw(spark)
+    bronze, silver = fresh_dir(spark, "t-bronze"), fresh_dir(spark, "t-silver")
+    raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00")
+    bronze_to_silver(spark, bronze, silver, nulls="quarantine")
+    before = sorted(tuple(r) for r in spark.read.parquet(bronze).groupBy("status").count().collect())
+    n_silver = spark.read.parquet(silver).count()
+    batch = bronze_to_silver(spark, bronze, silver, nulls="quarantine")   # no 'new' rows left
+    assert batch.count() == 0
+    assert sorted(tuple(r) for r in spark.read.parquet(bronze).groupBy("status").count().collect()) == before
+    assert spark.read.parquet(silver).count() == n_silver
+    assert "new" not in dict(before)
