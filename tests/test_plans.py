@@ -103,3 +103,33 @@ def test_rewritten_bronze_files_are_clustered_by_status(spark):
         assert status == sorted(status), f
         seen.update(status)
     assert seen == {"loaded", "quarantined", "new"}
+
+
+def test_raw_to_bronze_and_silver_append_have_no_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from strata.plans.bronze_to_silver import classified_batch
+    from strata.plans.raw_to_bronze import bronze_batch
+    from strata.schemas import SILVER_COLUMNS
+
+    raw = fresh_dir(spark, "p-raw2")
+    write_envelope(movie_records(spark, SF0001), raw, records_per_file=500)
+    c1 = bronze_batch(spark, raw, ingest_ts="2024-01-31 12:00:00", multiline=False)
+    assert "Exchange" not in _plan(c1)
+    b = _bronze(spark)
+    clean = classified_batch(read_by_status(spark, b, "new")).where(F.col("outcome") == "loaded")
+    assert "Exchange" not in _plan(clean.select(*SILVER_COLUMNS))
+
+
+def test_dedupe_and_genre_lookup_aggregate_map_side(spark):
+    from strata.operators.dimensions import genre_lookup
+    from strata.functions.records import transform_bronze
+
+    b = spark.read.parquet(_bronze(spark))
+    for df in (transform_bronze(b), genre_lookup(transform_bronze(b))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # final aggregate above the shuffle, partial aggregate below it: hot keys
+        # collapse in each map task before the exchange
+        first_agg = plan.index("HashAggregate")
+        exchange = plan.index("Exchange hashpartitioning", first_agg)
+        assert plan.find("HashAggregate", exchange) > exchange
