@@ -61,6 +61,18 @@ def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[s
     return landing.orderBy(*[F.col(c).asc() for c in list(order) + tb]).limit(n)
 
 
+def leading_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) -> list:
+    """Partition value rows, in order, that together hold the first ``n`` rows."""
+    parts = list(partition_by)
+    keep, total = [], 0
+    for row in landing.groupBy(*parts).count().orderBy(*parts).collect():
+        keep.append(row)
+        total += row["count"]
+        if total >= n:
+            break
+    return keep
+
+
 def first_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) -> DataFrame | None:
     """Filter ``landing`` to the leading partitions that hold its first ``n`` rows.
 
@@ -70,17 +82,10 @@ def first_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) ->
     the list of partition counts is bounded by the partition count the file
     index already holds.
     """
-    parts = list(partition_by)
-    counts = landing.groupBy(*parts).count().orderBy(*parts).collect()
-    keep, total = [], 0
-    for row in counts:
-        keep.append(row)
-        total += row["count"]
-        if total >= n:
-            break
+    keep = leading_partitions(landing, partition_by, n)
     if not keep:
         return None
-    return landing.where(partition_predicate(parts, keep))
+    return landing.where(partition_predicate(partition_by, keep))
 
 
 def read_backlog(spark: SparkSession, landing_path: str) -> DataFrame | None:
@@ -109,19 +114,24 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
     if landing is None:
         return None
     n = rows_per_hour * hours
-    scope = landing
+    scope, keep = landing, None
     if partition_by and list(partition_by) == list(LANDING_ORDER)[:len(partition_by)]:
         # partitions are the leading order columns: prune to the first ones
-        scope = first_partitions(landing, partition_by, n)
-        if scope is None:
+        keep = leading_partitions(landing, partition_by, n)
+        if not keep:
             return None
+        scope = landing.where(partition_predicate(partition_by, keep))
     batch = next_batch(scope, hours, tie_breaker, rows_per_hour=rows_per_hour)
     out = f"{raw_dir.rstrip('/')}/{batch_name}" if batch_name else fresh_dir(spark, "batch")
     write_json_lines(batch, out)
     written = spark.read.schema(landing.schema).json(out)
     # the batch has at most n rows, and month/day are functions of `time`
     time_keyed = "time" in delete_key and set(partition_by) <= {"month", "day", "hour"}
+    # the batch came from the `keep` partitions, and a time key stays in its
+    # partition, so `keep` is a superset of the partitions the delete touches
     merge_delete_path(spark, landing_path, written, list(delete_key), partition_by=partition_by,
                       keys_row_bound=rows_per_hour * hours, partitions_from_keys=time_keyed,
-                      keys_are_files=True)
+                      keys_are_files=True,
+                      touched_partitions=[{c: r[c] for c in partition_by} for r in keep]
+                      if (keep and time_keyed) else None)
     return out

@@ -269,7 +269,8 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       keys_row_bound: int | None = None,
                       partitions_from_keys: bool = False,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
-                      keys_are_files: bool = False) -> None:
+                      keys_are_files: bool = False,
+                      touched_partitions: list | None = None) -> None:
     """J3 applied to the table at ``path``.
 
     Touched partitions are rewritten without the matched rows. A partition
@@ -284,6 +285,9 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     a time key), so the touched partitions are read off the keys instead of
     a semi join over the whole target. ``keys_are_files``: ``keys`` is a plain
     read of files that nothing here rewrites, so it is not staged again.
+    ``touched_partitions``: partition value mappings known to contain every
+    matched row (a superset is fine: an untouched partition is rewritten
+    unchanged), which replaces finding them.
     """
     k = _keys(on)
     parts = list(partition_by)
@@ -299,7 +303,11 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
         src_b, small = F.broadcast(src), True
     else:
         src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
-    if parts and partitions_from_keys:
+    if parts and touched_partitions is not None:
+        touched_rows = touched_partitions
+        src_b = src_b.select(*k)
+        scope = target.where(partition_predicate(parts, touched_rows))
+    elif parts and partitions_from_keys:
         touched = src.select(*parts).distinct()
         src_b = src_b.select(*k)
         if small:  # bounded keys: their partition values are few
@@ -314,8 +322,10 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     kept = merge_delete(scope, src_b, k, broadcast_keys=small).select(*target.columns)
     emptied = []
     if parts:  # touched partitions left without rows get no files from the overwrite
-        still = {tuple(r) for r in kept.select(*parts).distinct().collect()}  # bounded by `touched`
-        emptied = [r for r in touched.collect() if tuple(r[c] for c in parts) not in still]
+        if touched_partitions is None:
+            touched_rows = touched.collect()  # partition values only, bounded
+        still = {tuple(r) for r in kept.select(*parts).distinct().collect()}  # bounded by the above
+        emptied = [r for r in touched_rows if tuple(r[c] for c in parts) not in still]
     _write_back(spark, kept, path, fmt, parts)
     for row in emptied:
         remove_path(spark, _partition_dir(path, parts, row))
