@@ -26,11 +26,14 @@ from strata.schemas import (
 )
 from strata.sinks.catalog import register_table
 from strata.sinks.files import path_exists
-from strata.sinks.staging import stage, stage_observed
+from strata.sinks.staging import stage_observed
 from strata.sinks.writers import append, batch_writer, overwrite
 from strata.sources.tables import read_by_status
 
 
+ONE_FILE_MAX_ROWS = 1_000_000
+
+
 @dataclass
 class RepairResult:
     repaired: DataFrame          # staged repaired batch (22 columns)
@@ -76,8 +79,9 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
     if genre_path:
         existing = spark.read.parquet(genre_path) if path_exists(spark, genre_path) else None
         added = append_new_keys(genre_lookup(batch), existing, "genre_id")
-        added = stage(spark, added, "genre-new")
-        append(added, genre_path)
+        added, g = stage_observed(spark, added, "genre-new", {"rows": F.count(F.lit(1))})
+        # a dimension append measured small goes out as one file, not one per task
+        append(added.coalesce(1) if g["rows"] <= ONE_FILE_MAX_ROWS else added, genre_path)
         if genre_table:
             register_table(spark, genre_table, genre_path, partitioned=False)
     if language_path:

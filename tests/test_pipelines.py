@@ -155,3 +155,16 @@ def test_silver_run_with_nothing_new_is_a_no_op(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(bronze).groupBy("status").count().collect()) == before
     assert spark.read.parquet(silver).count() == n_silver
     assert "new" not in dict(before)
+
+
+def test_genre_append_is_one_file(spark):
+    import glob
+
+    raw = _raw(spark)
+    bronze, silver = fresh_dir(spark, "t-bronze"), fresh_dir(spark, "t-silver")
+    raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00")
+    bronze_to_silver(spark, bronze, silver)
+    gp = fresh_dir(spark, "t-genre1")
+    repair_quarantined(spark, bronze, silver, genre_path=gp)
+    assert len(glob.glob(f"{gp}/*.parquet")) == 1
+    assert spark.read.parquet(gp).count() == spark.read.parquet(gp).select("genre_id").distinct().count()
