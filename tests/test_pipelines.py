@@ -67,10 +67,13 @@ def test_medallion_end_to_end(spark):
 
 def test_rebuild_is_idempotent(spark):
     raw = _raw(spark)
-    bronze = fresh_dir(spark, "t-bronze")
+    once, bronze = fresh_dir(spark, "t-once"), fresh_dir(spark, "t-bronze")
+    raw_to_bronze(spark, raw, once, ingest_ts="2024-01-31 12:00:00", rebuild=True)
     for _ in range(2):
         raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00", rebuild=True)
-    assert spark.read.parquet(bronze).count() == movie_records(spark, SF0001).count()
+    a, b = spark.read.parquet(once), spark.read.parquet(bronze)
+    assert a.count() == movie_records(spark, SF0001).count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0   # same table
     raw_to_bronze(spark, raw, bronze, ingest_ts="2024-01-31 12:00:00")
     assert spark.read.parquet(bronze).count() == 2 * movie_records(spark, SF0001).count()
 
