@@ -41,15 +41,19 @@ def test_draining_returns_each_row_once(spark):
     n = src.count()
     prepare_activity_path(spark, src, landing, tz="UTC")
     raw = fresh_dir(spark, "t-landed")
-    landed, sizes = [], []
+    landed, sizes, bounds = [], [], []
     for i in range(n // 300 + 2):
         out = land_next_batch(spark, landing, raw, hours=30, tie_breaker="event_id",
                               batch_name=f"b{i}")
         if out is None:
             break
-        ids = [r.event_id for r in spark.read.json(out).select("event_id").collect()]
-        sizes.append(len(ids))
-        landed += ids
+        rows = spark.read.json(out).select("month", "day", "hour", "event_id").collect()
+        keys = sorted(tuple(r) for r in rows)
+        bounds.append((keys[0], keys[-1]))
+        sizes.append(len(rows))
+        landed += [r.event_id for r in rows]
+    # batches follow the total order: each one lies entirely after the previous
+    assert all(prev[1] < nxt[0] for prev, nxt in zip(bounds, bounds[1:]))
     assert out is None  # drained
     assert sizes[:-1] == [300] * (len(sizes) - 1) and 0 < sizes[-1] <= 300
     assert sorted(landed) == sorted(r.event_id for r in src.select("event_id").collect())
