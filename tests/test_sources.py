@@ -34,3 +34,8 @@ def test_json_lines_reader_edges(spark):
     })
     got = sorted(r.movie for r in read_raw(spark, d, multiline=False).collect())
     assert got == ['{"Id": 1,  "T": "a"}', '{"Id": 2}', '{"Id": 3}']
+
+
+def test_declared_encoding_normalizes_whitespace(spark):
+    d = _files(spark, {"pretty.txt": '{\n  "movie": [\n    {"Id": 7,\n     "Title": "x y"}\n  ]\n}\n'})
+    assert [r.movie for r in read_raw(spark, d, encoding="UTF-8").collect()] == ['{"Id":7,"Title":"x y"}']
