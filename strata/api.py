@@ -26,9 +26,10 @@ from strata.sources.tables import read_by_status, read_source
 from strata.streaming.bronze_stream import is_ready
 
 
-def read_batch_raw(spark: SparkSession, raw_path: str, multiline: bool = True) -> DataFrame:
-    """Raw envelope files -> one row per record text (``movie``)."""
-    return read_raw(spark, raw_path, multiline=multiline)
+def read_batch_raw(spark: SparkSession, raw_path: str, multiline: bool = True,
+                   encoding: str | None = None) -> DataFrame:
+    """Raw envelope files -> one row per record text (``movie``); see ``read_raw``."""
+    return read_raw(spark, raw_path, multiline=multiline, encoding=encoding)
 
 
 def transform_raw(raw: DataFrame, datasource: str = DEFAULT_DATASOURCE,

@@ -16,9 +16,9 @@ from strata.sources.raw import read_raw
 
 def bronze_batch(spark: SparkSession, raw_path: str, datasource: str = DEFAULT_DATASOURCE,
                  ingest_ts: _dt.datetime | str | None = None, key: str = "movie",
-                 multiline: bool = True) -> DataFrame:
+                 multiline: bool = True, encoding: str | None = None) -> DataFrame:
     """S1 + P1 + V1: the Bronze rows of one raw batch (not yet written)."""
-    raw = read_raw(spark, raw_path, key, multiline=multiline)
+    raw = read_raw(spark, raw_path, key, multiline=multiline, encoding=encoding)
     bronze = ingest_metadata(raw, datasource, ingest_ts, key)
     if key == "movie":
         assert_schema(bronze, BRONZE_SCHEMA)
@@ -29,7 +29,7 @@ def raw_to_bronze(spark: SparkSession, raw_path: str, bronze_path: str,
                   table: str | None = None, datasource: str = DEFAULT_DATASOURCE,
                   ingest_ts: _dt.datetime | str | None = None,
                   rebuild: bool = False, multiline: bool = True,
-                  store_digest: bool = False) -> str:
+                  store_digest: bool = False, encoding: str | None = None) -> str:
     """Append (or, with ``rebuild``, replace) a raw batch into Bronze.
 
     Scan, explode, stamp and write run as one stage per input file: no
@@ -39,8 +39,8 @@ def raw_to_bronze(spark: SparkSession, raw_path: str, bronze_path: str,
     so that later merges scan 8 bytes per row, not the text (see
     ``with_stored_digest``); the five reference columns are unchanged.
     """
-    out = bronze_batch(spark, raw_path, datasource, ingest_ts,
-                       multiline=multiline).select(*BRONZE_WRITE_ORDER)
+    out = bronze_batch(spark, raw_path, datasource, ingest_ts, multiline=multiline,
+                       encoding=encoding).select(*BRONZE_WRITE_ORDER)
     if store_digest:
         out = with_stored_digest(out)
     if rebuild:
