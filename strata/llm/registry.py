@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import exact_dedup
+from strata.llm.minhash import near_classes
 from strata.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_classes(spark, _read(spark, sf, "documents"), scan=True)
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     verdicts, _ = quality_rules(spark, _read(spark, sf, "documents"), scan=True)
     return verdicts.select(
@@ -49,6 +55,7 @@ FROM t WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_exact_dedup": op9_exact_dedup,
     }
