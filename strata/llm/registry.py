@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.minhash import near_classes
+from strata.llm.mixing import mix
 from strata.llm.quality_rules import quality_rules
+from strata.llm.sentencepiece_codec import decode, encode, read_model
+
+#: The model file of the SentencePiece query.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +33,21 @@ def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mix(spark, _read(spark, sf, "documents"), scan=True)
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    docs, model = _read(spark, sf, "documents"), read_model(PIECE_MODEL)
+    ids = encode(spark, docs.select("doc_id", "text", F.xxhash64("text").alias("hash")), model)
+    back = decode(spark, ids.withColumn("ids2", F.col("ids")), model, ids="ids2", text="back")
+    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"),
+                       (F.xxhash64("back") == F.col("hash")).alias("round_trip"))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     verdicts, _ = quality_rules(spark, _read(spark, sf, "documents"), scan=True)
     return verdicts.select(
@@ -56,6 +76,8 @@ FROM t WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
 def queries() -> dict[str, Query]:
     return {
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
+        "op5_mix_sources": op5_mix_sources,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_quality_rules": op7_quality_rules,
         "op9_exact_dedup": op9_exact_dedup,
     }
