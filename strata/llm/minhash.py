@@ -18,10 +18,11 @@ it, so the weights are one fixed-size table at every corpus size.
 
 No pair list of a bucket is made. Texts with the same words are one node. In
 each round every bucket that still holds several classes names one member, and
-the members of other classes are compared with it alone. When a round finds no
-link, the buckets that still hold several classes are compared whole: by pairs
-of bands, in blocks inside a task, texts that agree in too few bands for the
-threshold are passed over, and only the rest is verified.
+the members of other classes are compared with it alone. When a round finds few
+links, the buckets that still hold several classes are compared whole: dealt
+out by pairs of bands, in blocks inside a task. Of all these pairs, those that
+agree in too few bands for the threshold are passed over and the rest verified.
+Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
 repeated rows and texts with the same words share a class; an empty table gives
@@ -47,17 +48,19 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 16
 ROWS = 3
-#: A similar pair agrees in about half of the bands (0.8 ** 3); in the block
-#: comparison it must agree in this many (missed: under 1 in 500).
-LEAST_BANDS = 3
+#: A similar pair agrees in about half of the bands (0.8 ** 3), and in this many
+#: at least but for 2 of 10,000 pairs; only such pairs are verified.
+LEAST_BANDS = 2
 BLOCK = 1024
+#: A round that links less than this share of the candidate texts is the last before the blocks.
+FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
 MIN_SHARE = 0.01
 #: Shingles x samples that are in memory at once.
-CHUNK = 4096
+CHUNK = 512
 
 _U = np.uint64
-_SEEDS = np.random.default_rng(20240131).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
+_SEEDS = np.random.default_rng(20240131).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
 _ODD = np.random.default_rng(20240201).integers(1, 2**63, WORDS, dtype=np.uint64) | _U(1)
 
 
@@ -95,8 +98,7 @@ def _shingles(normal: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         value += _mix(word[start + k] * _ODD[k])
     whole = np.array([xxhash.xxh64_intdigest(normal[int(i)].as_py(), seed=1) for i in short], dtype=np.uint64)
     value, of = np.concatenate([_mix(value), whole]), np.concatenate([owner[start], short])
-    code, distinct = ranks(value)
-    pair, found = ranks(code * n + of)
+    pair, found = ranks((value ^ _mix(of.astype(np.uint64) + _U(1))).view(np.int64))
     first = np.zeros(found, dtype=np.int64)
     first[pair[::-1]] = np.arange(len(pair))[::-1]
     count = np.bincount(pair, minlength=found)
@@ -134,6 +136,19 @@ def shingle_weights(spark: SparkSession, texts: DataFrame) -> np.ndarray:
     return weights
 
 
+def _gamma_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Quantiles of Gamma(2, 1) in 4096 cells: r; and ln c less ln(2 u) / 2, the form of its tail."""
+    x = np.concatenate([np.geomspace(1e-9, 1e-2, 40_000), np.linspace(1e-2, 40, 400_000)])
+    below = -np.expm1(-x) - x * np.exp(-x)
+    below[x < 1e-2] = (x**2 / 2 - x**3 / 3)[x < 1e-2]
+    u = (np.arange(4096) + 0.5) / 4096
+    r = np.interp(u, below, x)
+    return r.astype(np.float32), (np.log(r) - 0.5 * np.log(2 * u)).astype(np.float32)
+
+
+_GAMMA, _TAIL = _gamma_tables()
+
+
 def _samples(shingle: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Consistent weighted samples, one row for each text (0 where it has no shingle).
 
@@ -148,21 +163,34 @@ def _samples(shingle: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int)
     for at in range(0, len(shingle), CHUNK):
         part = slice(at, at + CHUNK)
         own = owner[part]
-        x = _mix(shingle[part, None] ^ _SEEDS[None, :])
-        y = _mix(x + _U(0x9E3779B97F4A7C15))
-        low, unit = _U(0x1FFFFF), np.float32(2.0**-21)
-        uniform = lambda z, by: ((z >> _U(by) & low).astype(np.float32) + np.float32(0.5)) * unit
-        r = -np.log(uniform(x, 0) * uniform(x, 21))
-        log_c = np.log(-np.log(uniform(y, 0) * uniform(y, 21)))
-        b = uniform(x, 42)
-        t = np.floor(log_w[part, None] / r + b)
-        score = log_c - r * (t - b + 1)
+        x = shingle[part, None] * _SEEDS[None, :]
+        x ^= x >> _U(31)
+        x *= _U(0xD6E8FEB86659FD93)
+        x ^= x >> _U(32)
+        halves = x.view(np.uint32).reshape(len(own), k, 2)
+        low, high = halves[:, :, 0], halves[:, :, 1]
+        r = _GAMMA[low & np.uint32(4095)]
+        b = (low >> np.uint32(12)).astype(np.float32)
+        b *= np.float32(2.0**-20)
+        score = high.astype(np.float32)
+        score += np.float32(0.5)
+        score *= np.float32(2.0**-31)
+        np.log(score, out=score)
+        score *= np.float32(0.5)
+        score += _TAIL[high >> np.uint32(20)]
+        t = log_w[part, None] / r
+        t += b
+        np.floor(t, out=t)
+        b -= t
+        b -= np.float32(1)
+        b *= r
+        score += b  # ln c - r (t - b + 1)
         starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
         least = np.minimum.reduceat(score, starts, axis=0)
         texts = own[starts]
         better = least < best[texts]
-        local = np.cumsum(np.append(False, own[1:] != own[:-1]))
-        row, col = np.nonzero((score == least[local]) & better[local])
+        size = np.diff(np.append(starts, len(own)))
+        row, col = np.nonzero(score == np.repeat(np.where(better, least, np.float32(-np.inf)), size, axis=0))
         best[texts] = np.where(better, least, best[texts])
         drawn[own[row], col] = _mix(shingle[at + row] ^ (t[row, col].astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)))
     return drawn
@@ -183,10 +211,10 @@ def _sketch(weights: np.ndarray) -> Callable:
             bands = pa.ListArray.from_arrays(
                 pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(key.view(np.int64).ravel()),
                 mask=pa.array(none))
-            content = [xxhash.xxh3_128_digest(x) for x in normal.to_pylist()]
+            content = np.array([xxhash.xxh3_64_intdigest(x) for x in normal.to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(FILE), batch.column(ROW), batch.column("doc_id"),
-                 pa.array(content, pa.binary()), bands],
+                 pa.array(content), bands],
                 names=[FILE, ROW, "doc_id", "content", "bands"])
 
     return sketch
@@ -220,8 +248,7 @@ def _agreeing(key: tuple, left: pa.Table) -> pa.Table:
     """Of a block pair: pairs of different classes that agree in enough bands."""
     node, label, second = (left.column(c).to_pylist() for c in ("node", "label", "second"))
     bands = pc.list_flatten(left.column("bands").combine_chunks()).to_numpy().reshape(-1, BANDS)
-    classes, _ = ranks(np.unique(np.array(label, dtype=object), return_inverse=True)[1])
-    second = np.array(second)
+    classes, second = np.array(label), np.array(second)
     one, two = np.flatnonzero(~second), np.flatnonzero(second)
     if not len(two):
         two = one
@@ -230,16 +257,23 @@ def _agreeing(key: tuple, left: pa.Table) -> pa.Table:
         same = (bands[i][None, :] == bands[two]).sum(axis=1)
         other = two[(same >= LEAST_BANDS) & (classes[two] != classes[i])]
         out += [(i, j) for j in other if node[i] < node[j]] if two is one else [(i, j) for j in other]
-    return pa.table({"a": pa.array([min(node[i], node[j]) for i, j in out], pa.binary()),
-                     "b": pa.array([max(node[i], node[j]) for i, j in out], pa.binary())})
+    return pa.table({"a": pa.array([min(node[i], node[j]) for i, j in out], pa.int64()),
+                     "b": pa.array([max(node[i], node[j]) for i, j in out], pa.int64())})
+
+
+def _agree(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The distinct pairs ``(a, b)`` that share enough bands for the threshold."""
+    side = lambda c: nodes.select(F.col("content").alias(c), F.col("bands").alias(f"bands_{c}"))
+    return (pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+            .where(F.size(F.array_intersect("bands_a", "bands_b")) >= LEAST_BANDS).select("a", "b"))
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
-    """Staged links among the pairs ``(a, b)``; and how many there are."""
-    pairs = staged(spark, pairs.distinct(), "pairs")
+    """Staged links among the distinct pairs ``(a, b)``; and how many there are."""
+    pairs = staged(spark, pairs, "pairs")
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     found = (pairs.join(side("a"), "a").join(side("b"), "b")
-             .select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary"))
+             .select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long"))
     links, seen = stage_observed(spark, found, "links", {"n": F.count(F.lit(1))})
     return links, seen["n"]
 
@@ -272,7 +306,7 @@ def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame) -> DataFram
              .select("pair", "node", "label", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
              .join(nodes.select(F.col("content").alias("node"), "bands"), "node"))
-    return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing, "a binary, b binary")
+    return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing, "a long, b long")
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -288,18 +322,21 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
     weights = shingle_weights(spark, rows)
     kind = docs.schema[doc_id].dataType.simpleString()
     sketches = staged(spark, rows.mapInArrow(
-        _sketch(weights), f"{FILE} long, {ROW} long, doc_id {kind}, content binary, bands array<long>"), "sketches")
+        _sketch(weights), f"{FILE} long, {ROW} long, doc_id {kind}, content long, bands array<long>"), "sketches")
     nodes = staged(spark, sketches.where("bands IS NOT NULL").groupBy("content").agg(
         F.first("bands").alias("bands"), F.min(F.struct(*KEYS)).alias("at"))
         .select("content", "bands", F.col(f"at.{FILE}").alias(FILE), F.col(f"at.{ROW}").alias(ROW)), "nodes")
     keys = nodes.select(F.col("content").alias("node"), F.explode("bands").alias("key"))
     shared = staged(spark, keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    members = staged(spark, keys.join(shared, "key"), "members")
-    labels = staged(spark, members.select("node").distinct().select("node", F.col("node").alias("label")), "classes")
+    # a similar pair shares LEAST_BANDS buckets, so a text in fewer has no partner
+    inside = staged(spark, keys.join(shared, "key"), "members")
+    labels = staged(spark, inside.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+                    .where(F.col("n") >= LEAST_BANDS).select("node", F.col("node").alias("label")), "classes")
+    members = staged(spark, inside.join(labels.select("node"), "node"), "members")
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
     texts = staged(spark, rows.join(reps, list(KEYS)).select("node", "text"), "texts")
     check = _similar(weights, threshold)
-    turn, blocks = 0, False
+    turn, blocks, total = 0, False, labels.count()
     while True:
         held = members.join(labels, "node")
         mixed = held.groupBy("key").agg(
@@ -307,24 +344,27 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("lead"))
         mixed = staged(spark, mixed.where("l1 != l2").select(
             "key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("lead_label")), "mixed")
-        if not blocks:
-            pairs = (held.join(mixed, "key").where("label != lead_label")
-                     .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")))
+        if blocks:
+            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes).distinct()
         else:
-            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes)
+            pairs = _agree(held.join(mixed, "key").where("label != lead_label").select(
+                F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")), nodes)
         links, n = _verified(spark, pairs, texts, check)
         if n:
             labels = _joined(spark, labels, links)
         if blocks:
             break
-        turn, blocks = turn + 1, not n
+        turn, blocks = turn + 1, n <= FEW_LINKS * total
     named = sketches.join(labels, F.col("content") == F.col("node"), "left").withColumn(
         "class", F.when(F.col("bands").isNotNull(), F.coalesce("label", "content")))
-    named = staged(spark, named.select(*KEYS, "doc_id", F.coalesce("class", F.encode(F.concat_ws(
-        " ", *KEYS), "utf-8")).alias("class")), "near-classes")
+    # a text without words: a class of its own
+    named = staged(spark, named.select(*KEYS, "doc_id", "class", *[
+        F.when(F.col("class").isNull(), F.col(k)).otherwise(0).alias(f"own{k}") for k in KEYS]), "near-classes")
+    group = ["class", *[f"own{k}" for k in KEYS]]
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEYS)).alias("best")
-    heads = staged(spark, named.groupBy("class").agg(best, F.count(F.lit(1)).alias("class_size")), "near-heads")
-    return named.join(heads, "class").select(
+    heads = staged(spark, named.groupBy(*group).agg(best, F.count(F.lit(1)).alias("class_size")), "near-heads")
+    same = [named[c].eqNullSafe(heads[c]) for c in group]
+    return named.join(heads, same[0] & same[1] & same[2]).select(
         *KEYS, "doc_id", F.col("best.doc_id").alias("class_id"), "class_size",
         ((F.col(f"best.{FILE}") == F.col(FILE)) & (F.col(f"best.{ROW}") == F.col(ROW))).alias("kept"))
 
