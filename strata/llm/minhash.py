@@ -57,7 +57,7 @@ FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
 MIN_SHARE = 0.01
 #: Shingles x samples that are in memory at once.
-CHUNK = 512
+CHUNK = 1024
 
 _U = np.uint64
 _SEEDS = np.random.default_rng(20240131).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
