@@ -40,10 +40,10 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
-#: Words whose ids a Python worker keeps from one slice to the next.
-KEPT_WORDS = 300_000
+#: Words whose ids a Python worker keeps from one slice to the next (twice as many at most).
+KEPT_WORDS = 250_000
 #: Piece pairs that it remembers.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 500_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -148,64 +148,70 @@ def read_tables(model: bytes) -> dict:
 
 
 class Encoder:
-    """Encodes sorted words, sharing the forward table of common prefixes."""
+    """Encodes sorted words, sharing the forward table of common prefixes.
+
+    In a table a piece is its id; a character without a piece is ``base`` and
+    its code point.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.v = vocabulary
-        self.follows: dict[tuple[str, str], bool] = vocabulary.tables["follows"]
+        self.v, self.base = vocabulary, len(vocabulary.pieces)
+        self.follows: dict[int, bool] = vocabulary.tables["follows"]
         known = [s for i, s in enumerate(vocabulary.scores) if vocabulary.kinds[i] == NORMAL]
         self.worst = min(known, default=0.0) - 10.0
         self.best = max(known, default=0.0)
 
-    def may_follow(self, left: str, right: str) -> bool:
+    def may_follow(self, key: int, left: str, right: str) -> bool:
         if len(self.follows) > KEPT_PAIRS:
             self.follows.clear()
         ok = merged(list(left + right), self.v.ids, self.v.scores) == [left, right]
-        self.follows[left, right] = ok
+        self.follows[key] = ok
         return ok
 
-    def _bpe(self, word: str, last: list[str], start: int) -> None:
+    def _bpe(self, word: str, last: list[int], sizes: list[int], start: int) -> None:
         """Fills last[k], the last piece of the first k characters' encoding, from ``start`` + 1 on."""
-        ids, ends, follows, may_follow = self.v.ids, self.v.ends, self.follows, self.may_follow
+        ids, ends, follows, base = self.v.ids.get, self.v.ends.get, self.follows.get, self.base
         for end in range(start + 1, len(word) + 1):
-            for size in (*ends.get(word[max(end - 2, 0):end], ()), 1):
+            for size in (*ends(word[end - 2:end] if end > 1 else "", ()), 1):
                 if size > end:
                     continue
                 piece = word[end - size:end]
-                if size > 1 and piece not in ids:
-                    continue
-                if size == end:
-                    last[end] = piece
-                    break
-                left = last[end - size]
-                ok = follows.get((left, piece))
-                if ok or ok is None and may_follow(left, piece):
-                    last[end] = piece
-                    break
+                i = ids(piece)
+                if i is None:
+                    if size > 1:
+                        continue
+                    i = base + ord(piece)
+                if size < end:
+                    at = end - size
+                    key = last[at] << 32 | i
+                    ok = follows(key)
+                    if ok is None:
+                        ok = self.may_follow(key, word[at - sizes[at]:at], piece)
+                    if not ok:
+                        continue
+                last[end], sizes[end] = i, size
+                break
             else:
                 raise AssertionError(f"no last piece for {word[:end]!r}")
 
-    def _unigram(self, word: str, last: list[str], score: list[float], start: int) -> None:
-        ids, ends, scores, kinds = self.v.ids, self.v.ends, self.v.scores, self.v.kinds
+    def _unigram(self, word: str, last: list[int], sizes: list[int], score: list[float], start: int) -> None:
+        ids, ends, scores, kinds = self.v.ids.get, self.v.ends.get, self.v.scores, self.v.kinds
         for end in range(start + 1, len(word) + 1):
-            top, piece = score[end - 1] + self.worst, word[end - 1:end]
-            for size in (1, *ends.get(word[max(end - 2, 0):end], ())):
-                if size > end:
-                    continue
-                part = word[end - size:end]
-                i = ids.get(part)
+            top, best, length = score[end - 1] + self.worst, self.base + ord(word[end - 1]), 1
+            for size in (1, *ends(word[end - 2:end] if end > 1 else "", ())):
+                i = ids(word[end - size:end]) if size <= end else None
                 if i is None:
                     continue
                 own = self.best * size - 0.1 if kinds[i] == USER else scores[i]
                 value = score[end - size] + own
                 if value > top or size == 1:
-                    top, piece = value, part
-            last[end], score[end] = piece, top
+                    top, best, length = value, i, size
+            last[end], sizes[end], score[end] = best, length, top
 
-    def encode(self, words: Iterable[str]) -> dict[str, array]:
-        """Ids of each distinct word."""
-        out: dict[str, array] = {}
-        last, score, before = [""], [0.0], ""
+    def encode(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of each distinct word, as packed 32-bit integers."""
+        out: dict[str, bytes] = {}
+        last, sizes, score, before, base = [0], [0], [0.0], "", self.base
         unigram = self.v.model_type == UNIGRAM
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
@@ -214,55 +220,65 @@ class Encoder:
             else:
                 while before[shared] == word[shared]:
                     shared += 1
-            del last[shared + 1:], score[shared + 1:]
-            last += [""] * (len(word) - shared)
-            score += [0.0] * (len(word) - shared)
+            more = len(word) - shared
+            last[shared + 1:], sizes[shared + 1:] = [0] * more, [0] * more
             if unigram:
-                self._unigram(word, last, score, shared)
+                score[shared + 1:] = [0.0] * more
+                self._unigram(word, last, sizes, score, shared)
             else:
-                self._bpe(word, last, shared)
-            ids: list[int] = []
+                self._bpe(word, last, sizes, shared)
+            found: list[int] = []
             at = len(word)
             while at:
-                piece = last[at]
-                i = self.v.ids.get(piece)
-                ids.extend((i,) if i is not None else reversed(self.v.outside(piece)))
-                at -= len(piece)
-            ids.reverse()
-            out[word] = array("i", ids)
+                i = last[at]
+                if i < base:
+                    found.append(i)
+                else:
+                    found.extend(reversed(self.v.outside(chr(i - base))))
+                at -= sizes[at]
+            found.reverse()
+            out[word] = array("i", found).tobytes()
             before = word
         return out
 
 
+class WordStore:
+    """Encodes words and remembers the recent ones, in two generations of ``KEPT_WORDS``."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.encoder, self.kept = Encoder(vocabulary), vocabulary.tables["words"]
+
+    def get(self, words: set[str]) -> dict[str, bytes]:
+        """A table that holds all the words."""
+        young, old = self.kept.setdefault("young", {}), self.kept.setdefault("old", {})
+        if len(young) > KEPT_WORDS:
+            young, old = {}, young
+            self.kept |= {"young": young, "old": old}
+        new = words - young.keys()
+        young.update({w: old[w] for w in new & old.keys()})
+        young.update(self.encoder.encode(new - old.keys()))
+        return young
+
+
 def _marked(text: str, vocabulary: Vocabulary) -> str:
     text = text.replace(" ", MARK)
     return MARK + text if text and vocabulary.dummy_prefix else text
 
 
-def _lists(column: list, nulls: list[bool], flat: array) -> pa.ListArray:
-    offsets = np.zeros(len(column) + 1, dtype=np.int32)
-    np.cumsum(column, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)),
-                                    mask=pa.array(nulls, pa.bool_()))
-
-
 def _encoder(tables: Broadcast) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(tables.value)
-        encoder, known = Encoder(vocabulary), vocabulary.tables["words"]
+        store = WordStore(vocabulary)
         for batch in slices(batches, "__llm_text"):
             texts = batch.column("__llm_text").to_pylist()
             cut = [vocabulary.cut.findall(_marked(t, vocabulary)) if t else [] for t in texts]
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            known.update(encoder.encode({w for words in cut for w in words} - known.keys()))
-            flat, sizes = array("i"), []
-            for words in cut:
-                before = len(flat)
-                for w in words:
-                    flat += known[w]
-                sizes.append(len(flat) - before)
-            ids = _lists(sizes, [t is None for t in texts], flat)
+            ids_of = store.get({w for words in cut for w in words}).__getitem__
+            packed = [b"".join(map(ids_of, words)) for words in cut]
+            offsets = np.zeros(len(packed) + 1, dtype=np.int32)
+            np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+            ids = pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)),
+                mask=pa.array([t is None for t in texts], pa.bool_()))
             others = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "__llm_text"]
             yield pa.RecordBatch.from_arrays([*others, ids], names=[
                 *[n for n in batch.schema.names if n != "__llm_text"], "__llm_ids"])
