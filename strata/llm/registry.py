@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.exact_dedup import exact_dedup
+from strata.llm.html_extract import extract, train
 from strata.llm.langid import identify
 from strata.llm.langid import learn as learn_languages
 from strata.llm.minhash import near_classes
@@ -41,6 +42,11 @@ def _held_out(doc_id: str, parts: int, part: int) -> Column:
     return F.coalesce(crc % parts == part, F.lit(False))
 
 
+def op1_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    texts = extract(spark, _read(spark, sf, "pages"), train(), F.col("page_id"), F.col("url"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs, held = _read(spark, sf, "documents"), _held_out("doc_id", 4, 2)
     dictionaries = learn_languages(spark, docs.where(~held))
@@ -192,6 +198,7 @@ FROM t WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extract": op1_html_extract,
         "op2_language_id": op2_language_id,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_warc": op4_warc,
