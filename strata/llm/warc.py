@@ -133,10 +133,14 @@ def write_warc(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES
      .option("compression", compression).text(path))
 
 
-_PARSED = ("record_id string, type string, url string, refers_to string, digest string, origin string, "
-           "segment int, total long, block binary")
 _RESULT = ("record_id string, type string, url string, refers_to string, payload_bytes long, "
-           "payload_digest string, error string")
+           "payload_digest string, error string, payload binary")
+_PARSED = _RESULT + ", digest string, origin string, segment int, total long, block binary"
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
@@ -167,22 +171,6 @@ def parse_records(data: bytes) -> Iterator[dict]:
             at += 2
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in _PARSED.split(", ")])
-    for batch in batches:
-        for k in range(batch.num_rows):
-            part, size = [], 0
-            for r in parse_records(batch.column("content")[k].as_buffer().to_pybytes()):
-                part.append(r)
-                size += len(r["block"])
-                if size > 4_000_000:
-                    yield pa.RecordBatch.from_pylist(part, schema=schema)
-                    part, size = [], 0
-            if part:
-                yield pa.RecordBatch.from_pylist(part, schema=schema)
-
-
 def _payload(kind: str, block: bytes, digest: str) -> tuple[bytes | None, int, str]:
     """Payload (none for a revisit), its length and its digest, of a whole block."""
     head, _, body = block.partition(b"\r\n\r\n")
@@ -197,53 +185,73 @@ def _payload(kind: str, block: bytes, digest: str) -> tuple[bytes | None, int, s
     return body, len(body), found
 
 
-def _reader(payloads: bool) -> Callable:
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoded(record: dict, parts: list[dict], payloads: bool) -> dict:
+    """The result row of a record from the parts of its block, in order."""
+    row = {k: record[k] for k in ("record_id", "type", "url", "refers_to")}
+    try:
+        if parts[0]["segment"] is not None:
+            if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
+                raise ValueError("segments are missing or doubled")
+            if sum(len(p["block"]) for p in parts) != parts[-1]["total"]:
+                raise ValueError("total length differs")
+        block = b"".join(p["block"] for p in parts)
+        payload, row["payload_bytes"], row["payload_digest"] = _payload(record["type"], block, record["digest"])
+        row["payload"] = payload if payloads else None
+    except (ValueError, KeyError) as error:
+        row["error"] = str(error) or "broken record"
+    return row
+
+
+def _parser(payloads: bool) -> Callable:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole records as results; records of segments as they are."""
+        schema = _schema(_PARSED)
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                row = {k: r[k] for k in ("record_id", "type", "url", "refers_to")}
-                row |= {"payload_bytes": None, "payload_digest": None, "error": None, "payload": None}
-                try:
-                    parts = r["parts"]
-                    if len(parts) > 1 or parts[0]["segment"] is not None:
-                        if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
-                            raise ValueError("segments are missing or doubled")
-                        if sum(len(p["block"]) for p in parts) != parts[-1]["total"]:
-                            raise ValueError("total length differs")
-                    block = b"".join(p["block"] for p in parts)
-                    row["payload"], row["payload_bytes"], row["payload_digest"] = _payload(r["type"], block, r["digest"])
-                except (ValueError, KeyError) as error:
-                    row["error"] = str(error)
-                out.append(row)
-            fields = [pa.field(x.split()[0], pa.int64() if x.endswith("long") else pa.string()) for x in _RESULT.split(", ")]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
-                [*fields, *([pa.field("payload", pa.binary())] if payloads else [])]))
-
-    return read
+            for k in range(batch.num_rows):
+                out, size = [], 0
+                for r in parse_records(batch.column("content")[k].as_buffer().to_pybytes()):
+                    out.append(r if r["segment"] is not None else _decoded(r, [r], payloads))
+                    size += len(r["block"])
+                    if size > 4_000_000:
+                        yield pa.RecordBatch.from_pylist(out, schema=schema)
+                        out, size = [], 0
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return parse
+
+
+def _joiner(payloads: bool) -> Callable:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):  # one block at a time
+                r = batch.slice(k, 1).to_pylist()[0]
+                yield pa.RecordBatch.from_pylist([_decoded(r, r["parts"], payloads)], schema=_schema(_RESULT))
+
+    return join
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """A row for each record that is not a continuation.
 
     Columns: ``record_id, type, url, refers_to, payload_bytes, payload_digest,
-    error`` and, with ``payloads``, ``payload`` (null for a revisit).
+    error`` and, with ``payloads``, ``payload`` (null for a revisit). Only
+    segments are moved; a record in one piece is decoded where it is read.
     """
     schema = "path string, modificationTime timestamp, length long, content binary"
-    found = spark.read.format("binaryFile").schema(schema).load(path).select("content").mapInArrow(_parse, _PARSED)
+    found = spark.read.format("binaryFile").schema(schema).load(path).select("content").mapInArrow(
+        _parser(payloads), _PARSED)
     found = staged(spark, found, "warc-records")
-    part = F.struct("segment", "total", "block")
-    whole = found.where("segment IS NULL").select(
-        "record_id", "type", "url", "refers_to", "digest", F.array(part).alias("parts"))
+    columns = [f.name for f in found.schema.fields][:8]
     first = lambda c: F.max(F.when(F.col("type") != "continuation", F.col(c))).alias(c)
     joined = (found.where("segment IS NOT NULL").groupBy(F.coalesce("origin", "record_id").alias("of"))
               .agg(F.max(F.when(F.col("type") != "continuation", F.col("type"))).alias("kind"), first("url"),
-                   first("refers_to"), first("digest"), F.sort_array(F.collect_list(part)).alias("parts"))
+                   first("refers_to"), first("digest"),
+                   F.sort_array(F.collect_list(F.struct("segment", "total", "block"))).alias("parts"))
               .select(F.col("of").alias("record_id"), F.coalesce("kind", F.lit("continuation")).alias("type"),
                       "url", "refers_to", "digest", "parts"))
-    result = _RESULT + (", payload binary" if payloads else "")
-    read = _reader(payloads)
-    return whole.mapInArrow(read, result).union(joined.mapInArrow(read, result))
+    out = found.where("segment IS NULL").select(*columns).union(joined.mapInArrow(_joiner(payloads), _RESULT))
+    return out if payloads else out.drop("payload")
 
 
 def capture_records(spark: SparkSession, pages: DataFrame, page_id: str = "page_id", url: str = "url",
