@@ -10,7 +10,8 @@ shingle sets, is 0.8 or more; classes are the connected components.
 
 The plain similarity is a second way in, not another search: in a large group
 of near copies the shared shingles are common, so the weights favour the few
-words that differ, and without it such a group would fall apart.
+words that differ, and without it such a group would fall apart. (Such a pair
+agrees in fewer samples, but each of its texts has many partners.)
 
 Document frequencies are summed in ``FREQ_CELLS`` hashed cells over all
 documents. A cell is used only if over ``MIN_SHARE`` of the documents fall in
@@ -21,7 +22,7 @@ each round every bucket that still holds several classes names one member, and
 the members of other classes are compared with it alone. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
-agree in too few bands for the threshold are passed over and the rest verified.
+agree in too few samples for the threshold are passed over and the rest verified.
 Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
@@ -49,8 +50,11 @@ THRESHOLD = 0.8
 BANDS = 16
 ROWS = 3
 #: A similar pair agrees in about half of the bands (0.8 ** 3), and in this many
-#: at least but for 2 of 10,000 pairs; only such pairs are verified.
+#: at least but for 2 of 10,000 pairs; texts in fewer shared buckets have no partner.
 LEAST_BANDS = 2
+#: A similar pair agrees in about 38 of the 48 samples, and in this many but for
+#: fewer than 1 of 10,000 pairs; only such pairs are verified.
+LEAST_SAMPLES = 27
 BLOCK = 1024
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
@@ -122,17 +126,20 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingle_weights(spark: SparkSession, texts: DataFrame) -> np.ndarray:
-    """IDF of each hashed cell, from 1 (in every document) to 2 (rare); all documents count.
+    """IDF of each hashed cell, ln(1 + documents / holders); all documents count.
+
+    Cells that ``MIN_SHARE`` of the documents or fewer fall in have the weight
+    of that share.
 
     At most ``FREQ_CELLS`` rows reach the driver, however large the corpus is.
     """
     cells = staged(spark, texts.select("text").mapInArrow(_frequencies, "cell long, docs long")
                    .groupBy("cell").agg(F.sum("docs").alias("docs")), "shingle-cells")
     total = next((r.docs for r in cells.where("cell = -1").collect()), 0)
-    weights = np.full(FREQ_CELLS, 2.0, dtype=np.float32)
+    weights = np.full(FREQ_CELLS, np.log1p(1 / MIN_SHARE), dtype=np.float32)
     common = cells.where((F.col("cell") >= 0) & (F.col("docs") > MIN_SHARE * total)).toArrow()
     share = common.column("docs").to_numpy() / max(total, 1)
-    weights[common.column("cell").to_numpy()] = 1 + np.log(np.minimum(share, 1)) / np.log(MIN_SHARE)
+    weights[common.column("cell").to_numpy()] = np.log1p(1 / np.minimum(share, 1))
     return weights
 
 
@@ -207,6 +214,8 @@ def _sketch(weights: np.ndarray) -> Callable:
             key = np.tile(band, (n, 1))
             for row in range(ROWS):
                 key = _mix(key + drawn[:, row::ROWS])
+            print_ = pa.FixedSizeBinaryArray.from_buffers(
+                pa.binary(BANDS * ROWS), n, [None, pa.py_buffer((drawn >> _U(56)).astype(np.uint8).tobytes())])
             none = np.bincount(owner, minlength=n) == 0
             bands = pa.ListArray.from_arrays(
                 pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(key.view(np.int64).ravel()),
@@ -214,8 +223,8 @@ def _sketch(weights: np.ndarray) -> Callable:
             content = np.array([xxhash.xxh3_64_intdigest(x) for x in normal.to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(FILE), batch.column(ROW), batch.column("doc_id"),
-                 pa.array(content), bands],
-                names=[FILE, ROW, "doc_id", "content", "bands"])
+                 pa.array(content), bands, print_.cast(pa.binary())],
+                names=[FILE, ROW, "doc_id", "content", "bands", "samples"])
 
     return sketch
 
@@ -244,28 +253,35 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
-def _agreeing(key: tuple, left: pa.Table) -> pa.Table:
-    """Of a block pair: pairs of different classes that agree in enough bands."""
-    node, label, second = (left.column(c).to_pylist() for c in ("node", "label", "second"))
-    bands = pc.list_flatten(left.column("bands").combine_chunks()).to_numpy().reshape(-1, BANDS)
-    classes, second = np.array(label), np.array(second)
+def _agreeing(key: tuple, block: pa.Table) -> pa.Table:
+    """Of a block pair: pairs of different classes that agree in enough samples."""
+    node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
+    samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
     one, two = np.flatnonzero(~second), np.flatnonzero(second)
-    if not len(two):
-        two = one
-    out: list[tuple[int, int]] = []
-    for i in one:
-        same = (bands[i][None, :] == bands[two]).sum(axis=1)
-        other = two[(same >= LEAST_BANDS) & (classes[two] != classes[i])]
-        out += [(i, j) for j in other if node[i] < node[j]] if two is one else [(i, j) for j in other]
-    return pa.table({"a": pa.array([min(node[i], node[j]) for i, j in out], pa.int64()),
-                     "b": pa.array([max(node[i], node[j]) for i, j in out], pa.int64())})
+    left, right = [], []
+    for place, i in enumerate(one):
+        rest = two if len(two) else one[place + 1:]
+        rest = rest[label[rest] != label[i]]
+        near = rest[(samples[rest] == samples[i]).sum(axis=1) >= LEAST_SAMPLES]
+        left.append(np.full(len(near), node[i]))
+        right.append(node[near])
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+                for c in ("samples_a", "samples_b"))
+        keep = pa.array((a == b).sum(axis=1) >= LEAST_SAMPLES)
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
 def _agree(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The distinct pairs ``(a, b)`` that share enough bands for the threshold."""
-    side = lambda c: nodes.select(F.col("content").alias(c), F.col("bands").alias(f"bands_{c}"))
+    """The distinct pairs ``(a, b)`` that agree in enough samples for the threshold."""
+    side = lambda c: nodes.select(F.col("content").alias(c), F.col("samples").alias(f"samples_{c}"))
     return (pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-            .where(F.size(F.array_intersect("bands_a", "bands_b")) >= LEAST_BANDS).select("a", "b"))
+            .select("a", "b", "samples_a", "samples_b").mapInArrow(_alike, "a long, b long"))
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
@@ -305,7 +321,7 @@ def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame) -> DataFram
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("pair", "node", "label", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
-             .join(nodes.select(F.col("content").alias("node"), "bands"), "node"))
+             .join(nodes.select(F.col("content").alias("node"), "samples"), "node"))
     return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing, "a long, b long")
 
 
@@ -322,10 +338,10 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
     weights = shingle_weights(spark, rows)
     kind = docs.schema[doc_id].dataType.simpleString()
     sketches = staged(spark, rows.mapInArrow(
-        _sketch(weights), f"{FILE} long, {ROW} long, doc_id {kind}, content long, bands array<long>"), "sketches")
+        _sketch(weights), f"{FILE} long, {ROW} long, doc_id {kind}, content long, bands array<long>, samples binary"), "sketches")
     nodes = staged(spark, sketches.where("bands IS NOT NULL").groupBy("content").agg(
-        F.first("bands").alias("bands"), F.min(F.struct(*KEYS)).alias("at"))
-        .select("content", "bands", F.col(f"at.{FILE}").alias(FILE), F.col(f"at.{ROW}").alias(ROW)), "nodes")
+        F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.min(F.struct(*KEYS)).alias("at"))
+        .select("content", "bands", "samples", F.col(f"at.{FILE}").alias(FILE), F.col(f"at.{ROW}").alias(ROW)), "nodes")
     keys = nodes.select(F.col("content").alias("node"), F.explode("bands").alias("key"))
     shared = staged(spark, keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
     # a similar pair shares LEAST_BANDS buckets, so a text in fewer has no partner
