@@ -22,7 +22,9 @@ each round every bucket that still holds several classes names one member, and
 the members of other classes are compared with it alone. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
-agree in too few samples for the threshold are passed over and the rest verified.
+agree in too few samples for the threshold are passed over. One link is enough
+to join two classes, so a block names the ``BEST`` pairs of two classes that
+agree most, and these are verified.
 Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
@@ -53,9 +55,11 @@ ROWS = 3
 #: at least but for 2 of 10,000 pairs; texts in fewer shared buckets have no partner.
 LEAST_BANDS = 2
 #: A similar pair agrees in about 38 of the 48 samples, and in this many but for
-#: fewer than 1 of 10,000 pairs; only such pairs are verified.
-LEAST_SAMPLES = 27
+#: fewer than 1 of 1,000 pairs; only such pairs are verified.
+LEAST_SAMPLES = 30
 BLOCK = 1024
+#: Pairs of two classes that a block names, those first that agree most.
+BEST = 16
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -166,26 +170,25 @@ def _samples(shingle: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int)
     k = BANDS * ROWS
     best = np.full((n, k), np.inf, dtype=np.float32)
     drawn = np.zeros((n, k), dtype=np.uint64)
-    log_w = np.log(weight.astype(np.float32))
+    log_w, each = np.log(weight.astype(np.float32)), np.arange(k)
     for at in range(0, len(shingle), CHUNK):
         part = slice(at, at + CHUNK)
         own = owner[part]
-        x = shingle[part, None] * _SEEDS[None, :]
+        x = _SEEDS[:, None] * shingle[None, part]  # a row for each sample
         x ^= x >> _U(31)
         x *= _U(0xD6E8FEB86659FD93)
         x ^= x >> _U(32)
-        halves = x.view(np.uint32).reshape(len(own), k, 2)
-        low, high = halves[:, :, 0], halves[:, :, 1]
-        r = _GAMMA[low & np.uint32(4095)]
-        b = (low >> np.uint32(12)).astype(np.float32)
+        halves = x.view(np.uint32).reshape(k, len(own), 2)
+        r = np.take(_GAMMA, (x & _U(4095)).view(np.int64), mode="clip")
+        b = (halves[:, :, 0] >> np.uint32(12)).astype(np.float32)
         b *= np.float32(2.0**-20)
-        score = high.astype(np.float32)
+        score = halves[:, :, 1].astype(np.float32)
         score += np.float32(0.5)
         score *= np.float32(2.0**-31)
         np.log(score, out=score)
         score *= np.float32(0.5)
-        score += _TAIL[high >> np.uint32(20)]
-        t = log_w[part, None] / r
+        score += np.take(_TAIL, (x >> _U(52)).view(np.int64), mode="clip")
+        t = log_w[None, part] / r
         t += b
         np.floor(t, out=t)
         b -= t
@@ -193,13 +196,15 @@ def _samples(shingle: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int)
         b *= r
         score += b  # ln c - r (t - b + 1)
         starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        least = np.minimum.reduceat(score, starts, axis=0)
-        texts = own[starts]
-        better = least < best[texts]
-        size = np.diff(np.append(starts, len(own)))
-        row, col = np.nonzero(score == np.repeat(np.where(better, least, np.float32(-np.inf)), size, axis=0))
-        best[texts] = np.where(better, least, best[texts])
-        drawn[own[row], col] = _mix(shingle[at + row] ^ (t[row, col].astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)))
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True):
+            place = start + score[:, start:stop].argmin(axis=1)
+            least, text = score[each, place], own[start]
+            better = least < best[text]
+            if better.any():
+                place, col = place[better], each[better]
+                best[text, col] = least[better]
+                drawn[text, col] = _mix(shingle[at + place] ^ (
+                    t[col, place].astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)))
     return drawn
 
 
@@ -254,18 +259,36 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
 
 
 def _agreeing(key: tuple, block: pa.Table) -> pa.Table:
-    """Of a block pair: pairs of different classes that agree in enough samples."""
+    """Of a block pair: pairs of different classes that agree in enough samples.
+
+    One link joins two classes, so of any two classes only the ``BEST`` pairs
+    that agree most are named.
+    """
     node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
+    low_band, high_band = block.column("low")[0].as_py(), block.column("high")[0].as_py()
     samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
     one, two = np.flatnonzero(~second), np.flatnonzero(second)
-    left, right = [], []
+    left, right, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for place, i in enumerate(one):
         rest = two if len(two) else one[place + 1:]
         rest = rest[label[rest] != label[i]]
-        near = rest[(samples[rest] == samples[i]).sum(axis=1) >= LEAST_SAMPLES]
-        left.append(np.full(len(near), node[i]))
-        right.append(node[near])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+        equal = samples[rest] == samples[i]
+        same = equal.sum(axis=1)
+        near = same >= LEAST_SAMPLES
+        # a pair meets under each two of its bands; the first two name it
+        bands = equal[near].reshape(-1, BANDS, ROWS).all(axis=2).cumsum(axis=1)
+        near[near] = (bands[:, low_band] == 1) & (bands[:, high_band] == 2)
+        left.append(np.full(int(near.sum()), i))
+        right.append(rest[near])
+        agreed.append(same[near])
+    i, j, same = np.concatenate(left), np.concatenate(right), np.concatenate(agreed)
+    low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+    order = np.lexsort((-same, high, low))
+    i, j, low, high = i[order], j[order], low[order], high[order]
+    new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else i
+    best = np.arange(len(i)) - first < BEST
+    a, b = node[i[best]], node[j[best]]
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
@@ -288,7 +311,8 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Ca
     """Staged links among the distinct pairs ``(a, b)``; and how many there are."""
     pairs = staged(spark, pairs, "pairs")
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    found = (pairs.join(side("a"), "a").join(side("b"), "b")
+    # sort-merge at every size: the texts of a large corpus are not for broadcasting
+    found = (pairs.hint("merge").join(side("a"), "a").hint("merge").join(side("b"), "b")
              .select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long"))
     links, seen = stage_observed(spark, found, "links", {"n": F.count(F.lit(1))})
     return links, seen["n"]
@@ -306,20 +330,21 @@ def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
 
 
 def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of the buckets that still hold several classes, agreeing in enough bands."""
-    two = (mixed.groupBy("node", "label").agg(F.collect_set("key").alias("keys"))  # BANDS at most
+    """Pairs of the buckets that still hold several classes, agreeing in enough samples."""
+    two = (mixed.groupBy("node", "label").agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # BANDS at most
            .select("node", "label", F.explode(F.expr(
-               "flatten(transform(keys, x -> transform(filter(keys, y -> y > x), y -> xxhash64(x, y))))"
-           )).alias("pair")))
+               "flatten(transform(keys, x -> transform(filter(keys, y -> y.band > x.band), "
+               "y -> struct(x.band AS low, y.band AS high, xxhash64(x.key, y.key) AS pair))))"
+           )).alias("p")).select("node", "label", "p.low", "p.high", "p.pair"))
     two = staged(spark, two, "band-pairs")
     size = staged(spark, two.groupBy("pair").agg(
         F.count(F.lit(1)).alias("size"), F.min("label").alias("l1"), F.max("label").alias("l2"))
         .where("l1 != l2").select("pair", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band-pairs")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = (two.join(size, "pair").withColumn("block", block)
-             .select("pair", "node", "label", "block",
+             .select("pair", "low", "high", "node", "label", "block",
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("pair", "node", "label", F.least("block", "other").alias("x"),
+             .select("pair", "low", "high", "node", "label", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
              .join(nodes.select(F.col("content").alias("node"), "samples"), "node"))
     return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing, "a long, b long")
@@ -342,7 +367,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
     nodes = staged(spark, sketches.where("bands IS NOT NULL").groupBy("content").agg(
         F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.min(F.struct(*KEYS)).alias("at"))
         .select("content", "bands", "samples", F.col(f"at.{FILE}").alias(FILE), F.col(f"at.{ROW}").alias(ROW)), "nodes")
-    keys = nodes.select(F.col("content").alias("node"), F.explode("bands").alias("key"))
+    keys = nodes.select(F.col("content").alias("node"), F.posexplode("bands").alias("band", "key"))
     shared = staged(spark, keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
     # a similar pair shares LEAST_BANDS buckets, so a text in fewer has no partner
     inside = staged(spark, keys.join(shared, "key"), "members")
@@ -350,7 +375,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
                     .where(F.col("n") >= LEAST_BANDS).select("node", F.col("node").alias("label")), "classes")
     members = staged(spark, inside.join(labels.select("node"), "node"), "members")
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
-    texts = staged(spark, rows.join(reps, list(KEYS)).select("node", "text"), "texts")
+    texts = staged(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts")
     check = _similar(weights, threshold)
     turn, blocks, total = 0, False, labels.count()
     while True:
@@ -361,7 +386,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
         mixed = staged(spark, mixed.where("l1 != l2").select(
             "key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("lead_label")), "mixed")
         if blocks:
-            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes).distinct()
+            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes)
         else:
             pairs = _agree(held.join(mixed, "key").where("label != lead_label").select(
                 F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")), nodes)
