@@ -26,10 +26,10 @@ from strata.sources.tables import read_by_status, read_source
 from strata.streaming.bronze_stream import is_ready
 
 
-def read_batch_raw(spark: SparkSession, raw_path: str, multiline: bool = True,
-                   encoding: str | None = None) -> DataFrame:
+def read_batch_raw(spark: SparkSession, raw_path: str, multiline: bool = False,
+                   encoding: str | None = None, rejects: str = "fail") -> DataFrame:
     """Raw envelope files -> one row per record text (``movie``); see ``read_raw``."""
-    return read_raw(spark, raw_path, multiline=multiline, encoding=encoding)
+    return read_raw(spark, raw_path, multiline=multiline, encoding=encoding, rejects=rejects)
 
 
 def transform_raw(raw: DataFrame, datasource: str = DEFAULT_DATASOURCE,
@@ -114,8 +114,8 @@ def ingest_classic_data(spark: SparkSession, landing_path: str, raw_path: str,
                         batch_name: str | None = None) -> bool:
     """Land the next ``10 * hours`` backlog rows as JSON lines and delete them.
 
-    Returns ``False`` when the backlog is empty. Give a unique
-    ``tie_breaker`` so that the batch is a total order.
+    Returns ``False`` when the backlog is empty. A ``tie_breaker`` that is
+    unique in the backlog is required: it makes the batch a total order.
     """
     if batch_name is None:
         batch_name = _dt.datetime.now().strftime("%Y-%m-%d-%H-%M-%S-%f")

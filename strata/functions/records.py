@@ -45,8 +45,11 @@ def transform_bronze(bronze: DataFrame, key: str = "movie",
                      dedupe: bool = True) -> DataFrame:
     """X1 + P3 + P4 + A3 as one step: parse, unpack, drop exact duplicates.
 
-    The distinct is a partial + final hash aggregate, so copies of one record
-    collapse map-side before the shuffle.
+    The parsed columns depend on the record text alone, so rows are made
+    distinct by text, status and date *before* the parse: a partial + final
+    hash aggregate that shuffles no parsed field, and each text is parsed once.
     """
-    out = unpack(parse_records(bronze, key=key))
-    return out.dropDuplicates() if dedupe else out
+    if dedupe:
+        kept = [key, *[c for c in ("status", "p_ingestdate") if c in bronze.columns]]
+        bronze = bronze.select(*kept).dropDuplicates()
+    return unpack(parse_records(bronze, key=key))

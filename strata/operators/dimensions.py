@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import distinct_by_key
+from strata.operators.merge import null_safe_join
 
 
 def exploded_genres(records: DataFrame, id_col: str = "Id",
@@ -47,12 +48,13 @@ def append_new_keys(new: DataFrame, existing: DataFrame | None,
                     key: str | Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``existing`` (left anti join).
 
-    A NULL key never matches, so such rows are kept.
+    NULL equals NULL here: a NULL key that the table already holds is not new,
+    so appending twice adds nothing.
     """
     if existing is None:
         return new
     keys = [key] if isinstance(key, str) else list(key)
-    return new.join(existing.select(*keys), keys, "left_anti")
+    return null_safe_join(new, existing, keys, "left_anti")
 
 
 def languages(records: DataFrame, column: str = "OriginalLanguage",

@@ -3,8 +3,9 @@
 The landing table is the backlog. A batch is the first ``10 * hours`` rows in
 ``(month, day, hour)`` order, made total by a unique tie-breaker; it is written
 once as JSON lines, read back, and exactly the rows written are deleted from
-the backlog by key. Landing every batch until the backlog is empty returns
-each backlog row exactly once.
+the backlog by ``name``, ``time`` and the tie-breaker, NULL equal to NULL.
+Landing every batch until the backlog is empty returns each backlog row exactly
+once, whatever its name and time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.functions.activity import with_time_parts
 from strata.operators.merge import merge_delete_path, partition_predicate
@@ -40,14 +42,18 @@ def prepare_activity_path(spark: SparkSession, df: DataFrame, landing_path: str,
     columns plus these columns first, so each task holds a contiguous time
     range and writes into one or two partition directories (no tasks x days
     small files). A hot day is spread over several tasks, since the range
-    bounds also cut on the extra columns.
+    bounds also cut on the extra columns; with a ``tie_breaker`` a hot second is too.
     """
     out = prepare_activity(df, time_col, tz)
     if partition_by and cluster_by is not None:
-        out = out.repartitionByRange(*partition_by, *cluster_by, time_col)
+        out = out.repartitionByRange(*partition_by, *cluster_by, time_col, *_tie_breaker(tie_breaker))
     write_new(out, landing_path, partition_by=partition_by)
 
 
+def _tie_breaker(tie_breaker: str | Sequence[str]) -> list[str]:
+    return [tie_breaker] if isinstance(tie_breaker, str) else list(tie_breaker)
+
+
 def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[str] = (),
                order: Sequence[str] = LANDING_ORDER,
                rows_per_hour: int = LANDING_ROWS_PER_HOUR) -> DataFrame:
@@ -56,7 +62,7 @@ def next_batch(landing: DataFrame, hours: int = 1, tie_breaker: str | Sequence[s
     Planned as ``TakeOrderedAndProject``: each task keeps its own top n, so
     memory is bounded by n per task, whatever the backlog size.
     """
-    tb = [tie_breaker] if isinstance(tie_breaker, str) else list(tie_breaker)
+    tb = _tie_breaker(tie_breaker)
     n = rows_per_hour * hours
     return landing.orderBy(*[F.col(c).asc() for c in list(order) + tb]).limit(n)
 
@@ -65,7 +71,8 @@ def leading_partitions(landing: DataFrame, partition_by: Sequence[str], n: int)
     """Partition value rows, in order, that together hold the first ``n`` rows."""
     parts = list(partition_by)
     keep, total = [], 0
-    for row in landing.groupBy(*parts).count().orderBy(*parts).collect():
+    # every partition holds a row, so the first n partitions are enough
+    for row in landing.groupBy(*parts).count().orderBy(*parts).limit(n).collect():
         keep.append(row)
         total += row["count"]
         if total >= n:
@@ -73,25 +80,17 @@ def leading_partitions(landing: DataFrame, partition_by: Sequence[str], n: int)
     return keep
 
 
-def first_partitions(landing: DataFrame, partition_by: Sequence[str], n: int) -> DataFrame | None:
-    """Filter ``landing`` to the leading partitions that hold its first ``n`` rows.
+def read_backlog(spark: SparkSession, landing_path: str,
+                 partition_by: Sequence[str] = ("month", "day")) -> DataFrame | None:
+    """The backlog, or ``None`` once every partition has been drained.
 
-    Valid when the partition columns are the leading batch-order columns: every
-    row of an earlier partition precedes every row of a later one. Needs one
-    count per partition (partition columns only, so no data column is read);
-    the list of partition counts is bounded by the partition count the file
-    index already holds.
+    The partition columns are read as ``INT``, not inferred: a backlog of which
+    only the NULL partition is left has nothing to infer from.
     """
-    keep = leading_partitions(landing, partition_by, n)
-    if not keep:
-        return None
-    return landing.where(partition_predicate(partition_by, keep))
-
-
-def read_backlog(spark: SparkSession, landing_path: str) -> DataFrame | None:
-    """The backlog, or ``None`` once every partition has been drained."""
     try:
-        return spark.read.parquet(landing_path)
+        data = spark.read.option("recursiveFileLookup", True).parquet(landing_path).schema
+        parts = [StructField(c, IntegerType()) for c in partition_by]
+        return spark.read.schema(StructType([*data.fields, *parts])).parquet(landing_path)
     except AnalysisException as exc:
         if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc):
             return None
@@ -108,9 +107,14 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
 
     Returns the batch folder, or ``None`` when the backlog is empty. The batch
     is evaluated once: the delete uses the rows read back from the written
-    folder, never a second evaluation of the lazy top-n.
+    folder, never a second evaluation of the lazy top-n. ``tie_breaker`` must
+    make rows of one ``(month, day, hour)`` distinct; it is part of the delete
+    key, so rows that share ``name`` and ``time`` stay until they are landed.
     """
-    landing = read_backlog(spark, landing_path)
+    tb = _tie_breaker(tie_breaker)
+    if not tb:
+        raise ValueError("landing needs a tie_breaker that is unique in the backlog")
+    landing = read_backlog(spark, landing_path, partition_by)
     if landing is None:
         return None
     n = rows_per_hour * hours
@@ -129,7 +133,8 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
     time_keyed = "time" in delete_key and set(partition_by) <= {"month", "day", "hour"}
     # the batch came from the `keep` partitions, and a time key stays in its
     # partition, so `keep` is a superset of the partitions the delete touches
-    merge_delete_path(spark, landing_path, written, list(delete_key), partition_by=partition_by,
+    merge_delete_path(spark, landing_path, written, [*delete_key, *tb], partition_by=partition_by,
+                      null_safe=True, schema=landing.schema,
                       keys_row_bound=rows_per_hour * hours, partitions_from_keys=time_keyed,
                       keys_are_files=True,
                       touched_partitions=[{c: r[c] for c in partition_by} for r in keep]

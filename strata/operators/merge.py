@@ -19,15 +19,16 @@ cannot match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.functions.keys import DIGEST, digest, stored_digest_name
 from strata.operators.joins import broadcast_if_small, size_at_most
-from strata.sinks.files import remove_path
+from strata.sinks.files import path_exists, remove_path
 from strata.sinks.staging import stage
 
 _HIT = "__hit"
@@ -114,15 +115,18 @@ def merge_update(target: DataFrame, source: DataFrame, on: str | Sequence[str],
 
 
 def merge_delete(target: DataFrame, keys: DataFrame, on: str | Sequence[str],
-                 broadcast_keys: bool = False) -> DataFrame:
+                 broadcast_keys: bool = False, null_safe: bool = False) -> DataFrame:
     """J3 (pure): target rows whose key is not among ``keys`` (left anti join).
 
-    NULL keys never match, so target rows with a NULL key part are kept.
+    NULL keys never match, so target rows with a NULL key part are kept;
+    with ``null_safe`` NULL equals NULL.
     """
     k = _keys(on)
     src = keys.select(*k)
     if broadcast_keys:
         src = F.broadcast(src)
+    if null_safe:
+        return null_safe_join(target, src, k, "left_anti").select(*target.columns)
     return target.join(src, k, "left_anti").select(*target.columns)
 
 
@@ -137,19 +141,50 @@ def partition_predicate(partition_by: Sequence[str], rows) -> Column:
     Being over partition columns only, it is applied to the file index at
     planning time (``PartitionFilters``): unlisted partitions are never read.
     """
-    parts = list(partition_by)
     if not rows:
         return F.lit(False)
-    if len(parts) == 1:
-        return F.col(parts[0]).isin([r[parts[0]] for r in rows])
-    key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in parts])
-    return key.isin(["\u0001".join(str(r[c]) for c in parts) for r in rows])
+    return partition_text(partition_by).isin([row_text(partition_by, r) for r in rows])
+
+
+_NULL, _SEP = "\u0002", "\u0001"
+
+
+def partition_text(partition_by: Sequence[str]) -> Column:
+    """The partition values of a row as one text, NULL included (never NULL itself)."""
+    return F.concat_ws(_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in partition_by])
+
+
+def _value_text(v) -> str | None:
+    if v is None:
+        return None
+    return str(v).lower() if isinstance(v, bool) else str(v)
+
+
+def row_text(partition_by: Sequence[str], row) -> str:
+    """``partition_text`` of collected partition values."""
+    texts = [_value_text(row[c]) for c in partition_by]
+    return _SEP.join(_NULL if t is None else t for t in texts)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join in which NULL equals NULL; the columns of ``left``."""
+    renamed = right.select(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)])
+    match = F.lit(True)
+    for i, c in enumerate(on):
+        match = match & F.col(c).eqNullSafe(F.col(f"__on{i}"))
+    return left.join(renamed, match, how)
+
+
+def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
+    """A folder written by the file stream sink is read through its log, not its files."""
+    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} holds a file sink's log (_spark_metadata): a rewrite would make it unreadable")
 
 
 def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
                    join_cols: list[str], partition_by: list[str],
-                   max_partitions: int) -> tuple[DataFrame, DataFrame]:
-    """``(touched, scope)``: partitions holding a matched row, and the target pruned to them.
+                   null_safe: bool = False) -> tuple[list, DataFrame]:
+    """``(touched, scope)``: partition values holding a matched row, and the target pruned to them.
 
     With a digest among the join columns, the touched partitions are found
     by the digest alone: a collision can only add a partition to rewrite,
@@ -157,18 +192,17 @@ def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
     target stores the digest (``<key>_digest``) this scan reads 8 bytes per
     row instead of the text column.
 
-    The touched values are staged (one row per partition directory at most).
-    Up to ``max_partitions`` of them are read back and become a static
-    partition filter, pruned at planning time; beyond that bound the scope
-    is a semi join with the staged values and nothing is collected.
+    The touched values are staged and read back: one row per partition
+    directory at most, a list that the driver's file index holds anyway. They
+    become a static partition filter, pruned at planning time.
     """
     probe = [DIGEST] if DIGEST in join_cols else join_cols
-    hits = target.join(keys.select(*probe), probe, "left_semi")
-    touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched")
-    rows = touched.limit(max_partitions + 1).collect()  # partition values only, bounded
-    if len(rows) <= max_partitions:
-        return touched, target.where(partition_predicate(partition_by, rows))
-    return touched, target.join(touched, partition_by, "left_semi")
+    if null_safe:
+        hits = null_safe_join(target, keys, probe, "left_semi")
+    else:
+        hits = target.join(keys.select(*probe), probe, "left_semi")
+    touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched").collect()
+    return touched, target.where(partition_predicate(partition_by, touched))
 
 
 def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
@@ -200,7 +234,6 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
                       on: str | Sequence[str], set_values: SetValues,
                       partition_by: Sequence[str] = ("p_ingestdate",), fmt: str = "parquet",
                       max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 10_000,
                       check_unambiguous: bool = True,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
                       target_filter: Column | None = None,
@@ -229,6 +262,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     """
     keys = _keys(on)
     parts = list(partition_by)
+    _refuse_stream_sink(spark, path)
     full = spark.read.format(fmt).load(path)
     target = full.where(target_filter) if target_filter is not None else full
     use = _use_digest(target, keys)
@@ -247,8 +281,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
         assert_unambiguous(src, _join_cols(keys, use))
     jc = _join_cols(keys, use)
     if parts:
-        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts,
-                                  max_partitions)
+        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts)
         scope = scope.select(*target.columns)
     else:
         scope = target
@@ -258,19 +291,21 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     _write_back(spark, updated.select(*target.columns), path, fmt, parts, sort_within)
 
 
-def _partition_dir(path: str, parts: list[str], row) -> str:
-    return path.rstrip("/") + "/" + "/".join(f"{c}={row[c]}" for c in parts)
+def _partition_dir(spark: SparkSession, path: str, parts: list[str], row) -> str:
+    """The partition's folder as Spark names it: special characters escaped, NULL by its own name."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return path.rstrip("/") + "/" + "/".join(name(c, _value_text(row[c])) for c in parts)
 
 
 def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
                       on: str | Sequence[str], partition_by: Sequence[str] = (),
                       fmt: str = "parquet", max_broadcast_rows: int = 2_000_000,
-                      max_partitions: int = 10_000,
                       keys_row_bound: int | None = None,
                       partitions_from_keys: bool = False,
                       max_broadcast_bytes: int = 128 * 1024 * 1024,
                       keys_are_files: bool = False,
-                      touched_partitions: list | None = None) -> None:
+                      touched_partitions: list | None = None,
+                      null_safe: bool = False, schema=None) -> None:
     """J3 applied to the table at ``path``.
 
     Touched partitions are rewritten without the matched rows. A partition
@@ -287,13 +322,17 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     read of files that nothing here rewrites, so it is not staged again.
     ``touched_partitions``: partition value mappings known to contain every
     matched row (a superset is fine: an untouched partition is rewritten
-    unchanged), which replaces finding them.
+    unchanged), which replaces finding them. ``null_safe``: NULL equals NULL
+    in the keys. ``schema``: the target's, partition columns included; without
+    it a table left with NULL partitions only has no partition type to infer.
     """
     k = _keys(on)
     parts = list(partition_by)
-    target = spark.read.format(fmt).load(path)
+    _refuse_stream_sink(spark, path)
+    reader = spark.read.format(fmt)
+    target = (reader.schema(schema) if schema is not None else reader).load(path)
     present = F.lit(True)
-    for c in k:
+    for c in k if not null_safe else ():
         present = present & F.col(c).isNotNull()
     carry = parts if (parts and partitions_from_keys) else []
     src = keys.select(*k, *carry).where(present)
@@ -310,22 +349,23 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     elif parts and partitions_from_keys:
         touched = src.select(*parts).distinct()
         src_b = src_b.select(*k)
-        if small:  # bounded keys: their partition values are few
-            scope = target.where(partition_predicate(parts, touched.collect()))
-        else:
-            scope = target.join(touched, parts, "left_semi")
+        touched_rows = touched.collect()  # partition values only
+        scope = target.where(partition_predicate(parts, touched_rows))
     elif parts:
-        touched, scope = _touched_scope(spark, target, src_b, k, parts, max_partitions)
+        touched_rows, scope = _touched_scope(spark, target, src_b, k, parts, null_safe)
     else:
-        touched = None
         scope = target
-    kept = merge_delete(scope, src_b, k, broadcast_keys=small).select(*target.columns)
-    emptied = []
-    if parts:  # touched partitions left without rows get no files from the overwrite
-        if touched_partitions is None:
-            touched_rows = touched.collect()  # partition values only, bounded
-        still = {tuple(r) for r in kept.select(*parts).distinct().collect()}  # bounded by the above
-        emptied = [r for r in touched_rows if tuple(r[c] for c in parts) not in still]
-    _write_back(spark, kept, path, fmt, parts)
-    for row in emptied:
-        remove_path(spark, _partition_dir(path, parts, row))
+    kept = merge_delete(scope, src_b, k, broadcast_keys=small, null_safe=null_safe).select(*target.columns)
+    if not parts:
+        _write_back(spark, kept, path, fmt, parts)
+        return
+    if not touched_rows:
+        return
+    # touched partitions left without rows get no files from the overwrite; the
+    # write itself notes which partitions still have rows
+    seen = Observation(f"merge-delete-{uuid.uuid4().hex[:8]}")
+    _write_back(spark, kept.observe(seen, F.collect_set(partition_text(parts)).alias("still")), path, fmt, parts)
+    still = set(seen.get["still"] or ())
+    for row in touched_rows:
+        if row_text(parts, row) not in still:
+            remove_path(spark, _partition_dir(spark, path, parts, row))

@@ -10,6 +10,9 @@ The Bronze status merge is applied once with the per-row outcome
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from strata.schemas import (
     SILVER_COLUMNS,
     SILVER_PARTITION,
     STATUS_NEW,
+    UNPACKED_COLUMNS,
     silver_schema,
 )
 from strata.sinks.catalog import register_table
@@ -38,7 +42,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                      bronze_table: str | None = None, silver_table: str | None = None,
                      nulls: str = "leave", rebuild_silver: bool = False,
                      partition_filter: Column | None = None,
-                     merge_scope: Column | None = None) -> DataFrame:
+                     merge_scope: Column | None = None, profile: dict | None = None) -> DataFrame:
     """C2. Returns the staged, classified batch (22 columns + ``outcome``).
 
     Silver rows keep the status they had when read (``new``), as the source
@@ -46,16 +50,22 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
 
     ``partition_filter`` limits which new rows are read; ``merge_scope``
     limits which Bronze partitions the status merge may touch (default: all,
-    as a MERGE on the record text does).
+    as a MERGE on the record text does). ``profile``, if given, receives the
+    null profile F6 of the batch (``rows``, ``complete_rows``: those without
+    any NULL in the 22 columns), counted by the write that stages it.
     """
     new = read_by_status(spark, bronze_path, STATUS_NEW, partition_filter=partition_filter)
     decided_row = F.col(OUTCOME) != STATUS_NEW
     # size of the merge source (rows, bytes of text + outcome + digest), measured by the staging write
     batch, m = stage_observed(spark, classified_batch(new, nulls), "silver-batch", {
+        "all": F.count(F.lit(1)),
+        "complete": F.count_if(reduce(and_, [F.col(c).isNotNull() for c in UNPACKED_COLUMNS])),
         "rows": F.count_if(decided_row),
         "bytes": F.sum(F.when(decided_row, F.coalesce(F.octet_length("movie"), F.lit(0))
                               + F.octet_length(OUTCOME) + F.lit(8)).otherwise(F.lit(0))),
     })
+    if profile is not None:
+        profile.update(rows=m["all"], complete_rows=m["complete"])
     clean = batch.where(F.col(OUTCOME) == "loaded").select(*SILVER_COLUMNS)
     assert_schema(clean, silver_schema(), nullable=False)  # V2, before any write
     if rebuild_silver:

@@ -16,9 +16,10 @@ from strata.sources.raw import read_raw
 
 def bronze_batch(spark: SparkSession, raw_path: str, datasource: str = DEFAULT_DATASOURCE,
                  ingest_ts: _dt.datetime | str | None = None, key: str = "movie",
-                 multiline: bool = True, encoding: str | None = None) -> DataFrame:
+                 multiline: bool = False, encoding: str | None = None,
+                 rejects: str = "fail") -> DataFrame:
     """S1 + P1 + V1: the Bronze rows of one raw batch (not yet written)."""
-    raw = read_raw(spark, raw_path, key, multiline=multiline, encoding=encoding)
+    raw = read_raw(spark, raw_path, key, multiline=multiline, encoding=encoding, rejects=rejects)
     bronze = ingest_metadata(raw, datasource, ingest_ts, key)
     if key == "movie":
         assert_schema(bronze, BRONZE_SCHEMA)
@@ -28,19 +29,20 @@ def bronze_batch(spark: SparkSession, raw_path: str, datasource: str = DEFAULT_D
 def raw_to_bronze(spark: SparkSession, raw_path: str, bronze_path: str,
                   table: str | None = None, datasource: str = DEFAULT_DATASOURCE,
                   ingest_ts: _dt.datetime | str | None = None,
-                  rebuild: bool = False, multiline: bool = True,
-                  store_digest: bool = False, encoding: str | None = None) -> str:
+                  rebuild: bool = False, multiline: bool = False,
+                  store_digest: bool = False, encoding: str | None = None,
+                  rejects: str = "fail") -> str:
     """Append (or, with ``rebuild``, replace) a raw batch into Bronze.
 
     Scan, explode, stamp and write run as one stage per input file: no
     shuffle. All rows of a batch share one ``p_ingestdate``, so the write is
-    *not* repartitioned on it. ``multiline=False`` reads JSON-lines envelopes
-    (splittable; see ``read_raw``). ``store_digest`` adds ``movie_digest``
+    *not* repartitioned on it. ``multiline=True`` reads one document per file
+    (see ``read_raw``, also for ``rejects``). ``store_digest`` adds ``movie_digest``
     so that later merges scan 8 bytes per row, not the text (see
     ``with_stored_digest``); the five reference columns are unchanged.
     """
     out = bronze_batch(spark, raw_path, datasource, ingest_ts, multiline=multiline,
-                       encoding=encoding).select(*BRONZE_WRITE_ORDER)
+                       encoding=encoding, rejects=rejects).select(*BRONZE_WRITE_ORDER)
     if store_digest:
         out = with_stored_digest(out)
     if rebuild:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.records import transform_bronze
@@ -26,14 +26,11 @@ from strata.schemas import (
 )
 from strata.sinks.catalog import register_table
 from strata.sinks.files import path_exists
-from strata.sinks.staging import stage_observed
+from strata.sinks.staging import stage, stage_observed
 from strata.sinks.writers import append, batch_writer, overwrite
 from strata.sources.tables import read_by_status
 
 
-ONE_FILE_MAX_ROWS = 1_000_000
-
-
 @dataclass
 class RepairResult:
     repaired: DataFrame          # staged repaired batch (22 columns)
@@ -57,9 +54,15 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
                        genre_path: str | None = None, language_path: str | None = None,
                        bronze_table: str | None = None, silver_table: str | None = None,
                        genre_table: str | None = None, language_table: str | None = None,
-                       recheck: bool = False, distinct_languages: bool = False) -> RepairResult:
-    """C3 with the dimension tables of G1 and G3."""
-    q = read_by_status(spark, bronze_path, STATUS_QUARANTINED)
+                       recheck: bool = False, distinct_languages: bool = False,
+                       partition_filter: Column | None = None,
+                       merge_scope: Column | None = None) -> RepairResult:
+    """C3 with the dimension tables of G1 and G3.
+
+    ``partition_filter`` limits which quarantined rows are read; ``merge_scope``
+    limits which Bronze partitions the status merge may touch, as in C2.
+    """
+    q = read_by_status(spark, bronze_path, STATUS_QUARANTINED, partition_filter=partition_filter)
     # merge source size (rows, bytes of text + "loaded" + digest), measured by the staging write
     batch, m = stage_observed(spark, repaired_batch(q, recheck), "repair-batch", {
         "rows": F.count(F.lit(1)),
@@ -72,16 +75,15 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
     merge_update_path(spark, bronze_path, batch.select("movie"), "movie",
                       {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
                       source_is_stable=True, sort_within=("status",),
-                      source_bound=(m["rows"], m["bytes"] or 0))
+                      source_bound=(m["rows"], m["bytes"] or 0), target_filter=merge_scope)
     if bronze_table:
         register_table(spark, bronze_table, bronze_path)
     added = langs = None
     if genre_path:
         existing = spark.read.parquet(genre_path) if path_exists(spark, genre_path) else None
         added = append_new_keys(genre_lookup(batch), existing, "genre_id")
-        added, g = stage_observed(spark, added, "genre-new", {"rows": F.count(F.lit(1))})
-        # a dimension append measured small goes out as one file, not one per task
-        append(added.coalesce(1) if g["rows"] <= ONE_FILE_MAX_ROWS else added, genre_path)
+        added = stage(spark, added, "genre-new")
+        append(added, genre_path)
         if genre_table:
             register_table(spark, genre_table, genre_path, partitioned=False)
     if language_path:

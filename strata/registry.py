@@ -9,6 +9,7 @@ DataFrame whose columns match the oracle's by name.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,15 @@ from strata.plans.raw_to_bronze import raw_to_bronze
 from strata.plans.silver_update import repair_quarantined
 from strata.schemas import BRONZE_SCHEMA, BRONZE_WRITE_ORDER, SILVER_COLUMNS
 from strata.session import fresh_dir, unique_name
-from strata.sinks.envelope import write_envelope
+from strata.sinks.envelope import write_envelope, write_envelope_documents
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
-from strata.sources.raw import peek_raw, raw_inventory, read_raw
+from strata.sources.raw import peek_raw, raw_inventory, raw_rejects, read_raw
 from strata.sources.tables import read_by_status
 from strata.streaming.bronze_stream import progress_rows, run_raw_to_bronze
 
 INGEST_TS = "2024-01-31 12:00:00"
 INGEST_DATE = "2024-01-31"
+LATER_TS, LATER_DATE = "2030-02-01 12:00:00", "2030-02-01"
 DATASOURCE = "raw-files"
 RECORDS_PER_FILE = 2000
 REC_COLS = ["Id", "Title", "Budget", "RunTime"]
@@ -50,16 +52,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # --- shared steps -------------------------------------------------------------
 
-def _envelope(spark: SparkSession, sf: str, records: DataFrame | None = None) -> str:
+def _envelope(spark: SparkSession, sf: str, multiline: bool = False) -> str:
+    """Envelope files of ``m``: JSON lines, or documents of many records for the multi-line reader."""
     path = fresh_dir(spark, "raw")
-    write_envelope(records if records is not None else movie_records(spark, sf), path,
-                   records_per_file=RECORDS_PER_FILE)
+    if multiline:
+        write_envelope_documents(movie_records(spark, sf), path, records_per_file=RECORDS_PER_FILE)
+    else:
+        write_envelope(movie_records(spark, sf), path)
     return path
 
 
 def _parsed(spark: SparkSession, sf: str, multiline: bool = False) -> DataFrame:
     """Envelope files written from ``m``, read back (S1) and parsed."""
-    return parse_records(read_raw(spark, _envelope(spark, sf), multiline=multiline), keep=())
+    return parse_records(read_raw(spark, _envelope(spark, sf, multiline), multiline=multiline), keep=())
 
 
 def _bronze(spark: SparkSession, sf: str) -> str:
@@ -126,7 +131,7 @@ def q_json_corrupt(spark, sf):
 
 
 def q_ingest_metadata(spark, sf):
-    raw = read_raw(spark, _envelope(spark, sf), multiline=True)
+    raw = read_raw(spark, _envelope(spark, sf, multiline=True), multiline=True)
     b = assert_schema(ingest_metadata(raw, DATASOURCE, INGEST_TS), BRONZE_SCHEMA)
     return _with_id(b).select("Id", "datasource", "status", "p_ingestdate")
 
@@ -317,7 +322,7 @@ def _stream(spark, sf):
     runs = []
     early = F.col("OriginalLanguage") < "FURNITURE"
     for i, part in enumerate((m.where(early), m.where(~early)), start=1):
-        write_envelope(part, f"{raw_dir}/drop-{i}", records_per_file=RECORDS_PER_FILE)
+        write_envelope(part, f"{raw_dir}/drop-{i}")
         runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
                                       datasource=DATASOURCE, ingest_ts=INGEST_TS))
     runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
@@ -331,15 +336,89 @@ def q_stream_bronze(spark, sf):
 
 
 def q_stream_progress(spark, sf):
-    _, runs = _stream(spark, sf)
-    return progress_rows(spark, runs)
+    """R2 over more micro-batches than the session retains progress reports for (100)."""
+    raw_dir, ckpt = fresh_dir(spark, "raw-drops"), fresh_dir(spark, "stream-ckpt")
+    write_envelope(movie_records(spark, sf).repartition(104, "Id"), f"{raw_dir}/drop")
+    run = run_raw_to_bronze(spark, f"{raw_dir}/*", fresh_dir(spark, "bronze"), ckpt, unique_name("progress"),
+                            datasource=DATASOURCE, ingest_ts=INGEST_TS, max_files_per_trigger=1)
+    return progress_rows(spark, [run]).agg(F.sum("numInputRows").alias("envelopes"),
+                                           (F.count(F.lit(1)) > 100).alias("over_100"))
+
+
+def q_stream_to_silver(spark, sf):
+    """R1 twice, on two dates, C2 after each, then C3: the stream's Bronze stays a plain table."""
+    m, raw_dir = movie_records(spark, sf), fresh_dir(spark, "raw-drops")
+    bronze, silver, ckpt = fresh_dir(spark, "bronze"), fresh_dir(spark, "silver"), fresh_dir(spark, "stream-ckpt")
+    name, early = unique_name("raw_to_bronze"), F.col("OriginalLanguage") < "FURNITURE"
+    for i, (part, at) in enumerate(((m.where(early), INGEST_TS), (m.where(~early), LATER_TS)), start=1):
+        write_envelope(part, f"{raw_dir}/drop-{i}")
+        run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, datasource=DATASOURCE, ingest_ts=at)
+        bronze_to_silver(spark, bronze, silver)
+    repair_quarantined(spark, bronze, silver)
+    return _with_id(spark.read.parquet(bronze)).select("Id", "status", "p_ingestdate")
+
+
+def q_raw_rejects(spark, sf):
+    """S1 with documents cut short: each document is accepted or told as rejected."""
+    o, path = table(spark, sf, "orders"), fresh_dir(spark, "raw")
+    whole = F.concat(F.lit('{"movie":[{"Id":'), F.col("o_orderkey").cast("string"), F.lit("}]}"))
+    short = F.col("o_orderpriority") == "2-HIGH"
+    o.select(F.when(short, F.substring(whole, 1, 14)).otherwise(whole).alias("value")).write.text(path)
+    accepted = read_raw(spark, path, rejects="skip").agg(F.count(F.lit(1)).alias("n"))
+    rejected = raw_rejects(spark, path).agg(F.count(F.lit(1)).alias("n"))
+    return (accepted.select(F.lit("accepted").alias("kind"), "n")
+            .unionByName(rejected.select(F.lit("rejected").alias("kind"), "n")))
+
+
+def q_merge_multi_date(spark, sf):
+    """C2 and C3 on a Bronze of many ingest dates, one NULL, with records repeated on a later date."""
+    text = F.to_json(F.struct("Id", "Title", "Budget", "RunTime", "OriginalLanguage", "ReleaseDate", "genres"))
+    m = movie_records(spark, sf)
+    day = F.when(F.col("Id") % 50 == 0, F.lit(None)).otherwise(F.trunc(F.col("ReleaseDate").cast("date"), "month"))
+    rows = m.select("Id", text.alias("movie"), day.cast("date").alias("day"))
+    again = rows.where(F.col("Id") % 4 == 0).withColumn("day", F.lit(LATER_DATE).cast("date"))
+    both = rows.unionByName(again).select("movie", "day")
+    bronze, silver = fresh_dir(spark, "bronze-dates"), fresh_dir(spark, "silver-dates")
+    (both.select(F.lit(DATASOURCE).alias("datasource"), F.lit(INGEST_TS).cast("timestamp").alias("ingesttime"),
+                 "movie", F.lit("new").alias("status"), F.col("day").alias("p_ingestdate"))
+     .select(*BRONZE_WRITE_ORDER).write.partitionBy("p_ingestdate").parquet(bronze))
+    bronze_to_silver(spark, bronze, silver)
+    repair_quarantined(spark, bronze, silver)
+    return _with_id(spark.read.parquet(bronze)).select("Id", "p_ingestdate", "status")
+
+
+def q_merge_delete_escaped(spark, sf):
+    """J3 where the emptied partitions are NULL and one whose name Spark escapes."""
+    path, seg = fresh_dir(spark, "escaped"), F.col("c_mktsegment")
+    c = table(spark, sf, "customer").select("c_custkey", F.when(seg == "BUILDING", "a:b=%/c").when(
+        seg == "MACHINERY", F.lit(None)).otherwise(seg).alias("p"))
+    c.write.partitionBy("p").parquet(path)
+    doomed = c.where(F.col("p").isNull() | (F.col("p") == "a:b=%/c") | (F.col("c_custkey") % 3 == 0))
+    merge_delete_path(spark, path, doomed.select("c_custkey"), "c_custkey", partition_by=("p",))
+    return spark.read.parquet(path).select("c_custkey")
+
+
+def q_land_drain_full(spark, sf):
+    """C4 until the backlog is empty: many rows share name and time, some have none."""
+    landing, raw_dir = fresh_dir(spark, "landing"), fresh_dir(spark, "landed")
+    a = activity_records(spark, sf)
+    shared = a.select("event_id", F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 5).cast("string")).alias("name"),
+                      F.when(F.col("event_id") % 11 != 0, F.col("time") - F.col("time") % 86400).alias("time"))
+    prepare_activity_path(spark, shared, landing, tz="UTC", tie_breaker="event_id")
+    schema, batches = spark.read.parquet(landing).schema, []
+    while (out := land_next_batch(spark, landing, raw_dir, hours=300, tie_breaker="event_id",
+                                  batch_name=f"batch-{len(batches) + 1}")) is not None:
+        batches.append(spark.read.schema(schema).json(out).select("event_id", F.lit(len(batches) + 1).alias("batch")))
+    return reduce(DataFrame.unionByName, batches)
 
 
 def q_raw_inventory(spark, sf):
+    """The listed files, joined with the records that each holds."""
     path = _envelope(spark, sf)
-    inv = raw_inventory(spark, path, "*.txt")
-    return inv.select(F.element_at(F.split("path", "/"), -1).alias("file"),
-                      (F.col("length") > 0).alias("non_empty"))
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    inv = raw_inventory(spark, path, "*.txt").where("length > 0").select(name("path").alias("file"))
+    held = spark.read.text(path).groupBy(name("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return inv.join(held, "file").agg(F.sum("n").alias("records"))
 
 
 def q_merge_hot_key(spark, sf):
@@ -370,7 +449,8 @@ def q_split_nulls_quarantine(spark, sf):
 
 def q_raw_peek(spark, sf):
     """The first lines of the raw files (the limit is the feature: a peek)."""
-    return peek_raw(spark, _envelope(spark, sf), 3).select(F.length("value").alias("chars"))
+    return peek_raw(spark, _envelope(spark, sf), 3).select(
+        F.col("value").like('{"movie":[{%}]}').alias("envelope"))
 
 
 def q_split_outcome(spark, sf):
@@ -412,6 +492,11 @@ _QUERIES: dict[str, Query] = {
     "medallion_e2e": q_medallion_e2e,
     "stream_bronze": q_stream_bronze,
     "stream_progress": q_stream_progress,
+    "stream_to_silver": q_stream_to_silver,
+    "raw_rejects": q_raw_rejects,
+    "merge_multi_date": q_merge_multi_date,
+    "merge_delete_escaped": q_merge_delete_escaped,
+    "land_drain_full": q_land_drain_full,
     "raw_inventory": q_raw_inventory,
     "raw_peek": q_raw_peek,
 }
@@ -524,6 +609,29 @@ UNION ALL
 SELECT 'silver', CASE WHEN outcome = 'loaded' THEN 'new' ELSE 'quarantined' END, count(*)
 FROM mc WHERE outcome <> 'new' GROUP BY 2""",
     "stream_bronze": M + f"SELECT Id, 'new' AS status, DATE '{INGEST_DATE}' AS p_ingestdate FROM m",
+    "stream_progress": M + "SELECT CAST(count(*) AS BIGINT) AS envelopes, true AS over_100 FROM m",
+    "stream_to_silver": M + f"""
+SELECT Id, CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END AS status,
+       CASE WHEN OriginalLanguage < 'FURNITURE' THEN DATE '{INGEST_DATE}' ELSE DATE '{LATER_DATE}' END AS p_ingestdate
+FROM mc""",
+    "raw_rejects": """
+SELECT CASE WHEN o_orderpriority = '2-HIGH' THEN 'rejected' ELSE 'accepted' END AS kind, count(*) AS n
+FROM orders GROUP BY 1""",
+    "merge_multi_date": M + f"""
+SELECT Id, CASE WHEN Id % 50 <> 0 THEN CAST(date_trunc('month', CAST(ReleaseDate AS DATE)) AS DATE) END AS p_ingestdate,
+       CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END AS status FROM mc
+UNION ALL
+SELECT Id, DATE '{LATER_DATE}', CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END FROM mc WHERE Id % 4 = 0""",
+    "merge_delete_escaped": """
+SELECT c_custkey FROM customer
+WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') AND c_custkey % 3 <> 0""",
+    "land_drain_full": ACT + """
+SELECT event_id, CAST((row_number() OVER (
+         ORDER BY CASE WHEN event_id % 11 <> 0 THEN month END NULLS FIRST,
+                  CASE WHEN event_id % 11 <> 0 THEN day END NULLS FIRST, event_id) - 1) // 3000 + 1 AS INTEGER) AS batch
+FROM a""",
+    "raw_inventory": M + "SELECT CAST(count(*) AS BIGINT) AS records FROM m",
+    "raw_peek": "SELECT true AS envelope FROM range(3)",
 }
 
 

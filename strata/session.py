@@ -42,7 +42,8 @@ def scratch_root(spark: SparkSession) -> str:
 
     When the session names none (tests, local runs) a fresh private folder is
     created and installed as the checkpoint directory, so ``checkpoint()``
-    and staged writes land in the same place.
+    and staged writes land in the same place. On a cluster an unset folder is
+    an error: each machine would write to its own disk.
     """
     conf_dir = spark.conf.get(_CHECKPOINT_KEY, None)
     if conf_dir:
@@ -52,6 +53,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="strata-run-", dir="/tmp")
     spark.conf.set(_CHECKPOINT_KEY, local)
     sc.setCheckpointDir(local)

@@ -17,7 +17,8 @@ def register_table(spark: SparkSession, table: str, path: str, fmt: str = "parqu
     shows no rows until its partitions are recovered.
     """
     spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
-    spark.sql(f"CREATE TABLE {_q(table)} USING {fmt} LOCATION '{path}'")
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {_q(table)} USING {fmt} LOCATION '{where}'")
     if partitioned and fmt != "delta":
         try:
             spark.catalog.recoverPartitions(table)

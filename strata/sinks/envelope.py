@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_envelope(records: DataFrame, path: str, key: str = "movie",
-                   records_per_file: int = 5000, one_per_file: bool = True) -> None:
-    """Group consecutive records of each partition into documents and write them.
+def write_envelope(records: DataFrame, path: str, key: str = "movie") -> None:
+    """Each record as an envelope of its own, one per line (JSON lines).
+
+    The text is rendered in the JVM (``to_json``), so a record reads back as
+    ``to_json`` gives it. No shuffle, no group, no Python.
+    """
+    one = F.concat(F.lit('{"%s":[' % key), F.to_json(F.struct(*records.columns)), F.lit("]}"))
+    records.select(one.alias("value")).write.mode("errorifexists").text(path)
+
+
+def write_envelope_documents(records: DataFrame, path: str, key: str = "movie",
+                             records_per_file: int = 5000) -> None:
+    """Envelopes of many records, each document its own file (the multi-line layout).
 
-    Each record's JSON text is rendered in the JVM (``to_json``), so a record
-    reads back byte-identical to what ``to_json`` of the array would give.
     Documents are cut from consecutive rows of one Arrow batch, at most
-    ``records_per_file`` each, by a string join. There is no shuffle and no
-    group that grows with the data or with a repeated key. A retried task
-    re-forms the documents of its own partition, so a lost executor cannot
-    drop or duplicate records.
-
-    Each document is one line; with ``one_per_file`` (default) each is also
-    its own file, so both the multi-line reader (first document per file)
-    and the JSON-lines reader see every record.
+    ``records_per_file`` each, by a string join in the task: no shuffle and no
+    group that grows with the data. A retried task re-forms the documents of
+    its own partition.
     """
     texts = records.select(F.to_json(F.struct(*records.columns)).alias("r"))
     head, tail, n = '{"%s":[' % key, "]}", int(records_per_file)
@@ -33,7 +36,5 @@ def write_envelope(records: DataFrame, path: str, key: str = "movie",
             yield pd.DataFrame({"value": [head + ",".join(r[i:i + n]) + tail
                                           for i in range(0, len(r), n)]})
 
-    w = texts.mapInPandas(documents, "value STRING").write.mode("errorifexists")
-    if one_per_file:
-        w = w.option("maxRecordsPerFile", 1)
-    w.text(path)
+    (texts.mapInPandas(documents, "value STRING").write.mode("errorifexists")
+     .option("maxRecordsPerFile", 1).text(path))

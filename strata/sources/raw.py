@@ -2,24 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import RAW_ENVELOPE_DDL
 
+#: Column in which the JSON reader keeps a document that it could not parse.
+CORRUPT = "__unparsed"
+
+
+def kept_records(envelopes: DataFrame, key: str, rejects: str) -> DataFrame:
+    """One row per record; a document in ``CORRUPT`` fails the query or is left out."""
+    if rejects not in ("fail", "skip"):
+        raise ValueError("rejects is 'fail' or 'skip'")
+    bad = F.col(CORRUPT).isNotNull()
+    if rejects == "skip":
+        return envelopes.where(~bad).select(F.explode(F.col(key)).alias(key))
+    told = F.raise_error(F.concat(F.lit("raw document does not parse: "), F.substring(CORRUPT, 1, 200)))
+    records: Column = F.when(bad, told.cast(envelopes.schema[key].dataType)).otherwise(F.col(key))
+    return envelopes.select(F.explode(records).alias(key))
+
 
 def read_raw(spark: SparkSession, path: str, key: str = "movie",
-             schema: str = RAW_ENVELOPE_DDL, multiline: bool = True,
-             encoding: str | None = None) -> DataFrame:
+             schema: str = RAW_ENVELOPE_DDL, multiline: bool = False,
+             encoding: str | None = None, rejects: str = "fail") -> DataFrame:
     """One row per array element, kept as its exact JSON source text.
 
     Explicit schema (no inference pass). A missing key or an empty array gives
-    no row; a malformed document gives none either (PERMISSIVE).
+    no row. A document that does not parse fails the query, or with
+    ``rejects="skip"`` is left out (``raw_rejects`` returns such documents);
+    none is lost unnoticed.
 
-    ``multiline=True`` (default) reads one possibly pretty-printed document
-    per file: one task per file, the whole file in memory. ``multiline=False``
-    reads JSON lines, one document per line (the layout ``write_envelope``
-    produces): files split across tasks. Both keep each record's text byte
+    By default the files hold JSON lines, one document per line (the layout
+    ``write_envelope`` produces): files split across tasks. ``multiline=True``
+    reads one possibly pretty-printed document per file: one task per file, the
+    whole file in memory. That reader takes only the first document of a file,
+    so the files are checked first (one pass), and one that holds anything but
+    one document is an error, or skipped. Both keep each record's text byte
     for byte.
 
     ``encoding`` (multi-line only): by default the charset is detected and
@@ -28,13 +47,41 @@ def read_raw(spark: SparkSession, path: str, key: str = "movie",
     re-serialized compactly: whitespace inside a pretty-printed record is
     dropped, which changes the text key. Use it only for compact documents.
     """
-    r = spark.read.schema(schema)
+    r = spark.read.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+    if not multiline:
+        return kept_records(r.json(path), key, rejects)
+    r = r.option("multiLine", True)
+    if encoding:
+        r = r.option("encoding", encoding)
+    bad = raw_rejects(spark, path, key, schema, multiline=True)
+    if rejects == "fail":
+        first = bad.limit(1).collect()
+        if first:
+            raise ValueError(f"{first[0].path} does not hold exactly one JSON document")
+        return kept_records(r.json(path), key, rejects)
+    docs = r.json(path).withColumn("__path", F.col("_metadata.file_path"))
+    good = docs.join(bad.select(F.col("path").alias("__path")), "__path", "left_anti")
+    return kept_records(good, key, rejects)
+
+
+def raw_rejects(spark: SparkSession, path: str, key: str = "movie",
+                schema: str = RAW_ENVELOPE_DDL, multiline: bool = False) -> DataFrame:
+    """Documents that ``read_raw`` does not accept: ``(path, document)``.
+
+    JSON lines: the lines that do not parse. Multi-line: whole files that do
+    not hold exactly one JSON document (none, a broken one, or several).
+    """
     if multiline:
-        r = r.option("multiLine", True)
-        if encoding:
-            r = r.option("encoding", encoding)
-    env = r.json(path)
-    return env.select(F.explode(F.col(key)).alias(key))
+        docs = spark.read.text(path, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+        one = F.json_array_length(F.concat(F.lit("["), F.col("document"), F.lit("]"))) == 1
+        return docs.where(~F.coalesce(one, F.lit(False)))
+    # a text scan and from_json: the JSON scan does not answer for its corrupt column alone
+    shape = f"{schema}, {CORRUPT} STRING"
+    parsed = F.from_json("document", shape, {"columnNameOfCorruptRecord": CORRUPT})
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+    return (lines.where(F.trim("document") != "").withColumn("x", parsed)
+            .where(F.col(f"x.{CORRUPT}").isNotNull()).select("path", "document"))
 
 
 def raw_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

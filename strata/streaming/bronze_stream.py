@@ -3,35 +3,70 @@
 The file source remembers in its checkpoint which files it has read, so each
 run ingests exactly the envelope files not yet seen; ``availableNow`` drains
 them in bounded micro-batches and stops. Same transforms as the batch step.
+
+Each micro-batch is appended to Bronze as the batch step appends, with no sink
+log in the Bronze folder, so C2 and C3 may rewrite it. A small record under
+``<checkpoint>/applied`` names each applied batch; a batch that is handed over
+again after a restart is passed over. (Between the append's commit and that
+record a crash can repeat one micro-batch: plain files have no transaction
+over both.)
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata, with_stored_digest
 from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER, RAW_ENVELOPE_DDL
+from strata.sinks.files import path_exists
+from strata.sinks.writers import append_partitioned
+from strata.sources.raw import CORRUPT, kept_records
+
+PROGRESS_DDL = "name STRING, batchId BIGINT, numInputRows BIGINT"
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, key: str = "movie",
-               max_files_per_trigger: int | None = None, multiline: bool = True,
+               max_files_per_trigger: int | None = None, multiline: bool = False,
                archive_dir: str | None = None) -> DataFrame:
-    """Streaming S1: envelopes with an explicit schema, exploded (see ``read_raw``).
+    """Streaming S1: envelopes with an explicit schema (see ``read_raw``), not yet exploded.
 
     ``max_files_per_trigger`` bounds each micro-batch. ``archive_dir`` moves
     processed files out of the source folder (``cleanSource=archive``), so
     the listing each trigger performs does not grow with history.
     """
-    r = spark.readStream.format("json").option("multiLine", multiline).schema(RAW_ENVELOPE_DDL)
+    r = (spark.readStream.format("json").option("multiLine", multiline)
+         .option("columnNameOfCorruptRecord", CORRUPT).schema(f"{RAW_ENVELOPE_DDL}, {CORRUPT} STRING"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.load(raw_dir).select(F.explode(F.col(key)).alias(key))
+    return r.load(raw_dir)
+
+
+def _applied(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}/applied"
+
+
+def apply_batch(envelopes: DataFrame, batch_id: int, bronze_path: str, checkpoint: str, name: str,
+                datasource: str = DEFAULT_DATASOURCE, ingest_ts: _dt.datetime | str | None = None,
+                store_digest: bool = False, rejects: str = "fail", key: str = "movie") -> bool:
+    """Append one micro-batch of envelopes to Bronze, once; False if it was applied before."""
+    spark = envelopes.sparkSession
+    done = f"{_applied(checkpoint)}/batch-{batch_id:012d}"
+    if path_exists(spark, f"{done}/_SUCCESS"):
+        return False
+    seen = Observation(f"envelopes-{uuid.uuid4().hex[:8]}")
+    counted = envelopes.observe(seen, F.count(F.lit(1)).alias("n"))
+    rows = ingest_metadata(kept_records(counted, key, rejects), datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
+    append_partitioned(with_stored_digest(rows) if store_digest else rows, bronze_path, BRONZE_PARTITION)
+    (spark.createDataFrame([(name, batch_id, seen.get["n"])], PROGRESS_DDL).coalesce(1)
+     .write.mode("overwrite").json(done))
+    return True
 
 
 def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
@@ -40,21 +75,22 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
                         ingest_ts: _dt.datetime | str | None = None,
                         available_now: bool = True,
                         max_files_per_trigger: int | None = None,
-                        multiline: bool = True,
+                        multiline: bool = False,
                         archive_dir: str | None = None,
-                        store_digest: bool = False) -> StreamingQuery:
+                        store_digest: bool = False, rejects: str = "fail") -> StreamingQuery:
     """Start the named stream appending to Bronze (partitioned Parquet)."""
     src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger,
                      multiline=multiline, archive_dir=archive_dir)
-    rows = ingest_metadata(src,
-                           datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
-    if store_digest:
-        rows = with_stored_digest(rows)
-    w = (rows.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).partitionBy(BRONZE_PARTITION)
-         .queryName(name))
+
+    def apply(envelopes: DataFrame, batch_id: int) -> None:
+        apply_batch(envelopes, batch_id, bronze_path, checkpoint, name, datasource, ingest_ts,
+                    store_digest, rejects)
+
+    w = src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start(bronze_path)
+    query = w.start()
+    query.applied = _applied(checkpoint)
+    return query
 
 
 def run_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
@@ -68,14 +104,16 @@ def run_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
 
 
 def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """R2: ``(name, batchId, numInputRows)`` for each progress report.
+    """R2: ``(name, batchId, numInputRows)`` for each micro-batch that the queries' streams applied.
 
-    Progress reports are small driver-side metadata (one per micro-batch).
-    ``numInputRows`` counts source rows (envelopes), not exploded records.
+    Read from the records beside the checkpoints, so every batch is there:
+    those of earlier runs, and more than the session retains in
+    ``recentProgress``. ``numInputRows`` counts envelopes, not exploded records.
     """
-    rows = [(q.name, int(p["batchId"]), int(p["numInputRows"]))
-            for q in queries for p in q.recentProgress]
-    return spark.createDataFrame(rows, "name STRING, batchId BIGINT, numInputRows BIGINT")
+    paths = sorted({f"{q.applied}/*" for q in queries if path_exists(spark, q.applied)})
+    if not paths:
+        return spark.createDataFrame([], PROGRESS_DDL)
+    return spark.read.schema(PROGRESS_DDL).json(paths)
 
 
 def is_ready(query: StreamingQuery, progressions: int = 3) -> bool:

@@ -12,7 +12,7 @@ from conftest import SF0001
 
 def test_source_style_flow(spark):
     raw = fresh_dir(spark, "a-raw")
-    write_envelope(movie_records(spark, SF0001), raw, records_per_file=500)
+    write_envelope(movie_records(spark, SF0001), raw)
     bronze = fresh_dir(spark, "a-bronze")
     api.transform_raw(api.read_batch_raw(spark, raw), ingest_ts="2024-01-31 12:00:00") \
         .select(*BRONZE_WRITE_ORDER).write.partitionBy("p_ingestdate").parquet(bronze)

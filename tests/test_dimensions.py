@@ -40,6 +40,13 @@ def test_append_new_keys(spark):
     assert got == [2, 3]
 
 
+def test_append_new_keys_null_once(spark):
+    ddl = "genre_id INT, genre_name STRING"
+    new = spark.createDataFrame([(None, "x"), (1, "Drama")], ddl)
+    assert append_new_keys(new, spark.createDataFrame([(None, "x")], ddl), "genre_id").collect()[0].genre_id == 1
+    assert append_new_keys(new, new, "genre_id").count() == 0
+
+
 def test_languages_bag_and_set(spark):
     assert languages(_records(spark)).count() == 6
     assert languages(_records(spark), distinct=True).count() == 3

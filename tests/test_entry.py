@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata import registry
 
 from conftest import SF0001
 
@@ -36,10 +37,10 @@ def test_entry_smoke(spark):
 
 def test_oracles_cover_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) <= {"stream_progress", "raw_inventory", "raw_peek"}
+    assert set(registry.queries()) == set(registry.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF0001)
     plan = df._jdf.queryExecution().executedPlan().toString()

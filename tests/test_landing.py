@@ -1,3 +1,5 @@
+import pytest
+from pyspark.sql import functions as F
 
 from strata.functions.activity import epoch_seconds_of_ntz
 from strata.operators.landing import (
@@ -57,3 +59,37 @@ def test_draining_returns_each_row_once(spark):
     assert out is None  # drained
     assert sizes[:-1] == [300] * (len(sizes) - 1) and 0 < sizes[-1] <= 300
     assert sorted(landed) == sorted(r.event_id for r in src.select("event_id").collect())
+
+
+def test_draining_shared_and_null_keys(spark):
+    """Rows that share name and time, and rows without them, land once each."""
+    rows = [(i, None if i % 4 == 0 else "n", None if i % 5 == 0 else 1704070807 + 86400 * (i % 3)) for i in range(70)]
+    src = spark.createDataFrame(rows, "event_id INT, name STRING, time BIGINT")
+    landing, raw, landed = fresh_dir(spark, "t-shared"), fresh_dir(spark, "t-shared-raw"), []
+    prepare_activity_path(spark, src, landing, tz="UTC", tie_breaker="event_id")
+    for i in range(20):
+        out = land_next_batch(spark, landing, raw, hours=1, tie_breaker="event_id", batch_name=f"b{i}")
+        if out is None:
+            break
+        batch = [r.event_id for r in spark.read.json(out).collect()]
+        assert len(batch) == 10
+        landed += batch
+    assert out is None and sorted(landed) == list(range(70))
+
+
+def test_a_tie_breaker_is_required(spark):
+    with pytest.raises(ValueError):
+        land_next_batch(spark, fresh_dir(spark, "t-none"), fresh_dir(spark, "t-none-raw"))
+
+
+def test_a_hot_second_is_spread(spark):
+    src = spark.range(20_000).selectExpr("id AS event_id", "'n' AS name", "1704070807 AS time")
+    landing = fresh_dir(spark, "t-hot-second")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else 20,000 rows are one small partition
+    spark.conf.set(key, "false")
+    try:
+        prepare_activity_path(spark, src, landing, tz="UTC", tie_breaker="event_id")
+    finally:
+        spark.conf.set(key, "true")
+    files = spark.read.parquet(landing).groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and max(r["count"] for r in files) < 15_000

@@ -118,7 +118,7 @@ def test_hot_key_without_broadcast(spark):
     src = spark.createDataFrame([("hot", "loaded")] * 50 + [("k1", "quarantined")],
                                 "movie STRING, outcome STRING")
     merge_update_path(spark, path, src, "movie", {"status": "outcome"},
-                      max_broadcast_rows=0, max_partitions=0)
+                      max_broadcast_rows=0)
     out = spark.read.parquet(path)
     assert out.count() == 900
     hot = out.where("movie = 'hot'").groupBy("status").count().collect()
@@ -195,3 +195,16 @@ def test_observed_bound_equals_size_check(spark):
     ms = merge_source(staged.where(decided), "movie", {"status": "outcome"}, dedupe=False)
     r = ms.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(ms)).alias("b")).collect()[0]
     assert (m["rows"], m["bytes"]) == (r.n, r.b) == (2, 1 + 6 + 8 + 2 + 11 + 8)
+
+
+def test_null_and_escaped_partitions(spark):
+    """A merge updates rows of a NULL partition; a delete empties NULL and escaped folders."""
+    path = fresh_dir(spark, "t-nullpart")
+    rows = [("a", "new", None), ("b", "new", "x:y"), ("c", "new", "z"), ("a", "new", "z")]
+    spark.createDataFrame(rows, "movie STRING, status STRING, p STRING").write.partitionBy("p").parquet(path)
+    src = spark.createDataFrame([("a", "loaded"), ("b", "loaded")], "movie STRING, outcome STRING")
+    merge_update_path(spark, path, src, "movie", {"status": "outcome"}, partition_by=("p",))
+    got = {(r.movie, r.p): r.status for r in spark.read.parquet(path).collect()}
+    assert got == {("a", None): "loaded", ("b", "x:y"): "loaded", ("c", "z"): "new", ("a", "z"): "loaded"}
+    merge_delete_path(spark, path, src.select("movie"), "movie", partition_by=("p",))
+    assert [(r.movie, r.p) for r in spark.read.parquet(path).collect()] == [("c", "z")]

@@ -22,7 +22,7 @@ def _plan(df):
 
 def _bronze(spark):
     raw = fresh_dir(spark, "p-raw")
-    write_envelope(movie_records(spark, SF0001), raw, records_per_file=500)
+    write_envelope(movie_records(spark, SF0001), raw)
     b = fresh_dir(spark, "p-bronze")
     raw_to_bronze(spark, raw, b, ingest_ts="2024-01-31 12:00:00")
     return b
@@ -113,7 +113,7 @@ def test_raw_to_bronze_and_silver_append_have_no_shuffle(spark):
     from strata.schemas import SILVER_COLUMNS
 
     raw = fresh_dir(spark, "p-raw2")
-    write_envelope(movie_records(spark, SF0001), raw, records_per_file=500)
+    write_envelope(movie_records(spark, SF0001), raw)
     c1 = bronze_batch(spark, raw, ingest_ts="2024-01-31 12:00:00", multiline=False)
     assert "Exchange" not in _plan(c1)
     b = _bronze(spark)

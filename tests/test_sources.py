@@ -1,7 +1,9 @@
 import os
 
 from strata.session import fresh_dir
-from strata.sources.raw import read_raw
+import pytest
+
+from strata.sources.raw import raw_rejects, read_raw
 
 
 def _files(spark, docs):
@@ -22,9 +24,14 @@ def test_multiline_reader_edges(spark):
         "pretty.txt": '{\n  "movie": [\n    {"Id": 7,\n     "Title": "x y"},\n    {"Id": 8}\n  ]\n}\n',
         "two_docs.txt": '{"movie": [{"Id": 9}]}\n{"movie": [{"Id": 10}]}\n',
     })
-    got = sorted(r.movie for r in read_raw(spark, d, multiline=True).collect())
-    # whitespace of the source text is kept; only the first document of a file is read
-    assert got == ['{"Id": 7,\n     "Title": "x y"}', '{"Id": 8}', '{"Id": 9}']
+    # a file that does not hold exactly one document is told, never read in part
+    bad = {r.path.rsplit("/", 1)[-1] for r in raw_rejects(spark, d, multiline=True).collect()}
+    assert bad == {"malformed.txt", "two_docs.txt"}
+    with pytest.raises(ValueError):
+        read_raw(spark, d, multiline=True)
+    got = sorted(r.movie for r in read_raw(spark, d, multiline=True, rejects="skip").collect())
+    # whitespace of the source text is kept
+    assert got == ['{"Id": 7,\n     "Title": "x y"}', '{"Id": 8}']
 
 
 def test_json_lines_reader_edges(spark):
@@ -32,10 +39,13 @@ def test_json_lines_reader_edges(spark):
         "a.txt": '{"movie": [{"Id": 1,  "T": "a"}, {"Id": 2}]}\n{"movie": []}\n{"other": 1}\n{bad\n',
         "b.txt": '{"movie": [{"Id": 3}]}\n',
     })
-    got = sorted(r.movie for r in read_raw(spark, d, multiline=False).collect())
+    got = sorted(r.movie for r in read_raw(spark, d, rejects="skip").collect())
     assert got == ['{"Id": 1,  "T": "a"}', '{"Id": 2}', '{"Id": 3}']
+    assert [r.document for r in raw_rejects(spark, d).collect()] == ["{bad"]
+    with pytest.raises(Exception, match="does not parse"):
+        read_raw(spark, d).collect()
 
 
 def test_declared_encoding_normalizes_whitespace(spark):
     d = _files(spark, {"pretty.txt": '{\n  "movie": [\n    {"Id": 7,\n     "Title": "x y"}\n  ]\n}\n'})
-    assert [r.movie for r in read_raw(spark, d, encoding="UTF-8").collect()] == ['{"Id":7,"Title":"x y"}']
+    assert [r.movie for r in read_raw(spark, d, multiline=True, encoding="UTF-8").collect()] == ['{"Id":7,"Title":"x y"}']
