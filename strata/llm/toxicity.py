@@ -257,8 +257,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return Model(np.zeros(CELLS, np.float32), -np.inf)
     share = F.when(F.col("toxic") == 1, sample_docs / count[1]).otherwise(sample_docs / count[0])
     drawn = marks.where("toxic in (0, 1)").where(F.col("place") < share * F.lit(float(1 << 40)))
+    # about 2 * sample_docs rows of numbers at any corpus size: broadcast, so that no text moves
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).join(
-        drawn, "id").select("toxic", "place", "text")
+        F.broadcast(drawn), "id").select("toxic", "place", "text")
     got = rows.mapInArrow(_stretches, "toxic int, place long, text string").toArrow().sort_by(
         [("place", "ascending"), ("text", "ascending")])
     return fit(got.column("text").to_pylist(), got.column("toxic").to_numpy())
