@@ -19,7 +19,8 @@ it, so the weights are one fixed-size table at every corpus size.
 
 No pair list of a bucket is made. Texts with the same words are one node. In
 each round every bucket that still holds several classes names one member, and
-the members of other classes are compared with it alone. When a round finds few
+a text is compared with the first of those that its buckets name from other
+classes. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
 agree in too few samples for the threshold are passed over. One link is enough
@@ -58,8 +59,9 @@ LEAST_BANDS = 2
 #: fewer than 1 of 1,000 pairs; only such pairs are verified.
 LEAST_SAMPLES = 30
 BLOCK = 1024
-#: Pairs of two classes that a block names, those first that agree most.
-BEST = 16
+#: Pairs of two classes that a block names, those first that agree most. Two
+#: texts that agree in many bands meet in as many blocks.
+BEST = 2
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -294,17 +296,19 @@ def _agreeing(key: tuple, block: pa.Table) -> pa.Table:
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
-                for c in ("samples_a", "samples_b"))
-        keep = pa.array((a == b).sum(axis=1) >= LEAST_SAMPLES)
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+                    for c in ("samples_node", "samples_lead"))
+        a, b = (np.array(batch.column(c)) for c in ("node", "lead"))
+        keep = (one == two).sum(axis=1) >= LEAST_SAMPLES
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep], pa.int64()),
+                                          pa.array(np.maximum(a, b)[keep], pa.int64())], names=["a", "b"])
 
 
 def _agree(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The distinct pairs ``(a, b)`` that agree in enough samples for the threshold."""
+    """The pairs ``(node, lead)`` that agree in enough samples, each once as ``(a, b)``."""
     side = lambda c: nodes.select(F.col("content").alias(c), F.col("samples").alias(f"samples_{c}"))
-    return (pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-            .select("a", "b", "samples_a", "samples_b").mapInArrow(_alike, "a long, b long"))
+    return (pairs.join(side("node"), "node").join(side("lead"), "lead")
+            .select("node", "lead", "samples_node", "samples_lead").mapInArrow(_alike, "a long, b long").distinct())
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
@@ -384,12 +388,15 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
             F.min("label").alias("l1"), F.max("label").alias("l2"),
             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")).alias("lead"))
         mixed = staged(spark, mixed.where("l1 != l2").select(
-            "key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("lead_label")), "mixed")
+            "key", F.col("lead.h").alias("h"), F.col("lead.node").alias("lead"),
+            F.col("lead.label").alias("lead_label")), "mixed")
         if blocks:
             pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes)
         else:
-            pairs = _agree(held.join(mixed, "key").where("label != lead_label").select(
-                F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")), nodes)
+            # one lead for each node and round: the first of its buckets' leads
+            first = F.min(F.struct("h", "lead")).alias("first")
+            pairs = _agree(held.join(mixed, "key").where("label != lead_label").groupBy("node").agg(first)
+                           .select("node", F.col("first.lead").alias("lead")), nodes)
         links, n = _verified(spark, pairs, texts, check)
         if n:
             labels = _joined(spark, labels, links)
