@@ -8,10 +8,11 @@ of a band, and texts that share a key are candidates. A candidate pair is
 linked if its exact weighted Jaccard similarity, or the plain one of its
 shingle sets, is 0.8 or more; classes are the connected components.
 
-The plain similarity is a second way in, not another search: in a large group
-of near copies the shared shingles are common, so the weights favour the few
-words that differ, and without it such a group would fall apart. (Such a pair
-agrees in fewer samples, but each of its texts has many partners.)
+The plain similarity has samples and bands of its own: in a large group of near
+copies the shared shingles are common, so the weights favour the few words that
+differ, and a pair of plain similarity 0.8 may agree in half of the weighted
+samples only. As many plain samples (least hashes) make as many plain bands; a
+pair is a candidate if it agrees enough in either kind.
 
 Document frequencies are summed in ``FREQ_CELLS`` hashed cells over all
 documents. A cell is used only if over ``MIN_SHARE`` of the documents fall in
@@ -36,6 +37,7 @@ an empty result; further columns are never read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +54,11 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 16
 ROWS = 3
-#: A similar pair agrees in about half of the bands (0.8 ** 3), and in this many
-#: at least but for 2 of 10,000 pairs; texts in fewer shared buckets have no partner.
-LEAST_BANDS = 2
-#: A similar pair agrees in about 38 of the 48 samples, and in this many but for
-#: fewer than 1 of 1,000 pairs; only such pairs are verified.
-LEAST_SAMPLES = 30
+#: Kinds of samples and bands: weighted, then plain. Each has ``BANDS`` bands.
+KINDS = 2
+#: Shares of pairs at the threshold that may agree in fewer bands, and in fewer
+#: samples, of the kind in which they are similar than ``least`` asks for.
+LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
 BLOCK = 1024
 #: Pairs of two classes that a block names, those first that agree most. Two
 #: texts that agree in many bands meet in as many blocks.
@@ -71,9 +72,23 @@ CHUNK = 1024
 
 _U = np.uint64
 _SEEDS = np.random.default_rng(20240131).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
+_PLAIN_SEEDS = np.random.default_rng(20240202).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
 _ODD = np.random.default_rng(20240201).integers(1, 2**63, WORDS, dtype=np.uint64) | _U(1)
 
 
+def least(threshold: float) -> tuple[int, int]:
+    """Bands (1 or 2) and samples of one kind in which a similar pair agrees at least.
+
+    At 0.8: 2 of 16 bands but for 2 of 10,000 pairs, 30 of 48 samples but for 14.
+    """
+    def most(n: int, p: float, lost: float) -> int:
+        under = np.cumsum([comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)])
+        return int((under <= lost).sum())
+
+    return (min(2, max(1, most(BANDS, threshold**ROWS, LOST_BANDS))),
+            most(BANDS * ROWS, threshold, LOST_SAMPLES))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift, multiply), in place."""
     x ^= x >> _U(32)
@@ -210,22 +225,37 @@ def _samples(shingle: np.ndarray, weight: np.ndarray, owner: np.ndarray, n: int)
     return drawn
 
 
+def _plain_samples(shingle: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The least hashes of each text's shingles, one row for each text (all ones where it has none)."""
+    drawn = np.full((n, BANDS * ROWS), ~_U(0))
+    for at in range(0, len(shingle), CHUNK):
+        own = owner[at: at + CHUNK]
+        x = _PLAIN_SEEDS[:, None] * shingle[None, at: at + CHUNK]
+        x ^= x >> _U(31)
+        x *= _U(0xD6E8FEB86659FD93)
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        text = own[starts]
+        drawn[text] = np.minimum(drawn[text], np.minimum.reduceat(x, starts, axis=1).T)
+    return _mix(drawn)
+
+
 def _sketch(weights: np.ndarray) -> Callable:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             n = batch.num_rows
             normal = _normal(batch.column("text"))
             shingle, owner, count = _shingles(normal)
-            drawn = _samples(shingle, count * weights[_cell(shingle)], owner, n)
-            band = np.arange(BANDS, dtype=np.uint64)[None, :] * _U(0x9E3779B97F4A7C15)
+            drawn = np.hstack([_samples(shingle, count * weights[_cell(shingle)], owner, n),
+                               _plain_samples(shingle, owner, n)])
+            band = np.arange(KINDS * BANDS, dtype=np.uint64)[None, :] * _U(0x9E3779B97F4A7C15)
             key = np.tile(band, (n, 1))
             for row in range(ROWS):
                 key = _mix(key + drawn[:, row::ROWS])
             print_ = pa.FixedSizeBinaryArray.from_buffers(
-                pa.binary(BANDS * ROWS), n, [None, pa.py_buffer((drawn >> _U(56)).astype(np.uint8).tobytes())])
+                pa.binary(KINDS * BANDS * ROWS), n, [None, pa.py_buffer((drawn >> _U(56)).astype(np.uint8).tobytes())])
             none = np.bincount(owner, minlength=n) == 0
             bands = pa.ListArray.from_arrays(
-                pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(key.view(np.int64).ravel()),
+                pa.array(np.arange(n + 1) * KINDS * BANDS, pa.int32()), pa.array(key.view(np.int64).ravel()),
                 mask=pa.array(none))
             content = np.array([xxhash.xxh3_64_intdigest(x) for x in normal.to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -260,55 +290,62 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
-def _agreeing(key: tuple, block: pa.Table) -> pa.Table:
+def _agreeing(least_samples: int) -> Callable:
     """Of a block pair: pairs of different classes that agree in enough samples.
 
     One link joins two classes, so of any two classes only the ``BEST`` pairs
     that agree most are named.
     """
-    node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
-    low_band, high_band = block.column("low")[0].as_py(), block.column("high")[0].as_py()
-    samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
-    one, two = np.flatnonzero(~second), np.flatnonzero(second)
-    left, right, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for place, i in enumerate(one):
-        rest = two if len(two) else one[place + 1:]
-        rest = rest[label[rest] != label[i]]
-        equal = samples[rest] == samples[i]
-        same = equal.sum(axis=1)
-        near = same >= LEAST_SAMPLES
-        # a pair meets under each two of its bands; the first two name it
-        bands = equal[near].reshape(-1, BANDS, ROWS).all(axis=2).cumsum(axis=1)
-        near[near] = (bands[:, low_band] == 1) & (bands[:, high_band] == 2)
-        left.append(np.full(int(near.sum()), i))
-        right.append(rest[near])
-        agreed.append(same[near])
-    i, j, same = np.concatenate(left), np.concatenate(right), np.concatenate(agreed)
-    low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
-    order = np.lexsort((-same, high, low))
-    i, j, low, high = i[order], j[order], low[order], high[order]
-    new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else i
-    best = np.arange(len(i)) - first < BEST
-    a, b = node[i[best]], node[j[best]]
-    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
-                    for c in ("samples_node", "samples_lead"))
-        a, b = (np.array(batch.column(c)) for c in ("node", "lead"))
-        keep = (one == two).sum(axis=1) >= LEAST_SAMPLES
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep], pa.int64()),
-                                          pa.array(np.maximum(a, b)[keep], pa.int64())], names=["a", "b"])
-
-
-def _agree(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    def agreeing(key: tuple, block: pa.Table) -> pa.Table:
+        node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
+        low_band, high_band = (block.column(c)[0].as_py() % BANDS for c in ("low", "high"))
+        samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        one, two = np.flatnonzero(~second), np.flatnonzero(second)
+        left, right, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for place, i in enumerate(one):
+            rest = two if len(two) else one[place + 1:]
+            rest = rest[label[rest] != label[i]]
+            equal = samples[rest] == samples[i]
+            same = equal.sum(axis=1)
+            near = same >= least_samples
+            # a pair meets under each two of its bands; the first two name it
+            bands = equal[near].reshape(-1, BANDS, ROWS).all(axis=2).cumsum(axis=1)
+            near[near] = (bands[:, low_band] == 1) & (bands[:, high_band] == 1 + (high_band > low_band))
+            left.append(np.full(int(near.sum()), i))
+            right.append(rest[near])
+            agreed.append(same[near])
+        i, j, same = np.concatenate(left), np.concatenate(right), np.concatenate(agreed)
+        low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+        order = np.lexsort((-same, high, low))
+        i, j, low, high = i[order], j[order], low[order], high[order]
+        new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else i
+        best = np.arange(len(i)) - first < BEST
+        a, b = node[i[best]], node[j[best]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return agreeing
+
+
+def _alike(least_samples: int) -> Callable:
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, KINDS, BANDS * ROWS)
+                        for c in ("samples_node", "samples_lead"))
+            a, b = (np.array(batch.column(c)) for c in ("node", "lead"))
+            keep = ((one == two).sum(axis=2) >= least_samples).any(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep], pa.int64()),
+                                              pa.array(np.maximum(a, b)[keep], pa.int64())], names=["a", "b"])
+
+    return alike
+
+
+def _agree(pairs: DataFrame, nodes: DataFrame, least_samples: int) -> DataFrame:
     """The pairs ``(node, lead)`` that agree in enough samples, each once as ``(a, b)``."""
     side = lambda c: nodes.select(F.col("content").alias(c), F.col("samples").alias(f"samples_{c}"))
     return (pairs.join(side("node"), "node").join(side("lead"), "lead")
-            .select("node", "lead", "samples_node", "samples_lead").mapInArrow(_alike, "a long, b long").distinct())
+            .select("node", "lead", "samples_node", "samples_lead")
+            .mapInArrow(_alike(least_samples), "a long, b long").distinct())
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
@@ -333,11 +370,13 @@ def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
                   .select("node", F.coalesce("to", "label").alias("label")), "classes")
 
 
-def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame, least_bands: int,
+            least_samples: int) -> DataFrame:
     """Pairs of the buckets that still hold several classes, agreeing in enough samples."""
-    two = (mixed.groupBy("node", "label").agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # BANDS at most
+    later = f"y.band > x.band AND y.band div {BANDS} = x.band div {BANDS}" if least_bands > 1 else "y.band = x.band"
+    two = (mixed.groupBy("node", "label").agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # KINDS * BANDS at most
            .select("node", "label", F.explode(F.expr(
-               "flatten(transform(keys, x -> transform(filter(keys, y -> y.band > x.band), "
+               f"flatten(transform(keys, x -> transform(filter(keys, y -> {later}), "
                "y -> struct(x.band AS low, y.band AS high, xxhash64(x.key, y.key) AS pair))))"
            )).alias("p")).select("node", "label", "p.low", "p.high", "p.pair"))
     two = staged(spark, two, "band-pairs")
@@ -350,8 +389,10 @@ def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame) -> DataFram
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("pair", "low", "high", "node", "label", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
-             .join(nodes.select(F.col("content").alias("node"), "samples"), "node"))
-    return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing, "a long, b long")
+             .join(nodes.select(F.col("content").alias("node"), F.col("samples").alias("all")), "node")
+             .withColumn("samples", F.expr(f"substring(all, {BANDS * ROWS} * (low div {BANDS}) + 1, {BANDS * ROWS})"))
+             .drop("all"))
+    return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing(least_samples), "a long, b long")
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -373,10 +414,12 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
         .select("content", "bands", "samples", F.col(f"at.{FILE}").alias(FILE), F.col(f"at.{ROW}").alias(ROW)), "nodes")
     keys = nodes.select(F.col("content").alias("node"), F.posexplode("bands").alias("band", "key"))
     shared = staged(spark, keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    # a similar pair shares LEAST_BANDS buckets, so a text in fewer has no partner
+    # a similar pair shares so many buckets of one kind, so a text in fewer has no partner
+    least_bands, least_samples = least(threshold)
+    enough = F.greatest(*[F.count_if(F.floor(F.col("band") / BANDS) == k) for k in range(KINDS)]) >= least_bands
     inside = staged(spark, keys.join(shared, "key"), "members")
-    labels = staged(spark, inside.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-                    .where(F.col("n") >= LEAST_BANDS).select("node", F.col("node").alias("label")), "classes")
+    labels = staged(spark, inside.groupBy("node").agg(enough.alias("enough"))
+                    .where("enough").select("node", F.col("node").alias("label")), "classes")
     members = staged(spark, inside.join(labels.select("node"), "node"), "members")
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
     texts = staged(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts")
@@ -391,12 +434,13 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
             "key", F.col("lead.h").alias("h"), F.col("lead.node").alias("lead"),
             F.col("lead.label").alias("lead_label")), "mixed")
         if blocks:
-            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes)
+            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes,
+                            least_bands, least_samples)
         else:
             # one lead for each node and round: the first of its buckets' leads
             first = F.min(F.struct("h", "lead")).alias("first")
             pairs = _agree(held.join(mixed, "key").where("label != lead_label").groupBy("node").agg(first)
-                           .select("node", F.col("first.lead").alias("lead")), nodes)
+                           .select("node", F.col("first.lead").alias("lead")), nodes, least_samples)
         links, n = _verified(spark, pairs, texts, check)
         if n:
             labels = _joined(spark, labels, links)

@@ -119,3 +119,23 @@ def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (200, 200)]
     got = components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.label for r in got} == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 200: 200}
+
+
+def test_plain_similarity_of_common_words_links(spark, documents):
+    """Pairs of plain similarity 0.81 whose shared words a third of the rows hold; each has one partner only."""
+    rng = random.Random(17)
+    passages, rows = [words(rng, 30) for _ in range(40)], []
+    for _ in range(30):
+        held = sorted(rng.sample(range(40), 30))
+        shared = [w for k in held for w in passages[k]]
+        for _ in range(2):
+            rows.append((len(rows), " ".join(shared + words(rng, 100)), "en", "s"))
+    rows += [(len(rows) + i, " ".join(words(rng, 60)), "en", "s") for i in range(120)]
+    want = brute_classes(rows)
+    assert sum(len(x) == 2 for x in want) == 30
+    assert found_classes(near_classes(spark, documents(rows))) == want
+
+
+def test_limits_follow_the_threshold():
+    assert minhash.least(0.8) == (2, 30)
+    assert minhash.least(0.5)[0] == 1 and minhash.least(0.5)[1] < 24
