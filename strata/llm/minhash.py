@@ -300,16 +300,16 @@ def _agreeing(least_samples: int) -> Callable:
         node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
         low_band, high_band = (block.column(c)[0].as_py() % BANDS for c in ("low", "high"))
         samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        keys = block.column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         one, two = np.flatnonzero(~second), np.flatnonzero(second)
         left, right, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for place, i in enumerate(one):
             rest = two if len(two) else one[place + 1:]
             rest = rest[label[rest] != label[i]]
-            equal = samples[rest] == samples[i]
-            same = equal.sum(axis=1)
+            same = (samples[rest] == samples[i]).sum(axis=1)
             near = same >= least_samples
             # a pair meets under each two of its bands; the first two name it
-            bands = equal[near].reshape(-1, BANDS, ROWS).all(axis=2).cumsum(axis=1)
+            bands = (keys[rest[near]] == keys[i]).cumsum(axis=1)
             near[near] = (bands[:, low_band] == 1) & (bands[:, high_band] == 1 + (high_band > low_band))
             left.append(np.full(int(near.sum()), i))
             right.append(rest[near])
@@ -389,9 +389,12 @@ def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame, least_bands
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("pair", "low", "high", "node", "label", F.least("block", "other").alias("x"),
                      F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
-             .join(nodes.select(F.col("content").alias("node"), F.col("samples").alias("all")), "node")
-             .withColumn("samples", F.expr(f"substring(all, {BANDS * ROWS} * (low div {BANDS}) + 1, {BANDS * ROWS})"))
-             .drop("all"))
+             .join(nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands"), "node")
+             .withColumn("keys", F.expr(
+                 f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})"))
+             .withColumn("samples", F.expr(
+                 f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})"))
+             .drop("all", "bands"))
     return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing(least_samples), "a long, b long")
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm import minhash
 from strata.llm.components import components
@@ -139,3 +140,15 @@ def test_plain_similarity_of_common_words_links(spark, documents):
 def test_limits_follow_the_threshold():
     assert minhash.least(0.8) == (2, 30)
     assert minhash.least(0.5)[0] == 1 and minhash.least(0.5)[1] < 24
+
+
+def test_first_two_bands_are_those_of_the_keys():
+    """Band 1 has equal fingerprints but other keys; the pair meets under bands 3 and 5 only."""
+    samples = np.zeros((2, 48), np.uint8)
+    samples[1, [k * 3 for k in range(16) if k not in (1, 3, 5)]] = 1
+    keys = np.arange(32).reshape(2, 16)
+    keys[1, [3, 5]] = keys[0, [3, 5]]
+    block = pa.table({"node": [7, 8], "label": [7, 8], "second": [False, False], "low": [3, 3], "high": [5, 5],
+                      "samples": [x.tobytes() for x in samples], "keys": keys.tolist()})
+    got = minhash._agreeing(30)((0, 0, 0), block)
+    assert list(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(7, 8)]
