@@ -25,8 +25,10 @@ classes. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
 agree in too few samples for the threshold are passed over. One link is enough
-to join two classes, so a block names the ``BEST`` pairs of two classes that
-agree most, and these are verified.
+to join two classes, so a block first names the ``BEST`` pairs of two classes
+that agree most, and these are verified. Blocks that hold more pairs of classes
+that are still apart name ``MORE`` times as many in the next round, until every
+such pair is verified or its classes are joined.
 Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
@@ -60,9 +62,9 @@ KINDS = 2
 #: samples, of the kind in which they are similar than ``least`` asks for.
 LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
 BLOCK = 1024
-#: Pairs of two classes that a block names, those first that agree most. Two
-#: texts that agree in many bands meet in as many blocks.
-BEST = 2
+#: Pairs of two classes that a block names in its first round, those that agree
+#: most; and how many times as many it names in each further round.
+BEST, MORE = 2, 8
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -290,11 +292,12 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
-def _agreeing(least_samples: int) -> Callable:
+def _agreeing(least_samples: int, most: int = BEST) -> Callable:
     """Of a block pair: pairs of different classes that agree in enough samples.
 
-    One link joins two classes, so of any two classes only the ``BEST`` pairs
-    that agree most are named.
+    One link joins two classes, so of any two classes the ``most`` pairs that
+    agree most are named. If there are more, a last row without ``a`` and ``b``
+    says so; each row has the block's key.
     """
     def agreeing(key: tuple, block: pa.Table) -> pa.Table:
         node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
@@ -320,9 +323,15 @@ def _agreeing(least_samples: int) -> Callable:
         i, j, low, high = i[order], j[order], low[order], high[order]
         new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
         first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else i
-        best = np.arange(len(i)) - first < BEST
+        best = np.arange(len(i)) - first < most
         a, b = node[i[best]], node[j[best]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+        more = [] if best.all() else [None]
+        n = len(a) + len(more)
+        pair, x, y = (getattr(k, "as_py", lambda k=k: k)() for k in key)
+        return pa.table({
+            "a": pa.array([*np.minimum(a, b).tolist(), *more], pa.int64()),
+            "b": pa.array([*np.maximum(a, b).tolist(), *more], pa.int64()),
+            "pair": pa.array([pair] * n, pa.int64()), "x": pa.array([x] * n, pa.int32()), "y": pa.array([y] * n, pa.int32())})
 
     return agreeing
 
@@ -370,11 +379,19 @@ def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
                   .select("node", F.coalesce("to", "label").alias("label")), "classes")
 
 
-def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame, least_bands: int,
-            least_samples: int) -> DataFrame:
-    """Pairs of the buckets that still hold several classes, agreeing in enough samples."""
+def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes: DataFrame, texts: DataFrame,
+             check: Callable, least_bands: int, least_samples: int) -> DataFrame:
+    """Labels after the blocks: the buckets that still hold several classes are compared whole.
+
+    Each round takes the blocks that held back pairs in the last one. A block's
+    rows are the same in each round, its classes are those of the labels.
+    """
+    held = members.join(labels, "node")
+    mixed = staged(spark, held.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
+                   .where("l1 != l2").select("key"), "mixed")
     later = f"y.band > x.band AND y.band div {BANDS} = x.band div {BANDS}" if least_bands > 1 else "y.band = x.band"
-    two = (mixed.groupBy("node", "label").agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # KINDS * BANDS at most
+    two = (held.join(mixed, "key", "left_semi").groupBy("node", "label")
+           .agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # KINDS * BANDS at most
            .select("node", "label", F.explode(F.expr(
                f"flatten(transform(keys, x -> transform(filter(keys, y -> {later}), "
                "y -> struct(x.band AS low, y.band AS high, xxhash64(x.key, y.key) AS pair))))"
@@ -385,17 +402,29 @@ def _blocks(spark: SparkSession, mixed: DataFrame, nodes: DataFrame, least_bands
         .where("l1 != l2").select("pair", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band-pairs")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = (two.join(size, "pair").withColumn("block", block)
-             .select("pair", "low", "high", "node", "label", "block",
+             .select("pair", "low", "high", "node", "block",
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("pair", "low", "high", "node", "label", F.least("block", "other").alias("x"),
-                     F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"))
-             .join(nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands"), "node")
-             .withColumn("keys", F.expr(
-                 f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})"))
-             .withColumn("samples", F.expr(
-                 f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})"))
-             .drop("all", "bands"))
-    return dealt.groupBy("pair", "x", "y").applyInArrow(_agreeing(least_samples), "a long, b long")
+             .select("pair", "low", "high", "node", F.least("block", "other").cast("int").alias("x"),
+                     F.greatest("block", "other").cast("int").alias("y"), (F.col("block") > F.col("other")).alias("second")))
+    most, cut, tried = BEST, None, None
+    while True:
+        now = dealt if cut is None else dealt.join(cut, ["pair", "x", "y"], "left_semi")
+        side = nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands").join(labels, "node")
+        rows = now.join(side, "node").select(
+            "pair", "x", "y", "low", "high", "second", "node", "label",
+            F.expr(f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})").alias("keys"),
+            F.expr(f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})").alias("samples"))
+        named, seen = stage_observed(spark, rows.groupBy("pair", "x", "y").applyInArrow(
+            _agreeing(least_samples, most), "a long, b long, pair long, x int, y int"), "named",
+            {"cut": F.count_if(F.col("a").isNull())})
+        pairs = named.where("a IS NOT NULL").select("a", "b").distinct()
+        links, n = _verified(spark, pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), texts, check)
+        if n:
+            labels = _joined(spark, labels, links)
+        if not seen["cut"]:
+            return labels
+        most, cut = most * MORE, named.where("a IS NULL").select("pair", "x", "y")
+        tried = pairs if tried is None else tried.union(pairs)
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -427,7 +456,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
     texts = staged(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts")
     check = _similar(weights, threshold)
-    turn, blocks, total = 0, False, labels.count()
+    turn, total = 0, labels.count()
     while True:
         held = members.join(labels, "node")
         mixed = held.groupBy("key").agg(
@@ -436,20 +465,17 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
         mixed = staged(spark, mixed.where("l1 != l2").select(
             "key", F.col("lead.h").alias("h"), F.col("lead.node").alias("lead"),
             F.col("lead.label").alias("lead_label")), "mixed")
-        if blocks:
-            pairs = _blocks(spark, held.join(mixed.select("key"), "key", "left_semi"), nodes,
-                            least_bands, least_samples)
-        else:
-            # one lead for each node and round: the first of its buckets' leads
-            first = F.min(F.struct("h", "lead")).alias("first")
-            pairs = _agree(held.join(mixed, "key").where("label != lead_label").groupBy("node").agg(first)
-                           .select("node", F.col("first.lead").alias("lead")), nodes, least_samples)
+        # one lead for each node and round: the first of its buckets' leads
+        first = F.min(F.struct("h", "lead")).alias("first")
+        pairs = _agree(held.join(mixed, "key").where("label != lead_label").groupBy("node").agg(first)
+                       .select("node", F.col("first.lead").alias("lead")), nodes, least_samples)
         links, n = _verified(spark, pairs, texts, check)
         if n:
             labels = _joined(spark, labels, links)
-        if blocks:
+        if n <= FEW_LINKS * total:
             break
-        turn, blocks = turn + 1, n <= FEW_LINKS * total
+        turn += 1
+    labels = _settled(spark, labels, members, nodes, texts, check, least_bands, least_samples)
     named = sketches.join(labels, F.col("content") == F.col("node"), "left").withColumn(
         "class", F.when(F.col("bands").isNotNull(), F.coalesce("label", "content")))
     # a text without words: a class of its own

@@ -152,3 +152,22 @@ def test_first_two_bands_are_those_of_the_keys():
                       "samples": [x.tobytes() for x in samples], "keys": keys.tolist()})
     got = minhash._agreeing(30)((0, 0, 0), block)
     assert list(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(7, 8)]
+
+
+def test_all_pairs_of_two_classes_are_tried(spark, documents, monkeypatch):
+    """Two classes of 12; of their 144 pairs, which all agree enough, one that does not agree most is similar."""
+    base = " ".join(words(random.Random(23), 200))
+    rows = [(i, f"{base} {'ab'[i // 12]} {i % 12}", "en", "s") for i in range(24)]
+
+    def check(weights, threshold):
+        def similar(batches):
+            for batch in batches:
+                ends = zip(*[[t.split()[-2:] for t in batch.column(c).to_pylist()] for c in ("text_a", "text_b")],
+                           strict=True)
+                keep = pa.array([a[0] == b[0] or sorted([a, b]) == [["a", "9"], ["b", "2"]] for a, b in ends], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+        return similar
+
+    monkeypatch.setattr(minhash, "_similar", check)
+    assert found_classes(near_classes(spark, documents(rows))) == {frozenset(range(24))}
