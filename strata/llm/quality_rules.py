@@ -3,9 +3,10 @@
 Method: cross-document line frequency. Lines are normalised (white space runs
 become one space, ASCII letters lower case) and hashed; for each host the
 distinct documents (distinct texts) that hold a line are counted. A line above
-the host's limit is boilerplate if, besides, enough of those documents have
-mostly text of their own: without that second count a group of near copies
-would make each other's whole text "boilerplate", and all of them would go.
+the limit, the same at every size of a host, is boilerplate if, besides, a few
+of those documents have mostly text of their own: without that second count a
+group of near copies would make each other's whole text "boilerplate", and all
+of them would go.
 Boilerplate lines are removed; a document of which too little is left is
 rejected.
 
@@ -35,11 +36,12 @@ SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: A line is frequent in a host when over ``max(MIN_DOCS, MAX_SHARE * documents)`` hold it.
+#: A line is frequent in a host when more documents than this hold it.
 MIN_DOCS = 20
-MAX_SHARE = 0.002
-#: A document vouches for a frequent line when frequent lines are under this share of it.
+#: A document vouches for a frequent line when frequent lines are under this share of it;
+#: so many documents make it boilerplate.
 OWN_SHARE = 0.5
+VOUCHERS = 5
 #: A document with less than this share of its words left is rejected.
 MIN_LEFT_SHARE = 0.2
 
@@ -130,7 +132,7 @@ def text_stats(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", tex
 
 
 def boilerplate(spark: SparkSession, stats: DataFrame, min_docs: int = MIN_DOCS,
-                max_share: float = MAX_SHARE, own_share: float = OWN_SHARE) -> DataFrame:
+                vouchers: int = VOUCHERS, own_share: float = OWN_SHARE) -> DataFrame:
     """Staged: the boilerplate lines of each document that has some.
 
     Columns: the row keys, ``line`` (hash) and ``words`` (of all its occurrences
@@ -144,22 +146,19 @@ def boilerplate(spark: SparkSession, stats: DataFrame, min_docs: int = MIN_DOCS,
                 F.col("x.line_words").alias("words"))
         .withColumn("key", F.xxhash64("host", "line"))
     )
-    limits = stats.groupBy("host").agg(F.greatest(
-        F.lit(float(min_docs)), F.count_distinct("content") * F.lit(max_share)).alias("most"))
     counts = lines.groupBy("host", "line", "key").agg(F.count_distinct("content").alias("docs"))
-    frequent = staged(spark, counts.join(limits, "host").where("docs > most")
-                      .select("key", "most"), "frequent-lines")
+    frequent = staged(spark, counts.where(F.col("docs") > min_docs).select("key"), "frequent-lines")
     found = staged(
         spark,
-        lines.join(frequent, "key").select(*KEYS, "key", "line", "words", "content", "n_words", "most"),
+        lines.join(frequent, "key").select(*KEYS, "key", "line", "words", "content", "n_words"),
         "lines-found",
     )
     own = (found.groupBy(*KEYS, "n_words").agg(F.sum("words").alias("shared"))
            .where(F.col("shared") < F.col("n_words") * own_share).select(*KEYS))
     vouched = staged(
         spark,
-        found.join(own, list(KEYS), "left_semi").groupBy("key", "most")
-        .agg(F.count_distinct("content").alias("docs")).where("docs > most").select("key"),
+        found.join(own, list(KEYS), "left_semi").groupBy("key")
+        .agg(F.count_distinct("content").alias("docs")).where(F.col("docs") >= vouchers).select("key"),
         "boilerplate-lines",
     )
     return staged(spark, found.join(vouched, "key", "left_semi").groupBy(*KEYS, "line")
@@ -168,7 +167,7 @@ def boilerplate(spark: SparkSession, stats: DataFrame, min_docs: int = MIN_DOCS,
 
 def quality_rules(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id",
                   text: str = "text", host: str = "source", min_docs: int = MIN_DOCS,
-                  max_share: float = MAX_SHARE, own_share: float = OWN_SHARE, min_left_share: float = MIN_LEFT_SHARE,
+                  vouchers: int = VOUCHERS, own_share: float = OWN_SHARE, min_left_share: float = MIN_LEFT_SHARE,
                   scan: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(verdicts, lines)``, both staged and keyed by row.
 
@@ -176,7 +175,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id",
     ``base_failed`` and ``kept``. ``lines``: see ``boilerplate``.
     """
     stats = text_stats(spark, docs, doc_id, text, host, scan=scan)
-    lines = boilerplate(spark, stats, min_docs, max_share, own_share)
+    lines = boilerplate(spark, stats, min_docs, vouchers, own_share)
     gone = lines.groupBy(*KEYS).agg(F.sum("words").alias("gone"))
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))

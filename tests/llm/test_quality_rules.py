@@ -74,3 +74,16 @@ def test_empty_table(spark, documents):
     verdicts, _ = quality_rules(spark, docs)
     assert verdicts.count() == 0
     assert apply_quality_rules(spark, docs).columns == docs.columns
+
+
+def test_limit_does_not_grow_with_the_host(spark, documents):
+    """Of 15,000 texts 25 are pages of shared lines; six pages with text of their own vouch for these lines."""
+    rng = random.Random(9)
+    menu = [f"menu entry {k} of this site with a few words" for k in range(8)]
+    rows = [(i, "\n".join([*menu, f"{i}"]), "en", "a") for i in range(25)]
+    rows += [(100 + i, "\n".join([prose(rng, 200, 10**6), *menu]), "en", "a") for i in range(6)]
+    rows += [(1000 + i, f"text {i}", "en", "a") for i in range(15_000)]
+    verdicts, _ = quality_rules(spark, documents(rows))
+    kept = {r.doc_id: (r.kept, r.left_words) for r in verdicts.where("doc_id < 1000").collect()}
+    assert all(kept[i] == (False, 1) for i in range(25))
+    assert all(kept[100 + i] == (True, 200) for i in range(6))
