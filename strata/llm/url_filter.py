@@ -57,9 +57,12 @@ def intervals(entries: DataFrame, pattern: str = "pattern", listed_at: str = "li
               action: str = "action") -> DataFrame:
     """``(pattern, action, valid_from, valid_to)``: when each listing holds (``valid_to`` open or null).
 
-    Of entries of one pattern and date, the one applied last counts.
+    Of entries of one pattern and date, the one applied last counts. The host of
+    a pattern is compared in lower case, its path as it stands.
     """
-    rows = entries.select(F.lower(F.col(f"`{pattern}`")).alias("pattern"), F.col(f"`{listed_at}`").alias("valid_from"),
+    host = F.regexp_extract(F.col(f"`{pattern}`"), "^[^/]*", 0)
+    own = F.concat(F.lower(host), F.substr(F.col(f"`{pattern}`"), F.length(host) + 1))
+    rows = entries.select(own.alias("pattern"), F.col(f"`{listed_at}`").alias("valid_from"),
                           F.lower(F.col(f"`{action}`")).alias("action")).na.drop()
     order = F.when(F.col("action") == "block", 2).when(F.col("action") == "allow", 1).otherwise(0)
     last = rows.groupBy("pattern", "valid_from").agg(F.max(order).alias("rank"))

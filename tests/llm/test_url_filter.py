@@ -77,3 +77,12 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([("a", DAY, "block")], none.schema)
     assert filter_urls(spark, one.limit(0), some, "url", "fetched_at").count() == 0
     assert filter_urls(spark, one.withColumn("fetched_at", F.lit(None).cast("timestamp")), some, "url", "fetched_at").count() == 1
+
+
+def test_case_of_the_path_counts(spark):
+    entries = spark.createDataFrame([("A.Test/Blog/", DAY, "block"), ("B.TEST", DAY, "block")],
+                                    "pattern string, listed_at timestamp, action string")
+    urls = ["http://a.test/Blog/x", "http://a.test/blog/x", "http://A.TEST/Blog/", "http://b.Test/Y"]
+    left = staged(spark, spark.createDataFrame([(u, DAY) for u in urls], "url string, fetched_at timestamp"), "captures")
+    got = filter_urls(spark, left, entries, "url", "fetched_at", F.col("url")).collect()
+    assert {r.url: r.pattern for r in got} == dict(zip(urls, ["a.test/Blog/", None, "a.test/Blog/", "b.test"], strict=True))
