@@ -105,6 +105,15 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(keep), owner.filter(keep).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary array without nulls in one run, and the places where each begins (and the last ends)."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    if not len(texts) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets.astype(np.int64) - offsets[0]
+
+
 def lists(values: pa.Array, owner: np.ndarray, n: int) -> pa.ListArray:
     """One list for each of ``n`` owners; ``owner`` ascends along ``values``."""
     offsets = np.zeros(n + 1, dtype=np.int32)

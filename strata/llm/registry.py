@@ -12,14 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.centroids import cluster
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.html_extract import extract, train
+from strata.llm.importance import draw, scored
 from strata.llm.langid import identify
 from strata.llm.langid import learn as learn_languages
 from strata.llm.minhash import near_classes
 from strata.llm.mixing import mix
+from strata.llm.oracles import RESAMPLING_SQL, kmeans_sql
 from strata.llm.quality_rules import quality_rules
 from strata.llm.sentencepiece_codec import decode, encode, read_model
+from strata.llm.token_counts import token_counts
 from strata.llm.toxicity import THRESHOLD, score
 from strata.llm.toxicity import learn as learn_toxicity
 from strata.llm.url_filter import filter_urls, url_host
@@ -143,6 +147,19 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
                         seconds("valid_to").alias("valid_to"))
 
 
+def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts(spark, _read(spark, sf, "documents"), read_model(PIECE_MODEL), F.col("doc_id"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster(spark, _read(spark, sf, "embeddings"))[0]
+
+
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    scores = scored(spark, _read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+    return draw(spark, scores).withColumnRenamed("id", "doc_id")
+
+
 OP10_SQL = r"""
 WITH hosts AS (
   SELECT page_id, url, 1672531200 + (page_id * 7919 * 61) % 63072000 AS t,
@@ -208,8 +225,12 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_token_counts": op11_token_counts,
+        "op12_centroid_clusters": op12_centroid_clusters,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL, "op10_url_filter": OP10_SQL}
+    return {"op9_exact_dedup": OP9_SQL, "op10_url_filter": OP10_SQL, "op12_centroid_clusters": kmeans_sql(),
+            "op13_importance_resampling": RESAMPLING_SQL}

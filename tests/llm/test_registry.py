@@ -19,6 +19,10 @@ COLUMNS = {
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_url_filter": "page_id bigint, url string, blocked boolean",
+    "op11_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op12_centroid_clusters": "vec_id bigint, cluster int, distance bigint, cluster_inertia bigint, inertia bigint, "
+                              "centroid_sha256 string",
+    "op13_importance_resampling": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
 }
 
 
@@ -33,8 +37,8 @@ def test_query_has_a_row_for_each_row(spark, name):
     for column in COLUMNS[name].split(", "):
         key, kind = column.split(" ")
         assert types[key] == kind, column
-    table = "pages" if "page_id" in types else "documents"
-    key = "page_id" if table == "pages" else "doc_id"
+    key = next(k for k in ("page_id", "vec_id", "doc_id") if k in types)
+    table = {"page_id": "pages", "vec_id": "embeddings", "doc_id": "documents"}[key]
     source = spark.read.parquet(f"{SF}/{table}.parquet")
     rows = df.groupBy(key).count()
     assert rows.where("count <> 1").count() == 0 and rows.count() == source.count()
@@ -43,7 +47,7 @@ def test_query_has_a_row_for_each_row(spark, name):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.queries()[name](spark, SF)
     cols = sorted(df.columns)
