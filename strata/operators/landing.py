@@ -43,10 +43,14 @@ def prepare_activity_path(spark: SparkSession, df: DataFrame, landing_path: str,
     range and writes into one or two partition directories (no tasks x days
     small files). A hot day is spread over several tasks, since the range
     bounds also cut on the extra columns; with a ``tie_breaker`` a hot second is too.
+    Inside a task the rows are sorted by the landing order, so that the row
+    groups a cursor has passed are skipped by their statistics.
     """
     out = prepare_activity(df, time_col, tz)
     if partition_by and cluster_by is not None:
-        out = out.repartitionByRange(*partition_by, *cluster_by, time_col, *_tie_breaker(tie_breaker))
+        tie = _tie_breaker(tie_breaker)
+        out = out.repartitionByRange(*partition_by, *cluster_by, time_col, *tie).sortWithinPartitions(
+            *partition_by, *cluster_by, *tie)
     write_new(out, landing_path, partition_by=partition_by)
 
 

@@ -291,7 +291,7 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     _write_back(spark, updated.select(*target.columns), path, fmt, parts, sort_within)
 
 
-def _partition_dir(spark: SparkSession, path: str, parts: list[str], row) -> str:
+def partition_dir(spark: SparkSession, path: str, parts: list[str], row) -> str:
     """The partition's folder as Spark names it: special characters escaped, NULL by its own name."""
     name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     return path.rstrip("/") + "/" + "/".join(name(c, _value_text(row[c])) for c in parts)
@@ -368,4 +368,4 @@ def merge_delete_path(spark: SparkSession, path: str, keys: DataFrame,
     still = set(seen.get["still"] or ())
     for row in touched_rows:
         if row_text(parts, row) not in still:
-            remove_path(spark, _partition_dir(spark, path, parts, row))
+            remove_path(spark, partition_dir(spark, path, parts, row))

@@ -8,6 +8,7 @@ DataFrame whose columns match the oracle's by name.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,6 +20,7 @@ from strata.functions.records import parse_records, transform_bronze
 from strata.operators import dimensions as dim
 from strata.operators.dedupe import distinct_rows
 from strata.operators.landing import land_next_batch, prepare_activity, prepare_activity_path
+from strata.operators.landing_cursor import Landing, land_all
 from strata.operators.merge import merge_delete_path, merge_update
 from strata.operators.quality import (
     OUTCOME,
@@ -34,6 +36,7 @@ from strata.plans.raw_to_bronze import raw_to_bronze
 from strata.plans.silver_update import repair_quarantined
 from strata.schemas import BRONZE_SCHEMA, BRONZE_WRITE_ORDER, SILVER_COLUMNS
 from strata.session import fresh_dir, unique_name
+from strata.sinks.batches import layer_rows
 from strata.sinks.envelope import write_envelope, write_envelope_documents
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
 from strata.sources.raw import peek_raw, raw_inventory, raw_rejects, read_raw
@@ -370,6 +373,113 @@ def q_raw_rejects(spark, sf):
             .unionByName(rejected.select(F.lit("rejected").alias("kind"), "n")))
 
 
+def _odd_lines(spark, sf):
+    """One line per order: a document, or by priority a broken one, two, one with more text, one of another shape."""
+    o = table(spark, sf, "orders")
+    k, pr = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    one = F.concat(F.lit('{"movie":[{"Id":'), k, F.lit("}]}"))
+    return o.select(F.when(pr == "1-URGENT", F.concat(one, one))
+                    .when(pr == "2-HIGH", F.substring(one, 1, 14))
+                    .when(pr == "3-MEDIUM", F.concat(one, F.lit(" #"), k))
+                    .when(pr == "4-NOT SPECIFIED", F.concat(F.lit('{"movie":'), k, F.lit("}")))
+                    .otherwise(one).alias("value"))
+
+
+def _kinds(accepted, rejected):
+    return (accepted.groupBy(F.lit("accepted").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+            .unionByName(rejected.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))))
+
+
+def q_raw_one_document(spark, sf):
+    """Each line holds exactly one document or is told, with the reason."""
+    path = fresh_dir(spark, "raw")
+    _odd_lines(spark, sf).write.text(path)
+    return _kinds(read_raw(spark, path, rejects="skip"), raw_rejects(spark, path))
+
+
+def q_raw_one_document_files(spark, sf):
+    """The same for the multi-line reader: one file per customer nation, with as many documents as it has regions' worth."""
+    path = fresh_dir(spark, "raw")
+    n = table(spark, sf, "nation")
+    one = F.concat(F.lit('{"movie":\n [{"Id":'), F.col("n_nationkey").cast("string"), F.lit("}]}"))
+    bodies = n.select(F.when(F.col("n_regionkey") == 0, F.concat(one, F.lit("\n"), one))
+                      .when(F.col("n_regionkey") == 1, F.concat(one, F.lit(" trailing")))
+                      .when(F.col("n_regionkey") == 2, F.substring(one, 1, 14)).otherwise(one).alias("value"))
+    bodies.write.option("maxRecordsPerFile", 1).text(path)
+    return _kinds(read_raw(spark, path, rejects="skip", multiline=True), raw_rejects(spark, path, multiline=True))
+
+
+def q_stream_one_document(spark, sf):
+    """R1 over the same lines: the stream takes what the batch reader takes."""
+    raw_dir, bronze = fresh_dir(spark, "raw-drops"), fresh_dir(spark, "bronze")
+    _odd_lines(spark, sf).write.text(f"{raw_dir}/drop")
+    run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, fresh_dir(spark, "stream-ckpt"), unique_name("odd"),
+                      datasource=DATASOURCE, ingest_ts=INGEST_TS, max_files_per_trigger=2, rejects="skip")
+    return _with_id(spark.read.parquet(bronze)).select("Id", "status", "p_ingestdate")
+
+
+class _Died(Exception):
+    """Stands for a driver that is lost in the middle of a step."""
+
+
+def _dies_after(step):
+    def on_step(done):
+        if done == step:
+            raise _Died(step)
+    return on_step
+
+
+def q_silver_repeatable(spark, sf):
+    """C2 and C3 that die between append and merge, and after the merge, and are run again."""
+    b, s = _bronze(spark, sf), fresh_dir(spark, "silver")
+    genres = fresh_dir(spark, "genres")
+    for plan, how in ((bronze_to_silver, {}), (repair_quarantined, {"genre_path": genres})):
+        for step in ("staged", "appended", "merged"):
+            with contextlib.suppress(_Died):
+                plan(spark, b, s, repeatable=True, on_step=_dies_after(step), **how)
+        plan(spark, b, s, repeatable=True, **how)
+    silver = layer_rows(spark, s).select(F.lit("silver").alias("layer"), "Id", "status")
+    bronze = _with_id(spark.read.parquet(b)).select(F.lit("bronze").alias("layer"), "Id", "status")
+    genre = spark.read.parquet(genres).select(F.lit("genre").alias("layer"), F.col("genre_id").cast("long").alias("Id"),
+                                              F.lit("").alias("status"))
+    return silver.unionByName(bronze).unionByName(genre)
+
+
+def _shared_landing(spark, sf):
+    """A backlog in which many rows share name and time and some have none."""
+    a = activity_records(spark, sf)
+    shared = a.select("event_id", F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 5).cast("string")).alias("name"),
+                      F.when(F.col("event_id") % 11 != 0, F.col("time") - F.col("time") % 3600).alias("time"))
+    path = fresh_dir(spark, "landing")
+    prepare_activity_path(spark, shared, path, tz="UTC", tie_breaker="event_id")
+    return path
+
+
+def _landed(spark, sf, batches):
+    """``(event_id, batch, part of)`` of the batches' folders, the batch's number in its name."""
+    kind = table(spark, sf, "events").schema["event_id"].dataType.simpleString()
+    rows = spark.read.schema(f"event_id {kind}").json(batches)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch-(\d+)/", 1).cast("int")
+    return rows.select("event_id", number.alias("batch"))
+
+
+def q_land_cursor_drain(spark, sf):
+    """C4 by cursor: the whole backlog in 40 batches, no row rewritten."""
+    n = table(spark, sf, "events").count()
+    batches = land_all(spark, _shared_landing(spark, sf), fresh_dir(spark, "landed"), hours=-(-n // 400),
+                       tie_breaker="event_id")
+    return _landed(spark, sf, batches)
+
+
+def q_land_half(spark, sf):
+    """O1 for half of the backlog as one batch, written by many tasks; the other half remains."""
+    n = table(spark, sf, "events").count()
+    landing = Landing(spark, _shared_landing(spark, sf), "event_id")
+    out = landing.land(fresh_dir(spark, "landed"), hours=n // 20)
+    left = landing.remaining().select("event_id", F.lit(0).alias("batch"))
+    return _landed(spark, sf, [out]).unionByName(left)
+
+
 def q_merge_multi_date(spark, sf):
     """C2 and C3 on a Bronze of many ingest dates, one NULL, with records repeated on a later date."""
     text = F.to_json(F.struct("Id", "Title", "Budget", "RunTime", "OriginalLanguage", "ReleaseDate", "genres"))
@@ -494,6 +604,12 @@ _QUERIES: dict[str, Query] = {
     "stream_progress": q_stream_progress,
     "stream_to_silver": q_stream_to_silver,
     "raw_rejects": q_raw_rejects,
+    "raw_one_document": q_raw_one_document,
+    "raw_one_document_files": q_raw_one_document_files,
+    "stream_one_document": q_stream_one_document,
+    "silver_repeatable": q_silver_repeatable,
+    "land_cursor_drain": q_land_cursor_drain,
+    "land_half": q_land_half,
     "merge_multi_date": q_merge_multi_date,
     "merge_delete_escaped": q_merge_delete_escaped,
     "land_drain_full": q_land_drain_full,
@@ -531,6 +647,15 @@ ranked AS (
   SELECT *, row_number() OVER (ORDER BY month, day, hour, event_id) AS rn FROM a)
 """
 
+# the backlog of ``_shared_landing``: whole hours, some times missing
+SHARED = ACT + """, shared AS (
+  SELECT event_id, count(*) OVER () AS total,
+         row_number() OVER (ORDER BY CASE WHEN event_id % 11 <> 0 THEN month END NULLS FIRST,
+                            CASE WHEN event_id % 11 <> 0 THEN day END NULLS FIRST,
+                            CASE WHEN event_id % 11 <> 0 THEN hour END NULLS FIRST, event_id) AS rn
+  FROM a)
+"""
+
 _ORACLE = {
     "json_envelope_read": M + "SELECT Id, Title, Budget, RunTime, OriginalLanguage, ReleaseDate FROM m",
     "json_envelope_read_lines": M + "SELECT Id, Title, Budget, RunTime, OriginalLanguage, ReleaseDate FROM m",
@@ -617,6 +742,28 @@ FROM mc""",
     "raw_rejects": """
 SELECT CASE WHEN o_orderpriority = '2-HIGH' THEN 'rejected' ELSE 'accepted' END AS kind, count(*) AS n
 FROM orders GROUP BY 1""",
+    "raw_one_document": """
+SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'trailing' WHEN '2-HIGH' THEN 'unparsed' WHEN '3-MEDIUM' THEN 'trailing'
+            WHEN '4-NOT SPECIFIED' THEN 'unfit' ELSE 'accepted' END AS kind, count(*) AS n
+FROM orders GROUP BY 1""",
+    "raw_one_document_files": """
+SELECT CASE n_regionkey WHEN 0 THEN 'trailing' WHEN 1 THEN 'trailing' WHEN 2 THEN 'unparsed' ELSE 'accepted' END AS kind,
+       count(*) AS n
+FROM nation GROUP BY 1""",
+    "stream_one_document": f"""
+SELECT o_orderkey AS Id, 'new' AS status, DATE '{INGEST_DATE}' AS p_ingestdate
+FROM orders WHERE o_orderpriority = '5-LOW' OR o_orderpriority IS NULL""",
+    "silver_repeatable": M + """
+SELECT 'silver' AS layer, Id, CASE WHEN outcome = 'loaded' THEN 'new' ELSE 'quarantined' END AS status
+FROM mc WHERE outcome <> 'new'
+UNION ALL
+SELECT 'bronze', Id, CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END FROM mc
+UNION ALL
+SELECT DISTINCT 'genre', CAST(n_nationkey AS BIGINT), '' FROM mc WHERE outcome = 'quarantined'""",
+    "land_cursor_drain": SHARED + """
+SELECT event_id, CAST((rn - 1) // (10 * CAST(ceil(total / 400.0) AS BIGINT)) + 1 AS INTEGER) AS batch FROM shared""",
+    "land_half": SHARED + """
+SELECT event_id, CAST(rn <= 10 * (total // 20) AS INTEGER) AS batch FROM shared""",
     "merge_multi_date": M + f"""
 SELECT Id, CASE WHEN Id % 50 <> 0 THEN CAST(date_trunc('month', CAST(ReleaseDate AS DATE)) AS DATE) END AS p_ingestdate,
        CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END AS status FROM mc

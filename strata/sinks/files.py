@@ -20,3 +20,9 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     """Recursive delete of one directory (used for partitions a delete emptied)."""
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder (none if it isn't there)."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []

@@ -21,15 +21,15 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stage_observed(spark: SparkSession, df: DataFrame, label: str,
-                   metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
-    """``stage`` plus aggregate metrics computed by the same write job.
+def stage_observed(spark: SparkSession, df: DataFrame, label: str, metrics: Mapping[str, Column],
+                   path: str | None = None) -> tuple[DataFrame, dict]:
+    """``stage`` (to ``path``, if given) plus aggregate metrics computed by the same write job.
 
     ``DataFrame.observe`` evaluates the aggregates while the rows stream to
     the files, so sizes and counts of the batch cost no extra pass.
     """
     obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
-    path = fresh_dir(spark, label)
+    path = path or fresh_dir(spark, label)
     observed.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path), dict(obs.get)

@@ -15,56 +15,69 @@ over both.)
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
+import re
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata, with_stored_digest
-from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER, RAW_ENVELOPE_DDL
+from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER
 from strata.sinks.files import path_exists
 from strata.sinks.writers import append_partitioned
-from strata.sources.raw import CORRUPT, kept_records
+from strata.sources.raw import read_raw
 
 PROGRESS_DDL = "name STRING, batchId BIGINT, numInputRows BIGINT"
 
 
-def raw_stream(spark: SparkSession, raw_dir: str, key: str = "movie",
+def raw_stream(spark: SparkSession, raw_dir: str,
                max_files_per_trigger: int | None = None, multiline: bool = False,
                archive_dir: str | None = None) -> DataFrame:
-    """Streaming S1: envelopes with an explicit schema (see ``read_raw``), not yet exploded.
+    """Streaming S1: the raw text of the files not yet seen, a row for each document.
 
-    ``max_files_per_trigger`` bounds each micro-batch. ``archive_dir`` moves
+    The records are read from the micro-batch's files by the batch reader (see
+    ``apply_batch``), so a stream accepts, rejects and keeps exactly what a
+    batch does. ``max_files_per_trigger`` bounds each micro-batch. ``archive_dir`` moves
     processed files out of the source folder (``cleanSource=archive``), so
     the listing each trigger performs does not grow with history.
     """
-    r = (spark.readStream.format("json").option("multiLine", multiline)
-         .option("columnNameOfCorruptRecord", CORRUPT).schema(f"{RAW_ENVELOPE_DDL}, {CORRUPT} STRING"))
+    r = spark.readStream.format("text").option("wholetext", multiline)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.load(raw_dir)
+    return r.load(raw_dir).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+
+
+def _named(path: str) -> str:
+    """A file's URI as a reader's path: escapes undone, pattern characters taken literally."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(path))
 
 
 def _applied(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}/applied"
 
 
-def apply_batch(envelopes: DataFrame, batch_id: int, bronze_path: str, checkpoint: str, name: str,
+def apply_batch(documents: DataFrame, batch_id: int, bronze_path: str, checkpoint: str, name: str,
                 datasource: str = DEFAULT_DATASOURCE, ingest_ts: _dt.datetime | str | None = None,
-                store_digest: bool = False, rejects: str = "fail", key: str = "movie") -> bool:
-    """Append one micro-batch of envelopes to Bronze, once; False if it was applied before."""
-    spark = envelopes.sparkSession
+                store_digest: bool = False, rejects: str = "fail", multiline: bool = False) -> bool:
+    """Append one micro-batch of raw documents to Bronze, once; False if it was applied before.
+
+    The files of the micro-batch (``max_files_per_trigger`` at most; the file
+    source's own log names them too) are read by ``read_raw``.
+    """
+    spark = documents.sparkSession
     done = f"{_applied(checkpoint)}/batch-{batch_id:012d}"
     if path_exists(spark, f"{done}/_SUCCESS"):
         return False
-    seen = Observation(f"envelopes-{uuid.uuid4().hex[:8]}")
-    counted = envelopes.observe(seen, F.count(F.lit(1)).alias("n"))
-    rows = ingest_metadata(kept_records(counted, key, rejects), datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
-    append_partitioned(with_stored_digest(rows) if store_digest else rows, bronze_path, BRONZE_PARTITION)
-    (spark.createDataFrame([(name, batch_id, seen.get["n"])], PROGRESS_DDL).coalesce(1)
+    held = ~F.col("document").rlike(r"^\s*$")
+    files = documents.groupBy("path").agg(F.count_if(held).alias("n")).collect()
+    if files:
+        raw = read_raw(spark, [_named(f.path) for f in files], multiline=multiline, rejects=rejects)
+        rows = ingest_metadata(raw, datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
+        append_partitioned(with_stored_digest(rows) if store_digest else rows, bronze_path, BRONZE_PARTITION)
+    (spark.createDataFrame([(name, batch_id, sum(f.n for f in files))], PROGRESS_DDL).coalesce(1)
      .write.mode("overwrite").json(done))
     return True
 
@@ -82,9 +95,9 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
     src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger,
                      multiline=multiline, archive_dir=archive_dir)
 
-    def apply(envelopes: DataFrame, batch_id: int) -> None:
-        apply_batch(envelopes, batch_id, bronze_path, checkpoint, name, datasource, ingest_ts,
-                    store_digest, rejects)
+    def apply(documents: DataFrame, batch_id: int) -> None:
+        apply_batch(documents, batch_id, bronze_path, checkpoint, name, datasource, ingest_ts,
+                    store_digest, rejects, multiline)
 
     w = src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -107,15 +107,20 @@ def test_stream_two_drops_and_restart(spark):
 
 
 def test_stream_batch_is_applied_once(spark):
+    from strata.sources.raw import text_lines
     from strata.streaming.bronze_stream import apply_batch
 
     raw, bronze, ckpt = fresh_dir(spark, "t-once-raw"), fresh_dir(spark, "t-once"), fresh_dir(spark, "t-once-ckpt")
     write_envelope(movie_records(spark, SF0001), raw)
-    env = spark.read.schema("movie ARRAY<STRING>, __unparsed STRING").json(raw)
+    env = text_lines(spark, raw)
     args = (bronze, ckpt, "s", "d", "2024-01-31 12:00:00")
     assert apply_batch(env, 0, *args) and not apply_batch(env, 0, *args)  # a restart hands it over again
     assert spark.read.parquet(bronze).count() == env.count()
-    assert apply_batch(env.limit(3), 1, *args)
+    # names that are special in a path pattern or an URI
+    odd = f"{fresh_dir(spark, 't-odd')}/a b%20[x]"
+    env.limit(3).select("document").coalesce(1).write.text(odd)
+    lines = text_lines(spark, odd.replace("[", "\\[").replace("]", "\\]"))
+    assert apply_batch(lines, 1, *args)
     assert spark.read.parquet(bronze).count() == env.count() + 3
 
 
