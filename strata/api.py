@@ -18,7 +18,7 @@ from strata.functions.records import transform_bronze as _transform_bronze
 from strata.operators.landing import land_next_batch, prepare_activity_path
 from strata.operators.merge import merge_update_path
 from strata.operators.quality import split
-from strata.operators.repair import repair_by_lookup
+from strata.operators.repair import TypedRepair, repair_by_lookup, repair_typed
 from strata.schemas import BRONZE_PARTITION, STATUS_NEW, STATUS_QUARANTINED
 from strata.sinks.writers import batch_writer as _batch_writer
 from strata.sources.raw import read_raw
@@ -102,6 +102,18 @@ def repair_quarantined_records(spark: SparkSession, bronze: str, user_table: str
     return repair_by_lookup(q, read_source(spark, user_table), left_on, right_on, projection)
 
 
+def repair_quarantined_records_typed(spark: SparkSession, bronze: str, user_table: str,
+                                     projection: Mapping[str, tuple[Column, str]],
+                                     left_on: str = "device_id", right_on: str = "user_id",
+                                     parse=None) -> TypedRepair:
+    """The same repair with ``try_cast``: repaired, rejected and unmatched rows, each counted.
+
+    ``projection`` maps output names to ``(expression, type)``; see ``repair_typed``.
+    """
+    q = (parse or transform_bronze)(read_by_status(spark, bronze, STATUS_QUARANTINED))
+    return repair_typed(spark, q, read_source(spark, user_table), left_on, right_on, projection)
+
+
 def prepare_activity_data(spark: SparkSession, activity: DataFrame, landing_path: str,
                           tz: str | None = None) -> bool:
     """Epoch ``time`` -> text plus ``day, month, hour``; written once as the backlog."""
@@ -128,6 +140,7 @@ def ingest_classic_data(spark: SparkSession, landing_path: str, raw_path: str,
 __all__ = [
     "read_batch_raw", "transform_raw", "read_batch_bronze", "read_batch_delta",
     "transform_bronze", "generate_clean_and_quarantine_dataframes", "batch_writer",
-    "update_bronze_table_status", "repair_quarantined_records", "prepare_activity_data",
+    "update_bronze_table_status", "repair_quarantined_records", "repair_quarantined_records_typed",
+    "prepare_activity_data",
     "ingest_classic_data", "is_ready",
 ]

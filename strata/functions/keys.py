@@ -7,6 +7,8 @@ digest collision can never match two different records.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,5 +20,20 @@ def digest(*cols: str) -> Column:
 
 
 def stored_digest_name(key: str) -> str:
-    """Name of the optional stored digest column of a text key (``movie_digest``)."""
+    """Name of the stored digest column of a text key (``movie_digest``)."""
     return f"{key}_digest"
+
+
+#: Distinct digests that a Parquet row group's Bloom filter is sized for.
+BLOOM_KEYS = 200_000
+
+
+def bloom_options(columns: Iterable[str], key: str) -> dict[str, str]:
+    """Writer options that give the stored digest of ``key`` a Bloom filter in each row group.
+
+    An equality on the digest then skips the row groups that can't hold it.
+    """
+    name = stored_digest_name(key)
+    if name not in set(columns):
+        return {}
+    return {f"parquet.bloom.filter.enabled#{name}": "true", f"parquet.bloom.filter.expected.ndv#{name}": str(BLOOM_KEYS)}

@@ -29,9 +29,8 @@ def ingest_time(ingest_ts: _dt.datetime | str | None = None) -> Column:
 def with_stored_digest(bronze: DataFrame, key: str = "movie") -> DataFrame:
     """Add ``<key>_digest`` (64-bit xxhash of the record text) before ``p_ingestdate``.
 
-    Opt-in Bronze layout for large tables: merges then find touched
-    partitions from this 8-byte column instead of reading and hashing the
-    text column of the whole table.
+    Merges find touched partitions from this 8-byte column instead of reading
+    and hashing the text column of the whole table.
     """
     name = stored_digest_name(key)
     cols = [c for c in bronze.columns if c != "p_ingestdate"]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strata.functions.keys import DIGEST, digest, stored_digest_name
+from strata.functions.keys import DIGEST, bloom_options, digest, stored_digest_name
 from strata.operators.joins import broadcast_if_small, size_at_most
 from strata.sinks.files import path_exists, remove_path
 from strata.sinks.staging import stage
@@ -154,6 +154,11 @@ def partition_text(partition_by: Sequence[str]) -> Column:
     return F.concat_ws(_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in partition_by])
 
 
+def partition_value(text: str) -> str | None:
+    """The value that ``partition_text`` of a single column stands for."""
+    return None if text == _NULL else text
+
+
 def _value_text(v) -> str | None:
     if v is None:
         return None
@@ -181,32 +186,62 @@ def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} holds a file sink's log (_spark_metadata): a rewrite would make it unreadable")
 
 
+#: Keys up to which the probe asks for each digest by itself.
+PROBE_KEYS = 1000
+#: Values of one pushed IN; beyond this Spark pushes only the smallest and the largest.
+_IN = 10
+
+
+def digest_filter(column: str, values: Sequence[int]) -> Column:
+    """``column`` is one of ``values``, in a form that reaches the Parquet scan value by value.
+
+    Each value is then looked up in a row group's statistics and Bloom filter.
+    """
+    parts = [F.col(column).isin(list(values[i:i + _IN])) for i in range(0, len(values), _IN)]
+    while len(parts) > 1:  # a balanced tree of ORs
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2:]
+    return parts[0] if parts else F.lit(False)
+
+
+def _probe(target: DataFrame, keys: DataFrame, on: list[str], partition_by: list[str]) -> DataFrame | None:
+    """Partition values of rows whose stored digest is a key's, for few keys; ``None`` otherwise."""
+    stored = stored_digest_name(on[0])
+    if len(on) != 1 or stored not in target.columns or DIGEST not in keys.columns:
+        return None
+    found = [r[0] for r in keys.select(DIGEST).distinct().limit(PROBE_KEYS + 1).collect()]
+    if len(found) > PROBE_KEYS:
+        return None
+    return target.where(digest_filter(stored, found)).select(*partition_by)
+
+
 def _touched_scope(spark: SparkSession, target: DataFrame, keys: DataFrame,
                    join_cols: list[str], partition_by: list[str],
-                   null_safe: bool = False) -> tuple[list, DataFrame]:
+                   null_safe: bool = False, probe_first: Sequence[str] = ()) -> tuple[list, DataFrame]:
     """``(touched, scope)``: partition values holding a matched row, and the target pruned to them.
 
     With a digest among the join columns, the touched partitions are found
     by the digest alone: a collision can only add a partition to rewrite,
     never miss one (the rewrite still matches digest and text). When the
     target stores the digest (``<key>_digest``) this scan reads 8 bytes per
-    row instead of the text column.
+    row instead of the text column, and with few keys (``PROBE_KEYS``) only the
+    row groups that may hold one of them.
 
     The touched values are staged and read back: one row per partition
     directory at most, a list that the driver's file index holds anyway. They
     become a static partition filter, pruned at planning time.
     """
     probe = [DIGEST] if DIGEST in join_cols else join_cols
-    if null_safe:
+    hits = _probe(target, keys, list(probe_first), partition_by) if probe_first else None
+    if hits is None and null_safe:
         hits = null_safe_join(target, keys, probe, "left_semi")
-    else:
+    elif hits is None:
         hits = target.join(keys.select(*probe), probe, "left_semi")
     touched = _stage(spark, hits.select(*partition_by).distinct(), "merge-touched").collect()
     return touched, target.where(partition_predicate(partition_by, touched))
 
 
 def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
-                partition_by: list[str], sort_within: Sequence[str] = ()) -> None:
+                partition_by: list[str], sort_within: Sequence[str] = (), key: str | None = None) -> None:
     """Replace the partitions present in ``rows`` (or, unpartitioned, the table).
 
     A dynamic partition overwrite writes every task's files to a job staging
@@ -218,13 +253,16 @@ def _write_back(spark: SparkSession, rows: DataFrame, path: str, fmt: str,
     ``sort_within`` adds a task-local sort (no shuffle; the partitioned writer
     sorts by the partition columns anyway) so that Parquet row groups hold
     few distinct values of these columns and later equality scans on them
-    skip row groups by their statistics.
+    skip row groups by their statistics. A stored digest of ``key`` is the last
+    column of that sort and gets Bloom filters.
     """
     if not partition_by:
         rows = _stage(spark, rows, "rewrite")
-    if sort_within:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_within)
-    w = rows.write.format(fmt).mode("overwrite")
+    options = bloom_options(rows.columns, key) if key and fmt == "parquet" else {}
+    order = [*sort_within, *([stored_digest_name(key)] if options else [])]
+    if order:
+        rows = rows.sortWithinPartitions(*partition_by, *order)
+    w = rows.write.format(fmt).options(**options).mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.save(path)
@@ -281,14 +319,15 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
         assert_unambiguous(src, _join_cols(keys, use))
     jc = _join_cols(keys, use)
     if parts:
-        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts)
+        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts,
+                                  probe_first=keys if use else ())
         scope = scope.select(*target.columns)
     else:
         scope = target
     if not parts and target_filter is not None:
         raise ValueError("target_filter needs a partitioned target")
     updated = merge_update(scope, src_b, keys, set_values, broadcast_source=small, prepared=True)
-    _write_back(spark, updated.select(*target.columns), path, fmt, parts, sort_within)
+    _write_back(spark, updated.select(*target.columns), path, fmt, parts, sort_within, keys[0] if use else None)
 
 
 def partition_dir(spark: SparkSession, path: str, parts: list[str], row) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.records import parse_records, unpack
-from strata.operators.merge import merge_update_path
+from strata.operators.merge import merge_update_path, partition_text, partition_value
 from strata.operators.quality import OUTCOME, assert_schema, outcome_column
 from strata.schemas import (
     BRONZE_PARTITION,
@@ -29,7 +29,7 @@ from strata.schemas import (
     silver_schema,
 )
 from strata.session import fresh_dir
-from strata.sinks.batches import begin, finish, pending, write_batch
+from strata.sinks.batches import BATCH, begin, finish, pending, write_batch
 from strata.sinks.catalog import register_table
 from strata.sinks.staging import stage_observed
 from strata.sinks.writers import append_partitioned, rebuild_partitioned
@@ -81,6 +81,7 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
         "rows": F.count_if(decided_row),
         "bytes": F.sum(F.when(decided_row, F.coalesce(F.octet_length("movie"), F.lit(0))
                               + F.octet_length(OUTCOME) + F.lit(8)).otherwise(F.lit(0))),
+        "dates": F.collect_set(F.when(F.col(OUTCOME) == "loaded", partition_text([SILVER_PARTITION]))),
     }, path=staged)
     if profile is not None:
         profile.update(rows=m["all"], complete_rows=m["complete"])
@@ -89,16 +90,28 @@ def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     _append(batch, silver_path, record["batch"] if record else None, rebuild_silver)
     told("appended")
     if silver_table:
-        register_table(spark, silver_table, silver_path)
+        register_table(spark, silver_table, silver_path, partitions=written(m["dates"], record))
     _merge(spark, bronze_path, batch, source_bound=(m["rows"], m["bytes"] or 0), target_filter=merge_scope)
     told("merged")
     if record:
         finish(spark, silver_path)
     if bronze_table:
-        register_table(spark, bronze_table, bronze_path)
+        register_table(spark, bronze_table, bronze_path, partitions=())  # a merge adds no partition
     return batch
 
 
+def written(dates: list[str] | None, record: dict | None) -> list[dict]:
+    """The partitions that a batch's rows went to, as the staging write saw them (one value a date)."""
+    own = {BATCH: record["batch"]} if record else {}
+    return [{SILVER_PARTITION: partition_value(d), **own} for d in dates or ()]
+
+
+def bronze_partitions(spark: SparkSession, bronze_path: str) -> tuple[str, ...]:
+    """Partition columns of a Bronze layer, a batch column included where it has one."""
+    columns = spark.read.parquet(bronze_path).columns
+    return (BRONZE_PARTITION, BATCH) if BATCH in columns else (BRONZE_PARTITION,)
+
+
 def _append(batch: DataFrame, silver_path: str, batch_id: str | None = None, rebuild: bool = False) -> None:
     clean = batch.where(F.col(OUTCOME) == "loaded").select(*SILVER_COLUMNS)
     assert_schema(clean, silver_schema(), nullable=False)  # V2, before any write
@@ -113,7 +126,7 @@ def _append(batch: DataFrame, silver_path: str, batch_id: str | None = None, reb
 def _merge(spark: SparkSession, bronze_path: str, batch: DataFrame, **bounds) -> None:
     decided = batch.where(F.col(OUTCOME) != STATUS_NEW).select("movie", OUTCOME)
     merge_update_path(spark, bronze_path, decided, "movie", {"status": OUTCOME},
-                      partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
+                      partition_by=bronze_partitions(spark, bronze_path), check_unambiguous=False,
                       source_is_stable=True, sort_within=("status",), **bounds)
 
 

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from strata.functions.records import transform_bronze
 from strata.operators.dimensions import append_new_keys, genre_lookup, languages
-from strata.operators.merge import merge_update_path
+from strata.operators.merge import merge_update_path, partition_text
 from strata.operators.quality import OUTCOME, outcome_column
 from strata.operators.repair import repair_abs
-from strata.plans.bronze_to_silver import complete_pending
+from strata.plans.bronze_to_silver import bronze_partitions, complete_pending, written
 from strata.schemas import (
-    BRONZE_PARTITION,
     SILVER_PARTITION,
     STATUS_LOADED,
     STATUS_QUARANTINED,
@@ -84,6 +83,7 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
         "rows": F.count(F.lit(1)),
         "bytes": F.sum(F.coalesce(F.octet_length("movie"), F.lit(0))
                        + F.lit(len(STATUS_LOADED) + 8)),
+        "dates": F.collect_set(partition_text([SILVER_PARTITION])),
     }, path=staged)
     told("staged")
     record = None
@@ -92,19 +92,22 @@ def repair_quarantined(spark: SparkSession, bronze_path: str, silver_path: str,
             "genre_path": genre_path, "language_path": language_path, "distinct_languages": distinct_languages})
     added, langs = apply_repaired(
         spark, batch, bronze_path, silver_path, record["batch"] if record else None, genre_path, language_path,
-        distinct_languages, silver_table, told, source_bound=(m["rows"], m["bytes"] or 0), target_filter=merge_scope)
+        distinct_languages, told, source_bound=(m["rows"], m["bytes"] or 0), target_filter=merge_scope)
     if record:
         finish(spark, silver_path)
-    for name, path, parts in ((bronze_table, bronze_path, True), (genre_table, genre_path, False),
-                              (language_table, language_path, False)):
+    if silver_table:
+        register_table(spark, silver_table, silver_path, partitions=written(m["dates"], record))
+    if bronze_table:
+        register_table(spark, bronze_table, bronze_path, partitions=())  # a merge adds no partition
+    for name, path in ((genre_table, genre_path), (language_table, language_path)):
         if name and path:
-            register_table(spark, name, path, partitioned=parts)
+            register_table(spark, name, path, partitioned=False)
     return RepairResult(batch, added, langs)
 
 
 def apply_repaired(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_path: str,
                    batch_id: str | None = None, genre_path: str | None = None, language_path: str | None = None,
-                   distinct_languages: bool = False, silver_table: str | None = None,
+                   distinct_languages: bool = False,
                    told: Callable[[str], None] = lambda step: None, **bounds) -> tuple[DataFrame | None, DataFrame | None]:
     """Write a staged repaired batch: Silver rows, Bronze statuses, dimensions (``(genres added, languages)``).
 
@@ -116,10 +119,9 @@ def apply_repaired(spark: SparkSession, batch: DataFrame, bronze_path: str, silv
     else:
         batch_writer(batch, SILVER_PARTITION, exclude_columns=["movie"]).save(silver_path)
     told("appended")
-    if silver_table:
-        register_table(spark, silver_table, silver_path)
     merge_update_path(spark, bronze_path, batch.select("movie"), "movie",
-                      {"status": F.lit(STATUS_LOADED)}, partition_by=(BRONZE_PARTITION,), check_unambiguous=False,
+                      {"status": F.lit(STATUS_LOADED)}, partition_by=bronze_partitions(spark, bronze_path),
+                      check_unambiguous=False,
                       source_is_stable=True, sort_within=("status",), **bounds)
     told("merged")
     added = langs = None

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.api import repair_quarantined_records_typed, update_bronze_table_status
 from strata.functions.metadata import ingest_metadata
 from strata.functions.records import parse_records, transform_bronze
 from strata.operators import dimensions as dim
@@ -37,11 +38,14 @@ from strata.plans.silver_update import repair_quarantined
 from strata.schemas import BRONZE_SCHEMA, BRONZE_WRITE_ORDER, SILVER_COLUMNS
 from strata.session import fresh_dir, unique_name
 from strata.sinks.batches import layer_rows
+from strata.sinks.catalog import register_table, use_database
 from strata.sinks.envelope import write_envelope, write_envelope_documents
+from strata.sinks.staging import stage
 from strata.sources.driver_tables import activity_records, movie_records, table, user_lookup
-from strata.sources.raw import peek_raw, raw_inventory, raw_rejects, read_raw
+from strata.sources.raw import peek_raw, raw_inventory, raw_rejects, read_raw, text_lines
 from strata.sources.tables import read_by_status
 from strata.streaming.bronze_stream import progress_rows, run_raw_to_bronze
+from strata.streaming.medallion_stream import apply_medallion_batch, run_raw_to_silver
 
 INGEST_TS = "2024-01-31 12:00:00"
 INGEST_DATE = "2024-01-31"
@@ -464,9 +468,9 @@ def _landed(spark, sf, batches):
 
 
 def q_land_cursor_drain(spark, sf):
-    """C4 by cursor: the whole backlog in 40 batches, no row rewritten."""
+    """C4 by cursor: the whole backlog in 20 batches, no row rewritten."""
     n = table(spark, sf, "events").count()
-    batches = land_all(spark, _shared_landing(spark, sf), fresh_dir(spark, "landed"), hours=-(-n // 400),
+    batches = land_all(spark, _shared_landing(spark, sf), fresh_dir(spark, "landed"), hours=-(-n // 200),
                        tie_breaker="event_id")
     return _landed(spark, sf, batches)
 
@@ -480,6 +484,106 @@ def q_land_half(spark, sf):
     return _landed(spark, sf, [out]).unionByName(left)
 
 
+def q_stream_medallion(spark, sf):
+    """R1 -> C2 in one micro-batch each, one handed over again, then C3."""
+    raw_dir, ckpt, name = fresh_dir(spark, "raw-drops"), fresh_dir(spark, "stream-ckpt"), unique_name("medallion")
+    bronze, silver = fresh_dir(spark, "bronze"), fresh_dir(spark, "silver")
+    write_envelope(movie_records(spark, sf).repartition(6, "Id"), f"{raw_dir}/drop")
+    how = {"datasource": DATASOURCE, "ingest_ts": INGEST_TS}
+    run_raw_to_silver(spark, f"{raw_dir}/*", bronze, silver, ckpt, name, max_files_per_trigger=2, **how)
+    # the first micro-batch once more, as after a crash before the stream's own commit
+    log = spark.read.text(f"{ckpt}/sources/0/0").where("value LIKE '{%'")
+    again = [r[0] for r in log.select(F.get_json_object("value", "$.path")).collect()]
+    apply_medallion_batch(text_lines(spark, again), 0, bronze, silver, name, **how)
+    repair_quarantined(spark, bronze, silver, repeatable=True)
+    return (_with_id(spark.read.parquet(bronze)).select(F.lit("bronze").alias("layer"), "Id", "status")
+            .unionByName(layer_rows(spark, silver).select(F.lit("silver").alias("layer"), "Id", "status")))
+
+
+def q_repair_catalog_lookup(spark, sf):
+    """Quarantined Bronze records joined with a catalog table, typed by try_cast, all counted."""
+    e, path, bronze = table(spark, sf, "events"), fresh_dir(spark, "raw"), fresh_dir(spark, "bronze")
+    number = F.col("event_id").cast("string")
+    device = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("x"), number)).when(
+        F.col("event_id") % 7 != 0, F.col("user_id").cast("string"))
+    heart = F.when(F.col("event_id") % 3 == 0, F.lit("n/a")).when(F.col("event_id") % 11 != 0, number)
+    records = e.select("event_id", device.alias("device_id"), heart.alias("heartrate"))
+    write_envelope(records, path)
+    name, users = unique_name("bronze_event"), unique_name("user_lookup")
+    raw_to_bronze(spark, path, bronze, table=name, datasource=DATASOURCE, ingest_ts=INGEST_TS)
+    update_bronze_table_status(spark, bronze, stage(spark, read_by_status(spark, bronze), "all"), "quarantined")
+    register_table(spark, name, bronze)
+    found = fresh_dir(spark, "users")
+    user_lookup(spark, sf).where("user_id % 4 <> 0").write.parquet(found)
+    register_table(spark, users, found, partitioned=False)
+    shape = "event_id BIGINT, device_id STRING, heartrate STRING"
+    done = repair_quarantined_records_typed(spark, name, users, {
+        "event_id": (F.col("q.event_id"), "bigint"), "device_id": (F.col("u.device_id"), "int"),
+        "heartrate": (F.col("q.heartrate"), "int"), "p_eventdate": (F.col("q.p_ingestdate"), "date")},
+        parse=lambda q: parse_records(q, schema=shape))
+    assert done.counts == {"repaired": done.repaired.count(), "rejected": done.rejected.count(),
+                           "unmatched": done.unmatched.count()}
+    none = F.lit(None)
+    return (done.repaired.select(F.lit("repaired").alias("kind"), "event_id", "device_id", "heartrate")
+            .unionByName(done.rejected.select(F.concat_ws(":", F.lit("rejected"), "reasons").alias("kind"), F.col("q.event_id").alias("event_id"),
+                                              none.cast("int").alias("device_id"), none.cast("int").alias("heartrate")))
+            .unionByName(done.unmatched.select(F.lit("unmatched").alias("kind"), "event_id",
+                                               none.cast("int").alias("device_id"), none.cast("int").alias("heartrate"))))
+
+
+def q_activity_session_zone(spark, sf):
+    """X8 in the session's zone, over a year with both clock changes (texts of one hour repeat)."""
+    e = table(spark, sf, "events")
+    year = F.lit(1_704_067_200) + (F.col("event_id") * 7919 * 61) % 31_536_000
+    df = e.select("event_id", year.cast("long").alias("time"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        return stage(spark, prepare_activity(df), "activity")  # evaluated in that zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def q_ingest_clock(spark, sf):
+    """Without a given time, both columns come from one instant, the query's."""
+    b = ingest_metadata(read_raw(spark, _envelope(spark, sf)), DATASOURCE)
+    return b.agg(F.count(F.lit(1)).alias("n"), (F.countDistinct("ingesttime") == 1).alias("one_instant"),
+                 F.bool_and(F.col("ingesttime").cast("date") == F.col("p_ingestdate")).alias("same_date"))
+
+
+def q_catalog_database(spark, sf):
+    """K9 and K8: a database, tables in it registered anew by two C2 and C3 runs without being dropped."""
+    db, old = unique_name("movie_db"), spark.catalog.currentDatabase()
+    use_database(spark, db)
+    try:
+        bronze, silver, genres = (fresh_dir(spark, x) for x in ("bronze", "silver", "genres"))
+        m = movie_records(spark, sf)
+        for part, at in ((m.where("Id % 2 = 0"), INGEST_TS), (m.where("NOT Id % 2 = 0 OR Id IS NULL"), LATER_TS)):
+            path = fresh_dir(spark, "raw")
+            write_envelope(part, path)
+            raw_to_bronze(spark, path, bronze, table=f"{db}.bronze_movie", datasource=DATASOURCE, ingest_ts=at)
+            bronze_to_silver(spark, bronze, silver, bronze_table=f"{db}.bronze_movie", silver_table=f"{db}.silver_movie")
+            repair_quarantined(spark, bronze, silver, genre_path=genres, genre_table=f"{db}.genre",
+                               silver_table=f"{db}.silver_movie")
+        count = lambda t, by: spark.table(f"{db}.{t}").groupBy(F.lit(t).alias("name"), F.col(by).cast("string").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        return stage(spark, count("bronze_movie", "p_ingestdate").unionByName(count("silver_movie", "p_ingestdate"))
+                     .unionByName(count("genre", "genre_id")), "catalog-counts")
+    finally:
+        spark.catalog.setCurrentDatabase(old)
+
+
+def q_merge_few_keys(spark, sf):
+    """J2 with few keys: the probe asks the stored digest for each, over all dates."""
+    path, bronze = fresh_dir(spark, "raw"), fresh_dir(spark, "bronze")
+    m = movie_records(spark, sf)
+    for i, at in enumerate((INGEST_TS, LATER_TS)):
+        write_envelope(m.where(F.col("Id") % 2 == i), f"{path}-{i}")
+        raw_to_bronze(spark, f"{path}-{i}", bronze, datasource=DATASOURCE, ingest_ts=at)
+    few = stage(spark, _with_id(read_by_status(spark, bronze)).where("Id % 2000 = 1").select("movie"), "few")
+    update_bronze_table_status(spark, bronze, few, "loaded")
+    return _with_id(spark.read.parquet(bronze)).select("Id", "status", "p_ingestdate")
+
+
 def q_merge_multi_date(spark, sf):
     """C2 and C3 on a Bronze of many ingest dates, one NULL, with records repeated on a later date."""
     text = F.to_json(F.struct("Id", "Title", "Budget", "RunTime", "OriginalLanguage", "ReleaseDate", "genres"))
@@ -610,6 +714,12 @@ _QUERIES: dict[str, Query] = {
     "silver_repeatable": q_silver_repeatable,
     "land_cursor_drain": q_land_cursor_drain,
     "land_half": q_land_half,
+    "stream_medallion": q_stream_medallion,
+    "repair_catalog_lookup": q_repair_catalog_lookup,
+    "activity_session_zone": q_activity_session_zone,
+    "ingest_clock": q_ingest_clock,
+    "catalog_database": q_catalog_database,
+    "merge_few_keys": q_merge_few_keys,
     "merge_multi_date": q_merge_multi_date,
     "merge_delete_escaped": q_merge_delete_escaped,
     "land_drain_full": q_land_drain_full,
@@ -761,9 +871,39 @@ SELECT 'bronze', Id, CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END FROM
 UNION ALL
 SELECT DISTINCT 'genre', CAST(n_nationkey AS BIGINT), '' FROM mc WHERE outcome = 'quarantined'""",
     "land_cursor_drain": SHARED + """
-SELECT event_id, CAST((rn - 1) // (10 * CAST(ceil(total / 400.0) AS BIGINT)) + 1 AS INTEGER) AS batch FROM shared""",
+SELECT event_id, CAST((rn - 1) // (10 * CAST(ceil(total / 200.0) AS BIGINT)) + 1 AS INTEGER) AS batch FROM shared""",
     "land_half": SHARED + """
 SELECT event_id, CAST(rn <= 10 * (total // 20) AS INTEGER) AS batch FROM shared""",
+    "stream_medallion": M + """
+SELECT 'bronze' AS layer, Id, CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END AS status FROM mc
+UNION ALL
+SELECT 'silver', Id, CASE WHEN outcome = 'loaded' THEN 'new' ELSE 'quarantined' END FROM mc WHERE outcome <> 'new'""",
+    "repair_catalog_lookup": """
+WITH e AS (
+  SELECT event_id, CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL ELSE user_id END AS device,
+         CASE WHEN event_id % 3 = 0 THEN 'n/a' WHEN event_id % 11 <> 0 THEN event_id::VARCHAR END AS heart
+  FROM events)
+SELECT CASE WHEN c_custkey IS NULL THEN 'unmatched' WHEN heart = 'n/a' THEN 'rejected:heartrate' ELSE 'repaired' END AS kind,
+       event_id, CASE WHEN heart IS DISTINCT FROM 'n/a' THEN c_custkey::INTEGER END AS device_id,
+       CASE WHEN c_custkey IS NOT NULL THEN TRY_CAST(heart AS INTEGER) END AS heartrate
+FROM e LEFT JOIN customer ON c_custkey = device AND c_custkey % 4 <> 0""",
+    # New York's clock changes of 2024: 10 March 07:00 UTC, 3 November 06:00 UTC
+    "activity_session_zone": """
+SELECT event_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS time, day(w)::INTEGER AS day, month(w)::INTEGER AS month,
+       hour(w)::INTEGER AS hour
+FROM (SELECT event_id, epoch_ms(1000 * (t - CASE WHEN t >= 1710054000 AND t < 1730613600 THEN 14400 ELSE 18000 END)) AS w
+      FROM (SELECT event_id, 1704067200 + (event_id * 7919 * 61) % 31536000 AS t FROM events))""",
+    "ingest_clock": M + "SELECT count(*) AS n, true AS one_instant, true AS same_date FROM m",
+    "catalog_database": M + f""", d AS (
+  SELECT *, CASE WHEN Id % 2 = 0 THEN '{INGEST_DATE}' ELSE '{LATER_DATE}' END AS part FROM mc)
+SELECT 'bronze_movie' AS name, part, count(*) AS n FROM d GROUP BY part
+UNION ALL
+SELECT 'silver_movie', part, count(*) FROM d WHERE outcome <> 'new' GROUP BY part
+UNION ALL
+SELECT 'genre', n_nationkey::VARCHAR, 1 FROM d WHERE outcome = 'quarantined' GROUP BY n_nationkey""",
+    "merge_few_keys": M + f"""
+SELECT Id, CASE WHEN Id % 2000 = 1 THEN 'loaded' ELSE 'new' END AS status,
+       CASE WHEN Id % 2 = 0 THEN DATE '{INGEST_DATE}' ELSE DATE '{LATER_DATE}' END AS p_ingestdate FROM m""",
     "merge_multi_date": M + f"""
 SELECT Id, CASE WHEN Id % 50 <> 0 THEN CAST(date_trunc('month', CAST(ReleaseDate AS DATE)) AS DATE) END AS p_ingestdate,
        CASE WHEN outcome = 'new' THEN 'new' ELSE 'loaded' END AS status FROM mc

@@ -19,6 +19,7 @@ before that. ``_pending`` is hidden from scans of the layer.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,10 @@ def finish(spark: SparkSession, layer: str) -> None:
     remove_path(spark, _record(layer))
 
 
-def write_batch(rows: DataFrame, layer: str, partition_column: str, batch: str, fmt: str = "parquet") -> None:
+def write_batch(rows: DataFrame, layer: str, partition_column: str, batch: str, fmt: str = "parquet",
+                options: Mapping[str, str] | None = None) -> None:
     """Append ``rows`` as the layer's batch ``batch``, or replace what that batch has written."""
-    (rows.withColumn(BATCH, F.lit(batch)).write.format(fmt).mode("overwrite")
+    (rows.withColumn(BATCH, F.lit(batch)).write.format(fmt).options(**(options or {})).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_column, BATCH).save(layer))
 
 

@@ -7,7 +7,7 @@ Each task writes its own files into the partition directories it holds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
@@ -40,21 +40,23 @@ def batch_writer(df: DataFrame, partition_column: str | None,
 
 
 def append_partitioned(df: DataFrame, path: str, partition_column: str,
-                       columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+                       columns: Sequence[str] | None = None, fmt: str = "parquet",
+                       options: Mapping[str, str] | None = None) -> None:
     """K1/K2: append in a fixed column order, partitioned."""
     out = df.select(*columns) if columns else df
-    out.write.format(fmt).mode("append").partitionBy(partition_column).save(path)
+    out.write.format(fmt).options(**(options or {})).mode("append").partitionBy(partition_column).save(path)
 
 
 def rebuild_partitioned(df: DataFrame, path: str, partition_column: str,
-                        columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+                        columns: Sequence[str] | None = None, fmt: str = "parquet",
+                        options: Mapping[str, str] | None = None) -> None:
     """The first write of a rebuild replaces the whole layer (static overwrite).
 
     Never point this at a path ``df`` reads from (the raw input of a rebuild
     is another layer; its file list is not shipped to Python to check).
     """
     out = df.select(*columns) if columns else df
-    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    (out.write.format(fmt).options(**(options or {})).mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_column).save(path))
 
 

@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.keys import bloom_options
 from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata, with_stored_digest
+from strata.plans.raw_to_bronze import stores_digest
 from strata.schemas import BRONZE_PARTITION, BRONZE_WRITE_ORDER
 from strata.sinks.files import path_exists
 from strata.sinks.writers import append_partitioned
@@ -55,29 +57,38 @@ def _named(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(path))
 
 
+def file_names(documents: DataFrame) -> dict[str, int]:
+    """The files of a micro-batch, and how many documents each holds.
+
+    ``max_files_per_trigger`` names at most; the file source's own log lists them too.
+    """
+    held = ~F.col("document").rlike(r"^\s*$")
+    return {_named(r.path): r.n for r in documents.groupBy("path").agg(F.count_if(held).alias("n")).collect()}
+
+
 def _applied(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}/applied"
 
 
 def apply_batch(documents: DataFrame, batch_id: int, bronze_path: str, checkpoint: str, name: str,
                 datasource: str = DEFAULT_DATASOURCE, ingest_ts: _dt.datetime | str | None = None,
-                store_digest: bool = False, rejects: str = "fail", multiline: bool = False) -> bool:
+                store_digest: bool | None = None, rejects: str = "fail", multiline: bool = False) -> bool:
     """Append one micro-batch of raw documents to Bronze, once; False if it was applied before.
 
-    The files of the micro-batch (``max_files_per_trigger`` at most; the file
-    source's own log names them too) are read by ``read_raw``.
+    The files of the micro-batch are read by ``read_raw``.
     """
     spark = documents.sparkSession
     done = f"{_applied(checkpoint)}/batch-{batch_id:012d}"
     if path_exists(spark, f"{done}/_SUCCESS"):
         return False
-    held = ~F.col("document").rlike(r"^\s*$")
-    files = documents.groupBy("path").agg(F.count_if(held).alias("n")).collect()
+    files = file_names(documents)
     if files:
-        raw = read_raw(spark, [_named(f.path) for f in files], multiline=multiline, rejects=rejects)
+        raw = read_raw(spark, list(files), multiline=multiline, rejects=rejects)
         rows = ingest_metadata(raw, datasource, ingest_ts).select(*BRONZE_WRITE_ORDER)
-        append_partitioned(with_stored_digest(rows) if store_digest else rows, bronze_path, BRONZE_PARTITION)
-    (spark.createDataFrame([(name, batch_id, sum(f.n for f in files))], PROGRESS_DDL).coalesce(1)
+        if stores_digest(spark, bronze_path, store_digest):
+            rows = with_stored_digest(rows)
+        append_partitioned(rows, bronze_path, BRONZE_PARTITION, options=bloom_options(rows.columns, "movie"))
+    (spark.createDataFrame([(name, batch_id, sum(files.values()))], PROGRESS_DDL).coalesce(1)
      .write.mode("overwrite").json(done))
     return True
 
@@ -90,7 +101,7 @@ def start_raw_to_bronze(spark: SparkSession, raw_dir: str, bronze_path: str,
                         max_files_per_trigger: int | None = None,
                         multiline: bool = False,
                         archive_dir: str | None = None,
-                        store_digest: bool = False, rejects: str = "fail") -> StreamingQuery:
+                        store_digest: bool | None = None, rejects: str = "fail") -> StreamingQuery:
     """Start the named stream appending to Bronze (partitioned Parquet)."""
     src = raw_stream(spark, raw_dir, max_files_per_trigger=max_files_per_trigger,
                      multiline=multiline, archive_dir=archive_dir)

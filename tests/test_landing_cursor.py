@@ -95,7 +95,7 @@ def test_remaining_rows(spark):
 
 
 def test_half_is_written_by_many_tasks(spark):
-    rows = [(i, 1_704_067_200 + i) for i in range(40_000)]
+    rows = [(i, 1_704_067_200 + 40 * i) for i in range(40_000)]
     path, raw = backlog(spark, rows), fresh_dir(spark, "t-raw")
     landing = Landing(spark, path, "event_id")
     out = landing.land(raw, hours=2000)
