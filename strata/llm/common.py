@@ -57,12 +57,11 @@ def scanned(spark: SparkSession, docs: DataFrame, scan: bool) -> DataFrame:
 def without(spark: SparkSession, docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of the scan ``docs`` whose key is not in ``dropped`` (all columns).
 
-    ``dropped`` is a staged table of keys: the planner knows its size, so it is
-    broadcast when it is small, and joined by sort-merge on the (even) keys
-    otherwise.
+    ``dropped`` is a table of keys, joined by sort-merge on the (even) keys at
+    every size: one plan, whose cost grows with the input and no faster.
     """
     full = keyed(spark, docs, *[F.col(f"`{c}`") for c in docs.columns], scan=True)
-    return full.join(dropped.select(*KEYS), list(KEYS), "left_anti").select(
+    return full.join(dropped.select(*KEYS).hint("merge"), list(KEYS), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -25,10 +25,11 @@ classes. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
 agree in too few samples for the threshold are passed over. One link is enough
-to join two classes, so a block first names the ``BEST`` pairs of two classes
-that agree most, and these are verified. Blocks that hold more pairs of classes
-that are still apart name ``MORE`` times as many in the next round, until every
-such pair is verified or its classes are joined.
+to join two classes, so in the first round each text of a block names only the one
+partner that agrees most, and these pairs are verified: a block names no more pairs than it has
+texts. While pairs of classes that are still apart have not had their turn, the
+next round goes on along each text's list, up to ``MORE`` times as far, until
+every such pair is verified or its classes are joined.
 Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
@@ -62,9 +63,10 @@ KINDS = 2
 #: samples, of the kind in which they are similar than ``least`` asks for.
 LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
 BLOCK = 1024
-#: Pairs of two classes that a block names in its first round, those that agree
-#: most; and how many times as many it names in each further round.
-BEST, MORE = 2, 8
+#: How many times as far each round of the blocks goes along a text's list of partners.
+MORE = 4
+#: Pairs of a block whose bands are compared at once.
+PAIRS = 1 << 16
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -292,40 +294,47 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
-def _agreeing(least_samples: int, most: int = BEST) -> Callable:
-    """Of a block pair: pairs of different classes that agree in enough samples.
+def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
+    """Of a block: for each node the partners ``start`` to ``stop`` of its list that are still apart.
 
-    One link joins two classes, so of any two classes the ``most`` pairs that
-    agree most are named. If there are more, a last row without ``a`` and ``b``
+    A pair agrees in enough samples and was of two classes when the blocks
+    began (``label``); it is in the list of one of its nodes, those that agree
+    most first. The lists do not depend on the links found since, so each pair has
+    one turn, in which it is named unless the classes have become one (``now``). If
+    a pair apart comes after ``stop``, a last row without ``a`` and ``b``
     says so; each row has the block's key.
     """
     def agreeing(key: tuple, block: pa.Table) -> pa.Table:
-        node, label, second = (np.array(block.column(c)) for c in ("node", "label", "second"))
+        node, label, now, second = (np.array(block.column(c)) for c in ("node", "label", "now", "second"))
         low_band, high_band = (block.column(c)[0].as_py() % BANDS for c in ("low", "high"))
-        samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS).T.copy()
         keys = block.column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         one, two = np.flatnonzero(~second), np.flatnonzero(second)
-        left, right, agreed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for place, i in enumerate(one):
-            rest = two if len(two) else one[place + 1:]
-            rest = rest[label[rest] != label[i]]
-            same = (samples[rest] == samples[i]).sum(axis=1)
-            near = same >= least_samples
-            # a pair meets under each two of its bands; the first two name it
-            bands = (keys[rest[near]] == keys[i]).cumsum(axis=1)
-            near[near] = (bands[:, low_band] == 1) & (bands[:, high_band] == 1 + (high_band > low_band))
-            left.append(np.full(int(near.sum()), i))
-            right.append(rest[near])
-            agreed.append(same[near])
-        i, j, same = np.concatenate(left), np.concatenate(right), np.concatenate(agreed)
-        low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
-        order = np.lexsort((-same, high, low))
-        i, j, low, high = i[order], j[order], low[order], high[order]
-        new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(i)]
-        first = np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else i
-        best = np.arange(len(i)) - first < most
-        a, b = node[i[best]], node[j[best]]
-        more = [] if best.all() else [None]
+        rest = two if len(two) else one
+        agreed = np.zeros((len(one), len(rest)), np.uint8)
+        if (now != now[0]).any():
+            for column in samples:
+                agreed += column[one][:, None] == column[rest][None, :]
+        near = (agreed >= least_samples) & (label[one][:, None] != label[rest][None, :])
+        i, j = np.nonzero(near if len(two) else np.triu(near, 1))
+        same, i, j = agreed[i, j].astype(np.int64), one[i], rest[j]
+        # a pair meets under each two of its bands; the first two name it
+        first_two = np.zeros(len(i), bool)
+        for at in range(0, len(i), PAIRS):
+            part = slice(at, at + PAIRS)
+            bands = (keys[i[part]] == keys[j[part]]).cumsum(axis=1)
+            first_two[part] = (bands[:, low_band] == 1) & (bands[:, high_band] == 1 + (high_band > low_band))
+        i, j, same = i[first_two], j[first_two], same[first_two]
+        left = ((node[i] ^ node[j]) & 1 == 0) == (node[i] < node[j])
+        own, other = np.where(left, i, j), np.where(left, j, i)
+        order = np.lexsort((node[other], -same, own))
+        own, other = own[order], other[order]
+        new = np.append(True, own[1:] != own[:-1])[: len(own)]
+        turn = np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0)) if len(own) else own
+        apart = now[own] != now[other]
+        named = apart & (turn >= start) & (turn < stop)
+        a, b = node[own[named]], node[other[named]]
+        more = [None] if (apart & (turn >= stop)).any() else []
         n = len(a) + len(more)
         pair, x, y = (getattr(k, "as_py", lambda k=k: k)() for k in key)
         return pa.table({
@@ -384,8 +393,9 @@ def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes:
     """Labels after the blocks: the buckets that still hold several classes are compared whole.
 
     Each round takes the blocks that held back pairs in the last one. A block's
-    rows are the same in each round, its classes are those of the labels.
+    rows and lists are the same in each round, ``now`` are the classes so far.
     """
+    began = labels
     held = members.join(labels, "node")
     mixed = staged(spark, held.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
                    .where("l1 != l2").select("key"), "mixed")
@@ -406,25 +416,25 @@ def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes:
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("pair", "low", "high", "node", F.least("block", "other").cast("int").alias("x"),
                      F.greatest("block", "other").cast("int").alias("y"), (F.col("block") > F.col("other")).alias("second")))
-    most, cut, tried = BEST, None, None
+    start, stop, cut = 0, 1, None
     while True:
         now = dealt if cut is None else dealt.join(cut, ["pair", "x", "y"], "left_semi")
-        side = nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands").join(labels, "node")
+        side = nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands").join(began, "node").join(
+            labels.withColumnRenamed("label", "now"), "node")
         rows = now.join(side, "node").select(
-            "pair", "x", "y", "low", "high", "second", "node", "label",
+            "pair", "x", "y", "low", "high", "second", "node", "label", "now",
             F.expr(f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})").alias("keys"),
             F.expr(f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})").alias("samples"))
         named, seen = stage_observed(spark, rows.groupBy("pair", "x", "y").applyInArrow(
-            _agreeing(least_samples, most), "a long, b long, pair long, x int, y int"), "named",
+            _agreeing(least_samples, start, stop), "a long, b long, pair long, x int, y int"), "named",
             {"cut": F.count_if(F.col("a").isNull())})
         pairs = named.where("a IS NOT NULL").select("a", "b").distinct()
-        links, n = _verified(spark, pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), texts, check)
+        links, n = _verified(spark, pairs, texts, check)
         if n:
             labels = _joined(spark, labels, links)
         if not seen["cut"]:
             return labels
-        most, cut = most * MORE, named.where("a IS NULL").select("pair", "x", "y")
-        tried = pairs if tried is None else tried.union(pairs)
+        start, stop, cut = stop, stop * MORE, named.where("a IS NULL").select("pair", "x", "y")
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -200,6 +200,7 @@ def take_mix(spark: SparkSession, docs: DataFrame, scan: bool = False, **options
     taken = staged(spark, mix(spark, docs, scan=True, **options).where("copies > 0")
                    .select(*KEYS, F.col("copies").alias("__llm_copies")), "mix-taken")
     full = keyed(spark, docs, *[F.col(f"`{c}`") for c in docs.columns], scan=True)
-    return (full.join(taken, list(KEYS))
+    # sort-merge at every size, as in ``without``
+    return (full.join(taken.hint("merge"), list(KEYS))
             .withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_copies").cast("int"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -208,7 +208,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, doc_id: str = "doc
         "quality-changes",
     )
     full = keyed(spark, docs, *[F.col(f"`{c}`") for c in docs.columns], scan=True)
-    out = full.join(change, list(KEYS), "left").where(F.coalesce("__llm_kept", F.lit(True)))
+    # sort-merge at every size, as in ``without``
+    out = full.join(change.hint("merge"), list(KEYS), "left").where(F.coalesce("__llm_kept", F.lit(True)))
     old = F.col(f"`{text}`")
     short = F.array_join(F.filter(F.split(old, "\n", -1), lambda x: ~F.array_contains(
         F.col("__llm_removed"), line_hash(x))), "\n")

@@ -148,7 +148,7 @@ def test_first_two_bands_are_those_of_the_keys():
     samples[1, [k * 3 for k in range(16) if k not in (1, 3, 5)]] = 1
     keys = np.arange(32).reshape(2, 16)
     keys[1, [3, 5]] = keys[0, [3, 5]]
-    block = pa.table({"node": [7, 8], "label": [7, 8], "second": [False, False], "low": [3, 3], "high": [5, 5],
+    block = pa.table({"node": [7, 8], "label": [7, 8], "now": [7, 8], "second": [False, False], "low": [3, 3], "high": [5, 5],
                       "samples": [x.tobytes() for x in samples], "keys": keys.tolist()})
     got = minhash._agreeing(30)((0, 0, 0), block)
     assert list(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(7, 8)]
@@ -171,3 +171,28 @@ def test_all_pairs_of_two_classes_are_tried(spark, documents, monkeypatch):
 
     monkeypatch.setattr(minhash, "_similar", check)
     assert found_classes(near_classes(spark, documents(rows))) == {frozenset(range(24))}
+
+
+def test_a_block_names_each_pair_in_one_turn_and_few_at_a_time():
+    """Nodes that agree in all bands: a round names no more pairs than its part of the lists, all rounds each pair once."""
+    rng, n = np.random.default_rng(3), 60
+    samples = np.zeros((n, 48), np.uint8)
+    samples[np.arange(n), rng.integers(0, 48, n)] = rng.integers(1, 5, n)
+    node = rng.permutation(1000)[:n]
+    for second in (np.zeros(n, bool), np.arange(n) >= 25):
+        block = pa.table({"node": node, "label": node, "now": node, "second": second, "low": [0] * n, "high": [1] * n,
+                          "samples": [x.tobytes() for x in samples], "keys": [[1] * 16] * n})
+        seen, start, stop = [], 0, 1
+        while True:
+            got = minhash._agreeing(30, start, stop)((0, 0, 0), block)
+            pairs = [(a, b) for a, b in zip(got["a"].to_pylist(), got["b"].to_pylist()) if a is not None]
+            assert len(pairs) <= (stop - start) * n
+            seen += pairs
+            if None not in got["a"].to_pylist():
+                break
+            start, stop = stop, stop * minhash.MORE
+        want = {(min(a, b), max(a, b)) for i, a in enumerate(node.tolist()) for k, b in enumerate(node.tolist())
+                if (i < k if not second.any() else second[k] and not second[i])}
+        assert len(seen) == len(set(seen)) and set(seen) == want
+        joined = minhash._agreeing(30)((0, 0, 0), block.set_column(2, "now", pa.array(np.zeros(n, np.int64))))
+        assert joined.num_rows == 0
