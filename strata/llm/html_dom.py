@@ -57,30 +57,74 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def read(page: str) -> Dom:
-    dom = Dom()
-    tag, parent, attrs, pieces = dom.tag, dom.parent, dom.attrs, dom.pieces
-    stack, open_of = [0], {"#page": 1}  # open elements; how many of each name
+#: Each rule of implied ends: the names that are ended, and the borders that hide them.
+RULES = [({"p"}, P_BORDERS), *IMPLIED.values()]
+P_RULE, RULE_OF = 0, {name: n for n, name in enumerate(IMPLIED, 1)}
+#: What an element of a name means to the rules: (rule, is it a border).
+ROLES: dict[str, list[tuple[int, bool]]] = {}
+for _n, (_ended, _borders) in enumerate(RULES):
+    for _name in _ended:
+        ROLES.setdefault(_name, []).append((_n, False))
+    for _name in set(_borders) - set(_ended):
+        ROLES.setdefault(_name, []).append((_n, True))
+
+
+class _Open:
+    """The open elements, with what end tags and implied ends ask for at hand.
+
+    ``places`` has the stack places of each open name, ``blocks`` those of the
+    elements that are not inline, and ``reach`` for each rule, by border, the
+    places that an implied end can reach. Each is kept as elements come and go, so
+    no question walks the stack.
+    """
 
-    def close(upto: int) -> None:
+    __slots__ = ("stack", "tag", "pieces", "places", "blocks", "reach")
+
+    def __init__(self, dom: Dom) -> None:
+        self.stack, self.tag, self.pieces = [0], dom.tag, dom.pieces
+        self.places: dict[str, list[int]] = {"#page": [0]}
+        self.blocks = [0]
+        self.reach: list[list[list[int]]] = [[[]] for _ in RULES]
+
+    def push(self, element: int) -> None:
+        name, place = self.tag[element], len(self.stack)
+        self.stack.append(element)
+        self.places.setdefault(name, []).append(place)
+        if name not in INLINE:
+            self.blocks.append(place)
+        for rule, border in ROLES.get(name, ()):
+            if border:
+                self.reach[rule].append([])
+            else:
+                self.reach[rule][-1].append(place)
+
+    def close(self, upto: int) -> None:
+        """Close all elements from stack place ``upto`` on."""
+        stack = self.stack
         while len(stack) > upto:
-            name = tag[stack.pop()]
-            open_of[name] -= 1
+            name = self.tag[stack.pop()]
+            self.places[name].pop()
+            for rule, border in ROLES.get(name, ()):
+                if border:
+                    self.reach[rule].pop()
+                else:
+                    self.reach[rule][-1].pop()
             if name not in INLINE:
-                pieces.append((stack[-1] if stack else 0, None))
-
-    def close_nearest(names: set[str] | frozenset[str], borders: set[str] | frozenset[str]) -> None:
-        if not any(open_of.get(n) for n in names):
-            return
-        end = None
-        for k in range(len(stack) - 1, 0, -1):
-            name = tag[stack[k]]
-            if name in names:
-                end = k
-            elif name in borders:
-                break
-        if end is not None:
-            close(end)
+                self.blocks.pop()
+                self.pieces.append((stack[-1] if stack else 0, None))
+
+    def imply(self, rule: int) -> None:
+        """Close the outermost element that the rule's implied end reaches."""
+        places = self.reach[rule][-1]
+        if places:
+            self.close(places[0])
+
+
+def read(page: str) -> Dom:
+    dom = Dom()
+    tag, parent, attrs, pieces = dom.tag, dom.parent, dom.attrs, dom.pieces
+    held = _Open(dom)
+    stack, places = held.stack, held.places
 
     at, size = 0, len(page)
     while at < size:
@@ -101,24 +145,18 @@ def read(page: str) -> Dom:
             name = found[1].lower()
             if name == "br":
                 pieces.append((stack[-1], "\n"))
-            elif name != "p" or open_of.get("p"):
-                if open_of.get(name):
-                    k = len(stack) - 1
-                    while tag[stack[k]] != name:
-                        k -= 1
-                    if name in INLINE:  # no inline end tag ends a block
-                        inner = range(k + 1, len(stack))
-                        if any(tag[stack[j]] not in INLINE for j in inner):
-                            continue
-                    close(k)
+            elif places.get(name):
+                k = places[name][-1]
+                if name not in INLINE or held.blocks[-1] < k:  # no inline end tag ends a block
+                    held.close(k)
             continue
         if not found[2]:
             continue
         name = found[2].lower()
-        if name in ENDS_P and open_of.get("p"):
-            close_nearest({"p"}, P_BORDERS)
-        if name in IMPLIED:
-            close_nearest(*IMPLIED[name])
+        if name in ENDS_P:
+            held.imply(P_RULE)
+        if name in RULE_OF:
+            held.imply(RULE_OF[name])
         if name not in INLINE:
             pieces.append((stack[-1], "\n" if name == "br" else None))
         me = len(tag)
@@ -137,6 +175,5 @@ def read(page: str) -> Dom:
             continue
         if (found[3] or "").endswith("/") and name in ("svg", "path", "use"):
             continue
-        stack.append(me)
-        open_of[name] = open_of.get(name, 0) + 1
+        held.push(me)
     return dom

@@ -219,8 +219,9 @@ def join_text(dom: Dom, keep: list[bool], of: list[int]) -> str:
         if text is None:
             parts.append("\n")
         elif keep[of[e]] and not never[e]:
-            parts.append(text)
-    return " ".join(html.unescape("".join(parts)).split())
+            # each piece by itself: a reference doesn't reach over a tag
+            parts.append(html.unescape(text) if "&" in text else text)
+    return " ".join("".join(parts).split())
 
 
 def train(pages: int = TRAIN_PAGES, seed: int = SEED) -> Trees:

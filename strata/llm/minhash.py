@@ -65,8 +65,6 @@ LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
 BLOCK = 1024
 #: How many times as far each round of the blocks goes along a text's list of partners.
 MORE = 4
-#: Pairs of a block whose bands are compared at once.
-PAIRS = 1 << 16
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -311,20 +309,23 @@ def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
         keys = block.column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         one, two = np.flatnonzero(~second), np.flatnonzero(second)
         rest = two if len(two) else one
-        agreed = np.zeros((len(one), len(rest)), np.uint8)
-        if (now != now[0]).any():
-            for column in samples:
-                agreed += column[one][:, None] == column[rest][None, :]
-        near = (agreed >= least_samples) & (label[one][:, None] != label[rest][None, :])
-        i, j = np.nonzero(near if len(two) else np.triu(near, 1))
-        same, i, j = agreed[i, j].astype(np.int64), one[i], rest[j]
+        near = label[one][:, None] != label[rest][None, :]
+        if not len(two):
+            near = np.triu(near, 1)
         # a pair meets under each two of its bands; the first two name it
-        first_two = np.zeros(len(i), bool)
-        for at in range(0, len(i), PAIRS):
-            part = slice(at, at + PAIRS)
-            bands = (keys[i[part]] == keys[j[part]]).cumsum(axis=1)
-            first_two[part] = (bands[:, low_band] == 1) & (bands[:, high_band] == 1 + (high_band > low_band))
-        i, j, same = i[first_two], j[first_two], same[first_two]
+        for band in [low_band, high_band, *[b for b in range(high_band) if b != low_band]]:
+            if (now == now[0]).all() or not near.any():
+                near[:] = False
+                break
+            equal = keys[one, band][:, None] == keys[rest, band][None, :]
+            near &= equal if band in (low_band, high_band) else ~equal
+        held, by = near.any(axis=1), near.any(axis=0)
+        one, rest, near = one[held], rest[by], near[held][:, by]
+        agreed = np.zeros(near.shape, np.uint8)
+        for column in samples if near.size else ():
+            agreed += column[one][:, None] == column[rest][None, :]
+        i, j = np.nonzero(near & (agreed >= least_samples))
+        same, i, j = agreed[i, j].astype(np.int64), one[i], rest[j]
         left = ((node[i] ^ node[j]) & 1 == 0) == (node[i] < node[j])
         own, other = np.where(left, i, j), np.where(left, j, i)
         order = np.lexsort((node[other], -same, own))

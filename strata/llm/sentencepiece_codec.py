@@ -29,11 +29,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices
+from strata.llm.common import flat_bytes, slices
 
 #: Fixed values of the model file's format.
 MARK = "▁"
@@ -41,7 +42,9 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Words whose ids a Python worker keeps from one slice to the next (twice as many at most).
-KEPT_WORDS = 250_000
+KEPT_WORDS = 100_000
+#: Ids that are decoded at once.
+SLICE_IDS = 1_000_000
 #: Piece pairs that it remembers.
 KEPT_PAIRS = 500_000
 
@@ -265,20 +268,54 @@ def _marked(text: str, vocabulary: Vocabulary) -> str:
     return MARK + text if text and vocabulary.dummy_prefix else text
 
 
+def marked_words(texts: pa.Array, dummy_prefix: bool, whole: bool, stops: bool) -> tuple[pa.Array, np.ndarray]:
+    """All marked words in order, as bytes with spaces for marks, and the number of each one's text.
+
+    A word begins where a run of spaces begins, and at a text's first
+    byte, which gets a space in front if the model asks for it. With ``whole`` a text
+    is one word; with ``stops`` a line feed is a word by itself.
+    """
+    texts = pc.replace_substring(pc.fill_null(texts, ""), pattern=MARK, replacement=" ")
+    if dummy_prefix:
+        some = pc.greater(pc.binary_length(texts), 0)
+        texts = pc.binary_join_element_wise(pc.if_else(some, " ", ""), texts, "")
+    data, offsets = flat_bytes(texts)
+    begins = np.zeros(len(data), bool)
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    if not whole and len(data):
+        space = data == 32
+        begins[1:] |= space[1:] & ~space[:-1]
+        if stops:
+            feed = data == 10
+            begins |= feed
+            begins[1:] |= feed[:-1]
+    start = np.flatnonzero(begins)
+    owner = np.searchsorted(offsets, start, side="right") - 1
+    return pa.Array.from_buffers(pa.binary(), len(start), [
+        None, pa.py_buffer(np.append(start, len(data)).astype(np.int32)), pa.py_buffer(data)]), owner
+
+
 def _encoder(tables: Broadcast) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(tables.value)
-        store = WordStore(vocabulary)
+        store, cut = WordStore(vocabulary), vocabulary.cut.pattern
         for batch in slices(batches, "__llm_text"):
-            texts = batch.column("__llm_text").to_pylist()
-            cut = [vocabulary.cut.findall(_marked(t, vocabulary)) if t else [] for t in texts]
-            ids_of = store.get({w for words in cut for w in words}).__getitem__
-            packed = [b"".join(map(ids_of, words)) for words in cut]
-            offsets = np.zeros(len(packed) + 1, dtype=np.int32)
-            np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)),
-                mask=pa.array([t is None for t in texts], pa.bool_()))
+            texts = batch.column("__llm_text")
+            words, owner = marked_words(texts, vocabulary.dummy_prefix, cut == ".+", cut.endswith("\n"))
+            coded = words.dictionary_encode()
+            distinct = [w.decode().replace(" ", MARK) for w in coded.dictionary.to_pylist()]
+            ids_of = store.get(set(distinct))
+            packed = [ids_of[w] for w in distinct]
+            sizes = np.array([len(p) // 4 for p in packed], np.int64)
+            table, code = np.frombuffer(b"".join(packed), np.int32), coded.indices.to_numpy()
+            # each word's run of ids, in the order of the words
+            size = sizes[code]
+            ends = np.cumsum(size)
+            first = (np.cumsum(sizes) - sizes)[code] - (ends - size) if len(code) else size
+            flat = table[np.repeat(first, size) + np.arange(ends[-1] if len(ends) else 0)]
+            offsets = np.zeros(len(texts) + 1, dtype=np.int32)
+            np.cumsum(np.bincount(owner, size, len(texts)).astype(np.int64), out=offsets[1:])
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pc.is_null(texts))
             others = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "__llm_text"]
             yield pa.RecordBatch.from_arrays([*others, ids], names=[
                 *[n for n in batch.schema.names if n != "__llm_text"], "__llm_ids"])
@@ -286,6 +323,31 @@ def _encoder(tables: Broadcast) -> Callable:
     return encode
 
 
+def _texts(ids: pa.ListArray, raw: list[bytes], pieces: pa.Array, dummy_prefix: bool) -> pa.Array:
+    """The texts of lists of ids; bytes that are no UTF-8 become U+FFFD.
+
+    ``pieces`` holds the pieces' bytes and, behind them, the same without a
+    leading space, for the place where the model's own prefix stands.
+    """
+    size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, flat = np.cumsum(size), ids.flatten().to_numpy().astype(np.int64)
+    first = (ends - size)[size > 0]
+    lead = flat[first]
+    if dummy_prefix:
+        flat[first] += len(raw)
+    try:
+        if dummy_prefix and any(not raw[i] for i in np.unique(lead)):
+            raise pa.ArrowInvalid("a silent piece leads")  # the prefix may stand behind it
+        offsets = pa.array(np.append(0, ends).astype(np.int32))
+        out = pc.binary_join(pa.ListArray.from_arrays(offsets, pieces.take(pa.array(flat))), b"").cast(pa.string())
+    except pa.ArrowInvalid:
+        flat[first] = lead
+        texts = (b"".join(map(raw.__getitem__, flat[end - n:end])).decode("utf-8", "replace")
+                 for end, n in zip(ends.tolist(), size.tolist(), strict=True))
+        out = pa.array([t[1:] if dummy_prefix and t.startswith(" ") else t for t in texts], pa.string())
+    return pc.if_else(pc.is_valid(ids), out, None)
+
+
 def _decoder(tables: Broadcast) -> Callable:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(tables.value)
@@ -293,20 +355,18 @@ def _decoder(tables: Broadcast) -> Callable:
         raw = [p.replace(MARK, " ").encode() if k != BYTE else bytes([int(p[3:5], 16)])
                for p, k in zip(v.pieces, v.kinds, strict=True)]
         raw = [b"" if i in silent else b" \xe2\x81\x87 " if i == v.unknown else x for i, x in enumerate(raw)]
-        for batch in batches:
-            out: list[str | None] = []
-            column = batch.column("__llm_ids")
-            for k in range(len(column)):
-                ids = column[k]
-                if not ids.is_valid:
-                    out.append(None)
-                    continue
-                # slots of one list: the numbers stay in an array, not in Python objects
-                text = b"".join(map(raw.__getitem__, ids.values.to_numpy(zero_copy_only=False))).decode("utf-8", "replace")
-                out.append(text[1:] if v.dummy_prefix and text.startswith(" ") else text)
-            others = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "__llm_ids"]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(out, pa.string())], names=[
-                *[n for n in batch.schema.names if n != "__llm_ids"], "__llm_text"])
+        pieces = pa.array(raw + [x[1:] if x[:1] == b" " else x for x in raw], pa.binary())
+        for whole in batches:
+            size = pc.fill_null(pc.list_value_length(whole.column("__llm_ids")), 0).to_numpy(zero_copy_only=False)
+            before, start = np.cumsum(size, dtype=np.int64), 0
+            while start < whole.num_rows:  # runs of rows of so many ids (one row at least)
+                base = before[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(before, base + SLICE_IDS, side="right")))
+                batch, start = whole.slice(start, stop - start), stop
+                out = _texts(batch.column("__llm_ids"), raw, pieces, v.dummy_prefix)
+                others = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "__llm_ids"]
+                yield pa.RecordBatch.from_arrays([*others, out], names=[
+                    *[n for n in batch.schema.names if n != "__llm_ids"], "__llm_text"])
 
     return decode
 

@@ -143,32 +143,47 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 
+def _record_at(data: bytes, at: int) -> tuple[dict, int]:
+    """The record at a byte of an archive, and the byte after it."""
+    head = data.find(b"\r\n\r\n", at)
+    if not data.startswith(b"WARC/", at) or head < 0:
+        raise ValueError(f"no WARC record at byte {at}")
+    fields = {}
+    for line in data[at:head].split(b"\r\n")[1:]:
+        key, _, value = line.partition(b":")
+        fields[key.strip().lower()] = value.strip()
+    size = int(fields.get(b"content-length", b"none"))
+    block = data[head + 4:head + 4 + size]
+    if size < 0 or len(block) < size:
+        raise ValueError(f"record at byte {at} is cut short")
+    text = lambda k: fields[k].decode("utf-8", "replace") if k in fields else None
+    name = lambda k: text(k).strip("<>") if k in fields else None
+    number = lambda k: int(fields[k]) if k in fields else None
+    record = {"record_id": name(b"warc-record-id"), "type": text(b"warc-type") or "",
+              "url": text(b"warc-target-uri") or None, "refers_to": name(b"warc-refers-to"),
+              "digest": (text(b"warc-payload-digest") or "").removeprefix("sha1:"),
+              "origin": name(b"warc-segment-origin-id"), "segment": number(b"warc-segment-number"),
+              "total": number(b"warc-segment-total-length"), "block": block}
+    end = head + 4 + size
+    while data[end:end + 2] == b"\r\n":
+        end += 2
+    return record, end
+
+
 def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of an archive's bytes."""
+    """The records of an archive's bytes.
+
+    What cannot be read as a record gives ``{"error": ...}`` once, and reading
+    goes on at the next line that begins one.
+    """
     at = 0
     while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        if not data.startswith(b"WARC/", at) or head < 0:
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = {}
-        for line in data[at:head].split(b"\r\n")[1:]:
-            key, _, value = line.partition(b":")
-            fields[key.strip().lower()] = value.strip()
-        size = int(fields[b"content-length"])
-        block = data[head + 4:head + 4 + size]
-        if len(block) < size:
-            raise ValueError(f"record at byte {at} is cut short")
-        text = lambda k: fields[k].decode("utf-8", "replace") if k in fields else None
-        name = lambda k: text(k).strip("<>") if k in fields else None
-        number = lambda k: int(fields[k]) if k in fields else None
-        yield {"record_id": name(b"warc-record-id"), "type": text(b"warc-type"),
-               "url": text(b"warc-target-uri") or None, "refers_to": name(b"warc-refers-to"),
-               "digest": (text(b"warc-payload-digest") or "").removeprefix("sha1:"),
-               "origin": name(b"warc-segment-origin-id"), "segment": number(b"warc-segment-number"),
-               "total": number(b"warc-segment-total-length"), "block": block}
-        at = head + 4 + size
-        while data[at:at + 2] == b"\r\n":
-            at += 2
+        try:
+            record, end = _record_at(data, at)
+        except ValueError as error:
+            record, end = {"error": str(error)}, data.find(b"\nWARC/", at) + 1 or len(data)
+        yield record
+        at = end
 
 
 def _payload(kind: str, block: bytes, digest: str) -> tuple[bytes | None, int, str]:
@@ -210,8 +225,9 @@ def _parser(payloads: bool) -> Callable:
             for k in range(batch.num_rows):
                 out, size = [], 0
                 for r in parse_records(batch.column("content")[k].as_buffer().to_pybytes()):
-                    out.append(r if r["segment"] is not None else _decoded(r, [r], payloads))
-                    size += len(r["block"])
+                    alone = "error" not in r and r["segment"] is None
+                    out.append(_decoded(r, [r], payloads) if alone else r)
+                    size += len(r.get("block", b""))
                     if size > 4_000_000:
                         yield pa.RecordBatch.from_pylist(out, schema=schema)
                         out, size = [], 0

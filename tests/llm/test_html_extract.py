@@ -77,3 +77,21 @@ def test_defined_cases(spark, model):
     assert by[1] == by[2] == by[3] == by[6] == "" and by[4] == TEXT and by[5] == "just some text <b>"
     assert by[7].startswith("Paragraph 0 has") and by[7].endswith("as prose has.") and by[7].count("Paragraph") == 20_000
     assert extract(spark, df.limit(0), model, F.col("page_id")).count() == 0
+
+
+def test_reading_is_linear_in_nesting():
+    import time
+
+    n = 100_000
+    soups = ["<p><button>" + "<div>" * n, "<b>" + "<div>" * n + "</b>" * n, "<li><ul>" + "<div>" * n + "<li>" * n,
+             "<td><table>" + "<span>" * n + "<td>x" * n, "<p>" * n, "<option><select>" + "<i>" * n + "<option>" * n]
+    for soup in soups:
+        at = time.perf_counter()
+        dom = read(soup)
+        assert len(dom.tag) > n and time.perf_counter() - at < 4
+
+
+def test_references_end_with_their_piece(model):
+    page = "<html><body><article><h1>Rates</h1><p>AT&<b>amp;</b>T and Q&amp;A &lt;here&gt; " + "plain words of the story " * 40 + "</p></article></body></html>"
+    text = main_texts(model, [page])[0]
+    assert "AT&amp;T and Q&A <here>" in text

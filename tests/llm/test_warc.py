@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import staged
 from strata.llm.warc import (
-    capture_records, chunked, dechunked, page_of, parse_records, read_warc, records_of, write_warc,
+    END, capture_records, chunked, dechunked, page_of, parse_records, read_warc, records_of, write_warc,
 )
 from strata.session import fresh_dir
 
@@ -97,3 +97,23 @@ def test_least_bytes_and_empty_table(spark):
     path = fresh_dir(spark, "warc")
     write_warc(capture_records(spark, pages(spark, [])), path)
     assert read_warc(spark, path).count() == 0
+
+
+def test_damaged_archives_give_error_rows(spark):
+    """A record cut in its head, one without a length, one cut in its block, and rubbish: the others are read."""
+    good = [b"".join(records_of(f"urn:page:{i}:0:0", "u", b"payload %d" % i, None)) + END.encode() for i in range(5)]
+    cut = good[1][:40]
+    no_length = good[2].replace(b"Content-Length: ", b"X-Length: ", 1)
+    long = good[3].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    data = good[0] + cut + b"\r\n\r\n" + no_length + b"rubbish\r\n" + long + good[4]
+    found = list(parse_records(data))
+    assert [r["record_id"] for r in found if "error" not in r] == ["urn:page:0:0:0", "urn:page:4:0:0"]
+    path = fresh_dir(spark, "warc")
+    import os
+    os.makedirs(path)
+    for name, content in (("a", data), ("b", b""), ("c", b"no archive"), ("d", good[1][:-20])):
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(content)
+    rows = read_warc(spark, path).collect()
+    assert sorted(bytes(r.payload) for r in rows if not r.error) == [b"payload 0", b"payload 4"]
+    assert sum(bool(r.error) for r in rows) >= 5 and all(r.payload is None for r in rows if r.error)
