@@ -327,7 +327,7 @@ def _stream(spark, sf):
     ckpt = fresh_dir(spark, "stream-ckpt")
     name = unique_name("raw_to_bronze")
     runs = []
-    early = F.col("OriginalLanguage") < "FURNITURE"
+    early = F.coalesce(F.col("OriginalLanguage") < "FURNITURE", F.lit(False))
     for i, part in enumerate((m.where(early), m.where(~early)), start=1):
         write_envelope(part, f"{raw_dir}/drop-{i}")
         runs.append(run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, multiline=False,
@@ -356,7 +356,7 @@ def q_stream_to_silver(spark, sf):
     """R1 twice, on two dates, C2 after each, then C3: the stream's Bronze stays a plain table."""
     m, raw_dir = movie_records(spark, sf), fresh_dir(spark, "raw-drops")
     bronze, silver, ckpt = fresh_dir(spark, "bronze"), fresh_dir(spark, "silver"), fresh_dir(spark, "stream-ckpt")
-    name, early = unique_name("raw_to_bronze"), F.col("OriginalLanguage") < "FURNITURE"
+    name, early = unique_name("raw_to_bronze"), F.coalesce(F.col("OriginalLanguage") < "FURNITURE", F.lit(False))
     for i, (part, at) in enumerate(((m.where(early), INGEST_TS), (m.where(~early), LATER_TS)), start=1):
         write_envelope(part, f"{raw_dir}/drop-{i}")
         run_raw_to_bronze(spark, f"{raw_dir}/*", bronze, ckpt, name, datasource=DATASOURCE, ingest_ts=at)
@@ -402,7 +402,7 @@ def q_raw_one_document(spark, sf):
 
 
 def q_raw_one_document_files(spark, sf):
-    """The same for the multi-line reader: one file per customer nation, with as many documents as it has regions' worth."""
+    """The same for the multi-line reader: one file per nation, by region with one document, two, one with more text, a cut one."""
     path = fresh_dir(spark, "raw")
     n = table(spark, sf, "nation")
     one = F.concat(F.lit('{"movie":\n [{"Id":'), F.col("n_nationkey").cast("string"), F.lit("}]}"))
