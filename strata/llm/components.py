@@ -25,15 +25,14 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
         step = staged(spark, labels.join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")), "labels")
-        hook = step.groupBy(F.col("old").alias("node")).agg(F.min("label").alias("hook"))
-        hooked = staged(spark, step.join(hook, "node", "left").select(
-            "node", "old", F.least("label", F.coalesce("hook", "label")).alias("label")), "labels")
-        jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        new = hooked.join(jump, "label", "left").select(
+        # the label's own node takes the least label that any of its nodes has seen, and all follow it there
+        hook = step.groupBy(F.col("old").alias("label")).agg(F.min("label").alias("hook"))
+        own = step.select(F.col("node").alias("label"), F.col("label").alias("own"))
+        far = own.join(hook, "label", "left").select("label", F.least("own", F.coalesce("hook", "own")).alias("far"))
+        new = step.join(far, "label", "left").select(
             "node", F.least("label", F.coalesce("far", "label")).alias("label"), "old")
         out, seen = stage_observed(spark, new, "labels", {
             "changed": F.count_if(F.col("old") != F.col("label"))})
         labels = out.select("node", "label")
         if not seen["changed"]:
             return labels
-

@@ -25,8 +25,8 @@ classes. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
 out by pairs of bands, in blocks inside a task. Of all these pairs, those that
 agree in too few samples for the threshold are passed over. One link is enough
-to join two classes, so in the first round each text of a block names only the one
-partner that agrees most, and these pairs are verified: a block names no more pairs than it has
+to join two classes, so in the first round each text of a block names only the two
+partners that agree most, and these pairs are verified: a block names at most twice as many pairs as it has
 texts. While pairs of classes that are still apart have not had their turn, the
 next round goes on along each text's list, up to ``MORE`` times as far, until
 every such pair is verified or its classes are joined.
@@ -64,7 +64,9 @@ KINDS = 2
 LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
 BLOCK = 1024
 #: How many times as far each round of the blocks goes along a text's list of partners.
-MORE = 4
+MORE = 16
+#: Buckets of so many texts are compared many at a time, ``SMALL_ROWS`` of them at once.
+SMALL, SMALL_ROWS = 24, 1000
 #: A round that links less than this share of the candidate texts is the last before the blocks.
 FEW_LINKS = 0.02
 FREQ_CELLS = 1 << 18
@@ -292,18 +294,53 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
+def _turns(own: np.ndarray, other: np.ndarray, same: np.ndarray, node: np.ndarray, now: np.ndarray, start: int,
+           stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs ``(own, other)``: those named now, and the places of nodes with pairs for later.
+
+    ``own`` and ``other`` are places in ``node``, a pair's agreement is ``same``. A node's list has
+    its pairs that agree most first. Turns do not depend on the links found since; a pair is named in its
+    turn unless its classes have become one (``now``).
+    """
+    rank = np.empty(len(node), np.int64)
+    rank[np.argsort(node, kind="stable")] = np.arange(len(node))
+    order = np.argsort((own * 64 + (BANDS * ROWS - same)) * len(node) + rank[other])
+    own, other = own[order], other[order]
+    number = np.arange(len(own))
+    new = np.append(True, own[1:] != own[:-1])[: len(own)]
+    turn = number - np.maximum.accumulate(np.where(new, number, 0)) if len(own) else number
+    apart = now[own] != now[other]
+    named = apart & (turn >= start) & (turn < stop)
+    return own[named], other[named], own[apart & (turn >= stop)]
+
+
+def _owned(i: np.ndarray, j: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs as (the node in whose list a pair is, the other)."""
+    left = ((node[i] ^ node[j]) & 1 == 0) == (node[i] < node[j])
+    return np.where(left, i, j), np.where(left, j, i)
+
+
+def _named_rows(a: np.ndarray, b: np.ndarray, pair: np.ndarray, x: np.ndarray, y: np.ndarray, more: list) -> pa.Table:
+    """The named pairs with their block's key, then a row without a pair for each block in ``more``."""
+    none = [None] * len(more)
+    both = lambda v, k, t: pa.array([*v.tolist(), *[m[k] for m in more]], t)
+    return pa.table({
+        "a": pa.array([*np.minimum(a, b).tolist(), *none], pa.int64()),
+        "b": pa.array([*np.maximum(a, b).tolist(), *none], pa.int64()),
+        "pair": both(pair, 0, pa.int64()), "x": both(x, 1, pa.int32()), "y": both(y, 2, pa.int32())})
+
+
 def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
     """Of a block: for each node the partners ``start`` to ``stop`` of its list that are still apart.
 
     A pair agrees in enough samples and was of two classes when the blocks
-    began (``label``); it is in the list of one of its nodes, those that agree
-    most first. The lists do not depend on the links found since, so each pair has
-    one turn, in which it is named unless the classes have become one (``now``). If
+    began (``label``); it is in the list of one of its nodes (``_turns``). If
     a pair apart comes after ``stop``, a last row without ``a`` and ``b``
     says so; each row has the block's key.
     """
     def agreeing(key: tuple, block: pa.Table) -> pa.Table:
         node, label, now, second = (np.array(block.column(c)) for c in ("node", "label", "now", "second"))
+        key = [getattr(k, "as_py", lambda k=k: k)() for k in key]
         low_band, high_band = (block.column(c)[0].as_py() % BANDS for c in ("low", "high"))
         samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS).T.copy()
         keys = block.column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
@@ -325,23 +362,47 @@ def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
         for column in samples if near.size else ():
             agreed += column[one][:, None] == column[rest][None, :]
         i, j = np.nonzero(near & (agreed >= least_samples))
-        same, i, j = agreed[i, j].astype(np.int64), one[i], rest[j]
-        left = ((node[i] ^ node[j]) & 1 == 0) == (node[i] < node[j])
-        own, other = np.where(left, i, j), np.where(left, j, i)
-        order = np.lexsort((node[other], -same, own))
-        own, other = own[order], other[order]
-        new = np.append(True, own[1:] != own[:-1])[: len(own)]
-        turn = np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0)) if len(own) else own
-        apart = now[own] != now[other]
-        named = apart & (turn >= start) & (turn < stop)
-        a, b = node[own[named]], node[other[named]]
-        more = [None] if (apart & (turn >= stop)).any() else []
-        n = len(a) + len(more)
-        pair, x, y = (getattr(k, "as_py", lambda k=k: k)() for k in key)
-        return pa.table({
-            "a": pa.array([*np.minimum(a, b).tolist(), *more], pa.int64()),
-            "b": pa.array([*np.maximum(a, b).tolist(), *more], pa.int64()),
-            "pair": pa.array([pair] * n, pa.int64()), "x": pa.array([x] * n, pa.int32()), "y": pa.array([y] * n, pa.int32())})
+        same = agreed[i, j].astype(np.int64)
+        own, other, later = _turns(*_owned(one[i], rest[j], node), same, node, now, start, stop)
+        of = lambda k: np.full(len(own), key[k])
+        return _named_rows(node[own], node[other], of(0), of(1), of(2), [key] if len(later) else [])
+
+    return agreeing
+
+
+def _agreeing_small(least_samples: int, start: int, stop: int) -> Callable:
+    """``_agreeing`` for buckets of ``SMALL`` nodes at most, many at a time: a row is a bucket."""
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SMALL_ROWS):
+                batch = whole.slice(at, SMALL_ROWS)
+                held = batch.column("held")
+                size, rows = pc.list_value_length(held).to_numpy(zero_copy_only=False).astype(np.int64), held.flatten()
+                node, label, now = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "now"))
+                keys = rows.field("keys").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+                samples = np.frombuffer(b"".join(rows.field("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+                begin, i, j = np.cumsum(size) - size, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for n in np.unique(size):
+                    left, right = np.triu_indices(n, 1)
+                    places = begin[size == n][:, None]
+                    i.append((places + left).ravel())
+                    j.append((places + right).ravel())
+                i, j = np.concatenate(i), np.concatenate(j)
+                apart = label[i] != label[j]
+                i, j = i[apart], j[apart]
+                of = np.repeat(np.arange(len(size)), size)
+                low, high = (np.array(batch.column(c))[of] % BANDS for c in ("low", "high"))
+                equal = keys[i] == keys[j]
+                each = np.arange(len(i))
+                first = equal[each, low[i]] & equal[each, high[i]] & (
+                    (equal & (np.arange(BANDS) < high[i][:, None])).sum(axis=1) == (low[i] < high[i]))
+                i, j = i[first], j[first]
+                same = (samples[i] == samples[j]).sum(axis=1)
+                near = same >= least_samples
+                own, other, later = _turns(*_owned(i[near], j[near], node), same[near], node, now, start, stop)
+                pair, none = np.array(batch.column("pair")), np.zeros(len(own), np.int64)
+                more = [(p, 0, 0) for p in pair[np.unique(of[later])].tolist()]
+                yield from _named_rows(node[own], node[other], pair[of[own]], none, none, more).to_batches()
 
     return agreeing
 
@@ -410,25 +471,36 @@ def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes:
     two = staged(spark, two, "band-pairs")
     size = staged(spark, two.groupBy("pair").agg(
         F.count(F.lit(1)).alias("size"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        .where("l1 != l2").select("pair", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band-pairs")
+        .where("l1 != l2").select("pair", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band-pairs")
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = (two.join(size, "pair").withColumn("block", block)
              .select("pair", "low", "high", "node", "block",
                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("pair", "low", "high", "node", F.least("block", "other").cast("int").alias("x"),
                      F.greatest("block", "other").cast("int").alias("y"), (F.col("block") > F.col("other")).alias("second")))
-    start, stop, cut = 0, 1, None
+    start, stop, cut = 0, 2, None
+    blocks = dealt.join(size.where(f"size > {SMALL}").select("pair"), "pair", "left_semi")
+    buckets = two.join(size.where(f"size <= {SMALL}").select("pair"), "pair", "left_semi").select(
+        "pair", "low", "high", "node", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("second"))
     while True:
-        now = dealt if cut is None else dealt.join(cut, ["pair", "x", "y"], "left_semi")
         side = nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands").join(began, "node").join(
             labels.withColumnRenamed("label", "now"), "node")
-        rows = now.join(side, "node").select(
-            "pair", "x", "y", "low", "high", "second", "node", "label", "now",
-            F.expr(f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})").alias("keys"),
-            F.expr(f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})").alias("samples"))
-        named, seen = stage_observed(spark, rows.groupBy("pair", "x", "y").applyInArrow(
-            _agreeing(least_samples, start, stop), "a long, b long, pair long, x int, y int"), "named",
-            {"cut": F.count_if(F.col("a").isNull())})
+
+        def rows(dealt: DataFrame, cut: DataFrame | None = cut, side: DataFrame = side) -> DataFrame:
+            now = dealt if cut is None else dealt.join(cut, ["pair", "x", "y"], "left_semi")
+            return now.join(side, "node").select(
+                "pair", "x", "y", "low", "high", "second", "node", "label", "now",
+                F.expr(f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})").alias("keys"),
+                F.expr(f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})").alias("samples"))
+
+        shape = "a long, b long, pair long, x int, y int"
+        large = rows(blocks).groupBy("pair", "x", "y").applyInArrow(_agreeing(least_samples, start, stop), shape)
+        small = (rows(buckets).groupBy("pair").agg(
+            F.min("low").alias("low"), F.min("high").alias("high"),
+            F.collect_list(F.struct("node", "label", "now", "keys", "samples")).alias("held"))  # SMALL at most
+            .where(F.size(F.array_distinct("held.now")) > 1)
+            .mapInArrow(_agreeing_small(least_samples, start, stop), shape))
+        named, seen = stage_observed(spark, large.unionByName(small), "named", {"cut": F.count_if(F.col("a").isNull())})
         pairs = named.where("a IS NOT NULL").select("a", "b").distinct()
         links, n = _verified(spark, pairs, texts, check)
         if n:

@@ -196,3 +196,32 @@ def test_a_block_names_each_pair_in_one_turn_and_few_at_a_time():
         assert len(seen) == len(set(seen)) and set(seen) == want
         joined = minhash._agreeing(30)((0, 0, 0), block.set_column(2, "now", pa.array(np.zeros(n, np.int64))))
         assert joined.num_rows == 0
+
+
+def test_small_buckets_are_compared_like_blocks():
+    """Random buckets of 2 to 24 nodes: the same pairs in the same turns from both forms."""
+    rng = np.random.default_rng(8)
+    buckets = []
+    for pair in range(60):
+        n = int(rng.integers(2, 25))
+        samples = np.zeros((n, 48), np.uint8)
+        samples[rng.random((n, 48)) < rng.choice([0.1, 0.3])] = 1
+        keys = rng.integers(10, 60, (n, 16))
+        low, high = sorted(rng.choice(16, 2, replace=False).tolist())
+        keys[:, [low, high]] = 1
+        label = rng.integers(0, 4, n)
+        now = np.where(label == 3, 2, label)
+        buckets.append((pair, low, high, rng.permutation(10_000)[:n], label, now, keys, samples))
+    rows = [{"pair": p, "low": low, "high": high, "held": [
+        {"node": int(a), "label": int(b), "now": int(c), "keys": k.tolist(), "samples": s.tobytes()}
+        for a, b, c, k, s in zip(node, label, now, keys, samples)]} for p, low, high, node, label, now, keys, samples in buckets]
+    for start, stop in ((0, 1), (1, 4), (0, 100)):
+        got = [r for b in minhash._agreeing_small(30, start, stop)(iter(pa.table(
+            {c: [r[c] for r in rows] for c in rows[0]}).to_batches())) for r in b.to_pylist()]
+        want = []
+        for p, low, high, node, label, now, keys, samples in buckets:
+            n = len(node)
+            block = pa.table({"node": node, "label": label, "now": now, "second": [False] * n, "low": [low] * n, "high": [high] * n,
+                              "samples": [x.tobytes() for x in samples], "keys": keys.tolist()})
+            want += minhash._agreeing(30, start, stop)((p, 0, 0), block).to_pylist()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
