@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding with a given model file.
 
 Method: shared-prefix Viterbi. The text is cut into marked words (a run of word
-marks and what follows up to the next mark). The distinct words of a slice of
+marks and what follows), and these where no piece runs from one character to the
+next: the parts are encoded independently. The distinct words of a slice of
 texts are sorted, which lays them out as the depth-first order of their trie,
 and the forward table of a word is kept up to the prefix that it shares with
 the next one, so a prefix is worked out once.
@@ -42,7 +43,9 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 #: Words whose ids a Python worker keeps from one slice to the next (twice as many at most).
-KEPT_WORDS = 100_000
+KEPT_WORDS = 200_000
+#: Bytes of text whose distinct words are encoded together.
+SLICE_BYTES = 4_000_000
 #: Ids that are decoded at once.
 SLICE_IDS = 1_000_000
 #: Piece pairs that it remembers.
@@ -146,7 +149,7 @@ def read_tables(model: bytes) -> dict:
         "dummy_prefix": dummy, "ids": ids, "unknown": kinds.index(UNKNOWN), "cut": cut,
         "bytes": {int(pieces[i][3:5], 16): i for i, k in enumerate(kinds) if k == BYTE},
         "ends": {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()},
-        "follows": {}, "words": {},
+        "runs_on": byte_pairs(ids), "follows": {}, "words": {},
     }
 
 
@@ -268,12 +271,25 @@ def _marked(text: str, vocabulary: Vocabulary) -> str:
     return MARK + text if text and vocabulary.dummy_prefix else text
 
 
-def marked_words(texts: pa.Array, dummy_prefix: bool, whole: bool, stops: bool) -> tuple[pa.Array, np.ndarray]:
+def byte_pairs(pieces: Iterable[str]) -> np.ndarray:
+    """Whether a piece may run on from a byte to the next (256 x 256), a space standing for the mark.
+
+    Exact for two ASCII characters; all others count as one kind.
+    """
+    runs_on = np.zeros((256, 256), bool)
+    runs_on[128:, 128:] = True
+    kind = lambda c: 32 if c == MARK else ord(c) if c < "\x80" else slice(128, 256)
+    for left, right in {pair for p in pieces for pair in zip(p, p[1:])}:
+        runs_on[kind(left), kind(right)] = True
+    return runs_on
+
+
+def marked_words(texts: pa.Array, dummy_prefix: bool, runs_on: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All marked words in order, as bytes with spaces for marks, and the number of each one's text.
 
-    A word begins where a run of spaces begins, and at a text's first
-    byte, which gets a space in front if the model asks for it. With ``whole`` a text
-    is one word; with ``stops`` a line feed is a word by itself.
+    A word begins at a text's first byte, which gets a space in front if the
+    model asks for it, and where no piece runs on: at a run of spaces, and
+    mostly at punctuation, digits and line feeds.
     """
     texts = pc.replace_substring(pc.fill_null(texts, ""), pattern=MARK, replacement=" ")
     if dummy_prefix:
@@ -282,13 +298,7 @@ def marked_words(texts: pa.Array, dummy_prefix: bool, whole: bool, stops: bool)
     data, offsets = flat_bytes(texts)
     begins = np.zeros(len(data), bool)
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
-    if not whole and len(data):
-        space = data == 32
-        begins[1:] |= space[1:] & ~space[:-1]
-        if stops:
-            feed = data == 10
-            begins |= feed
-            begins[1:] |= feed[:-1]
+    begins[1:] |= ~runs_on[data[:-1], data[1:]]
     start = np.flatnonzero(begins)
     owner = np.searchsorted(offsets, start, side="right") - 1
     return pa.Array.from_buffers(pa.binary(), len(start), [
@@ -298,10 +308,10 @@ def marked_words(texts: pa.Array, dummy_prefix: bool, whole: bool, stops: bool)
 def _encoder(tables: Broadcast) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(tables.value)
-        store, cut = WordStore(vocabulary), vocabulary.cut.pattern
-        for batch in slices(batches, "__llm_text"):
+        store, runs_on = WordStore(vocabulary), vocabulary.tables["runs_on"]
+        for batch in slices(batches, "__llm_text", SLICE_BYTES):
             texts = batch.column("__llm_text")
-            words, owner = marked_words(texts, vocabulary.dummy_prefix, cut == ".+", cut.endswith("\n"))
+            words, owner = marked_words(texts, vocabulary.dummy_prefix, runs_on)
             coded = words.dictionary_encode()
             distinct = [w.decode().replace(" ", MARK) for w in coded.dictionary.to_pylist()]
             ids_of = store.get(set(distinct))
