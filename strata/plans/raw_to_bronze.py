@@ -12,7 +12,7 @@ from strata.functions.metadata import DEFAULT_DATASOURCE, ingest_metadata, with_
 from strata.operators.quality import assert_schema
 from strata.schemas import BRONZE_PARTITION, BRONZE_SCHEMA, BRONZE_WRITE_ORDER
 from strata.sinks.catalog import register_table
-from strata.sinks.files import path_exists
+from strata.sinks.files import child_names, path_exists
 from strata.sinks.writers import append_partitioned, rebuild_partitioned
 from strata.sources.raw import read_raw
 
@@ -33,12 +33,16 @@ def stores_digest(spark: SparkSession, bronze_path: str, wanted: bool | None = N
                   key: str = "movie") -> bool:
     """Whether rows written to this Bronze carry the digest: all of a table's rows do, or none.
 
-    Rows without it in a table that has the column would never be matched.
+    Rows without it in a table that has the column would never be matched. One
+    partition is asked, not the table: an append lists no more than that.
     """
     if rebuild or not path_exists(spark, bronze_path):
         return wanted is not False
+    parts = sorted(c for c in child_names(spark, bronze_path) if c.startswith(f"{BRONZE_PARTITION}="))
+    one = spark.read.option("basePath", bronze_path) if parts else spark.read
     try:
-        there = stored_digest_name(key) in spark.read.parquet(bronze_path).columns
+        there = stored_digest_name(key) in one.parquet(
+            f"{bronze_path.rstrip('/')}/{parts[-1]}" if parts else bronze_path).columns
     except AnalysisException as exc:  # a folder without files yet
         if "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
