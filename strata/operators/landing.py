@@ -5,12 +5,14 @@ The landing table is the backlog. A batch is the first ``10 * hours`` rows in
 once as JSON lines, read back, and exactly the rows written are deleted from
 the backlog by ``name``, ``time`` and the tie-breaker, NULL equal to NULL.
 Landing every batch until the backlog is empty returns each backlog row exactly
-once, whatever its name and time.
+once, whatever its name and time. ``land_next_batches`` lands many batches in one
+pass, with one delete: a backlog of n batches isn't rewritten n times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,14 @@ from strata.functions.activity import with_time_parts
 from strata.operators.merge import merge_delete_path, partition_predicate
 from strata.schemas import LANDING_DELETE_KEY, LANDING_ORDER, LANDING_ROWS_PER_HOUR
 from strata.session import fresh_dir
+from strata.sinks.staging import stage
 from strata.sinks.writers import write_json_lines, write_new
 
+#: Partition column of the folders of batches that are landed together.
+BATCH = "batch"
+#: Landed rows up to which the delete broadcasts their keys without asking their size.
+FEW_ROWS = 100_000
+
 
 def prepare_activity(df: DataFrame, time_col: str = "time", tz: str | None = None) -> DataFrame:
     """C5 transform: ``time`` (epoch seconds) to text, plus ``day, month, hour``."""
@@ -144,3 +152,73 @@ def land_next_batch(spark: SparkSession, landing_path: str, raw_dir: str, hours:
                       touched_partitions=[{c: r[c] for c in partition_by} for r in keep]
                       if (keep and time_keyed) else None)
     return out
+
+
+def numbered(spark: SparkSession, rows: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, int]:
+    """Staged ``rows`` with ``name``, each row's place (from 0) by ``order``, NULLs first; and how many there are.
+
+    The rows are staged in ranges of ``order``, sorted inside, with an id that
+    holds the range and the place in it; the counts of the ranges (one number
+    each) give the rows before it.
+    """
+    by, row, part = [F.col(c).asc() for c in order], "__row", "__range"
+    ranged = stage(spark, rows.repartitionByRange(*by).sortWithinPartitions(*by)
+                   .withColumn(row, F.monotonically_increasing_id()), "numbered")
+    ranged = ranged.withColumn(part, F.shiftright(row, 33))
+    counts = ranged.groupBy(part).count().orderBy(part).collect()
+    ends = list(accumulate(r["count"] for r in counts))
+    before = spark.createDataFrame([(r[part], end - r["count"]) for r, end in zip(counts, ends, strict=True)],
+                                   f"{part} BIGINT, __before BIGINT")
+    place = F.col("__before") + F.col(row).bitwiseAND((1 << 33) - 1)
+    return (ranged.join(F.broadcast(before), part).withColumn(name, place).drop(row, part, "__before"),
+            ends[-1] if ends else 0)
+
+
+def land_next_batches(spark: SparkSession, landing_path: str, raw_dir: str, hours: int = 1,
+                      tie_breaker: str | Sequence[str] = (), first: int = 1, most: int | None = None,
+                      delete_key: Sequence[str] = LANDING_DELETE_KEY,
+                      partition_by: Sequence[str] = ("month", "day"),
+                      rows_per_hour: int = LANDING_ROWS_PER_HOUR) -> list[str]:
+    """C4 for the next batches together: the folders that ``land_next_batch`` would fill one after the other.
+
+    All of the backlog's batches, or ``most`` of them; an empty list when the
+    backlog is empty. Each row's place in the total order gives its batch; one
+    job writes every batch as JSON lines to a folder of its own,
+    ``<raw_dir>/batch=<number>``, numbered from ``first`` (``raw_dir`` holds
+    nothing else). Then exactly the rows read back from these folders are
+    deleted, all at once: a sort and a rewrite of the partitions that the
+    batches come from, however many they are. A run that dies before the delete
+    and is repeated with the same ``first`` replaces its folders.
+    """
+    tb = _tie_breaker(tie_breaker)
+    if not tb:
+        raise ValueError("landing needs a tie_breaker that is unique in the backlog")
+    landing = read_backlog(spark, landing_path, partition_by)
+    if landing is None:
+        return []
+    n = rows_per_hour * hours
+    scope, keep = landing, None
+    if most is not None and partition_by and list(partition_by) == list(LANDING_ORDER)[:len(partition_by)]:
+        keep = leading_partitions(landing, partition_by, n * most)
+        scope = landing.where(partition_predicate(partition_by, keep))
+    elif partition_by:
+        keep = landing.select(*partition_by).distinct().collect()  # partition values only
+    placed, total = numbered(spark, scope, [*LANDING_ORDER, *tb], "__place")
+    if most is not None:
+        total = min(total, n * most)
+    if not total:
+        return []
+    last = first + -(-total // n) - 1
+    number = (F.floor(F.col("__place") / n) + first).cast("int")
+    (placed.where(F.col("__place") < total).withColumn(BATCH, number).drop("__place")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).json(raw_dir))
+    written = (spark.read.schema(StructType([*landing.schema.fields, StructField(BATCH, IntegerType())])).json(raw_dir)
+               .where(F.col(BATCH).between(first, last)).drop(BATCH))
+    # as in land_next_batch; many keys are joined by a shuffle
+    time_keyed = "time" in delete_key and set(partition_by) <= {"month", "day", "hour"}
+    merge_delete_path(spark, landing_path, written, [*delete_key, *tb], partition_by=partition_by,
+                      null_safe=True, schema=landing.schema, max_broadcast_rows=FEW_ROWS, keys_row_bound=total,
+                      partitions_from_keys=time_keyed, keys_are_files=True,
+                      touched_partitions=[{c: r[c] for c in partition_by} for r in keep]
+                      if (keep and time_keyed) else None)
+    return [f"{raw_dir.rstrip('/')}/{BATCH}={i}" for i in range(first, last + 1)]

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import contextlib
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from strata.functions.metadata import ingest_metadata
 from strata.functions.records import parse_records, transform_bronze
 from strata.operators import dimensions as dim
 from strata.operators.dedupe import distinct_rows
-from strata.operators.landing import land_next_batch, prepare_activity, prepare_activity_path
+from strata.operators.landing import land_next_batch, land_next_batches, prepare_activity, prepare_activity_path
 from strata.operators.landing_cursor import Landing, land_all
 from strata.operators.merge import merge_delete_path, merge_update
 from strata.operators.quality import (
@@ -619,11 +618,11 @@ def q_land_drain_full(spark, sf):
     shared = a.select("event_id", F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 5).cast("string")).alias("name"),
                       F.when(F.col("event_id") % 11 != 0, F.col("time") - F.col("time") % 86400).alias("time"))
     prepare_activity_path(spark, shared, landing, tz="UTC", tie_breaker="event_id")
-    schema, batches = spark.read.parquet(landing).schema, []
-    while (out := land_next_batch(spark, landing, raw_dir, hours=300, tie_breaker="event_id",
-                                  batch_name=f"batch-{len(batches) + 1}")) is not None:
-        batches.append(spark.read.schema(schema).json(out).select("event_id", F.lit(len(batches) + 1).alias("batch")))
-    return reduce(DataFrame.unionByName, batches)
+    batches = []
+    while landed := land_next_batches(spark, landing, raw_dir, hours=300, tie_breaker="event_id", first=len(batches) + 1):
+        batches += landed
+    schema = f"event_id {a.schema['event_id'].dataType.simpleString()}, batch INT"
+    return spark.read.schema(schema).json(raw_dir) if batches else spark.createDataFrame([], schema)
 
 
 def q_raw_inventory(spark, sf):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from strata.functions.activity import epoch_seconds_of_ntz
 from strata.operators.landing import (
     land_next_batch,
+    land_next_batches,
     next_batch,
     prepare_activity,
     prepare_activity_path,
@@ -93,3 +94,40 @@ def test_a_hot_second_is_spread(spark):
         spark.conf.set(key, "true")
     files = spark.read.parquet(landing).groupBy(F.input_file_name()).count().collect()
     assert len(files) > 1 and max(r["count"] for r in files) < 15_000
+
+
+def test_batches_landed_together_are_those_landed_in_turn(spark):
+    """The same rows a batch, in one pass or two, by as many jobs however many batches there are."""
+    rows = [(i, None if i % 4 == 0 else "n", None if i % 5 == 0 else 1704070807 + 86400 * (i % 3)) for i in range(75)]
+    src = spark.createDataFrame(rows, "event_id INT, name STRING, time BIGINT")
+
+    def backlog():
+        path = fresh_dir(spark, "t-together")
+        prepare_activity_path(spark, src, path, tz="UTC", tie_breaker="event_id")
+        return path
+
+    landing, raw, in_turn = backlog(), fresh_dir(spark, "t-in-turn"), []
+    while (out := land_next_batch(spark, landing, raw, tie_breaker="event_id", batch_name=f"b{len(in_turn)}")) is not None:
+        in_turn.append(sorted(r.event_id for r in spark.read.json(out).collect()))
+
+    def together(most, rows_per_hour=10):
+        landing, raw, folders = backlog(), fresh_dir(spark, "t-together-raw"), []
+        while landed := land_next_batches(spark, landing, raw, tie_breaker="event_id", first=len(folders) + 1, most=most,
+                                          rows_per_hour=rows_per_hour):
+            assert most is None or len(landed) <= most
+            folders += landed
+        return [sorted(r.event_id for r in spark.read.json(f).collect()) for f in folders]
+
+    assert together(None) == together(3) == in_turn and [len(b) for b in in_turn] == [10] * 7 + [5]
+
+    def jobs(rows_per_hour):
+        group = f"together-{rows_per_hour}"
+        spark.sparkContext.setJobGroup(group, group)
+        together_landing, raw = backlog(), fresh_dir(spark, "t-jobs")
+        spark.sparkContext.setJobGroup(f"{group}-pass", group)
+        land_next_batches(spark, together_landing, raw, tie_breaker="event_id", rows_per_hour=rows_per_hour)
+        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{group}-pass"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found
+
+    assert jobs(1) <= jobs(25) + 2  # 75 batches against 3; listing more folders may take a job of its own
