@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import FILE, KEYS, ROW, SPACE, keyed, ranks, scanned, slices, staged, without
+from strata.llm.common import FILE, KEYS, ROW, SLICE_BYTES, SPACE, flat_bytes, keyed, ranks, scanned, slices, staged, without
 from strata.llm.components import components
 from strata.sinks.staging import stage_observed
 
@@ -73,10 +73,19 @@ FREQ_CELLS = 1 << 18
 MIN_SHARE = 0.01
 #: Shingles x samples that are in memory at once.
 CHUNK = 1024
+#: Bytes of a word up to which its hash is a sum.
+LONG_WORD = 1000
+#: Texts, and bytes of text, of a block of nodes in which pairs are verified.
+CELL, CELL_BYTES = 512, 4_000_000
+#: Shingles of partners that a text is compared with at once.
+PARTNERS = 1_000_000
 
 _U = np.uint64
 _SEEDS = np.random.default_rng(20240131).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
 _PLAIN_SEEDS = np.random.default_rng(20240202).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | _U(1)
+_BYTES = np.random.default_rng(20240203).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_POWER = _U(0x9E3779B97F4A7C15)
+_BACK = _U(pow(int(_POWER), -1, 1 << 64))
 _ODD = np.random.default_rng(20240201).integers(1, 2**63, WORDS, dtype=np.uint64) | _U(1)
 
 
@@ -109,6 +118,25 @@ def _normal(texts: pa.Array) -> pa.Array:
     return pc.utf8_trim(one, characters=" ")
 
 
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes' fixed random values, times a power of their place in the word, summed.
+
+    All words at once, by running sums. Equal words have equal hashes wherever
+    they stand; words of over ``LONG_WORD`` bytes, where such sums could be made to meet, are
+    hashed one by one.
+    """
+    data, offsets = flat_bytes(words)
+    power = np.cumprod(np.full(len(data) + 1, _POWER))
+    back = np.cumprod(np.full(len(data) + 1, _BACK))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[data] * power[:-1], out=sums[1:])
+    start, stop = offsets[:-1], offsets[1:]
+    out = _mix((sums[stop] - sums[start]) * back[start] + (stop - start).astype(np.uint64) * _POWER)
+    for i in np.flatnonzero(stop - start > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(words[i].as_py())
+    return out
+
+
 def _shingles(normal: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text: hash, text number (ascending), count in the text."""
     n = len(normal)
@@ -116,9 +144,7 @@ def _shingles(normal: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner, flat = pc.list_parent_indices(parts), pc.list_flatten(parts)
     keep = pc.not_equal(flat, "")
     flat, owner = flat.filter(keep), owner.filter(keep).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = flat.dictionary_encode()
-    word = np.array([xxhash.xxh64_intdigest(x) for x in coded.dictionary.to_pylist()], dtype=np.uint64)
-    word = word[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else word
+    word = _word_hashes(flat)
     size = np.bincount(owner, minlength=n)
     short = np.flatnonzero((size > 0) & (size < WORDS))
     start = np.flatnonzero(owner[: len(owner) - WORDS + 1] == owner[WORDS - 1:]) if len(owner) >= WORDS else np.zeros(0, np.int64)
@@ -271,22 +297,48 @@ def _sketch(weights: np.ndarray) -> Callable:
 
 
 def _similar(weights: np.ndarray, threshold: float) -> Callable:
+    """The similar ones of batches of pairs ``a, b`` whose texts, ``text_a`` and ``text_b``, share one dictionary.
+
+    Each text is cut into shingles once; then the weights of a text's shingles
+    are laid out by shingle, and all its partners' shingles are looked up in them.
+    """
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", max_bytes=500_000):
-            n = batch.num_rows
-            texts = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")])
-            shingle, owner, count = _shingles(_normal(texts))
-            code, distinct = ranks(shingle)
-            pair, found = ranks(code * n + owner % n)
-            weight, side = count * weights[_cell(shingle)], owner >= n
-            a = np.bincount(pair[~side], weight[~side], found)
-            b = np.bincount(pair[side], weight[side], found)
-            of = np.zeros(found, dtype=np.int64)
-            of[pair] = owner % n
-            total = lambda x: np.bincount(of, x, n)
-            whole = np.maximum(total(np.maximum(a, b)), 1e-9)
-            score = np.maximum(total(np.minimum(a, b)) / whole,
-                               total((a > 0) & (b > 0)) / np.maximum(total((a > 0) | (b > 0)), 1))
+        for batch in batches:
+            left, right = batch.column("text_a"), batch.column("text_b")
+            texts = pa.RecordBatch.from_arrays([left.dictionary], names=["text"])
+            one, two = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (left, right))
+            shingle, owner, count, done = [], [], [], 0
+            for part in slices([texts], "text"):
+                found = _shingles(_normal(part.column("text")))
+                shingle.append(found[0])
+                owner.append(found[1] + done)
+                count.append(found[2])
+                done += part.num_rows
+            shingle = np.concatenate(shingle)
+            code, distinct = ranks(shingle.view(np.int64))
+            weight = np.concatenate(count) * weights[_cell(shingle)].astype(np.float64)
+            size = np.bincount(np.concatenate(owner), minlength=done)
+            begin = np.cumsum(size) - size
+            whole = np.bincount(np.concatenate(owner), weight, done)
+            laid, score = np.zeros(distinct), np.zeros(len(one))
+            order = np.argsort(one, kind="stable")
+            for run in np.split(order, np.flatnonzero(np.diff(one[order])) + 1) if len(order) else ():
+                text = one[run[0]]
+                own = slice(begin[text], begin[text] + size[text])
+                laid[code[own]] = weight[own]
+                held = np.cumsum(size[two[run]])
+                for places in np.split(run, np.flatnonzero(np.diff(held // PARTNERS)) + 1):
+                    other = two[places]
+                    n = size[other]
+                    starts = np.cumsum(n) - n
+                    at = np.repeat(begin[other] - starts, n) + np.arange(n.sum())
+                    mine, of = laid[code[at]], np.repeat(np.arange(len(other)), n)
+                    least_weight = np.bincount(of, np.minimum(mine, weight[at]), len(other))
+                    both = np.bincount(of[mine > 0], minlength=len(other))
+                    score[places] = np.maximum(
+                        least_weight / np.maximum(whole[text] + whole[other] - least_weight, 1e-9),
+                        both / np.maximum(size[text] + n - both, 1))
+                laid[code[own]] = 0
             keep = pa.array(score >= threshold - 1e-9)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
@@ -294,6 +346,42 @@ def _similar(weights: np.ndarray, threshold: float) -> Callable:
     return similar
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows that hold whole cells, of ``SLICE_BYTES`` of text or one cell; rows come in the order of ``cell``."""
+    held, last, size = [], None, 0
+    for batch in batches:
+        cell = batch.column("cell").to_numpy()
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist()] if len(cell) else []
+        for start, stop in zip(starts, [*starts[1:], len(cell)], strict=False):
+            if held and size >= SLICE_BYTES and cell[start] != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+            held.append(batch.slice(start, stop - start))
+            last, size = cell[start], size + int(ends[stop - 1] - (ends[start - 1] if start else 0))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _in_cells(check: Callable) -> Callable:
+    """``check`` on the pairs of whole cells; a row is a node of a cell with its text and its ``partners`` there."""
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches):
+            node, partners = rows.column("node").to_numpy(), rows.column("partners").combine_chunks()
+            one, other = pc.list_parent_indices(partners).to_numpy(), pc.list_flatten(partners).to_numpy(zero_copy_only=False)
+            cell, _ = ranks(rows.column("cell").to_numpy())
+            code, distinct = ranks(np.concatenate([node, other]))
+            key = cell * distinct + code[: len(node)]
+            order = np.argsort(key)
+            two = order[np.searchsorted(key[order], cell[one] * distinct + code[len(node):])]
+            texts = rows.column("text").combine_chunks()
+            text = lambda place: pa.DictionaryArray.from_arrays(pa.array(place, pa.int32()), texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[one]), pa.array(other), text(one), text(two)], names=["a", "b", "text_a", "text_b"])
+
+    return lambda batches: check(pairs(batches))
+
+
 def _turns(own: np.ndarray, other: np.ndarray, same: np.ndarray, node: np.ndarray, now: np.ndarray, start: int,
            stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of pairs ``(own, other)``: those named now, and the places of nodes with pairs for later.
@@ -428,13 +516,22 @@ def _agree(pairs: DataFrame, nodes: DataFrame, least_samples: int) -> DataFrame:
             .mapInArrow(_alike(least_samples), "a long, b long").distinct())
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
-    """Staged links among the distinct pairs ``(a, b)``; and how many there are."""
+def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Callable, blocks: int) -> tuple[DataFrame, int]:
+    """Staged links among the distinct pairs ``(a, b)``; and how many there are.
+
+    The nodes are dealt into ``blocks``, and a cell is two of them. A text goes
+    once to each cell in which it has a pair, not once to each of its pairs: to ``blocks``
+    cells at most, which hold two blocks of texts each.
+    """
     pairs = staged(spark, pairs, "pairs")
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    x, y = (F.pmod(F.xxhash64(c), F.lit(blocks)) for c in ("a", "b"))
+    pairs = pairs.select((F.least(x, y) * blocks + F.greatest(x, y)).alias("cell"), "a", "b")
+    ends = pairs.select("cell", F.col("a").alias("node"), F.col("b").alias("partner")).unionByName(
+        pairs.select("cell", F.col("b").alias("node"), F.lit(None).cast("long").alias("partner")))
+    rows = ends.groupBy("cell", "node").agg(F.collect_list("partner").alias("partners"))  # the nodes of a cell at most
     # sort-merge at every size: the texts of a large corpus are not for broadcasting
-    found = (pairs.hint("merge").join(side("a"), "a").hint("merge").join(side("b"), "b")
-             .select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long"))
+    found = (rows.hint("merge").join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")
+             .select("cell", "node", "text", "partners").mapInArrow(_in_cells(check), "a long, b long"))
     links, seen = stage_observed(spark, found, "links", {"n": F.count(F.lit(1))})
     return links, seen["n"]
 
@@ -451,7 +548,7 @@ def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
 
 
 def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes: DataFrame, texts: DataFrame,
-             check: Callable, least_bands: int, least_samples: int) -> DataFrame:
+             check: Callable, least_bands: int, least_samples: int, cells: int) -> DataFrame:
     """Labels after the blocks: the buckets that still hold several classes are compared whole.
 
     Each round takes the blocks that held back pairs in the last one. A block's
@@ -502,7 +599,7 @@ def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes:
             .mapInArrow(_agreeing_small(least_samples, start, stop), shape))
         named, seen = stage_observed(spark, large.unionByName(small), "named", {"cut": F.count_if(F.col("a").isNull())})
         pairs = named.where("a IS NOT NULL").select("a", "b").distinct()
-        links, n = _verified(spark, pairs, texts, check)
+        links, n = _verified(spark, pairs, texts, check, cells)
         if n:
             labels = _joined(spark, labels, links)
         if not seen["cut"]:
@@ -537,9 +634,11 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
                     .where("enough").select("node", F.col("node").alias("label")), "classes")
     members = staged(spark, inside.join(labels.select("node"), "node"), "members")
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
-    texts = staged(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts")
+    texts, held = stage_observed(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts", {
+        "n": F.count(F.lit(1)), "bytes": F.coalesce(F.sum(F.octet_length("text")), F.lit(0))})
+    turn, total = 0, held["n"]
+    cells = max(1, -(-total // CELL), -(-held["bytes"] // CELL_BYTES))
     check = _similar(weights, threshold)
-    turn, total = 0, labels.count()
     while True:
         held = members.join(labels, "node")
         mixed = held.groupBy("key").agg(
@@ -552,13 +651,13 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
         first = F.min(F.struct("h", "lead")).alias("first")
         pairs = _agree(held.join(mixed, "key").where("label != lead_label").groupBy("node").agg(first)
                        .select("node", F.col("first.lead").alias("lead")), nodes, least_samples)
-        links, n = _verified(spark, pairs, texts, check)
+        links, n = _verified(spark, pairs, texts, check, cells)
         if n:
             labels = _joined(spark, labels, links)
         if n <= FEW_LINKS * total:
             break
         turn += 1
-    labels = _settled(spark, labels, members, nodes, texts, check, least_bands, least_samples)
+    labels = _settled(spark, labels, members, nodes, texts, check, least_bands, least_samples, cells)
     named = sketches.join(labels, F.col("content") == F.col("node"), "left").withColumn(
         "class", F.when(F.col("bands").isNotNull(), F.coalesce("label", "content")))
     # a text without words: a class of its own

@@ -225,3 +225,61 @@ def test_small_buckets_are_compared_like_blocks():
                               "samples": [x.tobytes() for x in samples], "keys": keys.tolist()})
             want += minhash._agreeing(30, start, stop)((p, 0, 0), block).to_pylist()
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
+
+
+def test_a_text_goes_to_cells_not_to_pairs(spark):
+    """60 nodes, all 1,770 pairs: each pair is checked once, a text goes to 4 cells at most."""
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "node long, text string")
+    pairs = spark.createDataFrame([(i, j) for i in range(60) for j in range(i + 1, 60)], "a long, b long")
+
+    def check(batches):
+        for batch in batches:
+            for c in ("a", "b"):
+                assert batch.column(f"text_{c}").to_pylist() == [f"text {x}" for x in batch.column(c).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch.column("text_a").dictionary)]),
+                                              pa.array([batch.num_rows])], names=["a", "b"])
+
+    seen = minhash._verified(spark, pairs, texts, check, 4)[0].collect()
+    assert sum(r.b for r in seen) == 1770 and 60 <= sum(r.a for r in seen) <= 4 * 60
+
+
+def test_pairs_are_verified_exactly():
+    """Random texts with repeated shingles: weighted and plain similarity as by dictionaries of counts."""
+    rng = random.Random(5)
+    base = [words(rng, 60) for _ in range(4)]
+    texts = [" ".join(edited(rng, rng.choice(base), rng.randrange(4)) * rng.choice([1, 1, 2])) for _ in range(30)] + ["one word"] * 2
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    weights = np.random.default_rng(5).uniform(0.5, 5, minhash.FREQ_CELLS).astype(np.float32)
+    held = []
+    for t in texts:
+        shingle, _, count = minhash._shingles(minhash._normal(pa.array([t])))
+        held.append(dict(zip(shingle.tolist(), (count * weights[minhash._cell(shingle)].astype(float)).tolist(), strict=True)))
+
+    def similar(x, y):
+        low = sum(min(x.get(k, 0), y.get(k, 0)) for k in x.keys() | y.keys())
+        high = sum(max(x.get(k, 0), y.get(k, 0)) for k in x.keys() | y.keys())
+        return max(low / high, len(x.keys() & y.keys()) / len(x.keys() | y.keys())) >= 0.8
+
+    side = lambda k: pa.DictionaryArray.from_arrays(pa.array([p[k] for p in pairs], pa.int32()), pa.array(texts))
+    batch = pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs]), side(0), side(1)],
+                                       names=["a", "b", "text_a", "text_b"])
+    want = {p for p in pairs if similar(held[p[0]], held[p[1]])}
+    for partners in (minhash.PARTNERS, 100):
+        old, minhash.PARTNERS = minhash.PARTNERS, partners
+        try:
+            got = [tuple(r.values()) for b in minhash._similar(weights, 0.8)(iter([batch])) for r in b.to_pylist()]
+        finally:
+            minhash.PARTNERS = old
+        assert len(got) == len(want) and set(got) == want and 3 < len(want) < len(pairs)
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    rng = random.Random(6)
+    many = ["ab", "ba", "a", "aa", "é", "x" * 2000, "y" + "x" * 1999, *words(rng, 3000)]
+    mixed = rng.sample(many * 2, 2 * len(many))
+    hashes = minhash._word_hashes(pa.array(mixed))
+    of = {}
+    for word, value in zip(mixed, hashes.tolist(), strict=True):
+        assert of.setdefault(word, value) == value
+    assert len(set(of.values())) == len(set(many))
+    assert len(minhash._word_hashes(pa.array([], pa.string()))) == 0
