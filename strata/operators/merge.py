@@ -63,12 +63,14 @@ def _value(v: str | Column) -> Column:
 
 
 def merge_source(source: DataFrame, on: str | Sequence[str], set_values: SetValues,
-                 use_digest: bool | None = None, dedupe: bool = True) -> DataFrame:
+                 use_digest: bool | None = None, dedupe: bool = True, by_key: bool = False) -> DataFrame:
     """Source rows reduced to distinct ``(key, new values)`` with non-NULL keys.
 
     De-duplication is a partial + final aggregate, so repeated keys collapse
     before the shuffle. Two *different* values for one key would make the
     merge ambiguous; ``assert_unambiguous`` checks that on a staged source.
+    ``by_key``: the values are a function of the key, so the rows are grouped by the
+    key alone, and the join that follows needs no second shuffle of them.
     """
     keys = _keys(on)
     use = _use_digest(source, keys) if use_digest is None else use_digest
@@ -78,6 +80,9 @@ def merge_source(source: DataFrame, on: str | Sequence[str], set_values: SetValu
     src = source.where(present).select(
         *keys, *[_value(v).alias(_SET + c) for c, v in set_values.items()])
     src = _with_digest(src, keys, use)
+    if dedupe and by_key:
+        jc = _join_cols(keys, use)
+        return src.groupBy(*jc).agg(*[F.max(_SET + c).alias(_SET + c) for c in set_values]).select(*src.columns)
     return src.dropDuplicates() if dedupe else src
 
 
@@ -305,21 +310,24 @@ def merge_update_path(spark: SparkSession, path: str, source: DataFrame,
     target = full.where(target_filter) if target_filter is not None else full
     use = _use_digest(target, keys)
     if source_is_stable:
-        src = merge_source(source, keys, set_values, use)
+        # the touched partitions need no distinct keys, and of a text its digest only
+        probe = merge_source(source, keys, set_values, use, dedupe=False)
+        src = merge_source(source, keys, set_values, use, by_key=not check_unambiguous)
         if source_bound is not None:
             small = source_bound[0] <= max_broadcast_rows and source_bound[1] <= max_broadcast_bytes
         else:
-            small = size_at_most(merge_source(source, keys, set_values, use, dedupe=False),
-                                 max_broadcast_rows, max_broadcast_bytes)
+            small = size_at_most(probe, max_broadcast_rows, max_broadcast_bytes)
         src_b = F.broadcast(src) if small else src
+        probe = src_b if small else probe
     else:
         src = _stage(spark, merge_source(source, keys, set_values, use), "merge-keys")
         src_b, small = broadcast_if_small(src, max_broadcast_rows, max_broadcast_bytes)
+        probe = src_b
     if check_unambiguous:
         assert_unambiguous(src, _join_cols(keys, use))
     jc = _join_cols(keys, use)
     if parts:
-        _, scope = _touched_scope(spark, _with_digest(target, keys, use), src_b, jc, parts,
+        _, scope = _touched_scope(spark, _with_digest(target, keys, use), probe, jc, parts,
                                   probe_first=keys if use else ())
         scope = scope.select(*target.columns)
     else:

@@ -208,3 +208,22 @@ def test_null_and_escaped_partitions(spark):
     assert got == {("a", None): "loaded", ("b", "x:y"): "loaded", ("c", "z"): "new", ("a", "z"): "loaded"}
     merge_delete_path(spark, path, src.select("movie"), "movie", partition_by=("p",))
     assert [(r.movie, r.p) for r in spark.read.parquet(path).collect()] == [("c", "z")]
+
+
+def test_a_source_by_key_is_shuffled_once(spark):
+    """Values that are a function of the key: distinct keys and the join need one shuffle of the source."""
+    from strata.operators.merge import merge_source
+
+    target = spark.createDataFrame([("a", "new"), ("b", "new"), ("c", "new"), (None, "new")], "movie string, status string")
+    source = spark.createDataFrame([("a", "x"), ("a", "x"), ("c", "y"), (None, "z")], "movie string, outcome string")
+    how = {"status": "outcome"}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge_update(target, merge_source(source, "movie", how, by_key=True), "movie", how, prepared=True)
+        assert sorted(map(tuple, out.collect()), key=str) == [("a", "x"), ("b", "new"), ("c", "y"), (None, "new")]
+        assert out._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("Exchange hashpartitioning") == 2  # one for each side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
