@@ -23,13 +23,14 @@ each round every bucket that still holds several classes names one member, and
 a text is compared with the first of those that its buckets name from other
 classes. When a round finds few
 links, the buckets that still hold several classes are compared whole: dealt
-out by pairs of bands, in blocks inside a task. Of all these pairs, those that
+out by pairs of bands, or by one band where that compares no more pairs (a large group of near copies meets
+under most pairs of bands), in blocks inside a task. Of all these pairs, those that
 agree in too few samples for the threshold are passed over. One link is enough
 to join two classes, so in the first round each text of a block names only the two
 partners that agree most, and these pairs are verified: a block names at most twice as many pairs as it has
 texts. While pairs of classes that are still apart have not had their turn, the
 next round goes on along each text's list, up to ``MORE`` times as far, until
-every such pair is verified or its classes are joined.
+every such pair is verified or its classes are joined. Pairs travel as a list for each text, not as a row each.
 Texts are told apart by a 64-bit hash of their words.
 
 Defined cases: a text that is null or has no word is a class of its own;
@@ -49,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import FILE, KEYS, ROW, SLICE_BYTES, SPACE, flat_bytes, keyed, ranks, scanned, slices, staged, without
+from strata.llm.common import FILE, KEYS, ROW, SLICE_BYTES, SPACE, flat_bytes, keyed, lists, ranks, scanned, slices, staged, without
 from strata.llm.components import components
 from strata.sinks.staging import stage_observed
 
@@ -62,6 +63,8 @@ KINDS = 2
 #: Shares of pairs at the threshold that may agree in fewer bands, and in fewer
 #: samples, of the kind in which they are similar than ``least`` asks for.
 LOST_BANDS, LOST_SAMPLES = 0.0005, 0.0015
+#: Buckets of up to so many texts are one block, larger ones n are dealt into sqrt(n / BLOCK) parts, two to a block; a
+#: task compares BLOCK * BLOCK pairs at once.
 BLOCK = 1024
 #: How many times as far each round of the blocks goes along a text's list of partners.
 MORE = 16
@@ -404,10 +407,15 @@ def _turns(own: np.ndarray, other: np.ndarray, same: np.ndarray, node: np.ndarra
 
 def _owned(i: np.ndarray, j: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pairs as (the node in whose list a pair is, the other)."""
-    left = ((node[i] ^ node[j]) & 1 == 0) == (node[i] < node[j])
+    left = _listed_by(node[i], node[j])
     return np.where(left, i, j), np.where(left, j, i)
 
 
+def _listed_by(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether a pair of nodes is in the list of the first; of two nodes just one lists it."""
+    return (((one ^ other) & 1 == 0) == (one < other)) & (one != other)
+
+
 def _named_rows(a: np.ndarray, b: np.ndarray, pair: np.ndarray, x: np.ndarray, y: np.ndarray, more: list) -> pa.Table:
     """The named pairs with their block's key, then a row without a pair for each block in ``more``."""
     none = [None] * len(more)
@@ -418,9 +426,34 @@ def _named_rows(a: np.ndarray, b: np.ndarray, pair: np.ndarray, x: np.ndarray, y
         "pair": both(pair, 0, pa.int64()), "x": both(x, 1, pa.int32()), "y": both(y, 2, pa.int32())})
 
 
-def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
+def _listed(named: pa.Table) -> pa.Table:
+    """Named pairs as a row for each node: its ``partners`` with a greater number, and those with a smaller one (``met``).
+
+    The rows that say which blocks have more stay as they are.
+    """
+    one = named.filter(pc.is_valid(named.column("a")))
+    more = named.filter(pc.is_null(named.column("a")))
+    a, b = (one.column(c).to_numpy() for c in ("a", "b"))
+    node, side = np.concatenate([a, b]), np.concatenate([b, a])
+    code, n = ranks(node)
+    order = np.argsort(code, kind="stable")
+    code, side, own = code[order], side[order], order < len(a)
+    first = np.zeros(n, np.int64)
+    first[code] = node[order]
+    none = pa.nulls(more.num_rows, pa.list_(pa.int64()))
+    ends = lambda k: pa.chunked_array([lists(pa.array(side[k], pa.int64()), code[k], n), none])
+    block = lambda c: pa.chunked_array([pa.nulls(n, named.schema.field(c).type), *more.column(c).chunks])
+    return pa.table({
+        "node": pa.chunked_array([pa.array(first, pa.int64()), pa.nulls(more.num_rows, pa.int64())]),
+        "partners": ends(own), "met": ends(~own), "pair": block("pair"), "x": block("x"), "y": block("y")}).combine_chunks()
+
+
+def _agreeing(least_samples: int, start: int = 0, stop: int = 1, least_bands: int = 1) -> Callable:
     """Of a block: for each node the partners ``start`` to ``stop`` of its list that are still apart.
 
+    Equal ``low`` and ``high`` make it a bucket of one band, whose pairs agree in no band before and in
+    ``least_bands`` (1 or 2) in all.
+
     A pair agrees in enough samples and was of two classes when the blocks
     began (``label``); it is in the list of one of its nodes (``_turns``). If
     a pair apart comes after ``stop``, a last row without ``a`` and ``b``
@@ -433,32 +466,41 @@ def _agreeing(least_samples: int, start: int = 0, stop: int = 1) -> Callable:
         samples = np.frombuffer(b"".join(block.column("samples").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS).T.copy()
         keys = block.column("keys").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
         one, two = np.flatnonzero(~second), np.flatnonzero(second)
-        rest = two if len(two) else one
-        near = label[one][:, None] != label[rest][None, :]
-        if not len(two):
-            near = np.triu(near, 1)
-        # a pair meets under each two of its bands; the first two name it
-        for band in [low_band, high_band, *[b for b in range(high_band) if b != low_band]]:
-            if (now == now[0]).all() or not near.any():
-                near[:] = False
-                break
-            equal = keys[one, band][:, None] == keys[rest, band][None, :]
-            near &= equal if band in (low_band, high_band) else ~equal
-        held, by = near.any(axis=1), near.any(axis=0)
-        one, rest, near = one[held], rest[by], near[held][:, by]
-        agreed = np.zeros(near.shape, np.uint8)
-        for column in samples if near.size else ():
-            agreed += column[one][:, None] == column[rest][None, :]
-        i, j = np.nonzero(near & (agreed >= least_samples))
-        same = agreed[i, j].astype(np.int64)
-        own, other, later = _turns(*_owned(one[i], rest[j], node), same, node, now, start, stop)
+        bands = [low_band, high_band, *[b for b in range(high_band) if b != low_band]]
+        found = []
+        # the pairs in the lists of some nodes at once, all their partners beside them
+        for mine, rest in ((one, two), (two, one)) if len(two) or key[1] != key[2] else ((one, one),):
+            width = max(1, BLOCK * BLOCK // max(1, len(rest)))
+            for mine in np.split(mine, range(width, len(mine), width)):
+                near = label[mine][:, None] != label[rest][None, :]
+                near &= _listed_by(node[mine][:, None], node[rest][None, :])
+                # a pair meets under each two of its bands; the first two name it
+                for band in bands:
+                    if (now == now[0]).all() or not near.any():
+                        near[:] = False
+                        break
+                    equal = keys[mine, band][:, None] == keys[rest, band][None, :]
+                    near &= equal if band in (low_band, high_band) else ~equal
+                held, by = near.any(axis=1), near.any(axis=0)
+                mine, other, near = mine[held], rest[by], near[held][:, by]
+                if low_band == high_band and least_bands > 1 and near.size:
+                    again = np.zeros(near.shape, bool)
+                    for band in range(low_band + 1, BANDS):
+                        again |= keys[mine, band][:, None] == keys[other, band][None, :]
+                    near &= again
+                agreed = np.zeros(near.shape, np.uint8)
+                for column in samples if near.size else ():
+                    agreed += column[mine][:, None] == column[other][None, :]
+                i, j = np.nonzero(near & (agreed >= least_samples))
+                found.append(_turns(mine[i], other[j], agreed[i, j].astype(np.int64), node, now, start, stop))
+        own, other, later = (np.concatenate([f[k] for f in found]) for k in range(3))
         of = lambda k: np.full(len(own), key[k])
         return _named_rows(node[own], node[other], of(0), of(1), of(2), [key] if len(later) else [])
 
     return agreeing
 
 
-def _agreeing_small(least_samples: int, start: int, stop: int) -> Callable:
+def _agreeing_small(least_samples: int, start: int, stop: int, least_bands: int = 1) -> Callable:
     """``_agreeing`` for buckets of ``SMALL`` nodes at most, many at a time: a row is a bucket."""
     def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -483,7 +525,8 @@ def _agreeing_small(least_samples: int, start: int, stop: int) -> Callable:
                 equal = keys[i] == keys[j]
                 each = np.arange(len(i))
                 first = equal[each, low[i]] & equal[each, high[i]] & (
-                    (equal & (np.arange(BANDS) < high[i][:, None])).sum(axis=1) == (low[i] < high[i]))
+                    (equal & (np.arange(BANDS) < high[i][:, None])).sum(axis=1) == (low[i] < high[i])) & (
+                    equal.sum(axis=1) >= least_bands)
                 i, j = i[first], j[first]
                 same = (samples[i] == samples[j]).sum(axis=1)
                 near = same >= least_samples
@@ -495,6 +538,18 @@ def _agreeing_small(least_samples: int, start: int, stop: int) -> Callable:
     return agreeing
 
 
+def _in_lists(agreeing: Callable, agreeing_small: Callable) -> tuple[Callable, Callable]:
+    """Both forms with lists of pairs (``_listed``) in place of pairs."""
+    def block(key: tuple, rows: pa.Table) -> pa.Table:
+        return _listed(agreeing(key, rows))
+
+    def many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in agreeing_small(batches):
+            yield from _listed(pa.Table.from_batches([batch])).to_batches()
+
+    return block, many
+
+
 def _alike(least_samples: int) -> Callable:
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -529,6 +584,56 @@ def _verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, check: Ca
     ends = pairs.select("cell", F.col("a").alias("node"), F.col("b").alias("partner")).unionByName(
         pairs.select("cell", F.col("b").alias("node"), F.lit(None).cast("long").alias("partner")))
     rows = ends.groupBy("cell", "node").agg(F.collect_list("partner").alias("partners"))  # the nodes of a cell at most
+    return _checked(spark, rows, texts, check)
+
+
+def _dealt_cells(blocks: int) -> Callable:
+    """``_verified``'s cells of nodes with lists of their pairs: ``cell, node, partners``, each pair once."""
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, part = (batch.column(c).to_numpy() for c in ("node", "part"))
+            row, partner, other = [], [], []
+            for c in ("partners", "met"):
+                held = batch.column(c)
+                row.append(pc.list_parent_indices(held).to_numpy().astype(np.int64))
+                partner.append(held.flatten().to_numpy())
+                other.append(batch.column(f"{c}_part").flatten().to_numpy())
+            own = np.repeat([True, False], [len(r) for r in row])
+            row, partner, other = (np.concatenate(x) for x in (row, partner, other))
+            cell = np.minimum(part[row], other) * blocks + np.maximum(part[row], other)
+            order = np.lexsort((partner, cell, row))
+            row, partner, cell, own = row[order], partner[order], cell[order], own[order]
+            new = np.append(True, (row[1:] != row[:-1]) | (cell[1:] != cell[:-1]))[: len(row)]
+            again = np.append(False, partner[1:] == partner[:-1])[: len(row)] & ~new
+            group, own = np.cumsum(new) - 1, own & ~again
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell[new], pa.int64()), pa.array(node[row[new]], pa.int64()),
+                 lists(pa.array(partner[own], pa.int64()), group[own], int(new.sum()))], names=["cell", "node", "partners"])
+
+    return dealt
+
+
+def _cells(texts: int, size: int) -> int:
+    """Blocks of ``CELL`` texts and ``CELL_BYTES`` bytes for so many."""
+    return max(1, -(-texts // CELL), -(-size // CELL_BYTES))
+
+
+def _verified_lists(spark: SparkSession, named: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
+    """``_verified`` of pairs that come as lists (``_listed``), in blocks of the nodes that have a pair."""
+    ends = named.where("node IS NOT NULL").groupBy("node").agg(
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("partners", "met")])
+    ends, seen = stage_observed(spark, ends.join(texts.select("node", "bytes"), "node"), "lists", {
+        "n": F.count(F.lit(1)), "bytes": F.coalesce(F.sum("bytes"), F.lit(0))})
+    blocks = _cells(seen["n"], seen["bytes"])
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    rows = ends.select("node", part("node").alias("part"), "partners", "met",
+                       *[F.transform(c, part).alias(f"{c}_part") for c in ("partners", "met")])
+    rows = staged(spark, rows.mapInArrow(_dealt_cells(blocks), "cell long, node long, partners array<long>"), "cells")
+    return _checked(spark, rows, texts, check)
+
+
+def _checked(spark: SparkSession, rows: DataFrame, texts: DataFrame, check: Callable) -> tuple[DataFrame, int]:
+    """Staged links of the cells' rows ``cell, node, partners``; and how many there are."""
     # sort-merge at every size: the texts of a large corpus are not for broadcasting
     found = (rows.hint("merge").join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")
              .select("cell", "node", "text", "partners").mapInArrow(_in_cells(check), "a long, b long"))
@@ -548,7 +653,7 @@ def _joined(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFra
 
 
 def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes: DataFrame, texts: DataFrame,
-             check: Callable, least_bands: int, least_samples: int, cells: int) -> DataFrame:
+             check: Callable, least_bands: int, least_samples: int) -> DataFrame:
     """Labels after the blocks: the buckets that still hold several classes are compared whole.
 
     Each round takes the blocks that held back pairs in the last one. A block's
@@ -556,55 +661,62 @@ def _settled(spark: SparkSession, labels: DataFrame, members: DataFrame, nodes:
     """
     began = labels
     held = members.join(labels, "node")
-    mixed = staged(spark, held.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"))
-                   .where("l1 != l2").select("key"), "mixed")
+    mixed = staged(spark, held.groupBy("key").agg(
+        F.min("label").alias("l1"), F.max("label").alias("l2"), F.count(F.lit(1)).alias("n"))
+        .where("l1 != l2").select("key", "n"), "mixed")
     later = f"y.band > x.band AND y.band div {BANDS} = x.band div {BANDS}" if least_bands > 1 else "y.band = x.band"
     two = (held.join(mixed, "key", "left_semi").groupBy("node", "label")
            .agg(F.collect_set(F.struct("band", "key")).alias("keys"))  # KINDS * BANDS at most
            .select("node", "label", F.explode(F.expr(
                f"flatten(transform(keys, x -> transform(filter(keys, y -> {later}), "
-               "y -> struct(x.band AS low, y.band AS high, xxhash64(x.key, y.key) AS pair))))"
-           )).alias("p")).select("node", "label", "p.low", "p.high", "p.pair"))
+               "y -> struct(x.band AS low, y.band AS high, x.key AS key, xxhash64(x.key, y.key) AS pair))))"
+           )).alias("p")).select("node", "label", "p.low", "p.high", "p.key", "p.pair"))
     two = staged(spark, two, "band-pairs")
     size = staged(spark, two.groupBy("pair").agg(
-        F.count(F.lit(1)).alias("size"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-        .where("l1 != l2").select("pair", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "band-pairs")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = (two.join(size, "pair").withColumn("block", block)
-             .select("pair", "low", "high", "node", "block",
-                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("pair", "low", "high", "node", F.least("block", "other").cast("int").alias("x"),
+        F.count(F.lit(1)).alias("size"), F.min("label").alias("l1"), F.max("label").alias("l2"), F.first("key").alias("key"))
+        .where("l1 != l2").select("pair", "key", "size"), "band-pairs")
+    # the first band of a pair is a bucket too: it takes all these pairs if it compares no more of them than theirs do
+    whole = staged(spark, size.groupBy("key").agg(F.sum(F.col("size") * F.col("size")).alias("compared"))
+                   .join(mixed, "key").where("n * n <= compared").select("key", F.col("n").alias("size")), "one-band")
+    cut_up = size.join(whole.select("key"), "key", "left_anti").select("pair", "size")
+    one = held.join(whole, "key").select(F.col("key").alias("pair"), F.col("band").alias("low"), F.col("band").alias("high"),
+                                         "node", "size")
+    blocks = F.ceil(F.sqrt(F.col("size") / BLOCK)).cast("int")
+    dealt = (two.join(cut_up, "pair").select("pair", "low", "high", "node", "size").unionByName(one)
+             .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+             .select("pair", "low", "high", "node", "size", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+             .select("pair", "low", "high", "node", "size", F.least("block", "other").cast("int").alias("x"),
                      F.greatest("block", "other").cast("int").alias("y"), (F.col("block") > F.col("other")).alias("second")))
+    dealt = staged(spark, dealt, "dealt")
     start, stop, cut = 0, 2, None
-    blocks = dealt.join(size.where(f"size > {SMALL}").select("pair"), "pair", "left_semi")
-    buckets = two.join(size.where(f"size <= {SMALL}").select("pair"), "pair", "left_semi").select(
-        "pair", "low", "high", "node", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("second"))
     while True:
         side = nodes.select(F.col("content").alias("node"), F.col("samples").alias("all"), "bands").join(began, "node").join(
             labels.withColumnRenamed("label", "now"), "node")
 
-        def rows(dealt: DataFrame, cut: DataFrame | None = cut, side: DataFrame = side) -> DataFrame:
-            now = dealt if cut is None else dealt.join(cut, ["pair", "x", "y"], "left_semi")
+        def rows(sizes: str, cut: DataFrame | None = cut, side: DataFrame = side) -> DataFrame:
+            now = dealt.where(sizes)
+            now = now if cut is None else now.join(cut, ["pair", "x", "y"], "left_semi")
             return now.join(side, "node").select(
                 "pair", "x", "y", "low", "high", "second", "node", "label", "now",
                 F.expr(f"slice(bands, cast({BANDS} * (low div {BANDS}) + 1 as int), {BANDS})").alias("keys"),
                 F.expr(f"substring(all, cast({BANDS * ROWS} * (low div {BANDS}) + 1 as int), {BANDS * ROWS})").alias("samples"))
 
-        shape = "a long, b long, pair long, x int, y int"
-        large = rows(blocks).groupBy("pair", "x", "y").applyInArrow(_agreeing(least_samples, start, stop), shape)
-        small = (rows(buckets).groupBy("pair").agg(
+        shape = "node long, partners array<long>, met array<long>, pair long, x int, y int"
+        block, many = _in_lists(_agreeing(least_samples, start, stop, least_bands),
+                                _agreeing_small(least_samples, start, stop, least_bands))
+        large = rows(f"size > {SMALL}").groupBy("pair", "x", "y").applyInArrow(block, shape)
+        small = (rows(f"size <= {SMALL}").groupBy("pair").agg(
             F.min("low").alias("low"), F.min("high").alias("high"),
             F.collect_list(F.struct("node", "label", "now", "keys", "samples")).alias("held"))  # SMALL at most
             .where(F.size(F.array_distinct("held.now")) > 1)
-            .mapInArrow(_agreeing_small(least_samples, start, stop), shape))
-        named, seen = stage_observed(spark, large.unionByName(small), "named", {"cut": F.count_if(F.col("a").isNull())})
-        pairs = named.where("a IS NOT NULL").select("a", "b").distinct()
-        links, n = _verified(spark, pairs, texts, check, cells)
+            .mapInArrow(many, shape))
+        named, seen = stage_observed(spark, large.unionByName(small), "named", {"cut": F.count_if(F.col("node").isNull())})
+        links, n = _verified_lists(spark, named, texts, check)
         if n:
             labels = _joined(spark, labels, links)
         if not seen["cut"]:
             return labels
-        start, stop, cut = stop, stop * MORE, named.where("a IS NULL").select("pair", "x", "y")
+        start, stop, cut = stop, stop * MORE, named.where("node IS NULL").select("pair", "x", "y")
 
 
 def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -634,10 +746,11 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
                     .where("enough").select("node", F.col("node").alias("label")), "classes")
     members = staged(spark, inside.join(labels.select("node"), "node"), "members")
     reps = staged(spark, nodes.join(labels, F.col("content") == F.col("node")).select("node", *KEYS), "members")
-    texts, held = stage_observed(spark, rows.join(reps.hint("merge"), list(KEYS)).select("node", "text"), "texts", {
-        "n": F.count(F.lit(1)), "bytes": F.coalesce(F.sum(F.octet_length("text")), F.lit(0))})
+    texts, held = stage_observed(spark, rows.join(reps.hint("merge"), list(KEYS)).select(
+        "node", "text", F.octet_length("text").alias("bytes")), "texts", {
+        "n": F.count(F.lit(1)), "bytes": F.coalesce(F.sum("bytes"), F.lit(0))})
     turn, total = 0, held["n"]
-    cells = max(1, -(-total // CELL), -(-held["bytes"] // CELL_BYTES))
+    cells = _cells(total, held["bytes"])
     check = _similar(weights, threshold)
     while True:
         held = members.join(labels, "node")
@@ -657,7 +770,7 @@ def near_classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
         if n <= FEW_LINKS * total:
             break
         turn += 1
-    labels = _settled(spark, labels, members, nodes, texts, check, least_bands, least_samples, cells)
+    labels = _settled(spark, labels, members, nodes, texts, check, least_bands, least_samples)
     named = sketches.join(labels, F.col("content") == F.col("node"), "left").withColumn(
         "class", F.when(F.col("bands").isNotNull(), F.coalesce("label", "content")))
     # a text without words: a class of its own

@@ -227,6 +227,88 @@ def test_small_buckets_are_compared_like_blocks():
         assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
 
 
+def test_buckets_of_one_band_name_the_pairs_of_two(monkeypatch):
+    """Random keys: whether dealt by one band or by two, in whole blocks, parts or strips, the same pairs come, each once."""
+    rng, n = np.random.default_rng(12), 40
+    keys, samples = rng.integers(0, 4, (n, 16)), np.zeros((n, 48), np.uint8)
+    node, label = rng.permutation(1000)[:n], rng.integers(0, 30, n)
+    want = {(min(node[i], node[j]), max(node[i], node[j])) for i in range(n) for j in range(i)
+            if label[i] != label[j] and (keys[i] == keys[j]).sum() >= 2}
+
+    def block(held, low, high, second):
+        return pa.table({"node": node[held], "label": label[held], "now": label[held], "second": second, "low": [low] * len(held),
+                         "high": [high] * len(held), "samples": [samples[i].tobytes() for i in held], "keys": keys[held].tolist()})
+
+    def pairs(buckets, parts):
+        out = []
+        for low, high in buckets:
+            for value in {(k[low], k[high]) for k in keys.tolist()}:
+                held = np.flatnonzero((keys[:, [low, high]] == value).all(axis=1))
+                for x in range(parts):
+                    for y in range(x, parts):
+                        here = held[(node[held] % parts == x) | (node[held] % parts == y)]
+                        if len(here):
+                            got = minhash._agreeing(30, 0, n, 2)(
+                                (0, x, y), block(here, low, high, (node[here] % parts == y) & (x != y)))
+                            out += zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)
+        assert len(out) == len(set(out))
+        return set(out)
+
+    one, two = [(x, x) for x in range(16)], [(x, y) for x in range(16) for y in range(x + 1, 16)]
+    for size in (1024, 3):
+        monkeypatch.setattr(minhash, "BLOCK", size)
+        assert pairs(one, 1) == pairs(one, 3) == pairs(two, 1) == want
+    rows = [{"pair": x * 4 + k, "low": x, "high": x, "held": [
+        {"node": int(node[i]), "label": int(label[i]), "now": int(label[i]), "keys": keys[i].tolist(), "samples": samples[i].tobytes()}
+        for i in np.flatnonzero(keys[:, x] == k)]} for x in range(16) for k in range(4)]
+    small = [r for b in minhash._agreeing_small(30, 0, n, 2)(iter(pa.Table.from_pylist(rows).to_batches())) for r in b.to_pylist()]
+    assert {(r["a"], r["b"]) for r in small} == want and len(small) == len(want)
+
+
+def test_pairs_become_lists_and_cells():
+    """Random pairs, some twice: lists and then cells hold each once, with both of its nodes."""
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 30, (2, 300))
+    a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+    named = minhash._named_rows(a, b, a, a.astype(np.int32), a.astype(np.int32), [(7, 1, 2)])
+    got = minhash._listed(named).to_pylist()
+    assert [(r["pair"], r["x"], r["y"]) for r in got if r["node"] is None] == [(7, 1, 2)]
+    got = [r for r in got if r["node"] is not None]
+    assert len(got) == len({*a, *b}) and all(len(r["partners"]) + len(r["met"]) == (a == r["node"]).sum() + (b == r["node"]).sum()
+                                             for r in got)
+    part = lambda x: x * 7 % 5
+    rows = pa.table({"node": [r["node"] for r in got], "part": [part(r["node"]) for r in got], **{
+        k: pa.array([[f(x) for x in r[c]] for r in got], pa.list_(pa.int64()))
+        for c in ("partners", "met") for k, f in ((c, int), (f"{c}_part", part))}})
+    cells = [r for x in minhash._dealt_cells(5)(iter(rows.to_batches())) for r in x.to_pylist()]
+    pairs = [(r["node"], x) for r in cells for x in r["partners"]]
+    assert sorted(pairs) == sorted(set(zip(a.tolist(), b.tolist(), strict=True)))
+    held = {(r["cell"], r["node"]) for r in cells}
+    assert len(held) == len(cells) and held == {
+        (min(part(x), part(y)) * 5 + max(part(x), part(y)), z) for x, y in pairs for z in (x, y)}
+
+
+def test_a_large_group_costs_rows_by_its_texts_not_its_pairs(spark, documents, monkeypatch):
+    """150 texts, all alike at 0.72 and apart but for two: rows of each round of the blocks are fewer than the texts' bands."""
+    rng = random.Random(31)
+    shared, rows = words(rng, 204), []
+    for i in range(150):
+        rows.append((i, " ".join(shared + words(rng, 35)), "en", "s"))
+    rows.append((150, rows[3][1] + " end", "en", "s"))
+    sizes, stage = [], minhash.stage_observed
+
+    def observed(spark, df, label, *args):
+        out = stage(spark, df, label, *args)
+        sizes.append((label, out[0].count()))
+        return out
+
+    monkeypatch.setattr(minhash, "stage_observed", observed)
+    want = brute_classes(rows)
+    assert len(want) == 150 and found_classes(near_classes(spark, documents(rows))) == want
+    named = [n for label, n in sizes if label == "named"]
+    assert len(named) > 1 and max(named) <= 151 * minhash.KINDS * minhash.BANDS
+
+
 def test_a_text_goes_to_cells_not_to_pairs(spark):
     """60 nodes, all 1,770 pairs: each pair is checked once, a text goes to 4 cells at most."""
     texts = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "node long, text string")
